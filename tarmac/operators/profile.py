@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.fixed_values import NO_CATEGORY
+from tarmac.operators.scan import beside_one_row
 
 BINS = 10
 
@@ -27,7 +28,7 @@ def histogram(rows: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     )
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     place = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    counts = values.crossJoin(F.broadcast(bounds)).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
+    counts = beside_one_row(values, bounds).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
     spine = bounds.select("lo", width.alias("width"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return spine.join(counts, "bin", "left").select(
         "bin",

@@ -7,7 +7,7 @@ many messages the aircraft sent.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tarmac.functions import calendar
@@ -21,7 +21,9 @@ from tarmac.session import HOUR_MS
 
 MAX_RANGE_MS = 2 * HOUR_MS
 TRAIL_POINTS = 10
-_TIME_ORDER = Window.partitionBy("icao").orderBy("ts_kafka")
+def _time_order() -> WindowSpec:
+    return Window.partitionBy("icao").orderBy("ts_kafka")
+
 
 
 def complete_points(states: DataFrame) -> DataFrame:
@@ -49,7 +51,7 @@ def hour_spine(states: DataFrame) -> DataFrame:
 
 def trails(points: DataFrame, n: int = TRAIL_POINTS) -> DataFrame:
     """The last ``n`` points of the aircraft up to each row."""
-    recent = _TIME_ORDER.rowsBetween(-(n - 1), Window.currentRow)
+    recent = _time_order().rowsBetween(-(n - 1), Window.currentRow)
     return points.select(
         "icao", "ts_kafka", F.collect_list(F.struct("lon", "lat")).over(recent).alias("trail")
     )
@@ -57,13 +59,13 @@ def trails(points: DataFrame, n: int = TRAIL_POINTS) -> DataFrame:
 
 def _with_flights(points: DataFrame, null_breaks: bool) -> DataFrame:
     """Adds ``flight_no`` (1 for the oldest): runs of equal callsigns."""
-    same = F.col("callsign").eqNullSafe(F.lag("callsign").over(_TIME_ORDER))
+    same = F.col("callsign").eqNullSafe(F.lag("callsign").over(_time_order()))
     if null_breaks:
         same = same & F.col("callsign").isNotNull()
-    first = F.lag("ts_kafka").over(_TIME_ORDER).isNull()
+    first = F.lag("ts_kafka").over(_time_order()).isNull()
     starts = F.when(first | ~same, 1).otherwise(0)
     marked = points.withColumn("__start", starts)
-    return marked.withColumn("flight_no", F.sum("__start").over(_TIME_ORDER)).drop("__start")
+    return marked.withColumn("flight_no", F.sum("__start").over(_time_order())).drop("__start")
 
 
 def _point() -> Column:
@@ -100,7 +102,7 @@ def current_route(points: DataFrame, null_breaks: bool = False) -> DataFrame:
     rows = rows.withColumn("__newest", newest).filter(F.col("flight_no") == F.col("__newest"))
     return rows.select(
         "icao",
-        (F.row_number().over(_TIME_ORDER) - 1).alias("pos"),
+        (F.row_number().over(_time_order()) - 1).alias("pos"),
         "ts_kafka",
         F.round("lat", 3).alias("lat"),
         F.round("lon", 3).alias("lon"),
@@ -140,7 +142,7 @@ def segment_counts(points: DataFrame, null_breaks: bool = False) -> DataFrame:
 def height_profile(points: DataFrame, null_breaks: bool = False) -> DataFrame:
     """All known heights of an aircraft by number, beside the current route's point of the same number."""
     heights = points.filter(F.col("alt_feet").isNotNull()).select(
-        "icao", (F.row_number().over(_TIME_ORDER) - 1).alias("pos"), F.col("alt_feet").alias("height")
+        "icao", (F.row_number().over(_time_order()) - 1).alias("pos"), F.col("alt_feet").alias("height")
     )
     route = current_route(points, null_breaks).select("icao", "pos", "lat", "lon")
     return heights.join(route, ["icao", "pos"], "left")

@@ -135,3 +135,12 @@ def exact_quantiles(
         outputs.append((low + (high - low) * (place - F.floor(place))).cast("double").alias(name))
     return found.select(*by, "n", *outputs)
 
+
+
+def beside_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Adds the columns of a one-row table (a global aggregate) to every row.
+
+    The side is one row by construction, so broadcasting it is always safe.
+    """
+    side = one_row.withColumn("__one", F.lit(1))
+    return df.withColumn("__one", F.lit(1)).join(F.broadcast(side), "__one").drop("__one")

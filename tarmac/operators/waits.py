@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import calendar
-from tarmac.functions.fixed_values import WEEKDAYS_EN
-from tarmac.operators.scan import exact_quantiles
+from tarmac.operators.scan import beside_one_row, exact_quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-_WAIT = F.col
 
 
 def with_weekday(events: DataFrame) -> DataFrame:
@@ -35,16 +33,10 @@ def wait_stats(events: DataFrame) -> DataFrame:
     )
 
 
-def _spine(events: DataFrame, column: str, values: list) -> DataFrame:
-    """All values of an axis as a small constant table."""
-    kind = "string" if isinstance(values[0], str) else "int"
-    return events.sparkSession.createDataFrame([(v,) for v in values], f"{column} {kind}")
-
-
 def _dense_weekdays(events: DataFrame, cells: DataFrame, other: list[str]) -> DataFrame:
     """Cells for all seven weekdays by each seen value of the other axis, 0 where empty."""
     axis = events.select(*other).dropna().distinct()
-    spine = axis.crossJoin(F.broadcast(_spine(events, "weekday_no", list(range(7)))))
+    spine = axis.select("*", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("weekday_no"))
     value = [c for c in cells.columns if c not in ("weekday_no", *other)]
     return spine.join(cells, ["weekday_no", *other], "left").fillna(0, value)
 
@@ -96,7 +88,8 @@ def _dense_pairs(events: DataFrame, cells: DataFrame, first: str, second: str) -
     """
     rows = events.dropna(subset=[first, second])
     seconds = rows.agg(F.collect_set(second).alias("__all"))
-    spine = rows.select(first).distinct().crossJoin(seconds).select(first, F.explode("__all").alias(second))
+    firsts = rows.select(first).distinct()
+    spine = beside_one_row(firsts, seconds).select(first, F.explode("__all").alias(second))
     value = [c for c in cells.columns if c not in (first, second)]
     return spine.join(cells, [first, second], "left").fillna(0, value)
 
@@ -125,9 +118,6 @@ def weekday_label(long: DataFrame) -> DataFrame:
     return long.orderBy("weekday_no").withColumn("weekday", name).drop("weekday_no")
 
 
-WEEKDAY_ORDER = WEEKDAYS_EN
-
-
 def wait_box(events: DataFrame, by: str | None = None) -> DataFrame:
     """Box-plot numbers of waits: quartiles, whiskers at the last value inside 1.5 IQR, outliers.
 
@@ -138,8 +128,8 @@ def wait_box(events: DataFrame, by: str | None = None) -> DataFrame:
     boxes = exact_quantiles(rows, "wait_ms", QUARTILES, tuple(keys))
     spread = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     boxes = boxes.withColumns({"__low": F.col("q1") - spread, "__high": F.col("q3") + spread})
-    # one row per group; the optimiser broadcasts it only when it measures small
-    joined = rows.select("wait_ms", *keys).join(boxes, keys) if by else rows.select("wait_ms").crossJoin(F.broadcast(boxes))
+    waits = rows.select("wait_ms", *keys)
+    joined = waits.join(boxes, keys) if by else beside_one_row(waits, boxes)
     inside = F.col("wait_ms").between(F.col("__low"), F.col("__high"))
     out = joined.groupBy(*keys, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("wait_ms"))).alias("whisker_low"),
@@ -159,7 +149,7 @@ def wait_describe(events: DataFrame) -> DataFrame:
         F.max(seconds).alias("max"),
     )
     quartiles = _in_seconds(exact_quantiles(events, "wait_ms", QUARTILES), list(QUARTILES))
-    return basic.crossJoin(F.broadcast(quartiles)).select(
+    return beside_one_row(basic, quartiles).select(
         F.col("n").alias("count"), "mean", "std", "min", "q1", "median", "q3", "max"
     )
 
