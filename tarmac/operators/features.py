@@ -18,7 +18,7 @@ def markers(points: DataFrame) -> DataFrame:
         geo.significant("lat", 8).alias("lat"),
         geo.significant("lon", 8).alias("lon"),
         geo.significant("velocity", 5).alias("speed"),
-        F.degrees("direction_rad").alias("rotation"),
+        F.round(F.degrees("direction_rad"), 3).alias("rotation"),
         F.col("ground").alias("ground"),
         F.array(time).alias("times"),
     )

@@ -27,41 +27,46 @@ def carry_last(
     tie: str = "seq",
     slice_ms: int = SLICE_MS,
 ) -> DataFrame:
-    """Adds, per state, its latest non-null value at each row's time.
+    """Per row and state, the row's own value and the latest non-null one at its time.
 
-    A state is a nullable struct, so that a known null inside it still
-    overwrites older values. Names in ``strict`` look only at earlier rows; the
-    others include the row itself.
+    The result has the key, time and tie columns and, per state, ``<name>`` (own)
+    and ``last_<name>``. A state is a nullable struct, so that a known null inside
+    it still overwrites older values. Names in ``strict`` look only at earlier
+    rows; the others include the row itself.
 
-    One shuffle of the rows by (key, slice). The last values of each slice are
+    The rows are shuffled once, by (key, slice). The last values of each slice are
     carried across slices on a table of one row per (key, slice), whose size per
-    key depends on the time span and not on the number of rows.
+    key depends on the time span and not on the number of rows. That table reads
+    the same shuffle: both uses need exactly the same columns.
     """
-    own = {f"__own_{name}": value for name, value in states.items()}
-    sliced = df.withColumns(own).withColumn("__slice", F.floor(F.col(time) / F.lit(slice_ms)))
+    sliced = df.select(
+        key,
+        F.floor(F.col(time) / F.lit(slice_ms)).alias("__slice"),
+        time,
+        tie,
+        *[value.alias(name) for name, value in states.items()],
+    ).repartition(key, "__slice")
     order = F.struct(time, tie)
     tails = sliced.groupBy(key, "__slice").agg(
-        *[
-            F.max_by(f"__own_{name}", F.when(F.col(f"__own_{name}").isNotNull(), order)).alias(f"__tail_{name}")
-            for name in states
-        ]
+        *[F.max_by(name, F.when(F.col(name).isNotNull(), order)).alias(f"__tail_{name}") for name in states]
     )
     before = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     heads = tails.select(
         key, "__slice", *[F.last(f"__tail_{n}", ignorenulls=True).over(before).alias(f"__head_{n}") for n in states]
     )
     inside = Window.partitionBy(key, "__slice").orderBy(time, tie)
-    filled = sliced.withColumns(
-        {
-            f"__own_{name}": F.last(f"__own_{name}", ignorenulls=True).over(
-                inside.rowsBetween(Window.unboundedPreceding, -1 if name in strict else Window.currentRow)
-            )
-            for name in states
-        }
-    )
-    joined = filled.join(heads, [key, "__slice"])
-    return joined.withColumns({n: F.coalesce(f"__own_{n}", f"__head_{n}") for n in states}).drop(
-        "__slice", *own, *[f"__head_{n}" for n in states]
+
+    def upto(name: str) -> Column:
+        stop = -1 if name in strict else Window.currentRow
+        return F.last(name, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, stop))
+
+    filled = sliced.withColumns({f"__fill_{name}": upto(name) for name in states})
+    return filled.join(heads, [key, "__slice"]).select(
+        key,
+        time,
+        tie,
+        *states,
+        *[F.coalesce(f"__fill_{n}", f"__head_{n}").alias(f"last_{n}") for n in states],
     )
 
 

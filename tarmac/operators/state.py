@@ -57,11 +57,20 @@ def _flat(df: DataFrame, prefix: str) -> DataFrame:
         for group, columns in STATE_COLUMNS.items()
         for column, field in columns.items()
     ]
-    return df.select(F.col("ts_kafka").alias("timestamp"), "seq", "icao", "msg_type", *fields)
+    return df.select(F.col("ts_kafka").alias("timestamp"), "seq", "icao", _type_of_groups().alias("msg_type"), *fields)
+
+
+def _type_of_groups() -> Column:
+    """Message type told by the groups a row carries."""
+    kinds = [(kind.name, next(iter(kind.groups))) for kind in MESSAGE_TYPES.values()]
+    result = F.when(F.col(kinds[0][1]).isNotNull(), kinds[0][0])
+    for name, group in kinds[1:]:
+        result = result.when(F.col(group).isNotNull(), name)
+    return result
 
 
 def _messages(decoded: DataFrame) -> DataFrame:
-    return valid_adsb(decoded).select("ts_kafka", "seq", "icao", "msg_type", *GROUPS)
+    return valid_adsb(decoded).select("ts_kafka", "seq", "icao", *GROUPS)
 
 
 def known_state(decoded: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
@@ -70,8 +79,8 @@ def known_state(decoded: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     A message overwrites its whole field group, nulls included; the other
     groups keep their last value.
     """
-    states = {f"known_{g}": F.col(g) for g in GROUPS}
-    return _flat(carry_last(_messages(decoded), states, slice_ms=slice_ms), "known_")
+    states = {g: F.col(g) for g in GROUPS}
+    return _flat(carry_last(_messages(decoded), states, slice_ms=slice_ms), "last_")
 
 
 def known_state_ttl(decoded: DataFrame, ttl_ms: int = 2000) -> DataFrame:
@@ -87,19 +96,19 @@ def known_state_ttl(decoded: DataFrame, ttl_ms: int = 2000) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     stamped = {
-        f"known_{g}": F.last(
+        f"last_{g}": F.last(
             F.when(F.col(g).isNotNull(), F.struct(F.col("ts_kafka").alias("at"), F.col(g).alias("value"))),
             ignorenulls=True,
         ).over(past)
         for g in GROUPS
     }
     fresh = {
-        f"known_{g}": F.when(
-            F.col("ts_kafka") - F.col(f"known_{g}.at") <= ttl_ms, F.col(f"known_{g}.value")
+        f"last_{g}": F.when(
+            F.col("ts_kafka") - F.col(f"last_{g}.at") <= ttl_ms, F.col(f"last_{g}.value")
         )
         for g in GROUPS
     }
-    return _flat(rows.withColumns(stamped).filter("__own").withColumns(fresh), "known_")
+    return _flat(rows.withColumns(stamped).filter("__own").withColumns(fresh), "last_")
 
 
 def state_changes(decoded: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
@@ -107,16 +116,20 @@ def state_changes(decoded: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
 
     Position messages are always kept.
     """
-    informative = ["vel", "gs", "asp", "ident"]
-    states = {f"previous_{g}": F.col(g) for g in informative}
-    rows = carry_last(_messages(decoded), states, strict=tuple(states), slice_ms=slice_ms)
+    states = {g: F.col(g) for g in ("vel", "gs", "asp")}
+    states["ident"] = F.when(F.col("ident").isNotNull(), F.struct("ident.callsign", "ident.vortex"))
+    states["place"] = F.when(
+        F.col("msg_type").isin("surface", "airborne"), F.struct(F.col("msg_type").alias("kind"))
+    )
+    rows = carry_last(valid_adsb(decoded), states, strict=tuple(states), slice_ms=slice_ms)
 
     def differs(group: str) -> Column:
-        return F.col(group).isNotNull() & ~F.col(group).eqNullSafe(F.col(f"previous_{group}"))
+        return F.col(group).isNotNull() & ~F.col(group).eqNullSafe(F.col(f"last_{group}"))
 
     changed = differs("vel") | differs("gs") | differs("asp") | differs("ident")
-    return rows.filter(F.col("msg_type").isin("surface", "airborne") | changed).select(
-        "ts_kafka", "seq", "icao", "msg_type"
+    kind = F.coalesce(F.col("place.kind"), F.when(F.col("ident").isNotNull(), "ident").otherwise("velocity"))
+    return rows.filter(F.col("place").isNotNull() | changed).select(
+        "ts_kafka", "seq", "icao", kind.alias("msg_type")
     )
 
 

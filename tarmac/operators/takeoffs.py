@@ -25,38 +25,23 @@ def takeoffs(decoded: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     """
     airborne_reply = (F.col("dl") == 11) & (F.col("on_ground") == 0)
     # rows that can change nothing are dropped before the shuffle
-    rows = (
-        valid_frames(decoded)
-        .filter(airborne_reply | F.col("msg_type").isin("surface", "ident"))
-        .select(
-            "ts_kafka",
-            "seq",
-            "icao",
-            "tc",
-            "aircraft_type",
-            airborne_reply.alias("airborne"),
-            F.col("surf.speed").alias("speed"),
-            F.col("surf.lat").alias("lat"),
-            F.col("surf.lon").alias("lon"),
-        )
-    )
+    rows = valid_frames(decoded).filter(airborne_reply | F.col("msg_type").isin("surface", "ident"))
     known_type = F.col("tc").between(1, 4) & (
         (F.col("tc") != 1) | ~F.coalesce(F.col("aircraft_type").isin(*UNINFORMATIVE_LABELS), F.lit(False))
     )
     moment = F.struct("ts_kafka", "seq")
     states = {
-        "stop": F.when(F.col("speed") == 0, moment),
-        "previous_reply": F.when(F.col("airborne"), moment),
+        "stop": F.when(F.col("surf.speed") == 0, moment),
+        "reply": F.when(airborne_reply, moment),
         "kind": F.when(known_type, F.struct("aircraft_type")),
         "place": F.when(
-            F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct("lat", "lon", "ts_kafka")
+            F.col("surf.lat").isNotNull() & F.col("surf.lon").isNotNull(), F.struct("surf.lat", "surf.lon", "ts_kafka")
         ),
     }
-    # names of the carried values must not hide the inputs
-    carried = carry_last(rows, states, strict=("previous_reply",), slice_ms=slice_ms)
-    stopped_since = F.col("previous_reply").isNull() | (F.col("stop") > F.col("previous_reply"))
-    events = carried.filter(F.col("airborne") & F.col("stop").isNotNull() & stopped_since)
-    left, stopped = F.col("ts_kafka"), F.col("stop.ts_kafka")
+    carried = carry_last(rows, states, strict=("reply",), slice_ms=slice_ms)
+    stopped_since = F.col("last_reply").isNull() | (F.col("last_stop") > F.col("last_reply"))
+    events = carried.filter(F.col("reply").isNotNull() & F.col("last_stop").isNotNull() & stopped_since)
+    left, stopped = F.col("ts_kafka"), F.col("last_stop.ts_kafka")
     return events.select(
         "icao",
         "seq",
@@ -64,10 +49,10 @@ def takeoffs(decoded: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
         left.alias("takeoff_ms"),
         (left - stopped).alias("wait_ms"),
         ((left - stopped) / F.lit(1000.0)).alias("wait_s"),
-        F.col("kind.aircraft_type").alias("aircraft_type"),
-        F.col("place.lat").alias("lat"),
-        F.col("place.lon").alias("lon"),
-        ((left - F.col("place.ts_kafka")) / F.lit(1000.0)).alias("pos_age_s"),
+        F.col("last_kind.aircraft_type").alias("aircraft_type"),
+        F.col("last_place.lat").alias("lat"),
+        F.col("last_place.lon").alias("lon"),
+        ((left - F.col("last_place.ts_kafka")) / F.lit(1000.0)).alias("pos_age_s"),
         F.to_date(calendar.at(left)).alias("takeoff_date"),
         calendar.hour_of(left).alias("takeoff_hour"),
     )

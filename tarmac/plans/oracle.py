@@ -293,6 +293,18 @@ def _null_pair(a: str, b: str) -> str:
 
 
 
+# a popup shows up to 8 significant digits: 40.123456 and -3.5123456 are already that short after rounding
+_MARKER = """'{"type":"Feature","properties":{"id":"' || icao || '"' ||
+  CASE WHEN callsign IS NULL THEN '' ELSE ',"callsign":"' || callsign || '"' END ||
+  ',"lat":' || lat::VARCHAR || ',"lon":' || lon::VARCHAR ||
+  CASE WHEN velocity IS NULL THEN '' ELSE ',"speed":' || velocity::VARCHAR END ||
+  CASE WHEN rotation IS NULL THEN '' ELSE ',"rotation":' || rotation::VARCHAR END ||
+  ',"ground":' || ground || ',"times":["' || at_text || '"]},"geometry":{"type":"MultiPoint","coordinates":[['
+  || lon::VARCHAR || ',' || lat::VARCHAR || ']]}}'"""
+_TRAIL = """'{"type":"Feature","properties":{"times":["' || rtrim(repeat(at_text || '","', size::BIGINT), '",') || '"]},'
+  || '"geometry":{"type":"LineString","coordinates":[' || places || ']}}'"""
+
+
 def oracle_queries() -> dict[str, str]:
     f, w = FACTS, WINDOWS
     t = TAKEOFFS
@@ -312,7 +324,7 @@ def oracle_queries() -> dict[str, str]:
     informative = "aircraft_type IS NOT NULL AND aircraft_type <> 'No category information'"
     types = f"SELECT icao, count(DISTINCT aircraft_type) AS n_types FROM tko WHERE {informative} GROUP BY icao"
     group_struct = (
-        "CASE kind WHEN 'ident' THEN concat_ws('|', tc, k % 8, callsign, label) WHEN 'velocity' THEN "
+        "CASE kind WHEN 'ident' THEN concat_ws('|', callsign, label) WHEN 'velocity' THEN "
         "concat_ws('|', st, speed, heading, vs, vt, k % 2, e % 2, 1 + e % 200, dalt) END"
     )
     both = "SELECT icao FROM points {where} GROUP BY icao HAVING max(ground) = 1 AND min(ground) = 0"
@@ -585,6 +597,17 @@ def oracle_queries() -> dict[str, str]:
             + both.format(where="WHERE vortex = 'Medium 1 (between 7000 kg and 34000 kg)'")
             + ") GROUP BY icao",
         ),
+        "geojson": _with(
+            w
+            + ", shown AS (SELECT icao, ts_kafka, callsign, ground, round(lat, 6) + 0.0 AS lat, round(lon, 6) + 0.0 AS lon, "
+            "round(velocity, 6) + 0.0 AS velocity, round(degrees(direction_rad), 3) + 0.0 AS rotation, "
+            "strftime(make_timestamp(ts_kafka * 1000), '%Y-%m-%d %H:%M:%S') AS at_text FROM points), "
+            "lines AS (SELECT icao, ts_kafka, at_text, count(*) OVER o AS size, "
+            "string_agg('[' || lon::VARCHAR || ',' || lat::VARCHAR || ']', ',') OVER o AS places "
+            "FROM shown WINDOW o AS (PARTITION BY icao ORDER BY ts_kafka ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))",
+            f"SELECT 'marker' AS kind, icao, ts_kafka, {_MARKER} AS feature FROM shown UNION ALL "
+            f"SELECT 'trail', icao, ts_kafka, {_TRAIL} FROM lines",
+        ),
         "max_speed": _with(
             w,
             f"SELECT icao, ground, {_r('max(velocity)', 'max_speed')}, {_r('max(alt_feet)', 'max_alt_feet')} "

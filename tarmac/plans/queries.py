@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,15 +54,17 @@ def _facts(raw: DataFrame) -> DataFrame:
 
 
 def _events(raw: DataFrame) -> DataFrame:
-    return tk.with_runway(tk.takeoffs(_decoded(raw)))
+    """Take-offs with runways. Kept, since most reports read this small table more than once."""
+    return tk.with_runway(tk.takeoffs(_decoded(raw))).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _clean(raw: DataFrame) -> DataFrame:
-    return tk.clean_waits(_decoded(raw), GAP_MS)
+    return tk.drop_repeats(tk.plausible(_events(raw)), GAP_MS)
 
 
 def _states(raw: DataFrame) -> DataFrame:
-    return windows.map_states(_decoded(raw), WINDOW_MS)
+    """The map table: one row per aircraft and window, kept like the take-offs."""
+    return windows.map_states(_decoded(raw), WINDOW_MS).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _points(raw: DataFrame) -> DataFrame:
@@ -161,8 +164,7 @@ def trails(raw: DataFrame) -> DataFrame:
 
 
 def geojson(raw: DataFrame) -> DataFrame:
-    rounded = stable(_points(raw))
-    return features.to_geojson(rounded)
+    return features.to_geojson(_points(raw).withColumns({c: F.round(c, 6) for c in ("lat", "lon", "velocity")}))
 
 
 def hour_spine(raw: DataFrame) -> DataFrame:
