@@ -45,7 +45,9 @@ def carry_last(
         time,
         tie,
         *[value.alias(name) for name, value in states.items()],
-    ).repartition(key, "__slice")
+    )
+    # stated here and not left to the join, so that both uses have one plan and share the shuffle
+    sliced = sliced.filter(F.col(key).isNotNull() & F.col("__slice").isNotNull()).repartition(key, "__slice")
     order = F.struct(time, tie)
     tails = sliced.groupBy(key, "__slice").agg(
         *[F.max_by(name, F.when(F.col(name).isNotNull(), order)).alias(f"__tail_{name}") for name in states]

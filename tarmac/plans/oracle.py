@@ -621,4 +621,48 @@ def oracle_queries() -> dict[str, str]:
                 _null_pair(a, b) for i, a in enumerate(_NULLABLE) for b in _NULLABLE[i + 1 :]
             ),
         ),
+            # streams: results whose window the watermark (10 minutes behind the newest row) has passed
+        "stream_decode": _with(
+            "",
+            "SELECT seq, ts_kafka, icao, dl::BIGINT AS dl, tc::BIGINT AS tc, msg_type FROM valid",
+        ),
+        "stream_rejects": _with("", "SELECT seq, ts_kafka, 'corrupted' AS reject_reason FROM msg WHERE NOT intact"),
+        "stream_without_repeats": _with(
+            """, sent AS (
+              SELECT seq, icao, unnest(CASE WHEN seq % 10 = 0 THEN [0, 1000] ELSE [0] END) + ts_kafka AS ts_kafka,
+                     concat_ws('|', ca, tc, k % 8, callsign, lat, lon, movement, track, alt_feet, odd * (lat IS NOT NULL)::INTEGER,
+                       CASE WHEN kind = 'velocity' THEN concat_ws('|', st, vx, vy, k % 50, e % 200, e % 2, k % 2, (e * 11) % 1024, (k * 5) % 500) END,
+                       CASE WHEN kind = 'surface' THEN concat_ws('|', (k // 2) % 2, e % 128) END,
+                       CASE WHEN kind = 'airborne' THEN (e * 13) % 4096 END, CASE WHEN kind = 'airborne' THEN (e * 13) % 1600 END,
+                       CASE WHEN kind = 'status' THEN e % 3 END) AS body
+              FROM valid),
+            marked AS (SELECT *, CASE WHEN ts_kafka - lag(ts_kafka) OVER o <= 5000 THEN 0 ELSE 1 END AS starts
+                       FROM sent WINDOW o AS (PARTITION BY icao, body ORDER BY ts_kafka, seq)),
+            numbered AS (SELECT *, sum(starts) OVER (PARTITION BY icao, body ORDER BY ts_kafka, seq ROWS UNBOUNDED PRECEDING) AS run FROM marked)""",
+            "SELECT icao, min(ts_kafka) AS ts_kafka, arg_min(seq, (ts_kafka, seq)) AS seq, count(*) AS n_copies FROM numbered "
+            "GROUP BY icao, body, run HAVING max(ts_kafka) + 5000 <= (SELECT max(ts_kafka) - 600000 FROM sent)",
+        ),
+        "stream_window_states": _with(
+            w.replace("placed AS (SELECT v.*, a.anchor FROM valid v ASOF JOIN anchors a ON v.icao = a.icao AND v.ts_kafka >= a.anchor)",
+                      "placed AS (SELECT *, ts_kafka // 3600000 * 3600000 AS anchor FROM valid)"),
+            f"SELECT {_STATE.replace('anchor', 'anchor AS window_ms')} FROM states "
+            "WHERE anchor + 3600000 <= (SELECT max(ts_kafka) - 600000 FROM valid)",
+        ),
+        "stream_occupancy": _with(
+            "",
+            "SELECT ts_kafka // 3600000 * 3600000 AS hour_ms, on_ground::BIGINT AS on_ground, count(DISTINCT icao) AS n "
+            "FROM valid WHERE dl = 11 AND on_ground IS NOT NULL GROUP BY 1, 2 "
+            "HAVING hour_ms + 3600000 <= (SELECT max(ts_kafka) - 600000 FROM valid WHERE dl = 11 AND on_ground IS NOT NULL)",
+        ),
+        "stream_takeoffs": _with(
+            t,
+            f"SELECT icao, seq, last_stopped_ms, takeoff_ms, wait_ms, {_r('wait_s')}, aircraft_type, {_r('lat')}, {_r('lon')}, "
+            "runway FROM tko WHERE takeoff_ms <= (SELECT max(ts_kafka) - 600000 FROM marks WHERE is_air OR kind IN ('surface', 'ident'))",
+        ),
+        "stream_sessions": _with(
+            """, marked AS (SELECT *, CASE WHEN ts_kafka - lag(ts_kafka) OVER (PARTITION BY icao ORDER BY rn) <= 1800000 THEN 0 ELSE 1 END AS starts FROM valid),
+            numbered AS (SELECT *, sum(starts) OVER (PARTITION BY icao ORDER BY rn ROWS UNBOUNDED PRECEDING) AS run FROM marked)""",
+            "SELECT icao, min(ts_kafka) AS start_ms, max(ts_kafka) + 1800000 AS end_ms, count(*) AS n_messages FROM numbered "
+            "GROUP BY icao, run HAVING end_ms <= (SELECT max(ts_kafka) - 600000 FROM valid)",
+        ),
     }
