@@ -630,7 +630,7 @@ def oracle_queries() -> dict[str, str]:
         "stream_without_repeats": _with(
             """, sent AS (
               SELECT seq, icao, unnest(CASE WHEN seq % 10 = 0 THEN [0, 1000] ELSE [0] END) + ts_kafka AS ts_kafka,
-                     concat_ws('|', ca, tc, k % 8, callsign, lat, lon, movement, track, alt_feet, odd * (lat IS NOT NULL)::INTEGER,
+                     concat_ws('|', ca, tc, CASE WHEN kind = 'ident' THEN k % 8 END, callsign, lat, lon, movement, track, alt_feet, odd * (lat IS NOT NULL)::INTEGER,
                        CASE WHEN kind = 'velocity' THEN concat_ws('|', st, vx, vy, k % 50, e % 200, e % 2, k % 2, (e * 11) % 1024, (k * 5) % 500) END,
                        CASE WHEN kind = 'surface' THEN concat_ws('|', (k // 2) % 2, e % 128) END,
                        CASE WHEN kind = 'airborne' THEN (e * 13) % 4096 END, CASE WHEN kind = 'airborne' THEN (e * 13) % 1600 END,
