@@ -8,9 +8,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from tarmac.functions.fixed_values import RECEIVER_LAT, RECEIVER_LON
 
 SCALE = "131072D"
@@ -39,40 +36,31 @@ def _nearest(code: str, step: str, reference: float) -> str:
     return f"{step} * (floor({ref} / {step}) + {inside} + {code} / {SCALE})"
 
 
-def add_steps(df: DataFrame, steps: dict[str, str]) -> DataFrame:
-    """Adds columns one after the other; a later one may use an earlier one."""
-    for name, text in steps.items():
-        df = df.withColumn(name, F.expr(text))
-    return df
-
-
-def with_reference_position(
-    df: DataFrame,
+def reference_position(
     zone: str,
     odd: str,
     lat_code: str,
     lon_code: str,
     ref_lat: float = RECEIVER_LAT,
     ref_lon: float = RECEIVER_LON,
-) -> DataFrame:
-    """Adds ``pos_lat`` and ``pos_lon``; null codes give null positions."""
-    steps = {
+) -> dict[str, str]:
+    """Columns, in order, up to ``pos_lat`` and ``pos_lon``; null codes give null positions."""
+    return {
         "__dlat": f"{zone} / (60 - {odd})",
         "pos_lat": _nearest(lat_code, "__dlat", ref_lat),
         "__dlon": f"{zone} / greatest({zone_count('pos_lat')} - {odd}, 1)",
         "pos_lon": _nearest(lon_code, "__dlon", ref_lon),
     }
-    return add_steps(df, steps).drop("__dlat", "__dlon")
 
 
-def with_pair_position(df: DataFrame, even: str, odd: str, newest_odd: str) -> DataFrame:
-    """Adds ``pair_lat`` and ``pair_lon`` from two structs ``(lat, lon)`` of codes.
+def pair_position(even: str, odd: str, newest_odd: str) -> dict[str, str]:
+    """Columns, in order, up to ``pair_lat`` and ``pair_lon`` of two structs ``(lat, lon)`` of codes.
 
     The result is null where the two latitudes fall in different zones.
     """
     ye, xe = f"({even}.lat / {SCALE})", f"({even}.lon / {SCALE})"
     yo, xo = f"({odd}.lat / {SCALE})", f"({odd}.lon / {SCALE})"
-    steps = {
+    return {
         "__j": f"floor(59 * {ye} - 60 * {yo} + 0.5D)",
         "__even": f"360D / 60 * (pmod(__j, 60) + {ye})",
         "__odd": f"360D / 59 * (pmod(__j, 59) + {yo})",
@@ -85,13 +73,11 @@ def with_pair_position(df: DataFrame, even: str, odd: str, newest_odd: str) -> D
         "pair_lat": f"if(__zones is null, null, if({newest_odd}, __odd_lat, __even_lat))",
         "pair_lon": "if(__zones is null, null, if(__lon >= 180, __lon - 360, __lon))",
     }
-    kept = add_steps(df, steps)
-    return kept.drop(*[name for name in steps if name.startswith("__")])
 
 
-def encode_position(df: DataFrame, zone: str, odd: str, lat: str, lon: str) -> DataFrame:
-    """Adds the 17-bit codes ``lat_code`` and ``lon_code`` of a position."""
-    steps = {
+def position_codes(zone: str, odd: str, lat: str, lon: str) -> dict[str, str]:
+    """Columns, in order, up to the 17-bit codes ``lat_code`` and ``lon_code`` of a position."""
+    return {
         "__dlat": f"{zone} / (60 - {odd})",
         "__yz": f"floor({SCALE} * {_floor_mod(lat, '__dlat')} / __dlat + 0.5D)",
         "__rlat": f"__dlat * (__yz / {SCALE} + floor({lat} / __dlat))",
@@ -100,4 +86,3 @@ def encode_position(df: DataFrame, zone: str, odd: str, lat: str, lon: str) -> D
         "lat_code": "pmod(__yz, 131072L)",
         "lon_code": "pmod(__xz, 131072L)",
     }
-    return add_steps(df, steps).drop("__dlat", "__yz", "__rlat", "__dlon", "__xz")

@@ -9,20 +9,47 @@ from tarmac.functions import cpr, fields
 from tarmac.functions.bits import head_bits, hex_to_long, me_bits
 from tarmac.functions.crc import parity24
 from tarmac.functions.fixed_values import RECEIVER_LAT, RECEIVER_LON
+from tarmac.functions.steps import Steps
 from tarmac.operators.registry import MESSAGE_TYPES, message_type
 
 REJECT_REASONS = ["malformed_base64", "bad_length", "corrupted"]
 
 
-def _evaluate_once(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Adds columns that filters and projections above must not expand again.
-
-    Spark moves a filter below a projection by copying the projected
-    expressions into it, so a filter on the parity check would decode the
-    message dozens of times per row. A one-row generator is a boundary for that.
-    """
-    fields = ", ".join(f"'{name}', {text}" for name, text in columns.items())
-    return df.select("*", F.expr(f"inline(array(named_struct({fields})))"))
+def _header_steps() -> Steps:
+    long = "coalesce(length(message_hex) = 28, false)"
+    return (
+        Steps()
+        .once({"message_hex": "lower(hex(try_to_binary(message, 'base64')))"})
+        .once(
+            {
+                "__long": long,
+                "head": hex_to_long("substring(message_hex, 1, 8)"),
+                "me": hex_to_long(f"if({long}, substring(message_hex, 9, 14), null)"),
+                "__parity": hex_to_long(f"if({long}, substring(message_hex, 23, 6), substring(message_hex, 9, 6))"),
+            }
+        )
+        # a short frame has its 32 header bits where a long one ends its message field
+        .once({"__high": "if(__long, head, 0L)", "__low": "if(__long, me, head)"})
+        .once(
+            {
+                "__intact": f"({parity24('__high', '__low')}) = __parity",
+                "dl": f"if(message_hex is null, null, least({head_bits(0, 5)}, 24))",
+                "ca": f"if(message_hex is null, null, {head_bits(5, 8)})",
+                "icao": "substring(message_hex, 3, 6)",
+            }
+        )
+        .once(
+            {
+                "reject_reason": "case when message_hex is null then 'malformed_base64' "
+                "when length(message_hex) not in (14, 28) then 'bad_length' "
+                "when not __long and dl in (17, 18) then 'bad_length' "
+                "when not __intact then 'corrupted' end",
+                "tc": f"if(dl in (17, 18) and __long, {me_bits(32, 37)}, null)",
+                "on_ground": fields.ON_GROUND,
+            }
+        )
+        .once({"msg_type": f"if(reject_reason is null, {message_type()}, null)"})
+    )
 
 
 def frame_header(raw: DataFrame) -> DataFrame:
@@ -31,40 +58,7 @@ def frame_header(raw: DataFrame) -> DataFrame:
     Keeps every input row. ``reject_reason`` is null for a frame whose length
     and parity are right.
     """
-    df = _evaluate_once(raw, {"message_hex": "lower(hex(try_to_binary(message, 'base64')))"})
-    df = df.withColumn("__long", F.expr("coalesce(length(message_hex) = 28, false)"))
-    df = _evaluate_once(
-        df,
-        {
-            "head": hex_to_long("substring(message_hex, 1, 8)"),
-            "me": hex_to_long("if(__long, substring(message_hex, 9, 14), null)"),
-            "__parity": hex_to_long("if(__long, substring(message_hex, 23, 6), substring(message_hex, 9, 6))"),
-        },
-    )
-    # a short frame has its 32 header bits where a long one ends its message field
-    df = _evaluate_once(df, {"__high": "if(__long, head, 0L)", "__low": "if(__long, me, head)"})
-    df = _evaluate_once(
-        df,
-        {
-            "__intact": f"({parity24('__high', '__low')}) = __parity",
-            "dl": f"if(message_hex is null, null, least({head_bits(0, 5)}, 24))",
-            "ca": f"if(message_hex is null, null, {head_bits(5, 8)})",
-            "icao": "substring(message_hex, 3, 6)",
-        },
-    )
-    df = _evaluate_once(
-        df,
-        {
-            "reject_reason": "case when message_hex is null then 'malformed_base64' "
-            "when length(message_hex) not in (14, 28) then 'bad_length' "
-            "when not __long and dl in (17, 18) then 'bad_length' "
-            "when not __intact then 'corrupted' end",
-            "tc": f"if(dl in (17, 18) and __long, {me_bits(32, 37)}, null)",
-            "on_ground": fields.ON_GROUND,
-        },
-    )
-    df = _evaluate_once(df, {"msg_type": f"if(reject_reason is null, {message_type()}, null)"})
-    return df.drop("__long", "__parity", "__high", "__low", "__intact")
+    return _header_steps().apply(raw)
 
 
 def decode(
@@ -83,36 +77,34 @@ def decode(
     vertical-rate source at header offsets, and the aircraft type looked up by
     transponder capability in place of the emitter category.
     """
-    df = frame_header(raw)
-    if "seq" not in df.columns:
+    steps = _header_steps()
+    if "seq" not in raw.columns:
         # replayable tie-break for logs without an ingest number
-        df = df.withColumn("seq", F.xxhash64("message"))
-    df = df.withColumns(
+        steps = steps.add({"seq": "xxhash64(message)"})
+    steps = steps.add(
         {
-            "__odd": F.expr(f"if(msg_type in ('surface', 'airborne'), {me_bits(53, 54)}, null)"),
-            "__lat_code": F.expr(me_bits(54, 71)),
-            "__lon_code": F.expr(me_bits(71, 88)),
-            "__zone": F.expr(f"if(msg_type = 'surface', {cpr.SURFACE_ZONE}, {cpr.AIRBORNE_ZONE})"),
+            "__bit": f"if(msg_type in ('surface', 'airborne'), {me_bits(53, 54)}, null)",
+            "__lat_code": me_bits(54, 71),
+            "__lon_code": me_bits(71, 88),
+            "__zone": f"if(msg_type = 'surface', {cpr.SURFACE_ZONE}, {cpr.AIRBORNE_ZONE})",
         }
     )
-    df = cpr.with_reference_position(df, "__zone", "__odd", "__lat_code", "__lon_code", ref_lat, ref_lon)
-    helpers = fields.altitude_steps()
-    df = cpr.add_steps(df, helpers)
+    positions = cpr.reference_position("__zone", "__bit", "__lat_code", "__lon_code", ref_lat, ref_lon)
+    steps = steps.add(positions).add(fields.altitude_steps())
     groups = {
         name: f"if(msg_type = '{kind.name}', {build(compat)}, null)"
         for kind in MESSAGE_TYPES.values()
         for name, build in kind.groups.items()
     }
     groups |= {
-        "cpr": "if(msg_type = 'airborne', named_struct('odd', __odd, 'lat', __lat_code, 'lon', __lon_code), null)",
+        "cpr": "if(msg_type = 'airborne', named_struct('odd', __bit, 'lat', __lat_code, 'lon', __lon_code), null)",
         "version": f"if(tc = 31 and reject_reason is null, {me_bits(72, 75)}, null)",
         "aircraft_type": fields.category_label("ca" if compat else me_bits(37, 40)),
         "ts": "timestamp_millis(ts_kafka)",
         "date": "to_date(timestamp_millis(ts_kafka))",
         "hour": "hour(timestamp_millis(ts_kafka))",
     }
-    df = df.withColumns({name: F.expr(text) for name, text in groups.items()})
-    return df.drop("__odd", "__lat_code", "__lon_code", "__zone", "pos_lat", "pos_lon", *helpers)
+    return steps.add(groups).apply(raw).drop("pos_lat", "pos_lon")
 
 
 def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions import cpr
+from tarmac.functions.steps import Steps
 from tarmac.operators.decode import valid_adsb, valid_frames
 from tarmac.operators.registry import MESSAGE_TYPES
 from tarmac.operators.scan import SLICE_MS, carry_last, with_halo
@@ -157,7 +158,7 @@ def pair_positions(decoded: DataFrame, max_gap_ms: int = 10_000) -> DataFrame:
     paired = rows.withColumns({"even": latest(0), "odd": latest(1)}).filter(
         F.col("__own") & (F.abs(F.col("even.at") - F.col("odd.at")) <= max_gap_ms)
     )
-    placed = cpr.with_pair_position(paired, "even", "odd", "cpr.odd = 1")
+    placed = Steps().add(cpr.pair_position("even", "odd", "cpr.odd = 1")).apply(paired)
     return placed.filter(F.col("pair_lat").isNotNull()).select(
         "ts_kafka", "seq", "icao", F.col("pair_lat").alias("lat"), F.col("pair_lon").alias("lon")
     )

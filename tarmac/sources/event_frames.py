@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tarmac.functions import cpr
 from tarmac.functions.bits import long_to_hex
 from tarmac.functions.crc import parity24
+from tarmac.functions.steps import Steps
 
 START_MS = 1704067200000
 EVENTS_SCHEMA = T.StructType(
@@ -34,24 +35,20 @@ def _pack(parts: list[tuple[str, int]]) -> str:
 
 def frames(events: DataFrame) -> DataFrame:
     """``(seq, ts_kafka, message)``, one row per event."""
-    df = events.selectExpr(
-        "event_id as seq",
-        "event_id as e",
-        "cast(get_json_object(props, '$.k') as int) as k",
-        "cast(user_id % 12 as int) as u",
-        f"{START_MS}L + floor((unix_millis(cast(ts as timestamp)) - {START_MS}L) / 4) as ts_kafka",
-        "event_type",
-    )
-    df = df.selectExpr(
-        "*",
-        "case event_type when 'view' then 'allcall' when 'click' then 'surface' when 'signup' then 'ident' "
-        "when 'purchase' then 'velocity' else if(k % 10 = 8, 'status', 'airborne') end as kind",
-        "e % 2 as odd",
-        "40.45D + ((e * 7919) % 1000) * 0.00009D as lat",
-        "-3.59D + ((e * 104729) % 1000) * 0.00007D as lon",
-        f"if(event_type = 'click', {cpr.SURFACE_ZONE}, {cpr.AIRBORNE_ZONE}) as zone",
-    )
-    df = cpr.encode_position(df, "zone", "odd", "lat", "lon")
+    inputs = {
+        "e": "event_id",
+        "k": "cast(get_json_object(props, '$.k') as int)",
+        "u": "cast(user_id % 12 as int)",
+        "ts_kafka": f"{START_MS}L + floor((unix_millis(cast(ts as timestamp)) - {START_MS}L) / 4)",
+    }
+    place = {
+        "kind": "case event_type when 'view' then 'allcall' when 'click' then 'surface' when 'signup' then 'ident' "
+        "when 'purchase' then 'velocity' else if(k % 10 = 8, 'status', 'airborne') end",
+        "odd": "e % 2",
+        "lat": "40.45D + ((e * 7919) % 1000) * 0.00009D",
+        "lon": "-3.59D + ((e * 104729) % 1000) * 0.00007D",
+        "zone": f"if(event_type = 'click', {cpr.SURFACE_ZONE}, {cpr.AIRBORNE_ZONE})",
+    }
     position = [("odd", 54), ("lat_code", 71), ("lon_code", 88)]
     barometric = "shiftleft(floor(((e * 13) % 1600) / 16), 5) + 16 + ((e * 13) % 1600) % 16"
     letters = ["6", "1 + floor(e / 300) % 3", "20", "48", "48", "48 + floor(u / 10)", "48 + u % 10", "32"]
@@ -101,7 +98,8 @@ def frames(events: DataFrame) -> DataFrame:
         "text": f"concat({long_to_hex('head', 8)}, if(kind = 'allcall', '', {long_to_hex('me', 14)}), "
         f"{long_to_hex('sent', 6)})",
     }
-    return cpr.add_steps(df, steps).selectExpr("seq", "ts_kafka", "base64(unhex(text)) as message")
+    stages = Steps().add(inputs).add(place).add(cpr.position_codes("zone", "odd", "lat", "lon")).add(steps)
+    return stages.apply(events).selectExpr("e as seq", "ts_kafka", "base64(unhex(text)) as message")
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
