@@ -1,4 +1,4 @@
-"""Registered queries beside their SQL on the smallest data; ``tests.run_oracle`` runs all of them."""
+"""Registered queries beside their SQL at a scale where none is empty; ``tests.run_oracle`` runs all."""
 
 import os
 
@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import difference, duck, duck_rows, spark_rows
 
-SF_DIR = os.environ.get("TARMAC_SF_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("TARMAC_SF_DIR", "/root/testdata/sf0.01")
 FAMILIES = [
     "decode_messages",
     "decode_airborne",
