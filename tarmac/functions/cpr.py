@@ -36,21 +36,18 @@ def _nearest(code: str, step: str, reference: float) -> str:
     return f"{step} * (floor({ref} / {step}) + {inside} + {code} / {SCALE})"
 
 
-def reference_position(
-    zone: str,
-    odd: str,
-    lat_code: str,
-    lon_code: str,
-    ref_lat: float = RECEIVER_LAT,
-    ref_lon: float = RECEIVER_LON,
-) -> dict[str, str]:
-    """Columns, in order, up to ``pos_lat`` and ``pos_lon``; null codes give null positions."""
-    return {
-        "__dlat": f"{zone} / (60 - {odd})",
-        "pos_lat": _nearest(lat_code, "__dlat", ref_lat),
-        "__dlon": f"{zone} / greatest({zone_count('pos_lat')} - {odd}, 1)",
-        "pos_lon": _nearest(lon_code, "__dlon", ref_lon),
-    }
+def reference_latitude(zone: str, odd: str, code: str, ref_lat: float = RECEIVER_LAT) -> str:
+    """Latitude of a position code near the reference; null for a null frame parity."""
+    return f"if({odd} is null, null, {_nearest(code, f'({zone} / (60 - {odd}))', ref_lat)})"
+
+
+def longitude_step(zone: str, odd: str, lat: str) -> str:
+    return f"if({odd} is null, null, {zone} / greatest({zone_count(lat)} - {odd}, 1))"
+
+
+def reference_longitude(step: str, code: str, ref_lon: float = RECEIVER_LON) -> str:
+    """Longitude of a position code near the reference."""
+    return f"if({step} is null, null, {_nearest(code, step, ref_lon)})"
 
 
 def pair_position(even: str, odd: str, newest_odd: str) -> dict[str, str]:

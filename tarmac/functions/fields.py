@@ -107,30 +107,48 @@ def cpr_format(bit: str) -> str:
     return label_at(bit, CPR_FORMAT)
 
 
-_SUBTYPE = me_bits(37, 40)
-_FACTOR = f"if({_SUBTYPE} in (2, 4), 4, 1)"
+def velocity_steps() -> dict[str, str]:
+    """Columns, in order, that the TC 19 fields share: subtype, its factor and the two components."""
+    return {
+        "__subtype": me_bits(37, 40),
+        "__factor": "if(__subtype in (2, 4), 4, 1)",
+        "__first": me_bits(46, 56),
+        "__second": me_bits(57, 67),
+        "__east": f"(__first - 1) * __factor * (1 - 2 * {me_bits(45, 46)})",
+        "__north": f"(__second - 1) * __factor * (1 - 2 * {me_bits(56, 57)})",
+    }
+
+
+_KNOWN = "__subtype in (1, 2) and __first != 0 and __second != 0"
+
+
+def speed() -> str:
+    """Whole knots over ground (subtypes 1, 2) or through the air (3, 4)."""
+    return (
+        f"cast(case when {_KNOWN} then floor(hypot(__east, __north)) "
+        "when __subtype in (3, 4) and __second != 0 then (__second - 1) * __factor end as int)"
+    )
+
+
+def heading() -> str:
+    """Degrees from north of the track (subtypes 1, 2) or the magnetic heading (3, 4)."""
+    return (
+        f"case when {_KNOWN} then pmod(degrees(atan2(cast(__east as double), cast(__north as double))), 360D) "
+        f"when __subtype in (3, 4) and {me_bits(45, 46)} = 1 then __first * 360D / 1024D end"
+    )
 
 
 def velocity_fields(compat: bool = False) -> dict[str, str]:
     """Common TC 19 fields. ``compat`` reads the vertical-rate source at bit 37."""
-    first, second = me_bits(46, 56), me_bits(57, 67)
-    east = f"(({first} - 1) * {_FACTOR} * (1 - 2 * {me_bits(45, 46)}))"
-    north = f"(({second} - 1) * {_FACTOR} * (1 - 2 * {me_bits(56, 57)}))"
-    over_ground = f"{_SUBTYPE} in (1, 2)"
-    through_air = f"{_SUBTYPE} in (3, 4)"
-    known = f"{over_ground} and {first} != 0 and {second} != 0"
-    track = f"degrees(atan2(cast({east} as double), cast({north} as double)))"
     down, rate = me_bits(68, 69), me_bits(69, 78)
     below, difference = me_bits(80, 81), me_bits(81, 88)
     return {
-        "speed": f"cast(case when {known} then floor(hypot({east}, {north})) "
-        f"when {through_air} and {second} != 0 then ({second} - 1) * {_FACTOR} end as int)",
-        "heading": f"case when {known} then if({track} < 0, {track} + 360, {track}) "
-        f"when {through_air} and {me_bits(45, 46)} = 1 then {first} * 360D / 1024D end",
+        "speed": "__speed",
+        "heading": "__heading",
         "vertical_rate": f"if({rate} = 0, null, ({rate} - 1) * 64 * (1 - 2 * {down}))",
-        "speed_type": f"case when {over_ground} then 'GS' "
-        f"when {through_air} then if({me_bits(56, 57)} = 1, 'TAS', 'IAS') end",
-        "subtype": _SUBTYPE,
+        "speed_type": "case when __subtype in (1, 2) then 'GS' "
+        f"when __subtype in (3, 4) then if({me_bits(56, 57)} = 1, 'TAS', 'IAS') end",
+        "subtype": "__subtype",
         "intent_change": me_bits(40, 41),
         "ifr": me_bits(41, 42),
         "nuc": me_bits(42, 45),
@@ -145,7 +163,7 @@ def velocity_fields(compat: bool = False) -> dict[str, str]:
 def ground_speed_fields() -> dict[str, str]:
     return {
         "dew": me_bits(45, 46),
-        "vew": f"({me_bits(46, 56)} - 1) * {_FACTOR}",
+        "vew": "(__first - 1) * __factor",
         "dns": me_bits(56, 57),
     }
 
@@ -153,6 +171,6 @@ def ground_speed_fields() -> dict[str, str]:
 def airspeed_fields() -> dict[str, str]:
     return {
         "heading_status": me_bits(45, 46),
-        "heading_raw": me_bits(46, 56),
+        "heading_raw": "__first",
         "airspeed_type": me_bits(56, 57),
     }

@@ -89,8 +89,22 @@ def decode(
             "__zone": f"if(msg_type = 'surface', {cpr.SURFACE_ZONE}, {cpr.AIRBORNE_ZONE})",
         }
     )
-    positions = cpr.reference_position("__zone", "__bit", "__lat_code", "__lon_code", ref_lat, ref_lon)
-    steps = steps.add(positions).add(fields.altitude_steps())
+    # Values that take more than a few instructions are evaluated at their own
+    # boundary, for the rows that have them: every generated method then stays
+    # below the size the JVM compiles, also when a query needs all groups.
+    steps = (
+        steps.once({"__lat": cpr.reference_latitude("__zone", "__bit", "__lat_code", ref_lat)})
+        .once({"__dlon": cpr.longitude_step("__zone", "__bit", "__lat")})
+        .once({"__lon": cpr.reference_longitude("__dlon", "__lon_code", ref_lon)})
+        .add(fields.altitude_steps())
+        .once({"__alt_feet": f"if(msg_type = 'airborne', {fields.altitude_feet()}, null)"})
+        .once({"__callsign": f"if(msg_type = 'ident', {fields.callsign()}, null)"})
+        .once({"__label": f"if(msg_type = 'ident', {fields.category_label(me_bits(37, 40))}, null)"})
+        .once({"__moved": f"if(msg_type = 'surface', {fields.movement_speed(me_bits(37, 44))}, null)"})
+        .add(fields.velocity_steps())
+        .once({"__speed": f"if(msg_type = 'velocity', {fields.speed()}, null)"})
+        .once({"__heading": f"if(msg_type = 'velocity', {fields.heading()}, null)"})
+    )
     groups = {
         name: f"if(msg_type = '{kind.name}', {build(compat)}, null)"
         for kind in MESSAGE_TYPES.values()
@@ -99,12 +113,12 @@ def decode(
     groups |= {
         "cpr": "if(msg_type = 'airborne', named_struct('odd', __bit, 'lat', __lat_code, 'lon', __lon_code), null)",
         "version": f"if(tc = 31 and reject_reason is null, {me_bits(72, 75)}, null)",
-        "aircraft_type": fields.category_label("ca" if compat else me_bits(37, 40)),
+        "aircraft_type": fields.category_label("ca") if compat else "__label",
         "ts": "timestamp_millis(ts_kafka)",
         "date": "to_date(timestamp_millis(ts_kafka))",
         "hour": "hour(timestamp_millis(ts_kafka))",
     }
-    return steps.add(groups).apply(raw).drop("pos_lat", "pos_lon")
+    return steps.add(groups).apply(raw)
 
 
 def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,9 @@
 
 One entry per type drives classification, decoding and the state merge; a new
 message type is one more entry. Predicates and groups are SQL expressions over
-the frame columns ``tc``, ``ca``, ``head``, ``me`` and the resolved position.
+the frame columns ``tc``, ``ca``, ``head``, ``me`` and the values that the
+decode evaluates apart (``__lat``, ``__lon``, ``__alt_feet``, ``__callsign``,
+``__label``, ``__moved``, ``__speed``, ``__heading``).
 """
 
 from __future__ import annotations
@@ -28,20 +30,16 @@ def _struct(columns: dict[str, str]) -> str:
 
 
 def _ident(compat: bool) -> str:
-    category = me_bits(37, 40)
-    return _struct(
-        {"callsign": fields.callsign(), "category": category, "vortex": fields.category_label(category)}
-    )
+    return _struct({"callsign": "__callsign", "category": me_bits(37, 40), "vortex": "__label"})
 
 
 def _surface(compat: bool) -> str:
-    code = me_bits(37, 44)
     return _struct(
         {
-            "lat": "pos_lat",
-            "lon": "pos_lon",
-            "speed": fields.movement_speed(code),
-            "movement_code": code,
+            "lat": "__lat",
+            "lon": "__lon",
+            "speed": "__moved",
+            "movement_code": me_bits(37, 44),
             "ground_track": fields.ground_track(),
         }
     )
@@ -51,9 +49,9 @@ def _airborne(compat: bool) -> str:
     # compat: offsets counted from the frame start, so they fall into the header
     return _struct(
         {
-            "lat": "pos_lat",
-            "lon": "pos_lon",
-            "alt_feet": fields.altitude_feet(),
+            "lat": "__lat",
+            "lon": "__lon",
+            "alt_feet": "__alt_feet",
             "altitude_type": fields.altitude_type(),
             "surveillance_status": fields.surveillance_status(head_bits(5, 7) if compat else me_bits(37, 39)),
             "single_antenna": head_bits(7, 8) if compat else me_bits(39, 40),
@@ -68,11 +66,11 @@ def _velocity(compat: bool) -> str:
 
 
 def _ground_speed(compat: bool) -> str:
-    return f"if({me_bits(37, 40)} in (1, 2), {_struct(fields.ground_speed_fields())}, null)"
+    return f"if(__subtype in (1, 2), {_struct(fields.ground_speed_fields())}, null)"
 
 
 def _airspeed(compat: bool) -> str:
-    return f"if({me_bits(37, 40)} in (3, 4), {_struct(fields.airspeed_fields())}, null)"
+    return f"if(__subtype in (3, 4), {_struct(fields.airspeed_fields())}, null)"
 
 
 MESSAGE_TYPES = {

@@ -28,14 +28,8 @@ def local_session(cores: int = 8, app: str = "tarmac") -> SparkSession:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Runtime settings the jobs rely on.
-
-    All message times are naive UTC, so calendar columns need a UTC session.
-    The JVM does not compile methods above 8000 bytes: a wide decode runs several
-    times faster when Spark splits such methods up.
-    """
+    """All message times are naive UTC, so calendar columns need a UTC session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
