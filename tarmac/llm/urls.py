@@ -29,7 +29,8 @@ MAX_DEPTH = 8
 MIN_CHILDREN = 20
 #: ... that make up this share of its pages.
 CHILD_SHARE = 0.3
-PRIOR_PAGES = 4.0
+#: Smoothing; a template without labelled pages keeps this rate and is not rejected.
+PRIOR_PAGES, PRIOR_RATE = 4.0, 0.5
 SIMILAR_Z = 1.96
 BLOCK_ABOVE = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -115,39 +116,22 @@ def template_tree(pages: DataFrame) -> DataFrame:
     return nodes
 
 
-def _smoothed(blocked: Column, labelled: Column, prior: Column) -> Column:
-    return (blocked + PRIOR_PAGES * prior) / (labelled + PRIOR_PAGES)
-
-
 def template_purity(nodes: DataFrame) -> DataFrame:
-    """(host, template, purity): block rates with similar branches merged, smoothed from the corpus down."""
+    """(host, template, purity): block rates with similar branches merged, smoothed by PRIOR_PAGES pages of rate PRIOR_RATE."""
     sums = [F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
     branches = nodes.groupBy("host", "template").agg(*sums)
-    branches = branches.withColumns(
-        {"parent": F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0))), "suffix": F.element_at(F.split("host", r"\."), -1)}
-    )
+    branches = branches.withColumn("parent", F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0))))
     parents = branches.groupBy("host", "parent").agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
     rest_n, rest_b = F.col("all_labelled") - F.col("labelled"), F.col("all_blocked") - F.col("blocked")
     rate = F.col("all_blocked") / F.col("all_labelled")
     apart = F.abs(F.col("blocked") / F.col("labelled") - rest_b / rest_n)
     error = F.sqrt(rate * (1 - rate) * (1 / F.col("labelled") + 1 / rest_n))
-    similar = F.when((F.col("labelled") == 0) | (rest_n == 0), F.lit(True)).otherwise(apart <= SIMILAR_Z * error)
-    branches = branches.join(parents, ["host", "parent"]).withColumn("merged", similar).drop("all_labelled", "all_blocked")
-    groups = branches.groupBy("host", "parent", F.when(F.col("merged"), F.lit("")).otherwise(F.array_join("template", "/")).alias("group"))
-    groups = groups.agg(F.sum("labelled").alias("g_labelled"), F.sum("blocked").alias("g_blocked"))
-    hosts = branches.groupBy("host", "suffix").agg(F.sum("labelled").alias("h_labelled"), F.sum("blocked").alias("h_blocked"))
-    suffixes = hosts.groupBy("suffix").agg(F.sum("h_labelled").alias("s_labelled"), F.sum("h_blocked").alias("s_blocked"))
-    corpus = suffixes.agg(F.sum("s_labelled").alias("c_labelled"), F.sum("s_blocked").alias("c_blocked"))
-    corpus = corpus.select(_smoothed(F.col("c_blocked"), F.col("c_labelled"), F.lit(0.0)).alias("c_rate"), F.lit(1).alias("_one"))
-    suffixes = suffixes.withColumn("_one", F.lit(1)).join(corpus, "_one")
-    suffixes = suffixes.select("suffix", _smoothed(F.col("s_blocked"), F.col("s_labelled"), F.col("c_rate")).alias("s_rate"))
-    hosts = hosts.join(suffixes, "suffix").select("host", _smoothed(F.col("h_blocked"), F.col("h_labelled"), F.col("s_rate")).alias("h_rate"))
-    named = branches.withColumn("group", F.when(F.col("merged"), F.lit("")).otherwise(F.array_join("template", "/")))
-    return (
-        named.join(groups, ["host", "parent", "group"])
-        .join(hosts, "host")
-        .select("host", "template", _smoothed(F.col("g_blocked"), F.col("g_labelled"), F.col("h_rate")).alias("purity"))
-    )
+    similar = F.when((F.col("labelled") == 0) | (rest_n == 0), F.lit(False)).otherwise(apart <= SIMILAR_Z * error)
+    group = F.when(F.col("merged"), F.lit("")).otherwise(F.array_join("template", "/"))
+    branches = branches.join(parents, ["host", "parent"]).withColumn("merged", similar).withColumn("group", group)
+    groups = branches.groupBy("host", "parent", "group").agg(F.sum("labelled").alias("g_labelled"), F.sum("blocked").alias("g_blocked"))
+    purity = (F.col("g_blocked") + PRIOR_PAGES * PRIOR_RATE) / (F.col("g_labelled") + PRIOR_PAGES)
+    return branches.join(groups, ["host", "parent", "group"]).select("host", "template", purity.alias("purity"))
 
 
 def filter_urls(
