@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, token_files, urls
+from tarmac.llm import chat, decontaminate, jaccard, token_files, urls
 from tarmac.llm.store import Scratch
 
 
@@ -58,6 +58,23 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.mapInArrow(digest, schema)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.sort_array(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -71,6 +88,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op8_token_files": op8_token_files,
     "op10_url_filter": op10_url_filter,
 }

@@ -4,9 +4,9 @@ Method: a url's path becomes a template: segments holding a digit turn into ``*`
 once, and so do segments at a place of the host's tree that has many different
 children for its rows. Templates with the same host and parent are branches; those
 whose labelled block rate does not differ significantly from the others' are merged.
-A template is rejected when its smoothed purity (the block share of its labelled
-pages, drawn towards host, suffix and corpus in turn) is above one half. Labels are the
-verdicts of the rules, or a column of the caller's.
+A template is rejected when its smoothed purity (the block share of its group's labelled
+pages) is above one half; one without labelled pages is not. Labels are the verdicts of
+the rules, or a column of the caller's.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule
 and the verdict of the empty template; equal rows get equal verdicts; an empty table
