@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, jaccard, token_files, topk, urls
+from tarmac.llm import chat, decontaminate, jaccard, suffix_tree, token_files, topk, urls
 from tarmac.llm.store import Scratch
 
 
@@ -75,6 +75,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_suffix_tree": op4_suffix_tree,
     "op7_exact_topk": op7_exact_topk,
     "op8_token_files": op8_token_files,
     "op10_url_filter": op10_url_filter,
