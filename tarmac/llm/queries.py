@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, jaccard, suffix_tree, token_files, topk, urls
+from tarmac.llm import chat, decontaminate, jaccard, language, mixing, resample, suffix_tree, token_files, topk, urls
 from tarmac.llm.store import Scratch
 
 
@@ -24,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Target weights: of domains, and of languages in each.
+DOMAIN_WEIGHTS = [("domain0", 0.5), ("domain1", 0.3), ("domain2", 0.2)]
+LANGUAGE_WEIGHTS = [(d, lang, x) for d, _ in DOMAIN_WEIGHTS for lang, x in (("en", 0.4), ("de", 0.2), ("fr", 0.2), ("es", 0.2))]
+
+
+def mixing_weights(spark: SparkSession) -> dict[str, DataFrame]:
+    return {
+        "domain": spark.createDataFrame(DOMAIN_WEIGHTS, "domain string, weight double"),
+        "lang": spark.createDataFrame(LANGUAGE_WEIGHTS, "domain string, lang string, weight double"),
+    }
+
+
 ADDED_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
 
@@ -79,11 +91,32 @@ def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language.identify(language.document_evidence(docs), docs).withColumnRenamed("id", "doc_id")
+
+
+def op5_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = language.page_evidence(table(spark, sf_dir, "pages"))
+    return language.identify(pages, table(spark, sf_dir, "documents").select("lang", "text")).withColumnRenamed("id", "page_id")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = docs.withColumn("domain", mixing.domain_of(F.col("source")))
+    return mixing.mix(docs, weights=mixing_weights(spark), max_epochs=2, seed=7)
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op9_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, table(spark, sf_dir, "labels"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -100,8 +133,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_suffix_tree": op4_suffix_tree,
+    "op5_language_id": op5_language_id,
+    "op5_page_language": op5_page_language,
+    "op6_mixing": op6_mixing,
     "op7_exact_topk": op7_exact_topk,
     "op8_token_files": op8_token_files,
+    "op9_quality_resample": op9_quality_resample,
     "op10_url_filter": op10_url_filter,
 }
 

@@ -32,7 +32,7 @@ END_ID = 0
 ORC_STRIDE = 10_000
 ORC_STRIPE = 64 << 20
 #: Pieces whose ids a worker keeps between batches; beyond it the store starts anew.
-KEPT_PIECES = 2_000_000
+KEPT_PIECES = 1_500_000
 SCHEMA = "doc_id long, n_tokens int, shard int, shard_start long, ids array<int>"
 
 
@@ -143,7 +143,7 @@ def encoder(path: str) -> PieceEncoder:
 
 def encode_texts(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, ids, offsets) for bounded runs of texts, end ids not included."""
-    for at, stop in w.pieces(texts):
+    for at, stop in w.pieces(texts, 2 * w.CHUNK):
         yield at, stop, *encoder(path).encode(*w.raw(texts.slice(at, stop - at)))
 
 
