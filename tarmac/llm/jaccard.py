@@ -201,15 +201,18 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: S
     return scratch.save(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
+def document_key() -> Column:
+    """A document's id, or a key of its text where the id is null."""
+    return F.coalesce("doc_id", F.lit(NO_ID) + F.abs(F.xxhash64("text") % F.lit(NO_ID >> 1)))
+
+
 def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id for every row of docs.
 
-    row_key is the document's id, or a key of its text where the id is null; component_key
-    is the component's smallest row_key.
+    row_key is the document_key(), component_key the component's smallest row_key.
     """
     scratch = Scratch(docs.sparkSession)
-    key = F.coalesce("doc_id", F.lit(NO_ID) + F.abs(F.xxhash64("text") % F.lit(NO_ID >> 1)))
-    rows = docs.select(key.alias("doc_id"), "text")
+    rows = docs.select(document_key().alias("doc_id"), "text")
     signed = scratch.save(signed_sets(rows, k), "signed")
     ordered = prefixes(rows, slot_counts(signed), k, percent)
     # one document stands for all with an equal set

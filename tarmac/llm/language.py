@@ -183,8 +183,12 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     return named.withColumn("suffix", F.regexp_extract("host", r"([^.]*)$", 1))
 
 
-def document_evidence(docs: DataFrame) -> DataFrame:
-    """(id, text, declared, host, suffix) of documents (doc_id, text, lang, source); a source stands for a host."""
+def document_evidence(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    """(id, text, declared, host, suffix) of documents (doc_id, text, lang, source); a source stands for a host.
+
+    id is doc_id, or the key given.
+    """
+    key = F.col("doc_id") if key is None else key
     return docs.select(
-        F.col("doc_id").alias("id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix")
+        key.alias("id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix")
     )

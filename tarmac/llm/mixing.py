@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.store import Scratch
+from tarmac.llm.store import Scratch, row_key
 
 LEVELS = ("domain", "lang", "source")
 #: Documents in a slice of the digest order, about.
@@ -98,7 +98,7 @@ def mix(
     max_epochs: int = 1,
     seed: int = 0,
 ) -> DataFrame:
-    """doc_id, levels..., epoch, n_tokens, taken: how many tokens of each document go into each epoch.
+    """doc_id, row_key, levels..., epoch, n_tokens, taken: how many tokens of each document go into each epoch.
 
     docs has doc_id, text and the level columns. budget may use the column ``tokens``, the
     whole corpus' tokens; by default it is half of them.
@@ -106,7 +106,7 @@ def mix(
     scratch = Scratch(docs.sparkSession)
     names = {c: F.coalesce(F.col(c).cast("string"), F.lit(NO_NAME)) for c in levels}
     key = F.concat_ws("#", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.when(F.col("doc_id").isNull(), F.md5("text")))
-    sized = docs.select("doc_id", *[c.alias(n) for n, c in names.items()], key.alias("doc_key"), word_tokens(F.col("text")).alias("n_tokens"))
+    sized = docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), *[c.alias(n) for n, c in names.items()], key.alias("doc_key"), word_tokens(F.col("text")).alias("n_tokens"))
     sized = scratch.save(sized, "sized")
     leaves = sized.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     half = F.floor(F.col("tokens") / 2)
@@ -130,5 +130,5 @@ def mix(
     room = F.col("part") - F.col("before_slice") - F.col("inside")
     cut = cut.withColumn("taken", F.least("n_tokens", room)).where((F.col("taken") > 0))
     back = [F.when(F.col(c) != NO_NAME, F.col(c)).alias(c) for c in levels]
-    columns = ["doc_id", *back, "epoch", "n_tokens", "taken"]
+    columns = ["doc_id", "row_key", *back, "epoch", "n_tokens", "taken"]
     return complete.select(*columns).unionAll(cut.select(*columns))

@@ -104,7 +104,7 @@ def op5_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     docs = docs.withColumn("domain", mixing.domain_of(F.col("source")))
-    return mixing.mix(docs, weights=mixing_weights(spark), max_epochs=2, seed=7)
+    return mixing.mix(docs, weights=mixing_weights(spark), max_epochs=2, seed=7).drop("row_key")
 
 
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Method: word unigrams and bigrams are hashed into BUCKETS. Two bag-of-n-gram models are
 counted over all documents: the target model from documents labelled good, the raw
-model from the rest of the corpus. A document's log-weight is the sum over its
+model from the whole corpus. A document's log-weight is the sum over its
 n-grams of log(target / raw). The kept documents are a weighted sample without
 replacement: each gets the key  log-weight / TEMPERATURE + Gumbel noise, and the k largest
 keys win. Noise is drawn from a seed and the document's key, so it never depends on the
@@ -59,7 +59,7 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
                 buckets, text = _features(hashes, offsets)
                 own = good[first + text] if len(text) else np.zeros(0, bool)
                 sums[0] += np.bincount(buckets[own], minlength=BUCKETS)
-                sums[1] += np.bincount(buckets[~own], minlength=BUCKETS)
+                sums[1] += np.bincount(buckets, minlength=BUCKETS)
         some = np.flatnonzero(sums.any(0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some, pa.int32()), pa.array(sums[0][some]), pa.array(sums[1][some])], names=["bucket", "target", "raw"]
