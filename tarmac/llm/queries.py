@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, jaccard, language, mixing, resample, suffix_tree, token_files, topk, urls
+from tarmac.llm import chat, decontaminate, jaccard, language, mixing, oracle, resample, suffix_tree, token_files, topk, urls
 from tarmac.llm.store import Scratch
 
 
@@ -28,6 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 DOMAIN_WEIGHTS = [("domain0", 0.5), ("domain1", 0.3), ("domain2", 0.2)]
 LANGUAGE_WEIGHTS = [(d, lang, x) for d, _ in DOMAIN_WEIGHTS for lang, x in (("en", 0.4), ("de", 0.2), ("fr", 0.2), ("es", 0.2))]
 
+MIXED_EPOCHS, MIXED_SEED = 2, 7
+
 
 def mixing_weights(spark: SparkSession) -> dict[str, DataFrame]:
     return {
@@ -104,7 +106,7 @@ def op5_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     docs = docs.withColumn("domain", mixing.domain_of(F.col("source")))
-    return mixing.mix(docs, weights=mixing_weights(spark), max_epochs=2, seed=7).drop("row_key")
+    return mixing.mix(docs, weights=mixing_weights(spark), max_epochs=MIXED_EPOCHS, seed=MIXED_SEED).drop("row_key")
 
 
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,4 +144,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_chat_format": oracle.chat_format(ADDED_CHAT),
+    "op2_decontaminate": oracle.DECONTAMINATE,
+    "op3_ngram_jaccard": oracle.NGRAM_JACCARD,
+    "op6_mixing": oracle.mixed(DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, MIXED_EPOCHS, MIXED_SEED),
+    "op7_exact_topk": oracle.EXACT_TOPK,
+    "op10_url_filter": oracle.url_filter(),
+}
