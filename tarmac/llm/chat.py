@@ -3,9 +3,9 @@
 Method: the texts of a conversation's turns are encoded one by one; reserved ids, which
 the tokenizer never gives, are spliced between them; the loss mask is the prefix sum of
 +1 where an assistant text begins and -1 where it ends. The rendered form shows reserved
-ids as control strings, so control strings inside texts are escaped before encoding
-(a backslash goes before each, and before each backslash that precedes one). Both the
-ids and the rendered form read back to the same turns.
+ids as control strings, so the marks that these begin with are escaped inside texts before
+encoding: a backslash is doubled, ``#`` before ``##`` becomes ``\\h`` and ``<`` before ``/turn>`` or
+``said>`` becomes ``\\l``. Both the ids and the rendered form read back to the same turns.
 
 Defined results: turns are ordered by (turn, role, text), nulls first; a null text is
 empty, so is a null role, and a null conv_id is a conversation of its own. Equal rows
@@ -30,20 +30,20 @@ ROLES = ("system", "user", "assistant")
 HEADERS = {"system": "### System: ", "user": "### User: ", "assistant": "### Assistant: "}
 OTHER, OTHER_END, END = "### Role ", " <said> ", " </turn>\n"
 CONTROL = (*HEADERS.values(), OTHER, OTHER_END, END)
-#: What is escaped wherever it occurs in a text: the marks without their white space.
-MARKS = re.compile(r"(\\*)(###|</turn>|<said>)")
-ESCAPED = re.compile(r"\\+(?=###|</turn>|<said>)")
+#: What is escaped wherever it occurs in a text, and how.
+MARKS = re.compile(r"\\|#(?=##)|<(?=/turn>|said>)")
+ESCAPES = {"\\": "\\\\", "#": "\\h", "<": "\\l"}
+ESCAPED = re.compile(r"\\[\\hl]")
 LOSS_ROLE = "assistant"
 SCHEMA = "conv_id long, n_turns long, ids array<int>, loss array<byte>, formatted string"
 
 
 def escape(text: str) -> str:
-    """Doubles the backslashes before each mark and adds one, so no mark stands without one."""
-    return MARKS.sub(lambda m: "\\" * (2 * len(m[1]) + 1) + m[2], text)
+    return MARKS.sub(lambda m: ESCAPES[m[0]], text)
 
 
 def unescape(text: str) -> str:
-    return ESCAPED.sub(lambda m: "\\" * ((len(m[0]) - 1) // 2), text)
+    return ESCAPED.sub(lambda m: next(k for k, v in ESCAPES.items() if v == m[0]), text)
 
 
 @lru_cache(2)

@@ -15,7 +15,9 @@ def chat_format(added: list[tuple]) -> str:
     rows = ", ".join(f"({c}, {t}, {_quoted(r)}, {_quoted(x)})" for c, t, r, x in added)
     headers = " ".join(f"WHEN {_quoted(role)} THEN {len(h)}" for role, h in chat.HEADERS.items())
     other = len(chat.OTHER) + len(chat.OTHER_END)
-    escapes = lambda c: f"coalesce(list_sum(list_transform(regexp_extract_all({c}, '(\\\\*)(?:###|</turn>|<said>)', 1), lambda m: length(m) + 1)), 0)"
+    escapes = lambda c: (
+        f"len(regexp_extract_all({c}, '\\\\|</turn>|<said>')) + coalesce(list_sum(list_transform(regexp_extract_all({c}, '#{{3,}}'), lambda m: length(m) - 2)), 0)"
+    )
     return f"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
