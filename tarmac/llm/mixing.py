@@ -15,7 +15,7 @@ prefix sums over a leaf's documents are taken in slices of the digest, first ove
 slices' totals and then inside each slice, so no task holds a large source.
 
 Defined results: null names are a name of their own; a null or empty text has no tokens and is
-taken in every whole epoch; weights missing from the table are 1, and a sibling of weight 0
+taken in every whole epoch (a leaf without any tokens has none); weights missing from the table are 1, and a sibling of weight 0
 gets nothing unless all have weight 0, when all are treated alike; equal rows stay
 apart; an empty table gives an empty table; with a budget above all capacities everything is
 taken max_epochs times. Columns other than the named ones are kept out of the work.

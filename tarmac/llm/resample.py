@@ -106,7 +106,8 @@ def gumbel(key: Column, seed: int) -> Column:
 
 def largest(rows: DataFrame, key: str, tie: str, k: int) -> DataFrame:
     """Adds kept: whether a row is among the k largest by (key, tie), found by narrowing ranges of the key."""
-    low, high = rows.agg(F.min(key), F.max(key)).first()
+    low, high, total = rows.agg(F.min(key), F.max(key), F.count("*")).first()
+    k = min(k, total)
     above, inside = 0, rows
     while low is not None and low < high and 0 < k:
         step = (high - low) / 1024

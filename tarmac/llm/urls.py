@@ -68,7 +68,7 @@ def best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     ordered = sorted(rules, key=lambda r: -len(r.host + r.path))
     known = F.array(
         *[F.struct(F.lit(r.host).alias("host"), F.lit(r.path).alias("path"), F.lit(r.verdict).alias("verdict")) for r in ordered]
-    )
+    ).cast("array<struct<host:string,path:string,verdict:string>>")
     dotted = F.concat(F.lit("."), host)
     fits = F.filter(known, lambda r: F.endswith(dotted, F.concat(F.lit("."), r["host"])) & F.startswith(path, r["path"]))
     first = F.get(fits, F.lit(0))
