@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,5 +40,12 @@ def weekday_name(number: Column, language: str = "en") -> Column:
     return F.get(F.array(*[F.lit(n) for n in names]), number)
 
 
+def day_bounds_ms(text: str) -> tuple[int, int]:
+    """First and last epoch millisecond of a ``dd/MM/yyyy`` day."""
+    start = datetime.strptime(text, "%d/%m/%Y").replace(tzinfo=timezone.utc)
+    first = int(start.timestamp() * 1000)
+    return first, first + 86_400_000 - 1
+
+
 def parse_day(text: Column) -> Column:
     return F.to_date(text, "dd/MM/yyyy")

@@ -12,7 +12,7 @@ from tarmac.functions.fixed_values import RECEIVER_LAT, RECEIVER_LON
 from tarmac.functions.steps import Steps
 from tarmac.operators.registry import MESSAGE_TYPES, message_type
 
-REJECT_REASONS = ["malformed_base64", "bad_length", "corrupted"]
+REJECT_REASONS = ["bad_time", "malformed_base64", "bad_length", "corrupted"]
 
 
 def _header_steps() -> Steps:
@@ -40,7 +40,8 @@ def _header_steps() -> Steps:
         )
         .once(
             {
-                "reject_reason": "case when message_hex is null then 'malformed_base64' "
+                "reject_reason": "case when ts_kafka is null then 'bad_time' "
+                "when message_hex is null then 'malformed_base64' "
                 "when length(message_hex) not in (14, 28) then 'bad_length' "
                 "when not __long and dl in (17, 18) then 'bad_length' "
                 "when not __intact then 'corrupted' end",
@@ -56,7 +57,7 @@ def frame_header(raw: DataFrame) -> DataFrame:
     """Adds the integers of the frame, its header fields, message type and reject reason.
 
     Keeps every input row. ``reject_reason`` is null for a frame whose length
-    and parity are right.
+    and parity are right and whose time could be read.
     """
     return _header_steps().apply(raw)
 

@@ -17,24 +17,21 @@ from tarmac.functions.fixed_values import (
     SPEED_RED_BELOW,
     SPEED_YELLOW_BELOW,
 )
-from tarmac.session import HOUR_MS
 
-MAX_RANGE_MS = 2 * HOUR_MS
 TRAIL_POINTS = 10
+
+
 def _time_order() -> WindowSpec:
     return Window.partitionBy("icao").orderBy("ts_kafka")
 
 
-
 def complete_points(states: DataFrame) -> DataFrame:
     """Rows that can be drawn: position and ground state known."""
     return states.dropna(subset=["lat", "lon", "ground"])
 
 
-def in_time_range(states: DataFrame, start_ms: int, end_ms: int, max_range_ms: int = MAX_RANGE_MS) -> DataFrame:
-    """Rows between two times, both included; a range above the limit gives no rows."""
-    if end_ms - start_ms > max_range_ms:
-        return states.limit(0)
+def in_time_range(states: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
+    """Rows between two times, both included."""
     return states.filter(F.col("ts_kafka").between(start_ms, end_ms))
 
 

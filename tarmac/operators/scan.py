@@ -93,13 +93,16 @@ def exact_quantiles(
     probabilities: dict[str, float],
     by: tuple[str, ...] = (),
     slice_width: int = 1000,
+    fanout: int = 1000,
 ) -> DataFrame:
     """Exact interpolated quantiles of a whole-number column per group.
 
-    Equal values are counted before the shuffle. Ranks are found by running
-    counts inside slices of ``slice_width`` adjacent values plus the counts of
-    the earlier slices, so no task holds all values of a group. Groups come as
-    columns ``by`` plus ``n`` and one DOUBLE column per name.
+    Equal values are counted before the shuffle. The value axis is cut into
+    slices of ``slice_width`` values and those into spans of ``fanout`` slices.
+    Running counts go over the spans of a group, the slices of a span and the
+    values of a slice, so the largest window holds one row per span: a million
+    times fewer than values at the defaults. Groups come as columns ``by`` plus
+    ``n`` and one DOUBLE column per name.
     """
     group = list(by) or ["__all"]
     source = df if by else df.withColumn("__all", F.lit(0))
@@ -108,26 +111,30 @@ def exact_quantiles(
         .groupBy(*group, F.col(value).alias("__v"))
         .agg(F.count("*").alias("__c"))
         .withColumn("__slice", F.floor(F.col("__v") / F.lit(slice_width)))
+        .withColumn("__span", F.floor(F.col("__slice") / F.lit(fanout)))
     )
-    totals = counts.groupBy(*group, "__slice").agg(F.sum("__c").alias("__c"))
-    whole = Window.partitionBy(*group)
-    earlier = whole.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    heads = totals.select(
-        *group,
-        "__slice",
-        F.coalesce(F.sum("__c").over(earlier), F.lit(0)).alias("__before"),
-        F.sum("__c").over(whole).alias("n"),
+
+    def before(order: str, *inside: str) -> Column:
+        window = Window.partitionBy(*group, *inside).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__c").over(window), F.lit(0))
+
+    def beside(rows: DataFrame, side: DataFrame, *keys: str) -> DataFrame:
+        # groups may be null, so the side table is matched null-safely
+        renamed = side.select(*[F.col(k).alias(f"__k_{k}") for k in (*group, *keys)], *[c for c in side.columns if c not in (*group, *keys)])
+        same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in (*group, *keys)]
+        return rows.join(renamed, same).drop(*[f"__k_{k}" for k in (*group, *keys)])
+
+    slices = counts.groupBy(*group, "__span", "__slice").agg(F.sum("__c").alias("__c"))
+    spans = slices.groupBy(*group, "__span").agg(F.sum("__c").alias("__c"))
+    totals = spans.groupBy(*group).agg(F.sum("__c").alias("n"))
+    span_heads = spans.select(*group, "__span", before("__span").alias("__before_span"))
+    slice_heads = slices.select(*group, "__span", "__slice", before("__slice", "__span").alias("__before_slice"))
+    heads = beside(beside(slice_heads, span_heads, "__span"), totals).select(
+        *group, "__slice", "n", (F.col("__before_span") + F.col("__before_slice")).alias("__before")
     )
     running = Window.partitionBy(*group, "__slice").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    # groups may be null, so the side table is matched null-safely
-    side = heads.select(
-        *[F.col(g).alias(f"__g_{g}") for g in group], F.col("__slice").alias("__s"), "__before", "n"
-    )
-    same = [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group]
-    ranked = (
-        counts.withColumn("__upto", F.sum("__c").over(running))
-        .join(side, [*same, F.col("__slice") == F.col("__s")])
-        .withColumn("__upto", F.col("__upto") + F.col("__before"))
+    ranked = beside(counts.withColumn("__upto", F.sum("__c").over(running)), heads, "__slice").withColumn(
+        "__upto", F.col("__upto") + F.col("__before")
     )
     bounds = []
     for name, p in probabilities.items():
@@ -143,7 +150,6 @@ def exact_quantiles(
     return found.select(*by, "n", *outputs)
 
 
-
 def beside_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Adds the columns of a one-row table (a global aggregate) to every row.
 

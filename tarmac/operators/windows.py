@@ -24,7 +24,8 @@ from tarmac.session import MINUTE_MS
 
 THRESHOLD_MS = 5 * MINUTE_MS
 FANOUT = 32
-LEVELS = 2
+FANOUT_UP = 256
+LEVELS = 3
 NEVER = -(1 << 62)
 
 
@@ -55,33 +56,42 @@ def _children(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         yield int(number), part["entry"].to_numpy(), part["ready"].to_numpy()
 
 
-def window_anchors(
-    rows: DataFrame, threshold_ms: int = THRESHOLD_MS, fanout: int = FANOUT, levels: int = LEVELS
-) -> DataFrame:
-    """``(icao, anchor)``: the opening time of every window of ``(icao, ts_kafka)`` rows.
+def _sliced(rows: DataFrame, base_ms: int) -> DataFrame:
+    return rows.withColumn("slice", F.floor(F.col("ts_kafka") / F.lit(base_ms)))
+
 
-    No task sees more than the distinct times of one slice (``fanout`` windows
-    long) or the transfer tables of ``fanout`` neighbours. A transfer table has
-    at most one entry per distinct time of one threshold length. The highest
-    level handles the rest of the span: with 5-minute windows one of its slices
-    is 3.5 days.
+def slice_openings(
+    rows: DataFrame,
+    threshold_ms: int = THRESHOLD_MS,
+    fanout: int = FANOUT,
+    fanout_up: int = FANOUT_UP,
+    levels: int = LEVELS,
+) -> DataFrame:
+    """``(icao, slice, openings)``: the windows that rows of each slice can belong to, oldest first.
+
+    ``openings`` begins with the window still open from an earlier slice, if any.
+    Times are grouped once by (aircraft, slice), a slice being ``fanout`` windows
+    long, and repeats are dropped there. A task sees the times of one slice, or
+    the transfer tables of ``fanout_up`` neighbours; such a table has at most
+    one entry per distinct time of one threshold length. With 5-minute windows
+    the three levels of slices are hours, weeks and decades long, so the last
+    step holds a single table per aircraft.
     """
     base_ms = fanout * threshold_ms
-    times = rows.select(
-        "icao", F.floor(F.col("ts_kafka") / F.lit(base_ms)).alias("slice"), F.col("ts_kafka").alias("time")
-    ).distinct()
+    times = _sliced(rows, base_ms).select("icao", "slice", F.col("ts_kafka").alias("time"))
 
     def first_transfer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.sort(pdf["time"].to_numpy())
+        points = np.unique(pdf["time"].to_numpy())
         entries, exits = _slice_transfer(points, int(key[1]) * base_ms, threshold_ms)
         return pd.DataFrame({"icao": key[0], "slice": key[1], "entry": entries, "ready": exits})
 
     table = "icao string, slice bigint, entry bigint, ready bigint"
-    transfers = [times.groupBy("icao", "slice").applyInPandas(first_transfer, table)]
+    grouped = times.filter("icao IS NOT NULL AND time IS NOT NULL").repartition("icao", "slice")
+    transfers = [grouped.groupBy("icao", "slice").applyInPandas(first_transfer, table)]
     level_ms = base_ms
     for _ in range(1, levels):
-        level_ms *= fanout
-        above = F.floor(F.col("slice") / F.lit(fanout)).alias("parent")
+        level_ms *= fanout_up
+        above = F.floor(F.col("slice") / F.lit(fanout_up)).alias("parent")
         transfers.append(
             transfers[-1]
             .select("icao", above, "slice", "entry", "ready")
@@ -99,7 +109,7 @@ def window_anchors(
 
     ready = transfers[-1].groupBy("icao").applyInPandas(from_start, arrival)
     for lower in reversed(transfers[:-1]):
-        children = lower.withColumn("parent", F.floor(F.col("slice") / F.lit(fanout)))
+        children = lower.withColumn("parent", F.floor(F.col("slice") / F.lit(fanout_up)))
         parents = ready.withColumnRenamed("slice", "parent")
         ready = (
             children.groupBy("icao", "parent")
@@ -108,20 +118,36 @@ def window_anchors(
         )
 
     def open_windows(key: tuple, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        points = np.sort(pdf["time"].to_numpy())
-        found, spot = [], int(np.searchsorted(points, int(known["ready"].iloc[0])))
+        points = np.unique(pdf["time"].to_numpy())
+        opens = int(known["ready"].iloc[0])
+        found = [] if opens == NEVER else [opens - threshold_ms]
+        spot = int(np.searchsorted(points, opens))
         while spot < len(points):
-            found.append(points[spot])
+            found.append(int(points[spot]))
             spot = int(np.searchsorted(points, points[spot] + threshold_ms))
-        return pd.DataFrame({"icao": key[0], "anchor": np.array(found, dtype="int64")})
+        carried = opens != NEVER
+        return pd.DataFrame({"icao": [key[0]], "slice": [key[1]], "carried": [carried], "openings": [found]})
 
     return (
-        times.groupBy("icao", "slice")
+        grouped.groupBy("icao", "slice")
         .cogroup(ready.groupBy("icao", "slice"))
-        .applyInPandas(open_windows, "icao string, anchor bigint")
+        .applyInPandas(open_windows, "icao string, slice bigint, carried boolean, openings array<bigint>")
     )
 
 
+def window_anchors(
+    rows: DataFrame,
+    threshold_ms: int = THRESHOLD_MS,
+    fanout: int = FANOUT,
+    fanout_up: int = FANOUT_UP,
+    levels: int = LEVELS,
+) -> DataFrame:
+    """``(icao, anchor)``: the opening time of every window of ``(icao, ts_kafka)`` rows."""
+    openings = slice_openings(rows, threshold_ms, fanout, fanout_up, levels)
+    own = F.when(F.col("carried"), F.slice("openings", 2, F.lit(fanout + 1))).otherwise(F.col("openings"))
+    return openings.select("icao", F.explode(own).alias("anchor"))
+
+
 def _merge_transfers(level_ms: int, threshold_ms: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
     """Combines the transfer tables of neighbouring slices into one of length ``level_ms``."""
 
@@ -150,27 +176,11 @@ def _arrivals(icao: str, pdf: pd.DataFrame, ready: int) -> pd.DataFrame:
 
 
 def assign_windows(rows: DataFrame, threshold_ms: int = THRESHOLD_MS) -> DataFrame:
-    """Adds ``anchor``, the opening time of each row's window.
-
-    Openings are at least a threshold apart and a row is less than a threshold
-    after its own, so it belongs to the opening in its own threshold-long cell
-    or in the one before: an equi-join on (aircraft, cell), no range join.
-    """
-    cell = F.floor(F.col("ts_kafka") / F.lit(threshold_ms))
-    anchors = window_anchors(rows, threshold_ms)
-    home = F.floor(F.col("anchor") / F.lit(threshold_ms))
-    cells = (
-        anchors.withColumn("__home", home)
-        .withColumn("__cell", F.explode(F.array(F.col("__home"), F.col("__home") + 1)))
-        .groupBy("icao", "__cell")
-        .agg(
-            F.max(F.when(F.col("__cell") == F.col("__home"), F.col("anchor"))).alias("__here"),
-            F.max(F.when(F.col("__cell") != F.col("__home"), F.col("anchor"))).alias("__earlier"),
-        )
-    )
-    joined = rows.withColumn("__cell", cell).join(cells, ["icao", "__cell"])
-    own = F.when(F.col("__here") <= F.col("ts_kafka"), F.col("__here")).otherwise(F.col("__earlier"))
-    return joined.withColumn("anchor", own).drop("__cell", "__here", "__earlier")
+    """Adds ``anchor``, the opening time of each row's window: the last one of its slice not after it."""
+    openings = slice_openings(rows, threshold_ms).drop("carried")
+    joined = _sliced(rows, FANOUT * threshold_ms).join(openings, ["icao", "slice"])
+    past = F.filter("openings", lambda opening: opening <= F.col("ts_kafka"))
+    return joined.withColumn("anchor", F.array_max(past)).drop("slice", "openings")
 
 
 def _last(value: str) -> Column:

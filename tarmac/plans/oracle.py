@@ -542,6 +542,11 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT icao, ts_kafka, {_r('lat')}, {_r('lon')}, ground FROM points "
             "WHERE ts_kafka BETWEEN 1704240000000 AND 1704247200000",
         ),
+        "map_points_day": _with(
+            w,
+            f"SELECT icao, ts_kafka, {_r('lat')}, {_r('lon')}, ground FROM points "
+            "WHERE ts_kafka BETWEEN 1704240000000 AND 1704326400000",
+        ),
         "hour_spine": _with(
             ", bounds AS (SELECT date_trunc('day', make_timestamp(min(ts_kafka) * 1000)) AS lo, "
             "date_trunc('day', make_timestamp(max(ts_kafka) * 1000)) + INTERVAL 23 HOUR AS hi FROM msg)",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +12,7 @@ from tarmac.operators import features, occupancy as occ, profile, routes, state,
 from tarmac.operators.decode import decode, split_rejects, valid_adsb, valid_allcall, valid_frames
 from tarmac.session import HOUR_MS, MINUTE_MS, configure
 from tarmac.sources.event_frames import event_log
+from tarmac.sources.raw import on_days
 
 # The derived log holds one message per aircraft and quarter of an hour or so,
 # hence windows and gaps longer than the library defaults.
@@ -54,8 +54,8 @@ def _facts(raw: DataFrame) -> DataFrame:
 
 
 def _events(raw: DataFrame) -> DataFrame:
-    """Take-offs with runways. Kept, since most reports read this small table more than once."""
-    return tk.with_runway(tk.takeoffs(_decoded(raw))).persist(StorageLevel.MEMORY_AND_DISK)
+    """Take-offs with runways."""
+    return tk.with_runway(tk.takeoffs(_decoded(raw)))
 
 
 def _clean(raw: DataFrame) -> DataFrame:
@@ -63,8 +63,13 @@ def _clean(raw: DataFrame) -> DataFrame:
 
 
 def _states(raw: DataFrame) -> DataFrame:
-    """The map table: one row per aircraft and window, kept like the take-offs."""
-    return windows.map_states(_decoded(raw), WINDOW_MS).persist(StorageLevel.MEMORY_AND_DISK)
+    """The map table: one row per aircraft and window."""
+    return windows.map_states(_decoded(raw), WINDOW_MS)
+
+
+def _of_aircraft(raw: DataFrame, icao: str) -> DataFrame:
+    """One aircraft's messages; its state needs no other's, so the choice comes before any shuffle."""
+    return _decoded(raw).filter(F.col("icao") == icao)
 
 
 def _points(raw: DataFrame) -> DataFrame:
@@ -172,7 +177,12 @@ def hour_spine(raw: DataFrame) -> DataFrame:
 
 
 def map_points(raw: DataFrame) -> DataFrame:
-    points = routes.in_time_range(_points(raw), RANGE_START_MS, RANGE_START_MS + routes.MAX_RANGE_MS)
+    points = routes.in_time_range(_points(raw), RANGE_START_MS, RANGE_START_MS + 2 * HOUR_MS)
+    return points.select("icao", "ts_kafka", "lat", "lon", "ground")
+
+
+def map_points_day(raw: DataFrame) -> DataFrame:
+    points = routes.in_time_range(_points(raw), RANGE_START_MS, RANGE_START_MS + 24 * HOUR_MS)
     return points.select("icao", "ts_kafka", "lat", "lon", "ground")
 
 
@@ -208,9 +218,9 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "adsb_version": lambda raw: state.adsb_version(_decoded(raw)),
     # occupancy
     "occupancy": _facts,
-    "hour_ground_counts": lambda raw: occ.hour_ground_counts(_facts(raw), DAY),
-    "hourly_dense": lambda raw: occ.hourly_dense(_facts(raw), DAY),
-    "axis_max": lambda raw: occ.axis_max(_facts(raw), DAY, OTHER_DAY),
+    "hour_ground_counts": lambda raw: occ.hour_ground_counts(_facts(on_days(raw, DAY)), DAY),
+    "hourly_dense": lambda raw: occ.hourly_dense(_facts(on_days(raw, DAY)), DAY),
+    "axis_max": lambda raw: occ.axis_max(_facts(on_days(raw, DAY, OTHER_DAY)), DAY, OTHER_DAY),
     "weekday_traffic": lambda raw: occ.weekday_traffic(_facts(raw)),
     "day_hour_matrix": lambda raw: occ.day_hour_matrix(_facts(raw)),
     "ground_by_hour": lambda raw: occ.state_by_hour(_facts(raw), 1),
@@ -222,7 +232,7 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "takeoffs": lambda raw: tk.takeoffs(_decoded(raw)),
     "takeoff_runway": _events,
     "waits_clean": _clean,
-    "aircraft_lookup": lambda raw: _events(raw).filter(F.col("icao") == AIRCRAFT),
+    "aircraft_lookup": lambda raw: tk.with_runway(tk.takeoffs(_of_aircraft(raw, AIRCRAFT))),
     "wait_stats": lambda raw: waits.wait_stats(_events(raw)),
     "takeoffs_weekday_hour": lambda raw: waits.takeoffs_weekday_hour(_clean(raw)),
     "takeoffs_type_weekday_hour": lambda raw: waits.takeoffs_type_weekday_hour(_clean(raw)),
@@ -257,6 +267,7 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "window_states": lambda raw: windows.window_states(_decoded(raw), WINDOW_MS),
     "direction": lambda raw: _states(raw).select("icao", "ts_kafka", "direction_rad", "bearing_rad"),
     "map_points": map_points,
+    "map_points_day": map_points_day,
     "hour_spine": hour_spine,
     "trails": trails,
     "flights": flights,
@@ -265,7 +276,7 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "segment_counts": lambda raw: routes.segment_counts(_points(raw)),
     "height_profile": height_profile,
     "latest_state": lambda raw: routes.latest_state(_points(raw)),
-    "aircraft_series": lambda raw: routes.series(_states(raw), AIRCRAFT),
+    "aircraft_series": lambda raw: routes.series(windows.map_states(_of_aircraft(raw, AIRCRAFT), WINDOW_MS), AIRCRAFT),
     "ground_and_air": lambda raw: routes.seen_ground_and_air(_points(raw)),
     "ground_and_air_rows": ground_and_air_rows,
     "geojson": geojson,

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- Fixed values: product tables and the column they are partitioned by -------
-PRODUCTS = {
-    "decoded": "date",
-    "known_state": None,
-    "occupancy": "day",
-    "takeoffs": "takeoff_date",
-    "window_states": "date",
-    "rejects": "reject_reason",
+# Product tables: the column they are partitioned by, and how to derive it where the table lacks it.
+PRODUCTS: dict[str, tuple[str, str | None]] = {
+    "decoded": ("date", None),
+    "known_state": ("date", "to_date(timestamp_millis(timestamp))"),
+    "occupancy": ("date", "to_date(day, 'dd/MM/yyyy')"),
+    "takeoffs": ("takeoff_date", None),
+    "window_states": ("date", "to_date(timestamp_millis(ts_kafka))"),
+    "rejects": ("reject_reason", None),
 }
 
 DECODED_SCHEMA = T.StructType(
@@ -51,19 +51,27 @@ def write_product(
     """Writes a product under ``base/name``; ``mode='append'`` adds a run.
 
     ``single_file`` is for small exports only: it puts the whole result into one
-    task. Parquet is written by all tasks, partitioned by the product's date.
+    task. Parquet is partitioned by the product's date, which is derived where
+    the table has none; a table without its source column is refused. Rows of a
+    date are brought together first, in pieces of Spark's advisory partition
+    size, so a run writes few files a date however many tasks made it. Within a
+    file rows are ordered by ``sort_by``.
     """
-    out = df.coalesce(1) if single_file else df
-    if sort_by:
-        out = out.sortWithinPartitions(sort_by)
-    writer = out.write.mode(mode)
-    partition = PRODUCTS.get(name)
     if file_format == "csv":
-        writer.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSS").csv(f"{base}/{name}")
+        out = df.coalesce(1) if single_file else df
+        out = out.sortWithinPartitions(sort_by) if sort_by else out
+        out.write.mode(mode).option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSS").csv(f"{base}/{name}")
         return
-    if partition in df.columns:
-        writer = writer.partitionBy(partition)
-    writer.format(file_format).save(f"{base}/{name}")
+    if name not in PRODUCTS:
+        raise ValueError(f"unknown product {name}")
+    partition, derived = PRODUCTS[name]
+    out = df if derived is None else df.withColumn(partition, F.expr(derived))
+    if partition not in out.columns:
+        raise ValueError(f"product {name} is partitioned by {partition}, which the table lacks")
+    out = out.coalesce(1) if single_file else out.hint("rebalance", partition)
+    # the writer would sort by the partition alone, and undo any other order
+    out = out.sortWithinPartitions(partition, *([sort_by] if sort_by else []))
+    out.write.mode(mode).partitionBy(partition).format(file_format).save(f"{base}/{name}")
 
 
 def read_product(spark: SparkSession, name: str, base: str) -> DataFrame:

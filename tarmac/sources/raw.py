@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.functions import calendar
+
 RAW_SCHEMA = T.StructType([T.StructField("ts_kafka", T.LongType()), T.StructField("message", T.StringType())])
 # each line ends in a delimiter, which reads as an empty third column
 _CSV_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("_junk", T.StringType())])
@@ -19,6 +25,12 @@ def read_raw_parquet(spark: SparkSession, path: str, schema: T.StructType = RAW_
     return spark.read.schema(schema).parquet(path)
 
 
+def on_days(raw: DataFrame, *days: str) -> DataFrame:
+    """Messages of some ``dd/MM/yyyy`` days, as ranges of the capture time that a scan can skip by."""
+    ranges = [F.col("ts_kafka").between(*calendar.day_bounds_ms(day)) for day in days]
+    return raw.filter(reduce(or_, ranges))
+
+
 def read_raw_stream(
     spark: SparkSession,
     path: str,

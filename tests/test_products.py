@@ -2,14 +2,18 @@
 
 import json
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tarmac.functions import calendar, geo
 from tarmac.functions.fixed_values import RUNWAYS
-from tarmac.operators import features, occupancy, profile, waits
-from tarmac.operators.decode import decode, valid_frames
+from tarmac.operators import features, occupancy, profile, state, waits
+from tarmac.operators.decode import decode, split_rejects, valid_frames
+from tarmac.operators.takeoffs import takeoffs
+from tarmac.operators.windows import window_states
 from tarmac.sources import dims, products, raw
-from tests.frames import ident, log, short_frame, to_message
+from tests.frames import ident, log, short_frame, surface, to_message
 
 
 def raw_file(folder):
@@ -48,6 +52,52 @@ def test_products_append_and_prune(spark, tmp_path):
     assert products.preview(back, 2).count() == 2
 
 
+def test_product_files_are_sorted_and_few(spark, tmp_path):
+    rows = [(i, 1733000000000 + i * 7_000_000, ident(i % 13, 4, 7)) for i in range(200)]
+    flat = products.decoded_columns(decode(log(spark, rows).repartition(16)))
+    products.write_product(flat, "decoded", str(tmp_path), sort_by="icao")
+    files = list((tmp_path / "decoded").glob("date=*/*.parquet"))
+    dates = {f.parent.name for f in files}
+    assert len(dates) == flat.select("date").distinct().count() and len(files) <= 2 * len(dates)
+    for file in files:
+        icao = pq.read_table(file, partitioning=None)["icao"].to_pylist()
+        assert icao == sorted(icao)
+
+
+def test_products_derive_their_partition(spark, tmp_path):
+    states = spark.createDataFrame([("a", 1733011200000, 1.0), ("b", 1733100000000, 2.0)], "icao string, ts_kafka long, lat double")
+    facts = spark.createDataFrame([("01/12/2024", 3, "a", 1), ("02/12/2024", 4, "a", 1)], "day string, hour int, icao string, on_ground int")
+    known = states.withColumnRenamed("ts_kafka", "timestamp")
+    for name, df in {"window_states": states, "occupancy": facts, "known_state": known}.items():
+        products.write_product(df, name, str(tmp_path))
+        back = products.read_product(spark, name, str(tmp_path))
+        later = back.filter(F.col("date") >= "2024-12-02")
+        assert "PartitionFilters: [isnotnull(date" in later._jdf.queryExecution().executedPlan().toString()
+        assert later.count() == 1 and back.count() == 2 and dict(back.dtypes)["date"] == "date"
+    with pytest.raises(ValueError, match="takeoff_date"):
+        products.write_product(states, "takeoffs", str(tmp_path))
+    with pytest.raises(ValueError, match="unknown"):
+        products.write_product(states, "nothing", str(tmp_path))
+
+
+def test_bad_times_are_rejected(spark, tmp_path):
+    """A line with an unreadable time is quarantined and costs no other row."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    good = [(1733000000000 + i * 1000, m) for i, m in enumerate([surface(1, 1), ident(1, 4, 7), short_frame(11, 5, 1)] * 4)]
+    lines = [f"{ts};{message};" for ts, message in good]
+    bad = [f"abc;{surface(1, 1)};", f";{short_frame(11, 5, 1)};"]
+    (folder / "a.csv").write_text("\n".join(["ts_kafka;message;", *lines[:5], *bad, *lines[5:]]) + "\n")
+    (folder / "only_good.txt").write_text("\n".join(["ts_kafka;message;", *lines]) + "\n")
+    mixed, clean = (decode(raw.read_raw_csv(spark, str(folder / f))) for f in ("a.csv", "only_good.txt"))
+    rejects = split_rejects(mixed)[1].collect()
+    assert [r["reject_reason"] for r in rejects] == ["bad_time"] * 2
+    rows = lambda df: sorted(map(str, df.collect()))
+    for operator in (state.known_state, state.known_state_ttl, takeoffs, window_states, occupancy.occupancy, state.state_changes):
+        found = rows(operator(mixed))
+        assert found and found == rows(operator(clean)), operator
+
+
 def test_reference_tables(spark):
     assert dims.categories(spark).count() == 32
     assert [r["runway"] for r in dims.runways(spark).collect()] == [name for name, _ in RUNWAYS]
