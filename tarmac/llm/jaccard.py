@@ -168,15 +168,37 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return docs.withColumn("key", F.xxhash64("doc_id")).mapInArrow(run, "doc_id long, hashes binary")
 
 
-def _passes(a: str, b: str, percent: int) -> Column:
-    """Length, positional and suffix filter for rows a and b that share a prefix shingle."""
+def _in_reach(a: str, b: str, percent: int) -> Column:
+    """Length and positional filter for rows a and b that share a prefix shingle."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     p, q = F.col(f"{a}.pos"), F.col(f"{b}.pos")
-    need = percent * (n + m)  # overlap * (100 + percent) must reach it
     length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    position = (F.least(p, q) + 1 + F.least(n - p - 1, m - q - 1)) * (100 + percent) >= need
+    return length & ((F.least(p, q) + 1 + F.least(n - p - 1, m - q - 1)) * (100 + percent) >= percent * (n + m))
+
+
+def _parts_agree(a: str, b: str, percent: int) -> Column:
+    """Suffix filter: the counts by hash range leave enough overlap possible."""
     agree = sum((F.least(F.col(f"{a}.parts")[i], F.col(f"{b}.parts")[i]) for i in range(PARTS)), F.lit(0))
-    return length & position & (agree * (100 + percent) >= need)
+    return agree * (100 + percent) >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def shared_rows(classes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(doc_id, n, pos, shingle) of prefix shingles that are in shared, and of a few more."""
+    bitmap = classes.sparkSession.sparkContext.broadcast(filter_words(shared, "shingle"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch["prefix"].flatten()
+            ends = np.concatenate(([0], np.cumsum(batch["prefix"].value_lengths().to_numpy())))
+            keep = np.flatnonzero(maybe_in(bitmap.value, flat.to_numpy()))
+            row = np.searchsorted(ends, keep, "right") - 1
+            own = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(own), batch["n"].take(own), pa.array(keep - ends[row], pa.int32()), flat.take(pa.array(keep))],
+                names=["doc_id", "n", "pos", "shingle"],
+            )
+
+    return classes.select("doc_id", "n", "prefix").mapInArrow(run, "doc_id long, n int, pos int, shingle long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -219,32 +241,38 @@ def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Da
     first = F.min(F.struct("doc_id", "prefix", "parts")).alias("first")
     classes = ordered.where("n > 0").groupBy("n", "s1", "s2").agg(first)
     classes = scratch.save(classes.select("n", "s1", "s2", "first.*"), "classes")
-    spread = classes.select("doc_id", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    shared = spread.groupBy("shingle").agg(F.count("*").alias("many"), F.min("doc_id").alias("pivot")).where("many > 1")
-    spread = scratch.save(spread.join(shared.select("shingle", "pivot"), "shingle"), "spread")
-    spread = scratch.save(spread.join(classes.select("doc_id", "parts"), "doc_id"), "spread")
+    shared = classes.select("doc_id", F.explode("prefix").alias("shingle")).groupBy("shingle")
+    shared = shared.agg(F.count("*").alias("many"), F.min("doc_id").alias("pivot")).where("many > 1")
+    shared = scratch.save(shared, "shared")
+    spread = scratch.save(shared_rows(classes, shared).join(shared, "shingle"), "spread")
+    parts = classes.select("doc_id", "n", "parts")
 
     pivots = spread.where("doc_id = pivot").alias("p")
     others = spread.where("doc_id <> pivot").alias("o")
-    stars = others.join(pivots, (F.col("o.shingle") == F.col("p.shingle")) & _passes("p", "o", percent))
-    links = verified(stars.select(F.col("p.doc_id").alias("a"), F.col("o.doc_id").alias("b")), rows, k, percent, scratch)
+    stars = others.join(pivots, (F.col("o.shingle") == F.col("p.shingle")) & _in_reach("p", "o", percent))
+    stars = stars.select(F.col("p.doc_id").alias("a"), F.col("o.doc_id").alias("b")).distinct()
+    stars = stars.join(parts.alias("p"), F.col("a") == F.col("p.doc_id")).join(parts.alias("o"), F.col("b") == F.col("o.doc_id"))
+    links = verified(stars.where(_parts_agree("p", "o", percent)).select("a", "b"), rows, k, percent, scratch)
     labels = components(links, scratch)
 
-    labelled = spread.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    labelled = scratch.save(labelled.withColumn("component", F.coalesce("component", "doc_id")), "labelled")
-    heads = labelled.where("doc_id = pivot").select("shingle", F.col("component").alias("head"))
-    strays = labelled.join(heads, "shingle").where("component <> head")
-    step = np.log(100 / percent)
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step))
-    strays = strays.withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("x")
-    peers = labelled.join(strays.select("shingle").distinct(), "shingle", "left_semi").withColumn("band", band).alias("y")
+    # pairs with the pivot are done; of the others only those across components are left
+    rest = spread.where("many > 2").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    rest = scratch.save(rest.withColumn("component", F.coalesce("component", "doc_id")), "rest")
+    heads = rest.where("doc_id = pivot").select("shingle", F.col("component").alias("head"))
+    peers = rest.where("doc_id <> pivot").drop("many", "pivot")
+    strays = peers.join(heads, "shingle").where("component <> head").join(parts.drop("n"), "doc_id")
+    peers = peers.join(strays.select("shingle").distinct(), "shingle", "left_semi").join(parts.drop("n"), "doc_id")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / percent))) if percent < 100 else F.col("n").cast("long")
+    strays = scratch.save(strays.withColumn("band", F.explode(F.array(band - 1, band, band + 1))), "strays").alias("x")
+    peers = scratch.save(peers.withColumn("band", band), "peers").alias("y")
     across = strays.join(
         peers,
         (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.band") == F.col("y.band"))
         & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("x.head")) | (F.col("x.doc_id") < F.col("y.doc_id")))
-        & _passes("x", "y", percent),
+        & _in_reach("x", "y", percent)
+        & _parts_agree("x", "y", percent),
     )
     more = verified(across.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")), rows, k, percent, scratch)
     labels = components(links.union(more), scratch)
