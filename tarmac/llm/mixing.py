@@ -70,17 +70,19 @@ def leaf_budgets(leaves: DataFrame, levels: tuple[str, ...], weights: dict[str,
     """
     given = leaves.withColumn("capacity", F.col("tokens") * max_epochs)
     root = given.agg(F.coalesce(F.sum("capacity"), F.lit(0).cast("long")).alias("capacity"), F.coalesce(F.sum("tokens"), F.lit(0).cast("long")).alias("tokens"))
-    above = root.select(F.least(budget.cast("long"), F.col("capacity")).alias("budget"), F.lit(0).alias("root"))
-    path = ["root"]
+    whole = root.select(F.least(budget.cast("long"), F.col("capacity"))).first()[0]
+    path: list[str] = []
+    above = None
     for level in levels:
-        here = [c for c in path if c != "root"] + [level]
-        nodes = given.groupBy(*here).agg(F.sum("capacity").alias("capacity")).withColumn("root", F.lit(0))
+        here = [*path, level]
+        nodes = given.groupBy(*here).agg(F.sum("capacity").alias("capacity"))
         if level in weights:
             nodes = nodes.join(weights[level].select(*here, F.col("weight").cast("double").alias("weight")), here, "left")
             nodes = nodes.withColumn("weight", F.coalesce("weight", F.lit(1.0)))
         else:
             nodes = nodes.withColumn("weight", F.lit(1.0))
-        placed = shares(nodes.join(above, path), path, [level])
+        nodes = nodes.withColumn("budget", F.lit(whole)) if above is None else nodes.join(above, path)
+        placed = shares(nodes, path, [level])
         path = here
         above = placed.select(*here, F.col("allotted").alias("budget"))
     return given.join(above, list(levels)).select(*levels, "tokens", "docs", F.col("budget").alias("allotted"))

@@ -1,8 +1,8 @@
 """Quality selection by importance resampling.
 
 Method: word unigrams and bigrams are hashed into BUCKETS. Two bag-of-n-gram models are
-counted over all documents: the target model from documents labelled good, the raw
-model from the whole corpus. A document's log-weight is the sum over its
+counted over whole texts: the target model from documents labelled good (of at most
+MAX_LABELLED labelled ones), the raw model from the whole corpus. A document's log-weight is the sum over its
 n-grams of log(target / raw). The kept documents are a weighted sample without
 replacement: each gets the key  log-weight / TEMPERATURE + Gumbel noise, and the k largest
 keys win. Noise is drawn from a seed and the document's key, so it never depends on the
@@ -33,6 +33,8 @@ from tarmac.llm import words as w
 from tarmac.llm.store import Scratch, row_key
 
 BUCKETS = 1 << 16
+#: The target model is fitted on at most so many labelled documents (16 bytes each go to every executor).
+MAX_LABELLED = 1_000_000
 SMOOTHING = 1.0
 TEMPERATURE = 1.0
 LENGTH = 200.0
@@ -133,6 +135,18 @@ def largest(rows: DataFrame, key: str, tie: str, k: int) -> DataFrame:
     return sure.unionByName(ranked.withColumn("kept", F.col("place") <= k - above).drop("place")).unionByName(out)
 
 
+def bounded(marks: DataFrame, most: int) -> DataFrame:
+    """All rows of (doc_id, mark), or a share of them, chosen by a hash of the id, that is at most so many."""
+    kept = marks.count()
+    share, chosen = 1.0, marks
+    while kept > most:
+        share *= 0.99 * most / kept
+        place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / float(1 << 53)
+        chosen = marks.where(place < share)
+        kept = chosen.count()
+    return chosen
+
+
 def resample(docs: DataFrame, labels: DataFrame, keep_share: float | None = None, seed: int = SEED) -> DataFrame:
     """doc_id, n_features, log_weight, sample_key, kept for every row of docs.
 
@@ -140,12 +154,13 @@ def resample(docs: DataFrame, labels: DataFrame, keep_share: float | None = None
     the share of documents to keep, by default the share of good ones among the labelled.
     """
     scratch = Scratch(docs.sparkSession)
-    marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
+    marks = labels.select("doc_id", "quality", "toxic").where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
     marks = marks.agg(F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")).alias("mark"))
     if keep_share is None:
         keep_share = marks.agg(F.avg("mark")).first()[0]
         keep_share = 1.0 if keep_share is None else keep_share
-    labelled = docs.select("doc_id", "text").join(marks, "doc_id", "left").withColumn("good", F.coalesce(F.col("mark") == 1, F.lit(False)))
+    known = F.broadcast(bounded(scratch.save(marks, "marks"), MAX_LABELLED))
+    labelled = docs.select("doc_id", "text").join(known, "doc_id", "left").withColumn("good", F.coalesce(F.col("mark") == 1, F.lit(False)))
     ratios = log_ratios(bucket_counts(labelled))
     weighed = log_weights(docs, ratios)
     weighed = weighed.withColumn("sample_key", F.col("log_weight") / TEMPERATURE + gumbel(F.col("row_key"), seed))

@@ -98,7 +98,7 @@ def encoded_blocks(docs: DataFrame) -> DataFrame:
                         pa.array([(np.diff(offsets) + 1).astype(np.int32)], pa.list_(pa.int32())),
                         pa.array([width], pa.int32()),
                         pa.array([zstandard.compress(planes, 1)], pa.binary()),
-                        pa.array([vocab.tobytes()], pa.binary()),
+                        pa.array([_pack(np.diff(vocab, prepend=w.U64(0)))], pa.binary()),
                     ],
                     names=["block", "doc_ids", "held", "lengths", "width", "tokens", "vocab"],
                 )
@@ -112,7 +112,7 @@ class Block:
 
     def __init__(self, row: dict, answers: dict[int, list[dict]], ranges: int, total: int, distinct: int) -> None:
         self.row, self.answers, self.ranges = row, answers, ranges
-        vocab = np.frombuffer(row["vocab"], w.U64)
+        vocab = np.cumsum(_unpack(row["vocab"]), dtype=w.U64)
         tokens = _from_planes(row["width"], zstandard.decompress(row["tokens"])).astype(np.int64)
         lengths = np.array(row["lengths"], np.int64)
         self.ends = np.cumsum(lengths)
@@ -339,7 +339,7 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     for level in range(1, DEPTH + 1):
         asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(next_round(level - 1), _SENT)
-        answers = answers.union(answers_to(scratch.save(asked, "asked"), "level"))
+        answers = answers.union(answers_to(asked, "level"))
 
     def scores(table: pa.Table, given: pa.Table) -> pa.Table:
         block = _open(table, given, ranges, total, distinct)
