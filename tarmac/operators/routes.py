@@ -65,16 +65,17 @@ def _with_flights(points: DataFrame, null_breaks: bool) -> DataFrame:
     return marked.withColumn("flight_no", F.sum("__start").over(_time_order())).drop("__start")
 
 
-def _point() -> Column:
-    return F.struct(
-        "ts_kafka", F.round("lat", 3).alias("lat"), F.round("lon", 3).alias("lon"), "velocity", "alt_feet", "callsign"
-    )
+def _point() -> list[Column]:
+    rounded = [F.round(c, 3).alias(c) for c in ("lat", "lon")]
+    return [F.col("ts_kafka"), *rounded, *map(F.col, ("velocity", "alt_feet", "callsign"))]
 
 
 def flights(points: DataFrame, null_breaks: bool = False) -> DataFrame:
-    """One row per flight, ``flight_rank`` 0 for the newest, with its route and drawing opacity.
+    """One row per flight, ``flight_rank`` 0 for the newest, with its extent and drawing opacity.
 
-    ``null_breaks`` starts a new flight at every row without a callsign.
+    ``null_breaks`` starts a new flight at every row without a callsign. The
+    route itself comes as rows from ``flight_points``: an aircraft that never
+    says its callsign is one flight for the whole log.
     """
     grouped = (
         _with_flights(points, null_breaks)
@@ -84,7 +85,6 @@ def flights(points: DataFrame, null_breaks: bool = False) -> DataFrame:
             F.max("ts_kafka").alias("last_ms"),
             F.max("callsign").alias("callsign"),
             F.count("*").alias("n_points"),
-            F.array_sort(F.collect_list(_point())).alias("route"),
         )
     )
     newest = Window.partitionBy("icao").orderBy(F.desc("flight_no"))
@@ -92,21 +92,24 @@ def flights(points: DataFrame, null_breaks: bool = False) -> DataFrame:
     return ranked.withColumn("opacity", F.greatest(F.lit(0.0), F.lit(1.0) - F.lit(FLIGHT_FADE) * F.col("flight_rank")))
 
 
+def flight_points(points: DataFrame, null_breaks: bool = False) -> DataFrame:
+    """The points of every flight as rows (aircraft, ``flight_no``, point), in no order."""
+    return _with_flights(points, null_breaks).select("icao", "flight_no", *_point())
+
+
+def flight_route(points: DataFrame, icao: str, flight_no: int, null_breaks: bool = False) -> DataFrame:
+    """The route of one flight as an array, for drawing it."""
+    own = flight_points(points.filter(F.col("icao") == icao), null_breaks).filter(F.col("flight_no") == flight_no)
+    point = F.struct(*[c for c in own.columns if c not in ("icao", "flight_no")])
+    return own.groupBy("icao", "flight_no").agg(F.array_sort(F.collect_list(point)).alias("route"))
+
+
 def current_route(points: DataFrame, null_breaks: bool = False) -> DataFrame:
     """The points of each aircraft's newest flight, in order."""
     rows = _with_flights(points, null_breaks)
     newest = F.max("flight_no").over(Window.partitionBy("icao"))
     rows = rows.withColumn("__newest", newest).filter(F.col("flight_no") == F.col("__newest"))
-    return rows.select(
-        "icao",
-        (F.row_number().over(_time_order()) - 1).alias("pos"),
-        "ts_kafka",
-        F.round("lat", 3).alias("lat"),
-        F.round("lon", 3).alias("lon"),
-        "velocity",
-        "alt_feet",
-        "callsign",
-    )
+    return rows.select("icao", (F.row_number().over(_time_order()) - 1).alias("pos"), *_point())
 
 
 def speed_color(speed: Column) -> Column:

@@ -218,11 +218,19 @@ def _known(ttl_ms: int | None) -> str:
     return (
         picked
         + f""" SELECT p.ts_kafka AS timestamp, p.seq, p.icao, {_r('s.lat', 'latitude')}, {_r('s.lon', 'longitude')},
-        {_r('s.surf_speed', 'surface_velocity')}, {_r('s.track', 'ground_track')},
+        {_r('s.surf_speed', 'surface_velocity')}, s.movement::BIGINT AS movement_code, {_r('s.track', 'ground_track')},
         {_r('a.lat', 'airborne_pos_lat')}, {_r('a.lon', 'airborne_pos_lon')},
+        CASE WHEN a.tc >= 20 THEN 'airborne_gnss_alt' WHEN a.tc IS NOT NULL THEN 'airborne_barometric_alt' END AS "airborne_pos_altitude_type",
+        CASE WHEN a.rn IS NOT NULL THEN 'no_condition' END AS "airborne_pos_surveillance_status",
+        CASE WHEN a.rn IS NOT NULL THEN 0 END::BIGINT AS "airborne_pos_single_antenna_flag",
+        CASE WHEN a.rn IS NOT NULL THEN 0 END::BIGINT AS "airborne_pos_time",
         CASE a.odd WHEN 0 THEN 'even_frame' WHEN 1 THEN 'odd_frame' END AS "airborne_pos_CPR",
-        w.speed::BIGINT AS "V", w.vs::BIGINT AS "VS", w.vt AS "VT", w.st::BIGINT AS "ST", w.dalt::BIGINT AS "dAlt",
-        g.vew::BIGINT AS "Vew", h.hdg::BIGINT AS "HDG", h.t::BIGINT AS "T", i.callsign, i.label AS vortex
+        w.speed::BIGINT AS "V", {_r('w.heading', '"H"')}, w.vs::BIGINT AS "VS", w.vt AS "VT", w.st::BIGINT AS "ST",
+        CASE WHEN w.rn IS NOT NULL THEN 0 END::BIGINT AS "IC", CASE WHEN w.rn IS NOT NULL THEN 1 END::BIGINT AS "IFR",
+        CASE WHEN w.rn IS NOT NULL THEN 0 END::BIGINT AS "NUC", (w.k % 2)::BIGINT AS "VrSrc", (w.e % 2)::BIGINT AS "Svr",
+        CASE WHEN w.rn IS NOT NULL THEN 0 END::BIGINT AS "SDif", w.dalt::BIGINT AS "dAlt", (1 + w.e % 200)::BIGINT AS "VR",
+        (g.e % 2)::BIGINT AS "Dew", g.vew::BIGINT AS "Vew", (g.k % 2)::BIGINT AS "Dns",
+        CASE WHEN h.rn IS NOT NULL THEN 1 END::BIGINT AS "SH", h.hdg::BIGINT AS "HDG", h.t::BIGINT AS "T", i.callsign, i.label AS vortex
         FROM picked p {joins}"""
     )
 
@@ -255,6 +263,13 @@ def _hist(source: str, column: str) -> str:
     FROM (SELECT unnest(range(10)) AS bin) b CROSS JOIN bounds LEFT JOIN counts c ON c.bin = b.bin"""
 
 
+def _most(ground: int) -> str:
+    return (
+        ", most AS (SELECT icao, max(velocity) AS max_speed, max(alt_feet) AS max_alt_feet FROM points "
+        f"WHERE ground = {ground} GROUP BY icao)"
+    )
+
+
 def _dense(cells: str, spine: str, keys: str, value: str) -> str:
     return f"SELECT {keys}, coalesce({value}, 0) AS {value} FROM ({spine}) LEFT JOIN ({cells}) USING ({keys})"
 
@@ -273,7 +288,7 @@ _STATE = (
     "callsign, vortex"
 )
 _PROFILED = ["icao", "ts_kafka", "velocity", "lat", "lon", "ground", "alt_feet", "callsign", "vortex"]
-_NULLABLE = ["velocity", "lat", "ground", "alt_feet", "callsign"]
+_NULLABLE = ["velocity", "lat", "lon", "ground", "alt_feet", "callsign", "vortex", "direction_rad", "bearing_rad"]
 
 
 def _profile_column(c: str) -> str:
@@ -478,6 +493,15 @@ def oracle_queries() -> dict[str, str]:
         "wait_box": _with(
             t + ", typed AS (SELECT * FROM tko WHERE aircraft_type IS NOT NULL)", _box("typed", "aircraft_type")
         ),
+        "wait_box_clean": _with(
+            t + ", typed AS (SELECT * FROM clean WHERE aircraft_type IS NOT NULL)", _box("typed", "aircraft_type")
+        ),
+        "wait_box_selected": _with(
+            t
+            + ", chosen AS (SELECT * FROM tko WHERE wait_s > 60 AND wait_s < 1800 AND runway IS NOT NULL), frequent AS "
+            "(SELECT * FROM chosen WHERE icao IN (SELECT icao FROM chosen GROUP BY icao ORDER BY count(*) DESC, icao LIMIT 10))",
+            _box("frequent", "icao"),
+        ),
         "wait_box_overall": _with(t, _box("tko", None)),
         "wait_box_top": _with(
             t
@@ -562,9 +586,25 @@ def oracle_queries() -> dict[str, str]:
         "flights": _with(
             w,
             "SELECT icao, flight_rank, max(callsign) AS callsign, min(ts_kafka) AS first_ms, max(ts_kafka) AS last_ms, "
-            f"count(*) AS n_points, {_r('greatest(0.0, 1.0 - 0.45::DOUBLE * flight_rank)', 'opacity')}, "
-            "string_agg(round(round(lat, 3) * 1000)::BIGINT || ' ' || round(round(lon, 3) * 1000)::BIGINT, ',' "
-            "ORDER BY ts_kafka) AS route FROM ranked GROUP BY icao, flight_rank",
+            f"count(*) AS n_points, {_r('greatest(0.0, 1.0 - 0.45::DOUBLE * flight_rank)', 'opacity')} "
+            "FROM ranked GROUP BY icao, flight_rank",
+        ),
+        "decode_compat": _with(
+            "",
+            "SELECT seq, (SELECT label FROM labels_by_code l WHERE l.tc = v.tc AND l.cat = v.ca) AS aircraft_type "
+            "FROM valid v WHERE kind = 'ident'",
+        ),
+        "category_labels": _with(
+            "", "SELECT seq, tc::BIGINT AS tc, (k % 8)::BIGINT AS category, label FROM valid WHERE kind = 'ident'"
+        ),
+        "takeoffs_product": _with(t, f"SELECT {_TKO}, runway FROM tko"),
+        "window_states_product": _with(
+            w, f"SELECT {_STATE} FROM states WHERE make_timestamp(ts_kafka * 1000) >= TIMESTAMP '2024-01-03'"
+        ),
+        "flight_points": _with(
+            w,
+            "SELECT icao, leg::BIGINT AS flight_no, ts_kafka, round(lat, 3) + 0.0 AS lat, round(lon, 3) + 0.0 AS lon, "
+            f"{_r('velocity')}, {_r('alt_feet')}, callsign FROM ranked",
         ),
         "current_route": _with(
             w, f"SELECT icao, pos, ts_kafka, lat, lon, {_r('velocity')}, {_r('alt_feet')}, callsign FROM route"
@@ -613,6 +653,10 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT 'marker' AS kind, icao, ts_kafka, {_MARKER} AS feature FROM shown UNION ALL "
             f"SELECT 'trail', icao, ts_kafka, {_TRAIL} FROM lines",
         ),
+        "max_speed_hist_air": _with(w + _most(0), _hist("most", "max_speed")),
+        "max_speed_hist_ground": _with(w + _most(1), _hist("most", "max_speed")),
+        "max_altitude_hist": _with(w + _most(0), _hist("most", "max_alt_feet")),
+        "rows_per_aircraft": _with(w, "SELECT icao, count(*) AS n FROM maps GROUP BY icao"),
         "max_speed": _with(
             w,
             f"SELECT icao, ground, {_r('max(velocity)', 'max_speed')}, {_r('max(alt_feet)', 'max_alt_feet')} "

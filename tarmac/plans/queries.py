@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from tarmac.operators import features, occupancy as occ, profile, routes, state, takeoffs as tk, waits, windows
 from tarmac.operators.decode import decode, split_rejects, valid_adsb, valid_allcall, valid_frames
-from tarmac.session import HOUR_MS, MINUTE_MS, configure
+from tarmac.session import HOUR_MS, MINUTE_MS, configure, shared_dir
+from tarmac.sources import dims, products
 from tarmac.sources.event_frames import event_log
 from tarmac.sources.raw import on_days
 
@@ -67,6 +68,16 @@ def _states(raw: DataFrame) -> DataFrame:
     return windows.map_states(_decoded(raw), WINDOW_MS)
 
 
+def _selected(raw: DataFrame) -> DataFrame:
+    """Take-offs after a wait of more than a minute and less than half an hour."""
+    return tk.plausible(_events(raw), max_wait_s=1800, min_wait_s=60)
+
+
+def _max_hist(raw: DataFrame, ground: int, column: str) -> DataFrame:
+    """Distribution over aircraft of their largest values in the air or on the ground."""
+    return profile.histogram(profile.max_speed(_states(raw)).filter(F.col("ground") == ground), column)
+
+
 def _of_aircraft(raw: DataFrame, icao: str) -> DataFrame:
     """One aircraft's messages; its state needs no other's, so the choice comes before any shuffle."""
     return _decoded(raw).filter(F.col("icao") == icao)
@@ -110,49 +121,41 @@ def decode_velocity(raw: DataFrame) -> DataFrame:
 
 # --- state ---------------------------------------------------------------------
 
-STATE_REPORT = [
-    "timestamp",
-    "seq",
-    "icao",
-    "latitude",
-    "longitude",
-    "surface_velocity",
-    "ground_track",
-    "airborne_pos_lat",
-    "airborne_pos_lon",
-    "airborne_pos_CPR",
-    "V",
-    "VS",
-    "VT",
-    "ST",
-    "dAlt",
-    "Vew",
-    "HDG",
-    "T",
-    "callsign",
-    "vortex",
-]
+def _state_report(known: DataFrame) -> DataFrame:
+    return known.drop("msg_type")
 
 
 def known_state(raw: DataFrame) -> DataFrame:
-    return state.known_state(_decoded(raw)).select(*STATE_REPORT)
+    return _state_report(state.known_state(_decoded(raw)))
 
 
 def known_state_ttl(raw: DataFrame) -> DataFrame:
-    return state.known_state_ttl(_decoded(raw), TTL_MS).select(*STATE_REPORT)
+    return _state_report(state.known_state_ttl(_decoded(raw), TTL_MS))
 
 
 def height_profile(raw: DataFrame) -> DataFrame:
     return routes.height_profile(_points(raw))
 
 
+def takeoffs_product(raw: DataFrame) -> DataFrame:
+    """The take-off table written in two runs and read back."""
+    base, events = shared_dir(raw.sparkSession), _events(raw)
+    for run in (0, 1):
+        part = events.filter(F.col("seq") % 2 == run)
+        products.write_product(part, "takeoffs", base, mode="append", sort_by="icao")
+    return products.read_product(raw.sparkSession, "takeoffs", base)
+
+
+def window_states_product(raw: DataFrame) -> DataFrame:
+    """The later days of the written map table; the earlier ones are not read."""
+    base = shared_dir(raw.sparkSession)
+    products.write_product(windows.window_states(_decoded(raw), WINDOW_MS), "window_states", base, sort_by="icao")
+    back = products.read_product(raw.sparkSession, "window_states", base)
+    return back.filter(F.col("date") >= F.lit("2024-01-03").cast("date")).drop("date")
+
+
 def flights(raw: DataFrame) -> DataFrame:
-    places = F.transform(
-        "route", lambda p: F.concat_ws(" ", F.round(p["lat"] * 1000).cast("bigint"), F.round(p["lon"] * 1000).cast("bigint"))
-    )
-    return routes.flights(_points(raw)).select(
-        "icao", "flight_rank", "callsign", "first_ms", "last_ms", "n_points", "opacity", F.concat_ws(",", places).alias("route")
-    )
+    return routes.flights(_points(raw)).drop("flight_no")
 
 
 def trails(raw: DataFrame) -> DataFrame:
@@ -192,7 +195,7 @@ def null_profile(raw: DataFrame) -> DataFrame:
 
 
 def null_corr(raw: DataFrame) -> DataFrame:
-    return profile.null_corr(_states(raw).select("velocity", "lat", "ground", "alt_feet", "callsign"))
+    return profile.null_corr(_states(raw))
 
 
 def ground_and_air_rows(raw: DataFrame) -> DataFrame:
@@ -243,6 +246,8 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "wait_runway_weekday": lambda raw: waits.wait_runway_weekday(_clean(raw)),
     "wait_runway_hour": lambda raw: waits.wait_runway_hour(_clean(raw)),
     "wait_box": lambda raw: waits.wait_box(_events(raw), "aircraft_type"),
+    "wait_box_clean": lambda raw: waits.wait_box(_clean(raw), "aircraft_type"),
+    "wait_box_selected": lambda raw: waits.wait_box_top(_selected(raw)),
     "wait_box_overall": lambda raw: waits.wait_box(_events(raw)),
     "wait_box_top": lambda raw: waits.wait_box_top(_events(raw)),
     "wait_describe": lambda raw: waits.wait_describe(_events(raw)),
@@ -270,7 +275,16 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "map_points_day": map_points_day,
     "hour_spine": hour_spine,
     "trails": trails,
+    "decode_compat": lambda raw: valid_adsb(decode(raw, compat=True))
+    .filter(F.col("msg_type") == "ident")
+    .select("seq", "aircraft_type"),
+    "category_labels": lambda raw: dims.with_category_label(
+        valid_adsb(_decoded(raw)).filter(F.col("msg_type") == "ident").select("seq", "tc", "ident.category")
+    ),
+    "takeoffs_product": takeoffs_product,
+    "window_states_product": window_states_product,
     "flights": flights,
+    "flight_points": lambda raw: routes.flight_points(_points(raw)),
     "current_route": lambda raw: routes.current_route(_points(raw)),
     "segments": lambda raw: routes.segments(_points(raw)),
     "segment_counts": lambda raw: routes.segment_counts(_points(raw)),
@@ -281,6 +295,10 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "ground_and_air_rows": ground_and_air_rows,
     "geojson": geojson,
     # profiles
+    "max_speed_hist_air": lambda raw: _max_hist(raw, 0, "max_speed"),
+    "max_speed_hist_ground": lambda raw: _max_hist(raw, 1, "max_speed"),
+    "max_altitude_hist": lambda raw: _max_hist(raw, 0, "max_alt_feet"),
+    "rows_per_aircraft": lambda raw: waits.value_counts(_states(raw), "icao"),
     "max_speed": lambda raw: profile.max_speed(_states(raw)),
     "altitude_hist": window_hist,
     "null_profile": null_profile,

@@ -90,21 +90,30 @@ _STATE = (
 
 
 def _advance(icao: str, known: dict, rows: pd.DataFrame) -> pd.DataFrame:
-    """Plays one aircraft's rows in time order and reports its take-offs."""
-    events = []
-    for row in rows.sort_values(["ts_kafka", "seq"]).itertuples(index=False):
-        if pd.notna(row.kind):
-            known["kind"] = row.kind
-        if row.stopped:
-            known["stop_ms"] = int(row.ts_kafka)
-        if pd.notna(row.lat) and pd.notna(row.lon):
-            known["lat"], known["lon"] = float(row.lat), float(row.lon)
-        if row.reply and known["stop_ms"] is not None:
-            wait = int(row.ts_kafka) - known["stop_ms"]
-            place = (known["kind"], known["lat"], known["lon"])
-            events.append((icao, int(row.seq), known["stop_ms"], int(row.ts_kafka), wait, wait / 1000.0, *place))
-            known["stop_ms"] = None
-    return pd.DataFrame(events, columns=[part.split(" ")[0] for part in _EVENT.split(", ")])
+    """Take-offs among one aircraft's rows in time order; ``known`` is brought up to date.
+
+    A reply closes the last stop since the reply before it, so stops are carried
+    forward inside the stretches between replies.
+    """
+    rows = rows.sort_values(["ts_kafka", "seq"], ignore_index=True)
+    # what is known stands before the rows, as one more
+    first = {"ts_kafka": known["stop_ms"], "stopped": known["stop_ms"] is not None, "reply": False} | known
+    kinds = {"ts_kafka": "Int64", "stopped": "bool", "reply": "bool", "kind": "string", "lat": "Float64", "lon": "Float64"}
+    line = pd.DataFrame({c: pd.array([first[c], *rows[c]], dtype=kinds[c]) for c in kinds})
+    leg = line["reply"].cumsum() - line["reply"]
+    stop = line["ts_kafka"].where(line["stopped"]).groupby(leg).ffill()
+    whole = line["lat"].notna() & line["lon"].notna()
+    kind, lat, lon = line["kind"].ffill(), line["lat"].where(whole).ffill(), line["lon"].where(whole).ffill()
+    left = (line["reply"] & stop.notna()).iloc[1:].to_numpy()
+    closed, leaving = stop.iloc[1:][left].to_numpy("int64"), rows["ts_kafka"][left].to_numpy("int64")
+    events = pd.DataFrame({"icao": icao, "seq": rows["seq"][left].to_numpy("int64"), "last_stopped_ms": closed, "takeoff_ms": leaving})
+    events = events.assign(wait_ms=leaving - closed, wait_s=(leaving - closed) / 1000.0)
+    events = events.assign(**{n: c.iloc[1:][left].to_numpy() for n, c in (("aircraft_type", kind.astype(object)), ("lat", lat.astype("float64")), ("lon", lon.astype("float64")))})
+    open_stop = None if line["reply"].iloc[-1] else stop.iloc[-1]
+    known["stop_ms"] = None if pd.isna(open_stop) else int(open_stop)
+    known["kind"] = None if pd.isna(kind.iloc[-1]) else kind.iloc[-1]
+    known["lat"], known["lon"] = (None if pd.isna(c.iloc[-1]) else float(c.iloc[-1]) for c in (lat, lon))
+    return events
 
 
 def _takeoff_step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

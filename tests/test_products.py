@@ -12,6 +12,8 @@ from tarmac.operators import features, occupancy, profile, state, waits
 from tarmac.operators.decode import decode, split_rejects, valid_frames
 from tarmac.operators.takeoffs import takeoffs
 from tarmac.operators.windows import window_states
+from tarmac.plans import sql_surface
+from tarmac.plans.queries import QUERIES
 from tarmac.sources import dims, products, raw
 from tests.frames import ident, log, short_frame, surface, to_message
 
@@ -165,3 +167,24 @@ def test_features_are_geojson(spark):
 
 def test_message_helper_is_base64():
     assert to_message("8D40") == "jUA="
+
+
+def test_sql_surface(spark):
+    rows = [(1, 1733011200000, surface(0xABCDEF, 1)), (2, 1733011260000, short_frame(11, 5, 0xABCDEF)), (3, 1733011270000, "????")]
+    sql_surface.register(spark, log(spark, rows))
+    found = spark.sql("SELECT downlink_format(message) AS df, message_icao(message) AS icao, day_text(ts_kafka) AS day, message_hour(ts_kafka) AS h FROM messages ORDER BY seq")
+    assert [tuple(r) for r in found.collect()] == [(17, "abcdef", "01/12/2024", 0), (11, "abcdef", "01/12/2024", 0), (None, None, "01/12/2024", 0)]
+    assert spark.sql("SELECT icao, wait_s FROM takeoffs").collect() == [("abcdef", 60.0)]
+    assert spark.sql("SELECT reject_reason FROM rejects").first()[0] == "malformed_base64"
+
+
+def test_days_reach_the_scan(spark, tmp_path):
+    rows = [(i, 1704067200000 + i * 3_600_000, short_frame(11, 4 + i % 2, i % 5)) for i in range(24 * 6)]
+    path = str(tmp_path / "raw")
+    log(spark, rows).write.parquet(path)
+    for name in ("hour_ground_counts", "hourly_dense", "axis_max"):
+        plan = QUERIES[name](spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(ts_kafka" in plan, name
+    for name in ("aircraft_series", "aircraft_lookup"):
+        plan = QUERIES[name](spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("= 340005") >= plan.count("Relation [") > 0, name  # a filter over each scan

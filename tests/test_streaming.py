@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,30 @@ def test_repeats_and_sessions(spark, feed):
     assert found == expected
     sessions = jobs.run_to_table(jobs.contact_sessions(stream(spark, folder), "5 minutes"), "sessions")
     assert sessions.count() > 20
+
+
+def test_takeoff_step_equals_a_row_loop():
+    """The carried step gives what playing the rows one by one gives, however they are cut."""
+    rng = random.Random(5)
+    rows = pd.DataFrame(
+        [
+            (t, t, rng.random() < 0.3, rng.random() < 0.3, rng.choice([None, "Light", "Heavy"]), *rng.choice([(None, None), (1.0, 2.0), (3.0, None), (5.0, 6.0)]))
+            for t in range(400)
+        ],
+        columns=["ts_kafka", "seq", "stopped", "reply", "kind", "lat", "lon"],
+    )
+    known, expected = {"stop": None, "kind": None, "place": (None, None)}, []
+    for r in rows.itertuples():
+        known["kind"] = r.kind or known["kind"]
+        known["stop"] = r.ts_kafka if r.stopped else known["stop"]
+        known["place"] = (r.lat, r.lon) if pd.notna(r.lat) and pd.notna(r.lon) else known["place"]
+        if r.reply and known["stop"] is not None:
+            expected.append((r.seq, known["stop"], r.ts_kafka, known["kind"], *known["place"]))
+            known["stop"] = None
+    for size in (1, 7, 400):
+        state, found = {"stop_ms": None, "kind": None, "lat": None, "lon": None}, []
+        for at in range(0, 400, size):
+            events = jobs._advance("a", state, rows[at : at + size].sample(frac=1, random_state=1))
+            found += list(events[["seq", "last_stopped_ms", "takeoff_ms", "aircraft_type", "lat", "lon"]].itertuples(index=False, name=None))
+        clean = [tuple(None if pd.isna(v) else v for v in f) for f in found]
+        assert clean == expected
