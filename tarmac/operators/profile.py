@@ -91,22 +91,28 @@ def null_profile(rows: DataFrame) -> DataFrame:
 def null_corr(rows: DataFrame) -> DataFrame:
     """Correlation of being null between columns; columns without both states are left out."""
     columns = rows.columns
-    flags = rows.select(*[F.col(c).isNull().cast("double").alias(c) for c in columns])
+    flags = rows.select(*[F.col(c).isNull().cast("long").alias(c) for c in columns])
     pairs = list(combinations(columns, 2))
     one = flags.agg(
-        *[F.min(c).alias(f"lo_{c}") for c in columns],
-        *[F.max(c).alias(f"hi_{c}") for c in columns],
-        *[F.corr(a, b).alias(f"corr_{a}_{b}") for a, b in pairs],
+        F.count("*").cast("double").alias("rows"),
+        *[F.sum(c).cast("double").alias(f"n_{c}") for c in columns],
+        *[F.sum(F.col(a) * F.col(b)).cast("double").alias(f"both_{a}_{b}") for a, b in pairs],
     )
+    n = F.col("rows")
 
-    def varies(c: str):
-        return F.col(f"lo_{c}") != F.col(f"hi_{c}")
+    def spread(c: str):
+        return F.col(f"n_{c}") * (n - F.col(f"n_{c}"))
+
+    def correlation(a: str, b: str):
+        """From the counts alone; null where a column is never or always null."""
+        shared = n * F.col(f"both_{a}_{b}") - F.col(f"n_{a}") * F.col(f"n_{b}")
+        return F.try_divide(shared, F.sqrt(spread(a) * spread(b)))
 
     cells = [
         F.struct(
             F.lit(a).alias("left"),
             F.lit(b).alias("right"),
-            F.when(varies(a) & varies(b), F.col(f"corr_{a}_{b}")).alias("corr"),
+            correlation(a, b).alias("corr"),
         )
         for a, b in pairs
     ]
