@@ -101,12 +101,13 @@ r AS (SELECT *, CASE WHEN len(g) > {depth} THEN list_concat(g[1:{depth}], ['**']
 nodes AS (SELECT host, lexical, lexical AS template, count(*) AS n, count(label) AS labelled, count(*) FILTER (label = 'block') AS blocked FROM r GROUP BY host, lexical),
 {"".join(levels)}
 t AS (SELECT host, template, template[1:greatest(len(template) - 1, 0)] AS parent, sum(labelled) AS labelled, sum(blocked) AS blocked FROM {last} GROUP BY host, template),
-a AS (SELECT *, sum(labelled) OVER w AS al, sum(blocked) OVER w AS ab FROM t WINDOW w AS (PARTITION BY host, parent)),
-m AS (SELECT *, CASE WHEN labelled = 0 OR al = labelled THEN false
-  ELSE abs(blocked / labelled - (ab - blocked) / (al - labelled)) <= {urls.SIMILAR_Z} * sqrt(ab / al * (1 - ab / al) * (1 / labelled + 1 / (al - labelled))) END AS merged FROM a),
-g AS (SELECT *, CASE WHEN merged THEN '' ELSE array_to_string(template, '/') END AS grp FROM m),
+b AS (SELECT *, array_to_string(template, '/') AS name, labelled > 0 AS known, CASE WHEN labelled > 0 THEN blocked / labelled END AS rate FROM t),
+a AS (SELECT *, lag(labelled) OVER w AS m, lag(rate) OVER w AS rate0, (blocked + lag(blocked) OVER w) / nullif(labelled + lag(labelled) OVER w, 0) AS pooled
+  FROM b WINDOW w AS (PARTITION BY host, parent, known ORDER BY rate, name)),
+m AS (SELECT *, sum(CASE WHEN coalesce(abs(rate - rate0) <= {urls.SIMILAR_Z} * sqrt(pooled * (1 - pooled) * (1 / nullif(labelled, 0) + 1 / nullif(m, 0))), false) THEN 0 ELSE 1 END)
+  OVER (PARTITION BY host, parent, known ORDER BY rate, name) AS grp FROM a),
 purity AS (SELECT host, template, (sum(blocked) OVER w + {urls.PRIOR_PAGES * urls.PRIOR_RATE}) / (sum(labelled) OVER w + {urls.PRIOR_PAGES}) AS purity
-  FROM g WINDOW w AS (PARTITION BY host, parent, grp))
+  FROM m WINDOW w AS (PARTITION BY host, parent, known, grp))
 SELECT page_id, r.host, path, rule, coalesce(label, CASE WHEN purity > {urls.BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
 FROM r JOIN {last} l ON r.host = l.host AND r.lexical = l.lexical JOIN purity q ON q.host = l.host AND q.template = l.template"""
 

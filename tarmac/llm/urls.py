@@ -3,7 +3,7 @@
 Method: a url's path becomes a template: segments holding a digit turn into ``*`` at
 once, and so do segments at a place of the host's tree that has many different
 children for its rows. Templates with the same host and parent are branches; those
-whose labelled block rate does not differ significantly from the others' are merged.
+whose labelled block rates do not differ significantly are merged.
 A template is rejected when its smoothed purity (the block share of its group's labelled
 pages) is above one half; one without labelled pages is not. Labels are the verdicts of
 the rules, or a column of the caller's.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.store import Scratch
@@ -117,21 +117,30 @@ def template_tree(pages: DataFrame) -> DataFrame:
 
 
 def template_purity(nodes: DataFrame) -> DataFrame:
-    """(host, template, purity): block rates with similar branches merged, smoothed by PRIOR_PAGES pages of rate PRIOR_RATE."""
-    sums = [F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
-    branches = nodes.groupBy("host", "template").agg(*sums)
-    branches = branches.withColumn("parent", F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0))))
-    parents = branches.groupBy("host", "parent").agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
-    rest_n, rest_b = F.col("all_labelled") - F.col("labelled"), F.col("all_blocked") - F.col("blocked")
-    rate = F.col("all_blocked") / F.col("all_labelled")
-    apart = F.abs(F.col("blocked") / F.col("labelled") - rest_b / rest_n)
-    error = F.sqrt(rate * (1 - rate) * (1 / F.col("labelled") + 1 / rest_n))
-    similar = F.when((F.col("labelled") == 0) | (rest_n == 0), F.lit(False)).otherwise(apart <= SIMILAR_Z * error)
-    group = F.when(F.col("merged"), F.lit("")).otherwise(F.array_join("template", "/"))
-    branches = branches.join(parents, ["host", "parent"]).withColumn("merged", similar).withColumn("group", group)
-    groups = branches.groupBy("host", "parent", "group").agg(F.sum("labelled").alias("g_labelled"), F.sum("blocked").alias("g_blocked"))
-    purity = (F.col("g_blocked") + PRIOR_PAGES * PRIOR_RATE) / (F.col("g_labelled") + PRIOR_PAGES)
-    return branches.join(groups, ["host", "parent", "group"]).select("host", "template", purity.alias("purity"))
+    """(host, template, purity): block rates with similar branches merged, smoothed by PRIOR_PAGES pages of rate PRIOR_RATE.
+
+    Labelled branches of a place are put in order of their block rate; each joins the one
+    before it unless the two rates differ significantly.
+    """
+    branches = nodes.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    branches = branches.withColumns(
+        {
+            "parent": F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0))),
+            "name": F.array_join("template", "/"),
+            "known": F.col("labelled") > 0,
+            "rate": F.try_divide("blocked", "labelled"),
+        }
+    )
+    place = Window.partitionBy("host", "parent", "known").orderBy("rate", "name")
+    n, m = F.col("labelled"), F.lag("labelled").over(place)
+    both = (F.col("blocked") + F.lag("blocked").over(place)) / F.nullif(n + m, F.lit(0))
+    error = F.sqrt(both * (1 - both) * (F.try_divide(F.lit(1), n) + F.try_divide(F.lit(1), m)))
+    alike = F.coalesce(F.abs(F.col("rate") - F.lag("rate").over(place)) <= SIMILAR_Z * error, F.lit(False))
+    branches = branches.withColumn("alike", alike)
+    branches = branches.withColumn("group", F.sum(F.when(F.col("alike"), 0).otherwise(1)).over(place))
+    group = Window.partitionBy("host", "parent", "known", "group")
+    purity = (F.sum("blocked").over(group) + PRIOR_PAGES * PRIOR_RATE) / (F.sum("labelled").over(group) + PRIOR_PAGES)
+    return branches.select("host", "template", purity.alias("purity"))
 
 
 def filter_urls(
