@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import decontaminate, jaccard, language, mixing, token_files
 from tarmac.llm.queries import mixing_weights, table, tokenizer_path
-from tarmac.llm.store import Scratch, row_key
+from tarmac.llm.store import Scratch, row_key, without
 
 #: Share of the tokens that the mixture takes.
 MIXED_SHARE = 0.8
@@ -24,15 +24,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drops documents whose language is unknown."""
     evidence = language.document_evidence(docs, row_key("doc_id", "text"))
     found = language.identify(evidence, docs.select("lang", "text"))
-    rejected = found.where("NOT accepted").select(F.col("id").alias("_key")).distinct()
-    return docs.withColumn("_key", row_key("doc_id", "text")).join(rejected, "_key", "left_anti").drop("_key")
+    rejected = Scratch(spark).save(found.where("NOT accepted").select("id"), "rejected")
+    return without(docs, row_key("doc_id", "text"), rejected)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of similar ones."""
     found = jaccard.similar_documents(docs)
-    dropped = found.where("row_key <> component_key").select(F.col("row_key").alias("_key")).distinct()
-    return docs.withColumn("_key", jaccard.document_key()).join(dropped, "_key", "left_anti").drop("_key")
+    dropped = Scratch(spark).save(found.where("row_key <> component_key").select("row_key"), "dropped")
+    return without(docs, jaccard.document_key(), dropped)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tree = docs.withColumn("domain", mixing.domain_of(F.col("source")))
     budget = F.floor(F.col("tokens") * MIXED_SHARE)
     taken = mixing.mix(tree, weights=mixing_weights(spark), budget=budget, max_epochs=1, seed=7)
-    kept = taken.select(F.col("row_key").alias("_key")).distinct()
-    return docs.withColumn("_key", row_key("doc_id", "text")).join(kept, "_key", "left_semi").drop("_key")
+    keys = docs.select(row_key("doc_id", "text").alias("row_key"))
+    left = Scratch(spark).save(keys.join(taken.select("row_key").distinct(), "row_key", "left_anti"), "left")
+    return without(docs, row_key("doc_id", "text"), left)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import words as w
-from tarmac.llm.store import Scratch, filter_words, maybe_in, row_key
+from tarmac.llm.store import Scratch, filter_words, maybe_in, row_key, without
 
 SPAN = 10
 K = 5
@@ -226,5 +226,5 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, in which no benchmark window occurs."""
-    hit = contamination(docs, items).where("n_hit > 0").select(F.col("row_key").alias("_hit")).distinct()
-    return docs.withColumn("_row", row_key("doc_id", "text")).join(hit, F.col("_row") == F.col("_hit"), "left_anti").drop("_row")
+    hit = Scratch(docs.sparkSession).save(contamination(docs, items).where("n_hit > 0").select("row_key"), "hit")
+    return without(docs, row_key("doc_id", "text"), hit)

@@ -37,14 +37,19 @@ from tarmac.llm.store import Scratch, filter_words, maybe_in
 K = 3
 #: Similarity in hundredths: 100 * intersection >= PERCENT * union.
 PERCENT = 90
-ORDER_SLOTS = 1 << 20
-_BLOCK = 1 << 14
+ORDER_SLOTS = 1 << 22
+_BLOCK = 1 << 16
 PARTS = 32
+#: Counts by hash range are bytes. Where one does not fit, all are this, which claims nothing.
+MOST_IN_PART = 255
 #: Document ids are less; the keys of documents without one are not.
 NO_ID = 1 << 62
 _SIGN_SCHEMA = "doc_id long, n int, s1 long, s2 long, block int, counts binary"
 
 
+_PART_BOUNDS = np.arange(PARTS, dtype=w.U64) << w.U64(64 - 5)
+
+
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes & w.U64(ORDER_SLOTS - 1)).astype(np.int64)
 
@@ -53,13 +58,14 @@ def signed_sets(docs: DataFrame, k: int) -> DataFrame:
     """Per document its set's size and 128-bit signature; per task the counts of its shingles by slot, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(ORDER_SLOTS, np.int64)
+        counts = np.zeros(ORDER_SLOTS, np.int32)
         for batch in batches:
             for first, hashes, offsets in w.each_text(batch["text"]):
                 sets = list(w.shingle_sets(hashes, offsets, k))
                 sizes = np.fromiter(map(len, sets), np.int64, len(sets))
                 flat = np.concatenate(sets) if sets else np.zeros(0, w.U64)
-                np.add(counts, np.bincount(_slot(flat), minlength=ORDER_SLOTS), out=counts)
+                slots, many = np.unique(_slot(flat), return_counts=True)
+                counts[slots] += many.astype(np.int32)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
                 total = lambda x: np.diff(np.concatenate(([w.U64(0)], np.cumsum(x)))[ends])  # noqa: E731  sums of mixed hashes
                 n = len(sets)
@@ -92,7 +98,7 @@ def slot_counts(signed: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, packed in zip(batch["block"].to_pylist(), batch["counts"].to_pylist()):
-                sums[block] = sums.get(block, 0) + np.frombuffer(zlib.decompress(packed), np.int64)
+                sums[block] = sums.get(block, 0) + np.frombuffer(zlib.decompress(packed), np.int32).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([s.astype("<i8").tobytes() for s in sums.values()], pa.binary())], names=["block", "counts"]
         )
@@ -110,8 +116,9 @@ def prefix_length(n: int, percent: int) -> int:
 
 def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
     """(doc_id, n, s1, s2, prefix, parts): the rarest shingles of each set, rare first, and its counts by hash range."""
-    ranks = np.unique(counts, return_inverse=True)[1].astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # 4 bytes for each of ORDER_SLOTS
+    # counts up to 4096 keep their order, larger ones that of their logarithm
+    ranks = np.where(counts <= 4096, counts, 4096 + np.log2(np.maximum(counts, 1) / 4096) * 1024).astype(np.uint16)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # 2 bytes for each of ORDER_SLOTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
@@ -130,14 +137,16 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
                     else:
                         few = np.lexsort((own, order))
                     rare.append(own[few])
-                    parts.append(np.bincount((own >> w.U64(64 - 5)).astype(np.int64), minlength=PARTS))
+                    in_part = np.diff(np.searchsorted(own, _PART_BOUNDS), append=n)
+                    parts.append((in_part if in_part.max() < MOST_IN_PART else np.full(PARTS, MOST_IN_PART)).astype(np.uint8))
                     sizes.append(n)
                     s1.append(w.mix(own + w.U64(1)).sum(dtype=w.U64) if n else w.U64(0))
                     s2.append(w.mix(own ^ w.U64(0x5851F42D4C957F2D)).sum(dtype=w.U64) if n else w.U64(0))
                 ends = np.concatenate(([0], np.cumsum([len(r) for r in rare])))
                 flat = np.concatenate(rare) if rare else np.zeros(0, w.U64)
                 m = len(rare)
-                part_ends = pa.array(np.arange(m + 1) * PARTS, pa.int32())
+                packed = np.concatenate(parts).view("<i8") if parts else np.zeros(0, np.int64)
+                part_ends = pa.array(np.arange(m + 1) * (PARTS // 8), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(first, m),
@@ -145,12 +154,12 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
                         pa.array(np.array(s1, w.U64).view(np.int64)),
                         pa.array(np.array(s2, w.U64).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64))),
-                        pa.ListArray.from_arrays(part_ends, pa.array(np.concatenate(parts) if parts else [], pa.int32())),
+                        pa.ListArray.from_arrays(part_ends, pa.array(packed)),
                     ],
                     names=["doc_id", "n", "s1", "s2", "prefix", "parts"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n int, s1 long, s2 long, prefix array<long>, parts array<int>")
+    return docs.mapInArrow(run, "doc_id long, n int, s1 long, s2 long, prefix array<long>, parts array<long>")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -178,8 +187,13 @@ def _in_reach(a: str, b: str, percent: int) -> Column:
 
 def _parts_agree(a: str, b: str, percent: int) -> Column:
     """Suffix filter: the counts by hash range leave enough overlap possible."""
-    agree = sum((F.least(F.col(f"{a}.parts")[i], F.col(f"{b}.parts")[i]) for i in range(PARTS)), F.lit(0))
-    return agree * (100 + percent) >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+    def count(row: str, i: int) -> Column:
+        return F.shiftrightunsigned(F.col(f"{row}.parts")[i // 8], i % 8 * 8).bitwiseAND(MOST_IN_PART)
+
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    agree = sum((F.least(count(a, i), count(b, i)) for i in range(PARTS)), F.lit(0))
+    return (F.least(n, m) > MOST_IN_PART * PARTS) | (agree * (100 + percent) >= percent * (n + m))
 
 
 def shared_rows(classes: DataFrame, shared: DataFrame) -> DataFrame:

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.session import shared_dir
 
+#: Texts reach Python in batches of so many bytes, however long or many the rows are.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Bits of a filter. Its size never follows the data: when full it lets more rows through, never fewer.
@@ -23,6 +28,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
         self.base = shared_dir(spark)
         self.count = 0
 
@@ -64,3 +70,22 @@ def maybe_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """True for every key that filter_words saw, and for a few more."""
     spots = keys.astype(np.int64) % FILTER_BITS
     return (bitmap[spots >> 5] >> (spots & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
+def without(docs: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
+    """The rows of docs whose key is not among the values of dropped's only column.
+
+    A bitmap of the dropped keys tells for most rows that they stay; only the others meet
+    dropped in a join, so the texts of rows that stay are not shuffled.
+    """
+    name = dropped.columns[0]
+    bitmap = docs.sparkSession.sparkContext.broadcast(filter_words(dropped, name))
+
+    @F.pandas_udf(T.BooleanType())
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(maybe_in(bitmap.value, keys.to_numpy()))
+
+    keyed = docs.withColumn("_key", key)
+    sure = keyed.where(~maybe("_key")).drop("_key")
+    other = keyed.where(maybe("_key")).join(dropped.select(F.col(name).alias("_key")).distinct(), "_key", "left_anti")
+    return sure.unionByName(other.drop("_key"))

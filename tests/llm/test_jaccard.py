@@ -63,6 +63,19 @@ def test_against_brute_force(spark):
     assert len({c for _, _, c in expected}) < len(docs) - 20
 
 
+def test_long_sets(spark):
+    """Counts by hash range that do not fit a byte lose no link."""
+    rnd = random.Random(1)
+    base = [f"w{i}" for i in range(12_000)]
+    docs = []
+    for i, size in enumerate([12_000, 12_000, 9_000, 8_500, 7_500, 7_400, 6_000]):
+        copy = base[:size]
+        for _ in range(size // 100):
+            copy[rnd.randrange(size)] = f"x{i}"
+        docs.append((i, " ".join(copy)))
+    assert run(spark, docs) == brute(docs)
+
+
 def test_lower_similarity(spark):
     docs = near_copies(random.Random(4), 10)
     assert run(spark, docs, k=5, percent=80) == brute(docs, 5, 80)
