@@ -67,6 +67,7 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "messages": messages,
+                "messages_per_sec": {name: round(messages / max(sec, 1e-3)) for name, sec in times.items()},
                 "encode_sec": round(encode_sec, 3),
                 "cores": cores,
             }
