@@ -1,8 +1,8 @@
 """N-gram Jaccard join with prefix, length, positional and suffix filters.
 
 Method: a document is the set of its distinct K-word shingles (64-bit hashes). Shingles are
-ordered rare first, by a table of counts over all documents with ORDER_SLOTS slots (shingles
-in one slot share a count), then by hash. Two sets that are similar enough share one of the
+ordered rare first, by a table of counts over all documents (shingles in one slot share a
+count; there is a slot for every few shingles, and at most MOST_SLOTS), then by hash. Two sets that are similar enough share one of the
 first n - ceil(t n) + 1 shingles, so documents are joined on those. A pair goes on
 if its sizes (length filter), the places of the shared shingle (positional filter) and
 the counts of its shingles in PARTS hash ranges (suffix filter: the ranges cannot agree in
@@ -37,7 +37,8 @@ from tarmac.llm.store import Scratch, filter_words, maybe_in
 K = 3
 #: Similarity in hundredths: 100 * intersection >= PERCENT * union.
 PERCENT = 90
-ORDER_SLOTS = 1 << 22
+#: Slots of the table of counts, by the corpus' size: powers of two, about CHARS_A_SLOT characters each.
+LEAST_SLOTS, MOST_SLOTS, CHARS_A_SLOT = 1 << 16, 1 << 24, 48
 _BLOCK = 1 << 16
 PARTS = 32
 #: Counts by hash range are bytes. Where one does not fit, all are this, which claims nothing.
@@ -50,21 +51,25 @@ _SIGN_SCHEMA = "doc_id long, n int, s1 long, s2 long, block int, counts binary"
 _PART_BOUNDS = np.arange(PARTS, dtype=w.U64) << w.U64(64 - 5)
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & w.U64(ORDER_SLOTS - 1)).astype(np.int64)
+def slots_for(chars: int) -> int:
+    return min(max(1 << (max(chars, 1) // CHARS_A_SLOT).bit_length(), LEAST_SLOTS), MOST_SLOTS)
 
 
-def signed_sets(docs: DataFrame, k: int) -> DataFrame:
+def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return (hashes & w.U64(slots - 1)).astype(np.int64)
+
+
+def signed_sets(docs: DataFrame, k: int, n_slots: int) -> DataFrame:
     """Per document its set's size and 128-bit signature; per task the counts of its shingles by slot, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(ORDER_SLOTS, np.int32)
+        counts = np.zeros(n_slots, np.int32)
         for batch in batches:
             for first, hashes, offsets in w.each_text(batch["text"]):
                 sets = list(w.shingle_sets(hashes, offsets, k))
                 sizes = np.fromiter(map(len, sets), np.int64, len(sets))
                 flat = np.concatenate(sets) if sets else np.zeros(0, w.U64)
-                slots, many = np.unique(_slot(flat), return_counts=True)
+                slots, many = np.unique(_slot(flat, n_slots), return_counts=True)
                 counts[slots] += many.astype(np.int32)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
                 total = lambda x: np.diff(np.concatenate(([w.U64(0)], np.cumsum(x)))[ends])  # noqa: E731  sums of mixed hashes
@@ -80,7 +85,7 @@ def signed_sets(docs: DataFrame, k: int) -> DataFrame:
                     ],
                     names=["doc_id", "n", "s1", "s2", "block", "counts"],
                 )
-        blocks = [i for i in range(ORDER_SLOTS // _BLOCK) if counts[i * _BLOCK : (i + 1) * _BLOCK].any()]
+        blocks = [i for i in range(n_slots // _BLOCK) if counts[i * _BLOCK : (i + 1) * _BLOCK].any()]
         packed = [zlib.compress(counts[i * _BLOCK : (i + 1) * _BLOCK].tobytes(), 1) for i in blocks]
         none = pa.nulls(len(blocks), pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -91,8 +96,8 @@ def signed_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, _SIGN_SCHEMA)
 
 
-def slot_counts(signed: DataFrame) -> np.ndarray:
-    """The corpus counts by slot: ORDER_SLOTS numbers, whatever the corpus."""
+def slot_counts(signed: DataFrame, n_slots: int) -> np.ndarray:
+    """The corpus counts by slot: MOST_SLOTS numbers at most."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -103,8 +108,8 @@ def slot_counts(signed: DataFrame) -> np.ndarray:
             [pa.array(list(sums), pa.int32()), pa.array([s.astype("<i8").tobytes() for s in sums.values()], pa.binary())], names=["block", "counts"]
         )
 
-    blocks = signed.where("block IS NOT NULL").select("block", "counts").repartition(ORDER_SLOTS // _BLOCK, "block")
-    counts = np.zeros(ORDER_SLOTS, np.int64)
+    blocks = signed.where("block IS NOT NULL").select("block", "counts").repartition(n_slots // _BLOCK, "block")
+    counts = np.zeros(n_slots, np.int64)
     for row in blocks.mapInArrow(add, "block int, counts binary").toLocalIterator():
         counts[row.block * _BLOCK : (row.block + 1) * _BLOCK] += np.frombuffer(row.counts, "<i8")
     return counts
@@ -118,7 +123,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
     """(doc_id, n, s1, s2, prefix, parts): the rarest shingles of each set, rare first, and its counts by hash range."""
     # counts up to 4096 keep their order, larger ones that of their logarithm
     ranks = np.where(counts <= 4096, counts, 4096 + np.log2(np.maximum(counts, 1) / 4096) * 1024).astype(np.uint16)
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # 2 bytes for each of ORDER_SLOTS
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # 2 bytes for each of MOST_SLOTS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
@@ -128,7 +133,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
                 for own in w.shingle_sets(hashes, offsets, k):
                     n = len(own)
                     p = prefix_length(n, percent) if n else 0
-                    order = rank[_slot(own)]
+                    order = rank[_slot(own, len(rank))]
                     if p < n:
                         few = np.argpartition(order, p)
                         bound = order[few[:p]].max() if p else 0
@@ -171,7 +176,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             some = np.flatnonzero(maybe_in(shared.value, batch["key"].to_numpy()))
             part = batch.take(pa.array(some))
             for first, hashes, offsets in w.each_text(part["text"]):
-                sets = [s.astype("<u8").tobytes() for s in w.shingle_sets(hashes, offsets, k)]
+                sets = [w.pack_sorted(s) for s in w.shingle_sets(hashes, offsets, k)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"].slice(first, len(sets)), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
 
     return docs.withColumn("key", F.xxhash64("doc_id")).mapInArrow(run, "doc_id long, hashes binary")
@@ -227,7 +232,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: S
         for batch in batches:
             keep = []
             for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch[c][i].as_buffer(), "<u8") for c in ("x", "y"))
+                x, y = (w.unpack_sorted(batch[c][i].as_py()) for c in ("x", "y"))
                 at = np.searchsorted(x, y)
                 both = int((x[np.minimum(at, len(x) - 1)] == y).sum()) if len(x) else 0
                 if 100 * both >= percent * (len(x) + len(y) - both) and both:
@@ -249,8 +254,9 @@ def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Da
     """
     scratch = Scratch(docs.sparkSession)
     rows = docs.select(document_key().alias("doc_id"), "text")
-    signed = scratch.save(signed_sets(rows, k), "signed")
-    ordered = prefixes(rows, slot_counts(signed), k, percent)
+    n_slots = slots_for(rows.agg(F.sum(F.length("text"))).first()[0] or 0)
+    signed = scratch.save(signed_sets(rows, k, n_slots), "signed")
+    ordered = prefixes(rows, slot_counts(signed, n_slots), k, percent)
     # one document stands for all with an equal set
     first = F.min(F.struct("doc_id", "prefix", "parts")).alias("first")
     classes = ordered.where("n > 0").groupBy("n", "s1", "s2").agg(first)

@@ -126,6 +126,25 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, kind=SPACED) -> tuple[np.nd
     return np.concatenate(hashes), starts_all, np.concatenate(ends), np.searchsorted(starts_all, bounds)
 
 
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Sorted keys as the bytes that their differences need, a plane for each byte's place."""
+    if not len(keys):
+        return b""
+    steps = np.diff(keys, prepend=keys[:1])
+    width = max((int(steps.max()).bit_length() + 7) // 8, 1)
+    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + np.ascontiguousarray(planes).tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    if not len(data):
+        return np.zeros(0, U64)
+    planes = np.frombuffer(data, np.uint8, offset=9).reshape(data[0], -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, : data[0]] = planes.T
+    return np.frombuffer(data, "<u8", 1, 1) + np.cumsum(steps.reshape(-1).view("<u8"), dtype=U64)
+
+
 def pieces(texts: pa.Array, limit: int = 4 * CHUNK) -> Iterator[tuple[int, int]]:
     """Ranges of rows holding about limit bytes each; a longer text stands alone."""
     _, bounds = raw(texts)

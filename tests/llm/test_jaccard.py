@@ -109,6 +109,6 @@ def test_components_of_chains_and_stars(spark):
 
 def test_counts_by_slot(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (2, "b c d")], "doc_id long, text string")
-    counts = jaccard.slot_counts(jaccard.signed_sets(docs, 3))
+    counts = jaccard.slot_counts(jaccard.signed_sets(docs, 3, 1 << 16), 1 << 16)
     assert counts.sum() == 3 and counts.max() == 2
     assert np.array_equal(np.sort(counts[counts > 0]), [1, 2])

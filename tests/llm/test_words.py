@@ -49,3 +49,9 @@ def test_shingles():
     hashes = np.array([1, 2, 3, 1, 2, 3, 9], w.U64)
     sets = list(w.shingle_sets(hashes, np.array([0, 6, 6, 7]), 3))
     assert [len(s) for s in sets] == [3, 0, 1]
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=20))
+def test_packed_keys(keys):
+    keys = np.unique(np.array(keys, w.U64))
+    assert np.array_equal(w.unpack_sorted(w.pack_sorted(keys)), keys)
