@@ -102,7 +102,7 @@ def exact_quantiles(
     Running counts go over the spans of a group, the slices of a span and the
     values of a slice, so the largest window holds one row per span: a million
     times fewer than values at the defaults. Groups come as columns ``by`` plus
-    ``n`` and one DOUBLE column per name.
+    ``n``, ``total`` (the values' sum) and one DOUBLE column per name.
     """
     group = list(by) or ["__all"]
     source = df if by else df.withColumn("__all", F.lit(0))
@@ -141,13 +141,13 @@ def exact_quantiles(
         place = F.lit(float(p)) * (F.col("n") - 1)
         bounds.append(F.min(F.when(F.col("__upto") > F.floor(place), F.col("__v"))).alias(f"__lo_{name}"))
         bounds.append(F.min(F.when(F.col("__upto") > F.ceil(place), F.col("__v"))).alias(f"__hi_{name}"))
-    found = ranked.groupBy(*group, "n").agg(*bounds)
+    found = ranked.groupBy(*group, "n").agg(*bounds, F.sum(F.col("__v") * F.col("__c")).alias("total"))
     outputs = []
     for name, p in probabilities.items():
         place = F.lit(float(p)) * (F.col("n") - 1)
         low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         outputs.append((low + (high - low) * (place - F.floor(place))).cast("double").alias(name))
-    return found.select(*by, "n", *outputs)
+    return found.select(*by, "n", "total", *outputs)
 
 
 def beside_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

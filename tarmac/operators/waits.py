@@ -26,10 +26,9 @@ def _in_seconds(quantiles: DataFrame, names: list[str]) -> DataFrame:
 def wait_stats(events: DataFrame) -> DataFrame:
     """Mean, median and count of waits per take-off date and hour."""
     keys = ["takeoff_date", "takeoff_hour"]
-    means = events.groupBy(*keys).agg(F.sum("wait_ms").alias("__sum"), F.count("*").alias("n_takeoffs"))
     medians = _in_seconds(exact_quantiles(events, "wait_ms", {"median_s": 0.5}, tuple(keys)), ["median_s"])
-    return means.join(medians.drop("n"), keys).select(
-        *keys, (F.col("__sum") / F.col("n_takeoffs") / F.lit(1000.0)).alias("mean_s"), "median_s", "n_takeoffs"
+    return medians.select(
+        *keys, (F.col("total") / F.col("n") / F.lit(1000.0)).alias("mean_s"), "median_s", F.col("n").alias("n_takeoffs")
     )
 
 
@@ -125,7 +124,7 @@ def wait_box(events: DataFrame, by: str | None = None) -> DataFrame:
     """
     keys = [by] if by else []
     rows = events.dropna(subset=keys) if by else events
-    boxes = exact_quantiles(rows, "wait_ms", QUARTILES, tuple(keys))
+    boxes = exact_quantiles(rows, "wait_ms", QUARTILES, tuple(keys)).drop("total")
     spread = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     boxes = boxes.withColumns({"__low": F.col("q1") - spread, "__high": F.col("q3") + spread})
     waits = rows.select("wait_ms", *keys)

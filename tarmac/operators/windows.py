@@ -25,7 +25,7 @@ from tarmac.session import MINUTE_MS
 THRESHOLD_MS = 5 * MINUTE_MS
 FANOUT = 32
 FANOUT_UP = 256
-LEVELS = 3
+LEVELS = 2
 NEVER = -(1 << 62)
 
 
@@ -74,8 +74,8 @@ def slice_openings(
     long, and repeats are dropped there. A task sees the times of one slice, or
     the transfer tables of ``fanout_up`` neighbours; such a table has at most
     one entry per distinct time of one threshold length. With 5-minute windows
-    the three levels of slices are hours, weeks and decades long, so the last
-    step holds a single table per aircraft.
+    the two levels of slices are 2.7 hours and four weeks long, so the last
+    step holds 13 tables per aircraft and year; ``levels`` adds more.
     """
     base_ms = fanout * threshold_ms
     times = _sliced(rows, base_ms).select("icao", "slice", F.col("ts_kafka").alias("time"))
