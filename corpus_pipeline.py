@@ -19,6 +19,9 @@ from tarmac.llm.store import Scratch, row_key, without
 #: Share of the tokens that the mixture takes.
 MIXED_SHARE = 0.8
 
+#: Near copies agree in 80 of 100 five-word shingles; op3_ngram_jaccard has a contract of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is unknown."""
@@ -30,7 +33,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of similar ones."""
-    found = jaccard.similar_documents(docs)
+    found = jaccard.similar_documents(docs, k=NEAR_WORDS, percent=NEAR_PERCENT)
     dropped = Scratch(spark).save(found.where("row_key <> component_key").select("row_key"), "dropped")
     return without(docs, jaccard.document_key(), dropped)
 

@@ -42,6 +42,35 @@ def test_stages_against_brute_force(spark, stages):
     assert len(given) > len(single) > len(clean) > len(mixed)
 
 
+def test_near_copies_share_five_word_shingles(spark, stages):
+    """Each group at five words and 0.8 keeps one document, and the stages after it go on from there."""
+    _, spoken, single, clean, mixed, tokens = stages
+    ids = lambda rows: sorted(r.doc_id for r in rows)
+    texts = [(r.doc_id, r.text) for r in spoken]
+    kept = [d for d, _, c in groups(texts, 5, 80) if d == c]
+    assert ids(single) == kept
+    assert len(kept) < len([d for d, _, c in groups(texts) if d == c])  # these rows tell the two measures apart
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert ids(clean) == sorted(d for d, _, hit, _ in leaks([(r.doc_id, r.text) for r in single], items) if not hit)
+    domain = lambda s: f"domain{zlib.crc32(s.encode()) % 3}"
+    tree = [(r.doc_id, r.text, domain(r.source), r.lang, r.source) for r in clean]
+    weights = {(r.domain,): r.weight for r in cp.mixing_weights(spark)["domain"].collect()}
+    weights |= {(r.domain, r.lang): r.weight for r in cp.mixing_weights(spark)["lang"].collect()}
+    budget = int(sum(len(r.text.split()) for r in clean) * cp.MIXED_SHARE)
+    assert ids(mixed) == sorted(d for d, _, _ in mixture(tree, weights, budget, 1, 7))
+    assert ids(tokens) == ids(mixed)
+
+
+def test_edited_copy_is_joined(spark):
+    """An edited copy that 5 words at 0.8 find and 3 words at 0.9 do not."""
+    words = [f"w{i}" for i in range(50)]
+    texts = [(1, " ".join(words)), (2, " ".join([*words[:30], "other", *words[31:]])), (3, "a text of its own that is like none of the others")]
+    docs = spark.createDataFrame([(d, t, "en", "host", len(t)) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(r.doc_id for r in cp.join_near_copies(spark, docs, SF).collect())
+    assert kept == [1, 3] == [d for d, _, c in groups(texts, 5, 80) if d == c]
+    assert [d for d, _, c in groups(texts) if d == c] == [1, 2, 3]
+
+
 def test_run_gives_the_last_stage(spark, stages):
     found = cp.run(spark, SF)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, stages[-1]))
