@@ -47,14 +47,14 @@ def unescape(text: str) -> str:
 
 
 @lru_cache(2)
-def load_tokenizer(path: str):
+def load_tokenizer(path: str, special_as_text: bool = True):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer.encode_special_tokens = special_as_text  # their strings in a text are ordinary text
     return tokenizer
 
 

@@ -9,6 +9,8 @@ Encoding is shared between equal pieces of text. A byte-level tokenizer first cu
 into pieces, and it always cuts where white space follows anything else and where one of
 . , ; : ! ? follows an ASCII letter. Stretches between such places are encoded once
 per worker and batch (by the tokenizer's model alone where they are one word), and the ids are put together again with numpy.
+A string of an added token, such as <|endoftext|>, is a stretch of its own and gives that token's id, as the plain
+vocabulary has it; added tokens that strip white space or want whole words are refused.
 
 Defined results: a null text is the end id alone; a null doc_id sorts first; documents with
 the same id are ordered by their text's hash and all written; an empty table gives an empty
@@ -17,6 +19,7 @@ table; extra columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -47,7 +50,12 @@ class PieceEncoder:
     """Encodes texts as the tokenizer does, each different piece of a batch once."""
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = load_tokenizer(path)
+        self.tokenizer = load_tokenizer(path, special_as_text=False)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError(f"{path}: added tokens that strip white space or want whole words")
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        self.marks = re.compile(b"|".join(re.escape(s) for s in sorted(self.added, key=len, reverse=True)))
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.clear()
@@ -58,7 +66,9 @@ class PieceEncoder:
         other = []
         for i, piece in enumerate(pieces):
             text = piece.decode()
-            if (text[1:] if text[:1] == " " else text).isalpha():
+            if piece in self.added:
+                out[i] = [self.added[piece]]
+            elif (text[1:] if text[:1] == " " else text).isalpha():
                 out[i] = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
             else:
                 other.append((i, text))
@@ -91,9 +101,26 @@ class PieceEncoder:
         cut[1:n] |= space & (solid | wide)
         return np.flatnonzero(cut[:n])
 
+    def apart(self, begin: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Makes each string of an added token inside one text a piece of its own."""
+        blob, spans, at = data.tobytes(), [], 0
+        while self.added and (found := self.marks.search(blob, at)):
+            stop = int(bounds[np.searchsorted(bounds, found.start(), "right")])
+            inside = self.marks.match(blob, found.start(), stop)  # not across two texts
+            at = inside.end() if inside else found.start() + 1
+            if inside:
+                spans.append(inside.span())
+        if not spans:
+            return begin
+        first, last = np.array(spans).T
+        span = np.searchsorted(first, begin, "right") - 1
+        begin = begin[(span < 0) | (begin >= last[span])]
+        both = np.union1d(begin, np.concatenate((first, last)))
+        return both[both < len(data)]
+
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and len(bounds) offsets into them."""
-        begin = self.cuts(data, bounds)
+        begin = self.apart(self.cuts(data, bounds), data, bounds)
         if not len(begin):
             return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
         end = np.append(begin[1:], len(data))

@@ -70,3 +70,15 @@ def test_byte_letters_match_the_vocabulary(tokenizer_path):
     vocab = load_tokenizer(tokenizer_path).get_vocab()
     letters = tf.byte_letters()
     assert len(set(letters.values())) == 256 and all(c in vocab for c in letters.values())
+
+
+def test_added_tokens_have_their_id(tokenizer_path):
+    """As the plain vocabulary has it; a mark that only two texts together spell is none."""
+    tokenizer = load_tokenizer(tokenizer_path, special_as_text=False)
+    mark = "<|endoftext|>"
+    texts = [f"x {mark} y", mark, f"{mark}{mark}a", f"<{mark}>  {mark}\n", "<|endo", f"ftext|>b, c.{mark}", None, f"é {mark}日本"]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids[1:].count(50256) == 1
+    for first, stop, ids, offsets in tf.encode_texts(pa.array(texts, pa.string()), tokenizer_path):
+        for i in range(first, stop):
+            expected = tokenizer.encode(texts[i] or "", add_special_tokens=False).ids
+            assert ids[offsets[i - first] : offsets[i - first + 1]].tolist() == expected, texts[i]
