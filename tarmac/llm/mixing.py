@@ -1,8 +1,8 @@
 """Mixing sources to target weights by hierarchical budgets (DataFrame functions only).
 
 Method: documents hang under the leaves of a tree (by default domain, language, source). Each
-node has a weight among its siblings and a capacity, the tokens below it times the number
-of epochs. From the root down a node's budget is shared among its children by
+node has a weight among its siblings and a capacity, the tokens that can be taken below it
+(children of weight 0 do not count) times the number of epochs. From the root down a node's budget is shared among its children by
 weight; a child whose capacity is less gives the rest to its siblings, again by weight, so
 a shortage moves to another branch only when all siblings are full. A leaf takes
 whole epochs and then a prefix of one more: each epoch orders the leaf's documents
@@ -69,18 +69,27 @@ def leaf_budgets(leaves: DataFrame, levels: tuple[str, ...], weights: dict[str,
     weights has, by level, a table of that level's path columns and weight.
     """
     given = leaves.withColumn("capacity", F.col("tokens") * max_epochs)
-    root = given.agg(F.coalesce(F.sum("capacity"), F.lit(0).cast("long")).alias("capacity"), F.coalesce(F.sum("tokens"), F.lit(0).cast("long")).alias("tokens"))
+    sized: dict[str, DataFrame] = {}
+    nodes = given.groupBy(*levels).agg(F.sum("capacity").alias("capacity"))
+    for i in reversed(range(len(levels))):
+        here = list(levels[: i + 1])
+        if levels[i] in weights:
+            nodes = nodes.join(weights[levels[i]].select(*here, F.col("weight").cast("double").alias("weight")), here, "left")
+            nodes = nodes.withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+        else:
+            nodes = nodes.withColumn("weight", F.lit(1.0))
+        sized[levels[i]] = nodes
+        # children of weight 0 get nothing unless all have weight 0, so only then their tokens can be taken
+        weighted = F.sum(F.when(F.col("weight") > 0, F.col("capacity")))
+        nodes = nodes.groupBy(*here[:-1]).agg(F.when(F.sum("weight") > 0, weighted).otherwise(F.sum("capacity")).alias("capacity"))
+    most = nodes.select(F.coalesce("capacity", F.lit(0).cast("long")).alias("capacity"))
+    root = most.crossJoin(given.agg(F.coalesce(F.sum("tokens"), F.lit(0).cast("long")).alias("tokens")))
     whole = root.select(F.least(budget.cast("long"), F.col("capacity"))).first()[0]
     path: list[str] = []
     above = None
     for level in levels:
         here = [*path, level]
-        nodes = given.groupBy(*here).agg(F.sum("capacity").alias("capacity"))
-        if level in weights:
-            nodes = nodes.join(weights[level].select(*here, F.col("weight").cast("double").alias("weight")), here, "left")
-            nodes = nodes.withColumn("weight", F.coalesce("weight", F.lit(1.0)))
-        else:
-            nodes = nodes.withColumn("weight", F.lit(1.0))
+        nodes = sized[level]
         nodes = nodes.withColumn("budget", F.lit(whole)) if above is None else nodes.join(above, path)
         placed = shares(nodes, path, [level])
         path = here
@@ -110,7 +119,7 @@ def mix(
     key = F.concat_ws("#", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.when(F.col("doc_id").isNull(), F.md5("text")))
     sized = docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), *[c.alias(n) for n, c in names.items()], key.alias("doc_key"), word_tokens(F.col("text")).alias("n_tokens"))
     sized = scratch.save(sized, "sized")
-    leaves = sized.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
+    leaves = scratch.save(sized.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), "leaves")
     half = F.floor(F.col("tokens") / 2)
     plan = leaf_budgets(leaves, levels, weights or {}, half if budget is None else budget, max_epochs)
     whole = F.when(F.col("tokens") > 0, F.floor(F.col("allotted") / F.col("tokens"))).otherwise(F.lit(0))

@@ -75,3 +75,12 @@ def test_odd_rows(spark, odd_docs):
     found = mixing.mix(tree, budget=F.col("tokens"), max_epochs=1).collect()
     assert len(found) == odd_docs.where("lang IS NOT NULL").count() and all(r.taken == r.n_tokens for r in found)
     assert mixing.mix(tree.limit(0)).collect() == []
+
+
+def test_tokens_of_weight_0_are_no_capacity(spark):
+    """What a node's children of weight 0 hold is not kept from its siblings."""
+    rows = [(1, "w " * 10, "x", "a", "s"), (2, "w " * 100, "x", "b", "s"), (3, "w " * 100, "y", "a", "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, domain string, lang string, source string")
+    weights = {"lang": spark.createDataFrame([("x", "b", 0.0)], "domain string, lang string, weight double")}
+    taken = {r.doc_id: r.taken for r in mixing.mix(frame, weights=weights, budget=F.lit(100)).collect()}
+    assert taken == {1: 10, 3: 90}
