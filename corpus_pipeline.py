@@ -1,8 +1,9 @@
 """From raw documents to token files: five stages, each over all rows that the one before kept.
 
 run() writes what each stage returns and reads it again as the next one's documents. All
-stages but the last return the columns of documents. Rows that share an id and a text
-are kept or dropped together, null ids included; empty input stays empty throughout.
+stages but the last return the columns of documents. Of rows that share an
+id and a text the n-gram stage keeps one at most; the other stages keep or drop them together,
+null ids included. Empty input stays empty throughout.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import decontaminate, jaccard, language, mixing, token_files
 from tarmac.llm.queries import mixing_weights, table, tokenizer_path
-from tarmac.llm.store import Scratch, row_key, without
+from tarmac.llm.store import Scratch, one_of_each, row_key, without
 
 #: Share of the tokens that the mixture takes.
 MIXED_SHARE = 0.8
@@ -32,10 +33,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of similar ones."""
+    """Keeps one row of each group of similar documents, that with the smallest id."""
     found = jaccard.similar_documents(docs, k=NEAR_WORDS, percent=NEAR_PERCENT)
-    dropped = Scratch(spark).save(found.where("row_key <> component_key").select("row_key"), "dropped")
-    return without(docs, jaccard.document_key(), dropped)
+    found = Scratch(spark).save(found.select("row_key", "component_key"), "found")
+    dropped = found.where("row_key <> component_key").select("row_key")
+    repeated = found.where("row_key = component_key").groupBy("row_key").count().where("count > 1").select("row_key")
+    kept = without(docs, jaccard.document_key(), dropped)
+    return one_of_each(kept, jaccard.document_key(), repeated)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,9 +14,9 @@ other pairs are compared only across components, so a group of many near copies
 pairs in proportion to its size. No link between different components is lost.
 
 Defined results: texts of fewer than K words are one shingle; null or empty texts have none
-and stand alone; documents with a null id take part under a key of their text, and a
-component without any id is null; an empty table gives an empty
-table; columns other than doc_id and text are not read. Sizes are exact up to 64-bit hash
+and stand alone; a document is a row's id and text, so texts that share an id, or have none, are
+documents of their own; a component's id is the smallest of its documents', null where none has one;
+an empty table gives an empty table; columns other than doc_id and text are not read. Sizes are exact up to 64-bit hash
 collisions.
 """
 
@@ -43,9 +43,7 @@ _BLOCK = 1 << 16
 PARTS = 32
 #: Counts by hash range are bytes. Where one does not fit, all are this, which claims nothing.
 MOST_IN_PART = 255
-#: Document ids are less; the keys of documents without one are not.
-NO_ID = 1 << 62
-_SIGN_SCHEMA = "doc_id long, n int, s1 long, s2 long, block int, counts binary"
+_SIGN_SCHEMA = "doc_id long, row_key long, n int, s1 long, s2 long, block int, counts binary"
 
 
 _PART_BOUNDS = np.arange(PARTS, dtype=w.U64) << w.U64(64 - 5)
@@ -77,23 +75,24 @@ def signed_sets(docs: DataFrame, k: int, n_slots: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(first, n),
+                        batch["row_key"].slice(first, n),
                         pa.array(sizes, pa.int32()),
                         pa.array(total(w.mix(flat + w.U64(1))).view(np.int64)),
                         pa.array(total(w.mix(flat ^ w.U64(0x5851F42D4C957F2D))).view(np.int64)),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.binary()),
                     ],
-                    names=["doc_id", "n", "s1", "s2", "block", "counts"],
+                    names=["doc_id", "row_key", "n", "s1", "s2", "block", "counts"],
                 )
         blocks = [i for i in range(n_slots // _BLOCK) if counts[i * _BLOCK : (i + 1) * _BLOCK].any()]
         packed = [zlib.compress(counts[i * _BLOCK : (i + 1) * _BLOCK].tobytes(), 1) for i in blocks]
         none = pa.nulls(len(blocks), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none.cast(pa.int32()), none, none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())],
-            names=["doc_id", "n", "s1", "s2", "block", "counts"],
+            [none, none, none.cast(pa.int32()), none, none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())],
+            names=["doc_id", "row_key", "n", "s1", "s2", "block", "counts"],
         )
 
-    return docs.mapInArrow(run, _SIGN_SCHEMA)
+    return docs.select("doc_id", document_key().alias("row_key"), "text").mapInArrow(run, _SIGN_SCHEMA)
 
 
 def slot_counts(signed: DataFrame, n_slots: int) -> np.ndarray:
@@ -243,19 +242,20 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: S
 
 
 def document_key() -> Column:
-    """A document's id, or a key of its text where the id is null."""
-    return F.coalesce("doc_id", F.lit(NO_ID) + F.abs(F.xxhash64("text") % F.lit(NO_ID >> 1)))
+    """A key of a document's id and text, which only equal rows share."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
 def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id for every row of docs.
 
-    row_key is the document_key(), component_key the component's smallest row_key.
+    row_key is the document_key(), component_key that of the component's document with the smallest id.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = docs.select(document_key().alias("doc_id"), "text")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = given.select(document_key().alias("doc_id"), "text")
     n_slots = slots_for(rows.agg(F.sum(F.length("text"))).first()[0] or 0)
-    signed = scratch.save(signed_sets(rows, k, n_slots), "signed")
+    signed = scratch.save(signed_sets(given, k, n_slots), "signed")
     ordered = prefixes(rows, slot_counts(signed, n_slots), k, percent)
     # one document stands for all with an equal set
     first = F.min(F.struct("doc_id", "prefix", "parts")).alias("first")
@@ -297,15 +297,19 @@ def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Da
     more = verified(across.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")), rows, k, percent, scratch)
     labels = components(links.union(more), scratch)
 
-    # a class's component is its first document's; a component's id is its smallest document id
+    # a class's component is its first document's; a component is named by its document with the smallest id
+    signs = signed.where("block IS NULL").drop("block", "counts")
+    least = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    firsts = signs.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(least).alias("least"))
     whole = classes.select("n", "s1", "s2", "doc_id").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    whole = whole.select("n", "s1", "s2", F.coalesce("component", "doc_id").alias("component"))
-    each = signed.where("block IS NULL").select("doc_id", "n", "s1", "s2").join(whole, ["n", "s1", "s2"], "left")
-    named = lambda c: F.when(c < NO_ID, c)
+    whole = whole.select("n", "s1", "s2", F.coalesce("component", "doc_id").alias("component")).join(firsts, ["n", "s1", "s2"])
+    whole = scratch.save(whole, "whole")
+    heads = whole.groupBy("component").agg(F.min("least").alias("head"))
+    each = signs.join(whole.drop("least").join(heads, "component"), ["n", "s1", "s2"], "left")
     return each.select(
-        named(F.col("doc_id")).alias("doc_id"),
-        F.col("doc_id").alias("row_key"),
+        "doc_id",
+        "row_key",
         F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_key"),
-        named(F.coalesce("component", "doc_id")).alias("component_id"),
+        F.coalesce("head.row_key", "row_key").alias("component_key"),
+        F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
     )

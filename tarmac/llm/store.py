@@ -72,6 +72,23 @@ def maybe_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[spots >> 5] >> (spots & 31).astype(np.uint32)) & np.uint32(1) == 1
 
 
+def one_of_each(docs: DataFrame, key: Column, repeated: DataFrame) -> DataFrame:
+    """The rows of docs, of those with a key among the values of repeated's only column one for each key.
+
+    As in without(), rows that a bitmap of the repeated keys clears are not shuffled.
+    """
+    bitmap = docs.sparkSession.sparkContext.broadcast(filter_words(repeated, repeated.columns[0]))
+
+    @F.pandas_udf(T.BooleanType())
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(maybe_in(bitmap.value, keys.to_numpy()))
+
+    keyed = docs.withColumn("_key", key)
+    sure = keyed.where(~maybe("_key")).drop("_key")
+    other = keyed.where(maybe("_key")).groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return sure.unionByName(other.select("_row.*"))
+
+
 def without(docs: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
     """The rows of docs whose key is not among the values of dropped's only column.
 

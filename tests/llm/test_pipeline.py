@@ -71,6 +71,17 @@ def test_edited_copy_is_joined(spark):
     assert [d for d, _, c in groups(texts) if d == c] == [1, 2, 3]
 
 
+def test_texts_under_one_id_and_repeated_rows(spark):
+    """A clean text whose id another text shares stays; equal rows, and equal texts without id, leave one."""
+    near = " ".join(f"w{i}" for i in range(50))
+    rows = [(3, near), (5, near + " end"), (5, "a clean text of its own that is like none of the others"), (7, "one row given three times over here")]
+    rows += [rows[-1]] * 2 + [(None, "the same words and no id at all")] * 2
+    docs = spark.createDataFrame([(d, t, "en", f"host{i}", len(t)) for i, (d, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.join_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, rows[-1][1]), (3, near), (5, rows[2][1]), (7, rows[3][1])]
+
+
 def test_run_gives_the_last_stage(spark, stages):
     found = cp.run(spark, SF)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, stages[-1]))
