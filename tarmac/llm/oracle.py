@@ -155,3 +155,28 @@ cut AS (SELECT *, budget - whole * tokens AS part, coalesce(sum(n_tokens) OVER (
 SELECT doc_id, domain, lang, source, epoch::INTEGER AS epoch, n_tokens, n_tokens AS taken FROM rows WHERE epoch < whole
 UNION ALL
 SELECT doc_id, domain, lang, source, epoch::INTEGER, n_tokens, least(n_tokens, part - before)::BIGINT FROM cut WHERE part > before AND n_tokens > 0"""
+
+
+FILL_MIDDLE = """
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), numbers AS (
+    SELECT doc_id, t, length(t) AS n,
+        [CAST('0x' || substr(h, 1, 8) AS BIGINT), CAST('0x' || substr(h, 9, 8) AS BIGINT),
+         CAST('0x' || substr(h, 17, 8) AS BIGINT), CAST('0x' || substr(h, 25, 8) AS BIGINT)] AS x
+    FROM cut
+), formed AS (
+    SELECT doc_id, t, n, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR x[3] % 100 >= 90 THEN 'plain'
+             WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), pieces AS (
+    SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM formed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM pieces
+"""

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tarmac.llm import chat, decontaminate, jaccard, language, mixing, oracle, resample, suffix_tree, token_files, topk, urls
+from tarmac.llm import chat, decontaminate, fill_middle, jaccard, language, mixing, oracle, periods, personal, resample, suffix_tree, token_files, topk, urls
 from tarmac.llm.store import Scratch
 
 
@@ -130,6 +133,60 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal(table(spark, sf_dir, "documents"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@F.pandas_udf(T.StringType())
+def repeated(doc_id: pd.Series, text: pd.Series) -> pd.Series:
+    """Texts of which a tenth, chosen by id, repeat a stretch of their words to the end."""
+
+    def one(key: str, text: str | None) -> str | None:
+        h = zlib.crc32(key.encode())
+        said = (text or "").encode().split() if h % 10 == 0 else []
+        if not said:
+            return text
+        n, g = len(said), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return b" ".join(said[i] if i < a else said[a + (i - a) % p] for i in range(n)).decode()
+
+    return pd.Series([one(k, t) for k, t in zip(doc_id, text)], dtype=object)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = periods.periodic_runs(docs.withColumn("text", repeated(key, "text")))
+    ordered = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    found = found.withColumn("most", F.array_max(ordered))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("most.back")).alias("start"),
+        F.col("most.length").alias("length"),
+        (-F.col("most.period")).alias("period"),
+        F.expr("1000 * most.length div -most.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.fill_middle(table(spark, sf_dir, "documents"), seed=1)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    names = ["doc_id", "n", "form", "prefix_chars", "middle_chars"]
+    return found.select(*names, F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -142,6 +199,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_quality_resample": op9_quality_resample,
     "op10_url_filter": op10_url_filter,
+    "op11_personal": op11_personal,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 SQL: dict[str, str] = {
@@ -151,4 +211,5 @@ SQL: dict[str, str] = {
     "op6_mixing": oracle.mixed(DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, MIXED_EPOCHS, MIXED_SEED),
     "op7_exact_topk": oracle.EXACT_TOPK,
     "op10_url_filter": oracle.url_filter(),
+    "op13_fill_middle": oracle.FILL_MIDDLE,
 }
