@@ -40,6 +40,10 @@ PERCENT = 90
 #: Slots of the table of counts, by the corpus' size: powers of two, about CHARS_A_SLOT characters each.
 LEAST_SLOTS, MOST_SLOTS, CHARS_A_SLOT = 1 << 16, 1 << 24, 48
 _BLOCK = 1 << 16
+#: A task's counts are bytes: what is this frequent in one task is ordered by how many tasks say so.
+MOST_IN_TASK = 255
+#: Tasks that sum the blocks of counts.
+MOST_SUMMING = 32
 PARTS = 32
 #: Counts by hash range are bytes. Where one does not fit, all are this, which claims nothing.
 MOST_IN_PART = 255
@@ -61,14 +65,14 @@ def signed_sets(docs: DataFrame, k: int, n_slots: int) -> DataFrame:
     """Per document its set's size and 128-bit signature; per task the counts of its shingles by slot, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(n_slots, np.int32)
+        counts = np.zeros(n_slots, np.uint8)
         for batch in batches:
             for first, hashes, offsets in w.each_text(batch["text"]):
                 sets = list(w.shingle_sets(hashes, offsets, k))
                 sizes = np.fromiter(map(len, sets), np.int64, len(sets))
                 flat = np.concatenate(sets) if sets else np.zeros(0, w.U64)
                 slots, many = np.unique(_slot(flat, n_slots), return_counts=True)
-                counts[slots] += many.astype(np.int32)
+                counts[slots] = np.minimum(counts[slots] + many, MOST_IN_TASK)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
                 total = lambda x: np.diff(np.concatenate(([w.U64(0)], np.cumsum(x)))[ends])  # noqa: E731  sums of mixed hashes
                 n = len(sets)
@@ -95,33 +99,33 @@ def signed_sets(docs: DataFrame, k: int, n_slots: int) -> DataFrame:
     return docs.select("doc_id", document_key().alias("row_key"), "text").mapInArrow(run, _SIGN_SCHEMA)
 
 
-def slot_counts(signed: DataFrame, n_slots: int) -> np.ndarray:
-    """The corpus counts by slot: MOST_SLOTS numbers at most."""
+def slot_ranks(signed: DataFrame, n_slots: int) -> np.ndarray:
+    """The order of slots by their counts in the corpus: 2 bytes for each of MOST_SLOTS at most, summed and ranked in tasks."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, packed in zip(batch["block"].to_pylist(), batch["counts"].to_pylist()):
-                sums[block] = sums.get(block, 0) + np.frombuffer(zlib.decompress(packed), np.int32).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([s.astype("<i8").tobytes() for s in sums.values()], pa.binary())], names=["block", "counts"]
-        )
+                own = sums.setdefault(block, np.zeros(_BLOCK, np.int64))
+                own += np.frombuffer(zlib.decompress(packed), np.uint8)
+        # counts up to 4096 keep their order, larger ones that of their logarithm
+        ranks = [np.where(c <= 4096, c, 4096 + np.log2(np.maximum(c, 1) / 4096) * 1024).astype("<u2").tobytes() for c in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(ranks, pa.binary())], names=["block", "ranks"])
 
-    blocks = signed.where("block IS NOT NULL").select("block", "counts").repartition(n_slots // _BLOCK, "block")
-    counts = np.zeros(n_slots, np.int64)
-    for row in blocks.mapInArrow(add, "block int, counts binary").toLocalIterator():
-        counts[row.block * _BLOCK : (row.block + 1) * _BLOCK] += np.frombuffer(row.counts, "<i8")
-    return counts
+    blocks = signed.where("block IS NOT NULL").select("block", "counts").repartition(min(n_slots // _BLOCK, MOST_SUMMING), "block")
+    ranks = np.zeros(n_slots, np.uint16)
+    found = blocks.mapInArrow(add, "block int, ranks binary").toArrow()
+    for block, own in zip(found["block"].to_pylist(), found["ranks"]):
+        ranks[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(own.as_buffer(), "<u2")
+    return ranks
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, ranks: np.ndarray, k: int, percent: int) -> DataFrame:
     """(doc_id, n, s1, s2, prefix, parts): the rarest shingles of each set, rare first, and its counts by hash range."""
-    # counts up to 4096 keep their order, larger ones that of their logarithm
-    ranks = np.where(counts <= 4096, counts, 4096 + np.log2(np.maximum(counts, 1) / 4096) * 1024).astype(np.uint16)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # 2 bytes for each of MOST_SLOTS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +260,7 @@ def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Da
     rows = given.select(document_key().alias("doc_id"), "text")
     n_slots = slots_for(rows.agg(F.sum(F.length("text"))).first()[0] or 0)
     signed = scratch.save(signed_sets(given, k, n_slots), "signed")
-    ordered = prefixes(rows, slot_counts(signed, n_slots), k, percent)
+    ordered = prefixes(rows, slot_ranks(signed, n_slots), k, percent)
     # one document stands for all with an equal set
     first = F.min(F.struct("doc_id", "prefix", "parts")).alias("first")
     classes = ordered.where("n > 0").groupBy("n", "s1", "s2").agg(first)

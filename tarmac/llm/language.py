@@ -12,8 +12,9 @@ The tables for both are grouped counts of the languages that the text alone give
 Defined results: texts without a trigram that holds a letter, null texts among them, are UNKNOWN
 with confidence 1; a null declaration is no evidence; a null host takes the suffix' prior, a null
 suffix the corpus'; ties go to the language first in alphabetical order; equal rows get equal
-results; an empty table gives an empty table; extra columns are not read. Without any
-labelled text all rows are UNKNOWN.
+results; an empty table gives an empty table; extra columns are not read. A label counts by
+its language (``EN`` and ``en-GB`` as ``en``); labels that are no language tag train nothing (unlabelled() has
+them). Without any labelled text all rows are UNKNOWN.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ EVIDENCE = 200.0
 HOST_ROWS, SUFFIX_ROWS, DECLARED_ROWS = 20.0, 100.0, 20.0
 UNKNOWN_PRIOR = 0.01
 MIN_CONFIDENCE = 0.5
-LABEL = "^[a-z]{2,3}$"
+#: A label is a language tag; its first part is the language.
+LABEL = "^([a-z]{2,3})(?:[-_].*)?$"
 
 
 def trigrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +61,11 @@ def _each(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         yield at, stop - at, *trigrams(*w.raw(texts.slice(at, stop - at)))
 
 
+def unlabelled(labelled: DataFrame) -> DataFrame:
+    """(lang, n): the labels that are no language tag, null among them, and how many rows carry each."""
+    return labelled.where(language_of(F.col("lang")).isNull()).groupBy("lang").agg(F.count("*").alias("n"))
+
+
 def trigram_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
     """(place, bucket, n): counts per language, by its place in languages."""
 
@@ -79,9 +86,15 @@ def trigram_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
     return counted.groupBy("place", "bucket").agg(F.sum("n").alias("n"))
 
 
+def language_of(label: Column) -> Column:
+    """The language of a label such as ``en``, ``EN`` or ``pt-BR``; null if it is no language tag."""
+    return F.nullif(F.regexp_extract(F.lower(F.trim(label)), LABEL, 1), F.lit(""))
+
+
 def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and log probabilities of BUCKETS trigrams for each and for UNKNOWN."""
-    labels = labelled.where(F.regexp_like("lang", F.lit(LABEL)) & (F.col("lang") != UNKNOWN)).select("lang").distinct()
+    labelled = labelled.select(language_of(F.col("lang")).alias("lang"), "text").where(F.col("lang") != UNKNOWN)
+    labels = labelled.select("lang").distinct()
     languages = sorted(r[0] for r in labels.collect())  # language codes: a bounded set
     counts = np.zeros((len(languages) + 1, BUCKETS))
     if languages:
@@ -175,12 +188,14 @@ def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """(id, text, declared, host, suffix) of pages (page_id, url, html)."""
+    """(id, text, declared, host, suffix) of pages (page_id, url, html); a suffix has no port, and a numeric address none."""
     host, _ = host_and_path(F.col("url"))
     bare = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
     declared = F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
     named = pages.select(F.col("page_id").alias("id"), bare.alias("text"), F.nullif(declared, F.lit("")).alias("declared"), F.nullif(host, F.lit("")).alias("host"))
-    return named.withColumn("suffix", F.regexp_extract("host", r"([^.]*)$", 1))
+    name = F.regexp_replace("host", r":[0-9]*$", "")
+    numeric = F.regexp_like(name, F.lit(r"^[0-9.]*$")) | F.startswith(name, F.lit("["))
+    return named.withColumn("suffix", F.when(~numeric, F.nullif(F.regexp_extract(name, r"([^.]*)$", 1), F.lit(""))))
 
 
 def document_evidence(docs: DataFrame, key: Column | None = None) -> DataFrame:

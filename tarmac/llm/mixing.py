@@ -17,7 +17,7 @@ slices' totals and then inside each slice, so no task holds a large source.
 Defined results: null names are a name of their own; a null or empty text has no tokens and is
 taken in every whole epoch (a leaf without any tokens has none); weights missing from the table are 1, and a sibling of weight 0
 gets nothing unless all have weight 0, when all are treated alike; equal rows stay
-apart; an empty table gives an empty table; with a budget above all capacities everything is
+apart; documents that share an id share a digest and are taken in the order of row_key, a hash of id and text; an empty table gives an empty table; with a budget above all capacities everything is
 taken max_epochs times. Columns other than the named ones are kept out of the work.
 """
 
@@ -136,7 +136,7 @@ def mix(
     in_leaf = Window.partitionBy(*levels).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy(*levels, "slice").agg(F.sum("n_tokens").alias("in_slice"))
     totals = totals.select(*levels, "slice", F.coalesce(F.sum("in_slice").over(in_leaf), F.lit(0)).alias("before_slice"))
-    in_slice = Window.partitionBy(*levels, "slice").orderBy("digest", "doc_key").rowsBetween(Window.unboundedPreceding, -1)
+    in_slice = Window.partitionBy(*levels, "slice").orderBy("digest", "doc_key", "row_key").rowsBetween(Window.unboundedPreceding, -1)
     cut = cut.withColumn("inside", F.coalesce(F.sum("n_tokens").over(in_slice), F.lit(0))).join(totals, [*levels, "slice"])
     room = F.col("part") - F.col("before_slice") - F.col("inside")
     cut = cut.withColumn("taken", F.least("n_tokens", room)).where((F.col("taken") > 0))

@@ -73,11 +73,14 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
 
+#: Rounds that the statement spells out; the given pages need fewer levels and fewer rounds of groups.
+SQL_LEVELS, SQL_ROUNDS = 12, 6
+
+
 def url_filter() -> str:
     rules = ", ".join(f"({_quoted(r.verdict)}, {_quoted(r.host)}, {_quoted(r.path)})" for r in urls.RULES)
-    depth = urls.MAX_DEPTH
     levels, last = [], "nodes"
-    for i in range(1, depth + 1):
+    for i in range(1, SQL_LEVELS + 1):
         levels.append(f"""
 c{i} AS (SELECT *, template[1:{i - 1}] AS parent, template[{i}] AS child FROM {last}),
 v{i} AS (SELECT host, parent FROM (SELECT host, parent, child, sum(n) AS n FROM c{i} WHERE child IS NOT NULL AND child <> '*' GROUP BY ALL)
@@ -86,6 +89,15 @@ l{i} AS (SELECT c.host, lexical, n, labelled, blocked,
   CASE WHEN v.host IS NOT NULL AND child IS NOT NULL THEN list_concat(list_concat(template[1:{i - 1}], ['*']), template[{i + 1}:]) ELSE template END AS template
   FROM c{i} c LEFT JOIN v{i} v ON c.host = v.host AND c.parent = v.parent),""")
         last = f"l{i}"
+    rounds = []
+    for i in range(1, SQL_ROUNDS + 1):
+        rounds.append(f"""
+s{i} AS (SELECT *, blocked / labelled - (sum(blocked) OVER w - blocked) / nullif(sum(labelled) OVER w - labelled, 0) AS apart,
+  sum(blocked) OVER w / sum(labelled) OVER w AS pooled, 1 / labelled + 1 / nullif(sum(labelled) OVER w - labelled, 0) AS spread
+  FROM g{i - 1} WINDOW w AS (PARTITION BY host, parent, grp)),
+g{i} AS (SELECT host, parent, template, labelled, blocked, grp || CASE WHEN coalesce(abs(apart) > {urls.SIMILAR_Z} * sqrt(pooled * (1 - pooled) * spread), false)
+  THEN CASE WHEN apart < 0 THEN '{i}<' ELSE '{i}>' END ELSE '' END AS grp FROM s{i}),""")
+    m = urls.PRIOR_PAGES
     return f"""
 WITH rules(verdict, rule_host, rule_path) AS (VALUES {rules}),
 u AS (SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
@@ -94,20 +106,20 @@ p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{urls.UPPE
 fits AS (SELECT DISTINCT p.host, p.path, rule_host || rule_path AS rule, verdict,
   row_number() OVER (PARTITION BY p.host, p.path ORDER BY length(rule_host || rule_path) DESC) AS place
   FROM (SELECT DISTINCT host, path FROM p) p JOIN rules ON ends_with('.' || p.host, '.' || rule_host) AND starts_with(p.path, rule_path)),
-segments AS (SELECT p.*, rule, verdict AS label, list_transform(list_filter(string_split(p.path, '/'), lambda s: s <> ''),
-  lambda s: CASE WHEN regexp_matches(s, '[0-9]') THEN '*' ELSE s END) AS g
+r AS (SELECT p.*, rule, verdict AS label, list_transform(list_filter(string_split(p.path, '/'), lambda s: s <> ''),
+  lambda s: CASE WHEN regexp_matches(s, '[0-9]') THEN '*' ELSE s END) AS lexical
   FROM p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path AND place = 1),
-r AS (SELECT *, CASE WHEN len(g) > {depth} THEN list_concat(g[1:{depth}], ['**']) ELSE g END AS lexical FROM segments),
 nodes AS (SELECT host, lexical, lexical AS template, count(*) AS n, count(label) AS labelled, count(*) FILTER (label = 'block') AS blocked FROM r GROUP BY host, lexical),
 {"".join(levels)}
-t AS (SELECT host, template, template[1:greatest(len(template) - 1, 0)] AS parent, sum(labelled) AS labelled, sum(blocked) AS blocked FROM {last} GROUP BY host, template),
-b AS (SELECT *, array_to_string(template, '/') AS name, labelled > 0 AS known, CASE WHEN labelled > 0 THEN blocked / labelled END AS rate FROM t),
-a AS (SELECT *, lag(labelled) OVER w AS m, lag(rate) OVER w AS rate0, (blocked + lag(blocked) OVER w) / nullif(labelled + lag(labelled) OVER w, 0) AS pooled
-  FROM b WINDOW w AS (PARTITION BY host, parent, known ORDER BY rate, name)),
-m AS (SELECT *, sum(CASE WHEN coalesce(abs(rate - rate0) <= {urls.SIMILAR_Z} * sqrt(pooled * (1 - pooled) * (1 / nullif(labelled, 0) + 1 / nullif(m, 0))), false) THEN 0 ELSE 1 END)
-  OVER (PARTITION BY host, parent, known ORDER BY rate, name) AS grp FROM a),
-purity AS (SELECT host, template, (sum(blocked) OVER w + {urls.PRIOR_PAGES * urls.PRIOR_RATE}) / (sum(labelled) OVER w + {urls.PRIOR_PAGES}) AS purity
-  FROM m WINDOW w AS (PARTITION BY host, parent, known, grp))
+b AS (SELECT host, template, template[1:greatest(len(template) - 1, 0)] AS parent, sum(labelled)::DOUBLE AS labelled, sum(blocked)::DOUBLE AS blocked FROM {last} GROUP BY host, template),
+corpus AS (SELECT (sum(blocked) + {m * urls.PRIOR_RATE}) / (sum(labelled) + {m}) AS corpus_rate FROM b),
+hosts AS (SELECT host, (sum(blocked) + {m} * min(corpus_rate)) / (sum(labelled) + {m}) AS host_rate FROM b, corpus GROUP BY host),
+places AS (SELECT host, parent, (sum(blocked) + {m} * min(host_rate)) / (sum(labelled) + {m}) AS place_rate FROM b JOIN hosts USING (host) GROUP BY host, parent),
+g0 AS (SELECT host, parent, template, labelled, blocked, '' AS grp FROM b WHERE labelled > 0),
+{"".join(rounds)}
+purity AS (SELECT g.host, template, (sum(blocked) OVER w + {m} * place_rate) / (sum(labelled) OVER w + {m}) AS purity
+  FROM g{SQL_ROUNDS} g JOIN places p ON g.host = p.host AND g.parent = p.parent WINDOW w AS (PARTITION BY g.host, g.parent, grp)
+  UNION ALL SELECT b.host, template, place_rate FROM b JOIN places p ON b.host = p.host AND b.parent = p.parent WHERE labelled = 0)
 SELECT page_id, r.host, path, rule, coalesce(label, CASE WHEN purity > {urls.BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
 FROM r JOIN {last} l ON r.host = l.host AND r.lexical = l.lexical JOIN purity q ON q.host = l.host AND q.template = l.template"""
 

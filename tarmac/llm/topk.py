@@ -16,7 +16,7 @@ Defined results: vectors that are null, or hold null or non-finite components, t
 shorter vectors count as filled up with zeros; ties go to the smaller id; rows with a null
 id take no part; rows that repeat an id are each answered, and none is its own candidate; with fewer
 than k candidates all are returned; empty tables give an empty table; other columns are not
-read. Scaled components must be below 2**53 in size, and scores must fit 63 bits.
+read. Scaled components of 2**53 or more in size raise an error, as do components so large that a score might not fit 63 bits.
 """
 
 from __future__ import annotations
@@ -58,6 +58,8 @@ def packed(vectors: DataFrame, size: int, name: str) -> DataFrame:
                 dim = int(lengths.max()) if len(lengths) else 0
                 matrix = np.zeros((len(lengths), dim), np.int64)
                 matrix[np.arange(dim) < lengths[:, None]] = part["v"].flatten().to_numpy()
+                if ((matrix >= EXACT) | (matrix <= -EXACT)).any():
+                    raise OverflowError("a scaled component is 2**53 or more in size; take a smaller scale")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part["id"].to_numpy().tobytes()]), pa.array([dim], pa.int32()), pa.array([matrix.tobytes()])],
                     names=["ids", "dim", "matrix"],
@@ -102,6 +104,8 @@ def block_top(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queri
     lists = SortedLists(vectors)
     positive, negative = np.maximum(queries, 0).astype(np.float64).T, np.minimum(queries, 0).astype(np.float64).T
     most = float(np.abs(lists.floats).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(vectors.shape[1], 1)
+    if most >= 2.0**63:
+        raise OverflowError("scores need not fit 63 bits; take a smaller scale")
     slack = 0.0 if most < EXACT else most * vectors.shape[1] * 2.0**-50  # rounding of larger products
     own = ids[:, None] == query_ids
     open_queries, rows, picks, scores = np.arange(len(queries)), [], [], []

@@ -2,16 +2,18 @@
 
 Method: a url's path becomes a template: segments holding a digit turn into ``*`` at
 once, and so do segments at a place of the host's tree that has many different
-children for its rows. Templates with the same host and parent are branches; those
-whose labelled block rates do not differ significantly are merged.
-A template is rejected when its smoothed purity (the block share of its group's labelled
-pages) is above one half; one without labelled pages is not. Labels are the verdicts of
-the rules, or a column of the caller's.
+children for its rows. Templates with the same host and parent are branches. Labelled
+branches begin as one group; whoever's block rate differs significantly from that of the
+others in its group leaves it, to a group of lower or of higher ones, until nobody differs.
+A template is rejected when its purity, the block share of its group's labelled pages, is
+above one half. Purity is smoothed towards the rate of all branches of the parent, that
+towards the host's and that towards the corpus', so a template without labelled pages is
+judged by its surroundings. Labels are the verdicts of the rules, or a column of the caller's.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule
 and the verdict of the empty template; equal rows get equal verdicts; an empty table
-gives an empty table. A path of more than MAX_DEPTH segments is one template with its
-first MAX_DEPTH segments and ``**`` for the others. Columns named like the result's are
+gives an empty table. A path may have any number of segments: levels of the tree are gone through
+as long as enough templates reach them for a place to be variable. Columns named like the result's are
 read only through ``id_column`` and ``url_column``, so clashing extra columns do no harm.
 """
 
@@ -19,17 +21,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.store import Scratch
 
-MAX_DEPTH = 8
 #: A place of the tree is variable with so many different children ...
 MIN_CHILDREN = 20
 #: ... that make up this share of its pages.
 CHILD_SHARE = 0.3
-#: Smoothing; a template without labelled pages keeps this rate and is not rejected.
+#: Each rate is smoothed by so many pages of the rate above it; a corpus without labels has this rate, which rejects nothing.
 PRIOR_PAGES, PRIOR_RATE = 4.0, 0.5
 SIMILAR_Z = 1.96
 BLOCK_ABOVE = 0.5
@@ -76,10 +77,9 @@ def best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def lexical_template(path: Column) -> Column:
-    """The path's segments, those with a digit as wildcards; at most MAX_DEPTH + 1."""
+    """The path's segments, those with a digit as wildcards."""
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    general = F.transform(segments, lambda s: F.when(F.regexp_like(s, F.lit("[0-9]")), F.lit("*")).otherwise(s))
-    return F.when(F.size(general) > MAX_DEPTH, F.concat(F.slice(general, 1, MAX_DEPTH), F.array(F.lit("**")))).otherwise(general)
+    return F.transform(segments, lambda s: F.when(F.regexp_like(s, F.lit("[0-9]")), F.lit("*")).otherwise(s))
 
 
 def template_tree(pages: DataFrame) -> DataFrame:
@@ -95,8 +95,9 @@ def template_tree(pages: DataFrame) -> DataFrame:
         .withColumns({"template": F.col("lexical"), "blocked": F.coalesce("blocked", F.lit(0).cast("long"))})
     )
     nodes = scratch.save(nodes, "nodes")
-    depth = nodes.agg(F.max(F.size("lexical"))).first()[0] or 0
-    for level in range(1, min(depth, MAX_DEPTH) + 1):
+    level = 0
+    while nodes.where(F.size("lexical") > level).limit(MIN_CHILDREN).count() >= MIN_CHILDREN:
+        level += 1
         here = F.get("template", F.lit(level - 1))
         placed = nodes.withColumns({"parent": F.slice("template", 1, level - 1), "child": here})
         children = placed.where("child IS NOT NULL AND child <> '*'").groupBy("host", "parent", "child").agg(F.sum("n").alias("n"))
@@ -106,7 +107,7 @@ def template_tree(pages: DataFrame) -> DataFrame:
             .where((F.col("children") >= MIN_CHILDREN) & (F.col("children") >= CHILD_SHARE * F.col("n")))
             .select("host", "parent", F.lit(True).alias("variable"))
         )
-        wild = F.concat(F.slice("template", 1, level - 1), F.array(F.lit("*")), F.slice("template", level + 1, MAX_DEPTH + 1))
+        wild = F.concat(F.slice("template", 1, level - 1), F.array(F.lit("*")), F.slice("template", F.lit(level + 1), F.size("template")))
         nodes = (
             placed.join(variable, ["host", "parent"], "left")
             .withColumn("template", F.when(F.col("variable") & F.col("child").isNotNull(), wild).otherwise(F.col("template")))
@@ -116,31 +117,50 @@ def template_tree(pages: DataFrame) -> DataFrame:
     return nodes
 
 
-def template_purity(nodes: DataFrame) -> DataFrame:
-    """(host, template, purity): block rates with similar branches merged, smoothed by PRIOR_PAGES pages of rate PRIOR_RATE.
+def branch_groups(branches: DataFrame, scratch: Scratch) -> DataFrame:
+    """Adds group to labelled branches (host, parent, template, labelled, blocked).
 
-    Labelled branches of a place are put in order of their block rate; each joins the one
-    before it unless the two rates differ significantly.
+    A round tests each branch against the others of its group together, so branches that are
+    alike only by way of a third do not stay together. Groups are summed, not sorted.
     """
+    group = ["host", "parent", "group"]
+    rows, turn = branches.withColumn("group", F.lit("")), 0
+    while True:
+        turn += 1
+        totals = rows.groupBy(*group).agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
+        n, others = F.col("labelled"), F.col("all_labelled") - F.col("labelled")
+        pooled = F.col("all_blocked") / F.col("all_labelled")
+        error = F.sqrt(pooled * (1 - pooled) * (1 / n + F.try_divide(F.lit(1), others)))
+        apart = F.col("blocked") / n - F.try_divide(F.col("all_blocked") - F.col("blocked"), others)
+        side = F.when(F.abs(apart) > SIMILAR_Z * error, F.when(apart < 0, f"{turn}<").otherwise(f"{turn}>"))
+        rows = rows.join(totals, group).withColumn("side", side).drop("all_labelled", "all_blocked")
+        rows = rows.withColumn("group", F.concat("group", F.coalesce("side", F.lit(""))))
+        rows = scratch.save(rows, f"groups{turn}")
+        if rows.where("side IS NOT NULL").isEmpty():
+            return rows.drop("side")
+
+
+def _smoothed(above: Column) -> Column:
+    return (F.sum("blocked") + PRIOR_PAGES * above) / (F.sum("labelled") + PRIOR_PAGES)
+
+
+def template_purity(nodes: DataFrame) -> DataFrame:
+    """(host, template, purity): block rates of groups of similar branches, smoothed towards parent, host and corpus."""
+    scratch = Scratch(nodes.sparkSession)
     branches = nodes.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    branches = branches.withColumns(
-        {
-            "parent": F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0))),
-            "name": F.array_join("template", "/"),
-            "known": F.col("labelled") > 0,
-            "rate": F.try_divide("blocked", "labelled"),
-        }
-    )
-    place = Window.partitionBy("host", "parent", "known").orderBy("rate", "name")
-    n, m = F.col("labelled"), F.lag("labelled").over(place)
-    both = (F.col("blocked") + F.lag("blocked").over(place)) / F.nullif(n + m, F.lit(0))
-    error = F.sqrt(both * (1 - both) * (F.try_divide(F.lit(1), n) + F.try_divide(F.lit(1), m)))
-    alike = F.coalesce(F.abs(F.col("rate") - F.lag("rate").over(place)) <= SIMILAR_Z * error, F.lit(False))
-    branches = branches.withColumn("alike", alike)
-    branches = branches.withColumn("group", F.sum(F.when(F.col("alike"), 0).otherwise(1)).over(place))
-    group = Window.partitionBy("host", "parent", "known", "group")
-    purity = (F.sum("blocked").over(group) + PRIOR_PAGES * PRIOR_RATE) / (F.sum("labelled").over(group) + PRIOR_PAGES)
-    return branches.select("host", "template", purity.alias("purity"))
+    parent = F.slice("template", F.lit(1), F.greatest(F.size("template") - 1, F.lit(0)))
+    branches = scratch.save(branches.withColumn("parent", parent), "branches")
+    corpus = branches.agg(_smoothed(F.lit(PRIOR_RATE))).first()[0]
+    corpus = PRIOR_RATE if corpus is None else corpus
+    hosts = branches.groupBy("host").agg(_smoothed(F.lit(corpus)).alias("host_rate"))
+    places = branches.join(hosts, "host").groupBy("host", "parent", "host_rate").agg(_smoothed(F.col("host_rate")).alias("place_rate"))
+    places = scratch.save(places.drop("host_rate"), "places")
+    labelled = branch_groups(branches.where("labelled > 0"), scratch)
+    grouped = labelled.join(places, ["host", "parent"]).groupBy("host", "parent", "group", "place_rate")
+    grouped = grouped.agg(_smoothed(F.col("place_rate")).alias("purity")).drop("place_rate")
+    known = labelled.join(grouped, ["host", "parent", "group"]).select("host", "template", "purity")
+    other = branches.where("labelled = 0").join(places, ["host", "parent"]).select("host", "template", F.col("place_rate").alias("purity"))
+    return known.unionByName(other)
 
 
 def filter_urls(

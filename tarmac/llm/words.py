@@ -2,7 +2,8 @@
 
 Words are compared by 64-bit hashes. A hash is a polynomial in the word's bytes,
 read off prefix sums of a whole chunk, and mixed with the word's length. Nothing
-here works row by row, and memory follows CHUNK and the longest word, not the text.
+here works row by row. Hashing takes a bounded piece at a time; the hashes and places of a
+text's words are held together, about 24 bytes a word, and its set of shingles 8 bytes each.
 """
 
 from __future__ import annotations
@@ -145,7 +146,7 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u8", 1, 1) + np.cumsum(steps.reshape(-1).view("<u8"), dtype=U64)
 
 
-def pieces(texts: pa.Array, limit: int = 4 * CHUNK) -> Iterator[tuple[int, int]]:
+def pieces(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Ranges of rows holding about limit bytes each; a longer text stands alone."""
     _, bounds = raw(texts)
     at = 0

@@ -107,8 +107,24 @@ def test_components_of_chains_and_stars(spark):
     assert found == {i: 100 for i in range(100, 141)} | {i: 7 for i in [7, *range(200, 230)]} | {8: 8, 9: 8}
 
 
-def test_counts_by_slot(spark):
+def test_ranks_by_slot(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (2, "b c d")], "doc_id long, text string")
-    counts = jaccard.slot_counts(jaccard.signed_sets(docs, 3, 1 << 16), 1 << 16)
-    assert counts.sum() == 3 and counts.max() == 2
-    assert np.array_equal(np.sort(counts[counts > 0]), [1, 2])
+    signed = jaccard.signed_sets(docs, 3, 1 << 17)
+    ranks = jaccard.slot_ranks(signed, 1 << 17)
+    assert np.array_equal(np.sort(ranks[ranks > 0]), [1, 2])
+    assert not jaccard.slot_ranks(signed.limit(0), 1 << 17).any()
+
+
+def test_counts_of_a_task_are_bounded(spark):
+    docs = spark.createDataFrame([(i, "a b c") for i in range(1000)], "doc_id long, text string").coalesce(1)
+    ranks = jaccard.slot_ranks(jaccard.signed_sets(docs, 3, 1 << 16), 1 << 16)
+    assert ranks.max() == jaccard.MOST_IN_TASK and (ranks > 0).sum() == 1
+
+
+def test_ranks_take_few_jobs(spark):
+    signed = Scratch(spark).save(jaccard.signed_sets(spark.createDataFrame(near_copies(random.Random(2), 10), "doc_id long, text string"), 3, 1 << 24), "signed")
+    spark.sparkContext.setJobGroup("ranks", "")
+    jaccard.slot_ranks(signed, 1 << 24)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("ranks")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 3

@@ -77,9 +77,21 @@ def test_odd_rows(spark, labelled, odd_docs):
 
 def test_pages(spark):
     html = '<!DOCTYPE html><HTML class="a" lang="DE-at"><head><style>p{x}</style><script>var t="</p>";f("le la")</script></head><p>der <b>Haus</b><!-- the --></p>'
-    pages = spark.createDataFrame([(1, "https://www.x.de:80/a?b", html), (2, None, None), (3, "nothing", "<html><p>a")], "page_id long, url string, html string")
+    pages = spark.createDataFrame([(1, "https://www.x.de:80/a?b", html), (2, None, None), (3, "nothing", "<html><p>a"), (4, "http://10.0.0.7:8080/", ""), (5, "http://[::1]/", ""), (6, "http://x./", "")], "page_id long, url string, html string")
     found = {r.id: r for r in language.page_evidence(pages).collect()}
-    assert (found[1].declared, found[1].host, found[1].suffix) == ("de", "www.x.de:80", "de:80")
+    assert (found[1].declared, found[1].host, found[1].suffix) == ("de", "www.x.de:80", "de")
     assert found[1].text.split() == ["der", "Haus"]
     assert (found[2].text, found[2].declared, found[2].host, found[2].suffix) == (None, None, None, None)
     assert found[3].text.split() == ["a"]
+    assert [(found[i].host, found[i].suffix) for i in (4, 5, 6)] == [("10.0.0.7:8080", None), ("[::1]", None), ("x.", None)]
+
+
+def test_labels_count_by_their_language(spark):
+    rnd = random.Random(6)
+    rows = [("pt-BR", texts(rnd, "fr", 20)), ("PT", texts(rnd, "fr", 20)), (" pt_PT", texts(rnd, "fr", 20))] + [("EN", texts(rnd, "en", 20))] * 3
+    rows += [("english", "x"), ("x-1", "y"), (None, "z"), ("und", "noise"), ("english", "w")]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    assert language.train(labelled)[0] == ["en", "pt"]
+    found = identify(spark, labelled, [(1, texts(rnd, "fr", 20), None, None, None), (2, texts(rnd, "en", 20), None, None, None)])
+    assert (found[1].lang, found[2].lang) == ("pt", "en")
+    assert {(r.lang, r.n) for r in language.unlabelled(labelled).collect()} == {("english", 2), ("x-1", 1), (None, 1)}

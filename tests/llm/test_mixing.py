@@ -84,3 +84,13 @@ def test_tokens_of_weight_0_are_no_capacity(spark):
     weights = {"lang": spark.createDataFrame([("x", "b", 0.0)], "domain string, lang string, weight double")}
     taken = {r.doc_id: r.taken for r in mixing.mix(frame, weights=weights, budget=F.lit(100)).collect()}
     assert taken == {1: 10, 3: 90}
+
+
+def test_texts_under_one_id_are_taken_in_a_fixed_order(spark):
+    rows = [(i % 3, "w " * (1 + i), "x", "en", "h") for i in range(60)] + [(None, "w " * 7, "x", "en", "h")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string, domain string, lang string, source string")
+    results = set()
+    for seed in range(6):
+        dealt = frame.orderBy(F.rand(seed)).repartition(1 + seed)
+        results.add(tuple(sorted(map(str, mixing.mix(dealt, budget=F.floor(F.col("tokens") / 3), seed=4).collect()))))
+    assert len(results) == 1

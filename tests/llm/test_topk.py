@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from tarmac.llm import topk
 
@@ -48,3 +49,10 @@ def test_bounds_hold_at_every_depth():
         lower, upper = lists.bounds(depth, positive, negative)
         assert (lower <= exact).all() and (exact <= upper).all()
     assert (lower == exact).all()
+
+
+@pytest.mark.parametrize("large", [[1e300, 1.0], [-1e300, 1.0], [2.0**44, 1.0]])
+def test_components_beyond_exact_scores_raise(spark, large):
+    frame = spark.createDataFrame([(1, [1.0, 2.0]), (2, large), (3, [2.0**44, 2.0**44])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="smaller scale"):
+        topk.top_k(frame, frame, 1).collect()
