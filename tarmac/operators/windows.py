@@ -2,32 +2,37 @@
 
 A window opens at the first message that is at least ``threshold`` after the
 opening of the previous one. Where it opens therefore depends on every earlier
-message of the aircraft. The time line is cut into slices; each slice is
-summarised by a transfer table that tells, for every message that could open its
-first window, when the window after its last one may open. Slices and then
-groups of slices are combined from these tables, so a busy aircraft is spread
-over many tasks at every step.
+message of the aircraft. The time line is cut into slices, and rows are shuffled
+once by (aircraft, slice). A first pass over a slice gives a transfer table that tells, for
+every message that could open its first window, when the window after its last one may
+open. From these tables follows when each slice's first window may open, and a second
+pass over the same shuffled rows gives the state of every window's part in the slice. Parts
+of a window that lies in two slices are put together at the end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import geo
 from tarmac.operators.decode import valid_frames
+from tarmac.operators.spans import SPAN, SPAN_MS, by_span, two_before
 from tarmac.session import MINUTE_MS
 
 THRESHOLD_MS = 5 * MINUTE_MS
 FANOUT = 32
 FANOUT_UP = 256
-LEVELS = 2
+LEVELS = 1
 NEVER = -(1 << 62)
 
+_TRANSFER = "icao string, slice bigint, entry bigint, ready bigint"
+_READY = "icao string, slice bigint, ready bigint"
+
 
 def _slice_transfer(times: np.ndarray, start: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidate first openings of a slice, and when the next window may open after each."""
@@ -40,7 +45,13 @@ def _slice_transfer(times: np.ndarray, start: int, threshold: int) -> tuple[np.n
             break
         last = np.where(moving, np.minimum(ahead, len(times) - 1), last)
     candidates = np.searchsorted(times, start + threshold) + 1
-    return times[:candidates], times[last[:candidates]] + threshold
+    return _thinned(times[:candidates], times[last[:candidates]] + threshold)
+
+
+def _thinned(entries: np.ndarray, exits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A transfer table without the entries that the next one answers alike."""
+    keep = np.append(exits[:-1] != exits[1:], True)[: len(exits)]
+    return entries[keep], exits[keep]
 
 
 def _through(ready: np.ndarray, entries: np.ndarray, exits: np.ndarray) -> np.ndarray:
@@ -50,44 +61,45 @@ def _through(ready: np.ndarray, entries: np.ndarray, exits: np.ndarray) -> np.nd
     return np.where(inside, exits[np.minimum(spot, len(entries) - 1)], ready)
 
 
-def _children(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    ordered = pdf.sort_values(["slice", "entry"])
-    for number, part in ordered.groupby("slice", sort=True):
-        yield int(number), part["entry"].to_numpy(), part["ready"].to_numpy()
+def _children(table: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    slices, entries, exits = (table[c].to_numpy() for c in ("slice", "entry", "ready"))
+    order = np.lexsort((entries, slices))
+    slices, entries, exits = slices[order], entries[order], exits[order]
+    cuts = np.flatnonzero(np.diff(slices)) + 1
+    return [(int(n[0]), e, x) for n, e, x in zip(np.split(slices, cuts), np.split(entries, cuts), np.split(exits, cuts)) if len(n)]
 
 
-def _sliced(rows: DataFrame, base_ms: int) -> DataFrame:
-    return rows.withColumn("slice", F.floor(F.col("ts_kafka") / F.lit(base_ms)))
+def _rows(icao: str, **columns) -> pa.Table:
+    n = len(next(iter(columns.values())))
+    return pa.table({"icao": pa.array([icao] * n, pa.string()), **{k: pa.array(v, pa.int64()) for k, v in columns.items()}})
 
 
-def slice_openings(
-    rows: DataFrame,
-    threshold_ms: int = THRESHOLD_MS,
-    fanout: int = FANOUT,
-    fanout_up: int = FANOUT_UP,
-    levels: int = LEVELS,
+def sliced(rows: DataFrame, threshold_ms: int, fanout: int = FANOUT) -> DataFrame:
+    """Rows with their slice, brought together by (aircraft, slice)."""
+    with_slice = rows.withColumn("slice", F.floor(F.col("ts_kafka") / F.lit(fanout * threshold_ms)))
+    return with_slice.filter("icao IS NOT NULL AND ts_kafka IS NOT NULL").repartition("icao", "slice")
+
+
+def arrivals(
+    grouped: DataFrame, threshold_ms: int, fanout: int = FANOUT, fanout_up: int = FANOUT_UP, levels: int = LEVELS
 ) -> DataFrame:
-    """``(icao, slice, openings)``: the windows that rows of each slice can belong to, oldest first.
-
-    ``openings`` begins with the window still open from an earlier slice, if any.
-    Times are grouped once by (aircraft, slice), a slice being ``fanout`` windows
-    long, and repeats are dropped there. A task sees the times of one slice, or
-    the transfer tables of ``fanout_up`` neighbours; such a table has at most
-    one entry per distinct time of one threshold length. With 5-minute windows
-    the two levels of slices are 2.7 hours and four weeks long, so the last
-    step holds 13 tables per aircraft and year; ``levels`` adds more.
+    """``(icao, slice, ready)``: when a window may first open in each slice of ``sliced`` rows.
+
+    A task sees the rows of one slice, ``fanout`` windows long, or transfer tables. Such a
+    table has at most one entry per distinct time of one threshold length, and fewer as
+    windows that open a little apart soon open together. With one level an
+    aircraft's tables meet in one task, 3 300 a year with 5-minute windows; each further level
+    first combines ``fanout_up`` neighbours, at two more shuffles of tables.
     """
     base_ms = fanout * threshold_ms
-    times = _sliced(rows, base_ms).select("icao", "slice", F.col("ts_kafka").alias("time"))
 
-    def first_transfer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.unique(pdf["time"].to_numpy())
-        entries, exits = _slice_transfer(points, int(key[1]) * base_ms, threshold_ms)
-        return pd.DataFrame({"icao": key[0], "slice": key[1], "entry": entries, "ready": exits})
+    def first_transfer(key: tuple, table: pa.Table) -> pa.Table:
+        icao, number = (k.as_py() for k in key)
+        points = np.unique(table["ts_kafka"].to_numpy())
+        entries, exits = _slice_transfer(points, number * base_ms, threshold_ms)
+        return _rows(icao, slice=np.full(len(entries), number), entry=entries, ready=exits)
 
-    table = "icao string, slice bigint, entry bigint, ready bigint"
-    grouped = times.filter("icao IS NOT NULL AND time IS NOT NULL").repartition("icao", "slice")
-    transfers = [grouped.groupBy("icao", "slice").applyInPandas(first_transfer, table)]
+    transfers = [grouped.groupBy("icao", "slice").applyInArrow(first_transfer, _TRANSFER)]
     level_ms = base_ms
     for _ in range(1, levels):
         level_ms *= fanout_up
@@ -96,91 +108,82 @@ def slice_openings(
             transfers[-1]
             .select("icao", above, "slice", "entry", "ready")
             .groupBy("icao", "parent")
-            .applyInPandas(_merge_transfers(level_ms, threshold_ms), table)
+            .applyInArrow(_merge_transfers(level_ms, threshold_ms), _TRANSFER)
         )
 
-    arrival = "icao string, slice bigint, ready bigint"
-
-    def from_start(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _arrivals(key[0], pdf, NEVER)
+    def from_start(key: tuple, table: pa.Table) -> pa.Table:
+        return _arrivals(key[0].as_py(), table, NEVER)
 
-    def from_parent(key: tuple, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        return _arrivals(key[0], pdf, int(known["ready"].iloc[0]))
+    def from_parent(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
+        return _arrivals(key[0].as_py(), table, known["ready"][0].as_py()) if known.num_rows else _arrivals(key[0].as_py(), table, NEVER)
 
-    ready = transfers[-1].groupBy("icao").applyInPandas(from_start, arrival)
+    ready = transfers[-1].groupBy("icao").applyInArrow(from_start, _READY)
     for lower in reversed(transfers[:-1]):
         children = lower.withColumn("parent", F.floor(F.col("slice") / F.lit(fanout_up)))
         parents = ready.withColumnRenamed("slice", "parent")
         ready = (
-            children.groupBy("icao", "parent")
-            .cogroup(parents.groupBy("icao", "parent"))
-            .applyInPandas(from_parent, arrival)
+            children.groupBy("icao", "parent").cogroup(parents.groupBy("icao", "parent")).applyInArrow(from_parent, _READY)
         )
+    return ready
 
-    def open_windows(key: tuple, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        points = np.unique(pdf["time"].to_numpy())
-        opens = int(known["ready"].iloc[0])
-        found = [] if opens == NEVER else [opens - threshold_ms]
-        spot = int(np.searchsorted(points, opens))
-        while spot < len(points):
-            found.append(int(points[spot]))
-            spot = int(np.searchsorted(points, points[spot] + threshold_ms))
-        carried = opens != NEVER
-        return pd.DataFrame({"icao": [key[0]], "slice": [key[1]], "carried": [carried], "openings": [found]})
-
-    return (
-        grouped.groupBy("icao", "slice")
-        .cogroup(ready.groupBy("icao", "slice"))
-        .applyInPandas(open_windows, "icao string, slice bigint, carried boolean, openings array<bigint>")
-    )
-
-
-def window_anchors(
-    rows: DataFrame,
-    threshold_ms: int = THRESHOLD_MS,
-    fanout: int = FANOUT,
-    fanout_up: int = FANOUT_UP,
-    levels: int = LEVELS,
-) -> DataFrame:
-    """``(icao, anchor)``: the opening time of every window of ``(icao, ts_kafka)`` rows."""
-    openings = slice_openings(rows, threshold_ms, fanout, fanout_up, levels)
-    own = F.when(F.col("carried"), F.slice("openings", 2, F.lit(fanout + 1))).otherwise(F.col("openings"))
-    return openings.select("icao", F.explode(own).alias("anchor"))
 
-
-def _merge_transfers(level_ms: int, threshold_ms: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+def _merge_transfers(level_ms: int, threshold_ms: int) -> Callable[[tuple, pa.Table], pa.Table]:
     """Combines the transfer tables of neighbouring slices into one of length ``level_ms``."""
 
-    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = list(_children(pdf))
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        icao, number = (k.as_py() for k in key)
+        parts = _children(table)
         # openings in the first threshold length, plus the first candidate after it
         entries = np.concatenate([e for _, e, _ in parts])
-        entries = entries[: np.searchsorted(entries, int(key[1]) * level_ms + threshold_ms) + 1]
+        entries = entries[: np.searchsorted(entries, number * level_ms + threshold_ms) + 1]
         ready = entries
         for _, child_entries, child_exits in parts:
             ready = _through(ready, child_entries, child_exits)
-        return pd.DataFrame({"icao": key[0], "slice": key[1], "entry": entries, "ready": ready})
+        entries, ready = _thinned(entries, ready)
+        return _rows(icao, slice=np.full(len(entries), number), entry=entries, ready=ready)
 
     return merge
 
 
-def _arrivals(icao: str, pdf: pd.DataFrame, ready: int) -> pd.DataFrame:
+def _arrivals(icao: str, table: pa.Table, ready: int) -> pa.Table:
     """When a window may first open in each child slice."""
     numbers, opens = [], []
     current = np.array([ready])
-    for number, entries, exits in _children(pdf):
+    for number, entries, exits in _children(table):
         numbers.append(number)
         opens.append(int(current[0]))
         current = _through(current, entries, exits)
-    return pd.DataFrame({"icao": icao, "slice": numbers, "ready": opens})
+    return _rows(icao, slice=numbers, ready=opens)
+
+
+def _openings(points: np.ndarray, ready: int, threshold: int) -> np.ndarray:
+    """Openings of the windows that distinct times of a slice can belong to, the one still open from before first."""
+    found = [] if ready == NEVER else [ready - threshold]
+    spot = int(np.searchsorted(points, ready))
+    while spot < len(points):
+        found.append(int(points[spot]))
+        spot = int(np.searchsorted(points, points[spot] + threshold))
+    return np.array(found, np.int64)
+
+
+def window_anchors(
+    rows: DataFrame,
+    threshold_ms: int = THRESHOLD_MS,
+    fanout: int = FANOUT,
+    fanout_up: int = FANOUT_UP,
+    levels: int = LEVELS,
+) -> DataFrame:
+    """``(icao, anchor)``: the opening time of every window of ``(icao, ts_kafka)`` rows."""
+    grouped = sliced(rows.select("icao", "ts_kafka"), threshold_ms, fanout)
+    ready = arrivals(grouped, threshold_ms, fanout, fanout_up, levels)
 
+    def opened(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
+        opens = known["ready"][0].as_py()
+        anchors = _openings(np.unique(table["ts_kafka"].to_numpy()), opens, threshold_ms)
+        return _rows(key[0].as_py(), anchor=anchors[anchors >= opens])
 
-def assign_windows(rows: DataFrame, threshold_ms: int = THRESHOLD_MS) -> DataFrame:
-    """Adds ``anchor``, the opening time of each row's window: the last one of its slice not after it."""
-    openings = slice_openings(rows, threshold_ms).drop("carried")
-    joined = _sliced(rows, FANOUT * threshold_ms).join(openings, ["icao", "slice"])
-    past = F.filter("openings", lambda opening: opening <= F.col("ts_kafka"))
-    return joined.withColumn("anchor", F.array_max(past)).drop("slice", "openings")
+    both = grouped.groupBy("icao", "slice").cogroup(ready.groupBy("icao", "slice"))
+    return both.applyInArrow(opened, "icao string, anchor bigint")
 
 
 def _last(value: str) -> Column:
@@ -188,35 +191,78 @@ def _last(value: str) -> Column:
     return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct("ts_kafka", "seq")))
 
 
-def _window_rows(decoded: DataFrame) -> DataFrame:
-    return valid_frames(decoded).select(
-        "ts_kafka",
-        "seq",
-        "icao",
-        F.when(F.col("dl") == 11, F.struct("on_ground")).alias("reply"),
-        F.when(F.col("air").isNotNull(), F.struct("air.lat", "air.lon", "air.alt_feet")).alias("air"),
-        F.when(F.col("surf").isNotNull(), F.struct("surf.lat", "surf.lon", "surf.speed")).alias("surf"),
-        F.when(F.col("ident").isNotNull(), F.struct("ident.callsign", "ident.vortex")).alias("ident"),
-        F.when(F.col("vel").isNotNull(), F.struct("vel.speed")).alias("vel"),
-    )
+#: Field groups of a window's state: the values that the latest message of the group gives.
+_GROUPS = {
+    "reply": {"on_ground": "int"},
+    "air": {"lat": "double", "lon": "double", "alt_feet": "double"},
+    "surf": {"lat": "double", "lon": "double", "speed": "double"},
+    "ident": {"callsign": "string", "vortex": "string"},
+    "vel": {"speed": "int"},
+}
+_ARROW = {"int": pa.int32(), "double": pa.float64(), "string": pa.string(), "bigint": pa.int64()}
 
 
-def _summarise(rows: DataFrame, keys: list[Column]) -> DataFrame:
-    """Last state of each (aircraft, window): partial aggregates first, so a busy window does not pile up."""
-    groups = ["air", "surf", "ident", "vel", "reply"]
-    latched = F.max("reply.on_ground")
-    last = rows.groupBy("icao", *keys).agg(
-        F.max("ts_kafka").alias("ts_kafka"),
-        F.count("*").alias("n_messages"),
-        latched.alias("ground_seen"),
-        *[_last(g).alias(g) for g in groups],
-    )
+def _window_rows(decoded: DataFrame) -> DataFrame:
+    present = {"reply": F.col("dl") == 11, **{g: F.col(g).isNotNull() for g in ("air", "surf", "ident", "vel")}}
+
+    def group(name: str) -> Column:
+        source = "" if name == "reply" else f"{name}."
+        fields = [F.col(f"{source}{field}").cast(kind).alias(field) for field, kind in _GROUPS[name].items()]
+        return F.when(present[name], F.struct(*fields)).alias(name)
+
+    return valid_frames(decoded).select("ts_kafka", "seq", "icao", *map(group, _GROUPS))
+
+
+def _part_schema() -> str:
+    parts = [f"{g} struct<{', '.join(f'{f}: {k}' for f, k in {'ts_kafka': 'bigint', 'seq': 'bigint', **fields}.items())}>" for g, fields in _GROUPS.items()]
+    return f"icao string, anchor bigint, ts_kafka bigint, n_messages bigint, ground_seen int, {', '.join(parts)}"
+
+
+def _window_parts(table: pa.Table, ready: int, threshold: int) -> pa.Table:
+    """The state of each window's part in one slice of an aircraft: the latest message of every group."""
+    table = table.combine_chunks()
+    seq = table["seq"].to_numpy()
+    order = np.lexsort((seq, table["ts_kafka"].to_numpy()))
+    times, seq = table["ts_kafka"].to_numpy()[order], seq[order]
+    anchors = _openings(np.unique(times), ready, threshold)
+    window = np.searchsorted(anchors, times, "right") - 1
+    starts = np.flatnonzero(np.diff(window, prepend=-1))
+    counts = np.diff(np.append(starts, len(times)))
+    ends = starts + counts - 1
+    place = np.arange(len(times))
+    columns = {
+        "icao": table["icao"].take(pa.array(order[starts])),
+        "anchor": pa.array(anchors[window[starts]]),
+        "ts_kafka": pa.array(times[ends]),
+        "n_messages": pa.array(counts),
+    }
+    for name, fields in _GROUPS.items():
+        column = table[name].combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        there = column.is_valid().to_numpy(zero_copy_only=False)[order]
+        latest = np.maximum.reduceat(np.where(there, place, -1), starts)
+        missing = latest < 0
+        rows = pa.array(order[latest], mask=missing)
+        own = [column.field(f).take(rows).cast(_ARROW[k]) for f, k in fields.items()]
+        moments = [pa.array(times[latest]), pa.array(seq[latest])]
+        kinds = [pa.field(f, _ARROW[k]) for f, k in {"ts_kafka": "bigint", "seq": "bigint", **fields}.items()]
+        columns[name] = pa.StructArray.from_arrays([*moments, *own], fields=kinds, mask=pa.array(missing))
+        if name == "reply":
+            stated = column.field("on_ground").to_numpy(zero_copy_only=False)[order]
+            stated = np.where(there & ~np.isnan(stated.astype(float)), stated, -1).astype(np.int64)
+            most = np.maximum.reduceat(stated, starts)
+            columns["ground_seen"] = pa.array(most, pa.int32(), mask=most < 0)
+    return pa.table({k: columns[k] for k in ("icao", "anchor", "ts_kafka", "n_messages", "ground_seen", *_GROUPS)})
+
+
+def _resolved(last: DataFrame, *keys: str) -> DataFrame:
+    """The values of a state from its groups: on the ground the surface speed and position replace the airborne ones."""
     ground = F.when(F.col("ground_seen") == 1, F.lit(1)).otherwise(F.col("reply.on_ground"))
     down = F.coalesce(ground == 1, F.lit(False))
     moved = down & F.col("surf.lat").isNotNull() & F.col("surf.lon").isNotNull()
     return last.select(
         "icao",
-        *[c for c in last.columns if c in ("anchor", "window")],
+        *keys,
         "ts_kafka",
         "n_messages",
         F.when(down, F.coalesce("surf.speed", F.col("vel.speed").cast("double")))
@@ -231,6 +277,25 @@ def _summarise(rows: DataFrame, keys: list[Column]) -> DataFrame:
     )
 
 
+def spanned_states(decoded: DataFrame, threshold_ms: int = THRESHOLD_MS) -> DataFrame:
+    """``window_states`` with the span column, brought together by (aircraft, span) for the operators of ``routes``."""
+    grouped = sliced(_window_rows(decoded), threshold_ms)
+    ready = arrivals(grouped, threshold_ms)
+
+    def parts(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
+        return _window_parts(table, known["ready"][0].as_py(), threshold_ms)
+
+    found = grouped.groupBy("icao", "slice").cogroup(ready.groupBy("icao", "slice")).applyInArrow(parts, _part_schema())
+    found = found.withColumn(SPAN, F.floor(F.col("anchor") / F.lit(SPAN_MS))).repartition("icao", SPAN)
+    whole = found.groupBy("icao", SPAN, "anchor").agg(
+        F.max("ts_kafka").alias("ts_kafka"),
+        F.sum("n_messages").alias("n_messages"),
+        F.max("ground_seen").alias("ground_seen"),
+        *[F.max(g).alias(g) for g in _GROUPS],  # a group orders by its message's time
+    )
+    return _resolved(whole, "anchor", SPAN)
+
+
 def window_states(decoded: DataFrame, threshold_ms: int = THRESHOLD_MS) -> DataFrame:
     """One row per aircraft and anchored window with the last state seen inside it.
 
@@ -238,41 +303,47 @@ def window_states(decoded: DataFrame, threshold_ms: int = THRESHOLD_MS) -> DataF
     last reply said. On the ground the surface speed and position replace the
     airborne ones.
     """
-    return _summarise(assign_windows(_window_rows(decoded), threshold_ms), [F.col("anchor")])
+    return spanned_states(decoded, threshold_ms).drop(SPAN)
 
 
 def grid_states(decoded: DataFrame, window_ms: int = THRESHOLD_MS, slide_ms: int | None = None) -> DataFrame:
-    """The same last state on fixed clock windows; works on batch and streaming frames."""
+    """The same last state on fixed clock windows; works on batch and streaming frames.
+
+    Partial aggregates come first, so a busy window does not pile up.
+    """
     rows = _window_rows(decoded).withColumn("ts", F.timestamp_millis("ts_kafka"))
     slide = slide_ms or window_ms
     window = F.window("ts", f"{window_ms} milliseconds", f"{slide} milliseconds")
     if decoded.isStreaming:
         rows = rows.withWatermark("ts", "10 minutes")
-    return _summarise(rows, [window.alias("window")])
+    last = rows.groupBy("icao", window.alias("window")).agg(
+        F.max("ts_kafka").alias("ts_kafka"),
+        F.count("*").alias("n_messages"),
+        F.max("reply.on_ground").alias("ground_seen"),
+        *[_last(g).alias(g) for g in _GROUPS],
+    )
+    return _resolved(last, "window")
 
 
 def direction(states: DataFrame) -> DataFrame:
-    """Adds ``direction_rad`` and the signed ``bearing_rad`` against the two previous windows.
-
-    One aircraft has at most one row per threshold length, so a window over the
-    aircraft stays small however many messages it sent.
-    """
-    order = Window.partitionBy("icao").orderBy("ts_kafka")
-
-    def against(back: int) -> Column:
-        dlat = F.col("lat") - F.lag("lat", back).over(order)
-        dlon = F.col("lon") - F.lag("lon", back).over(order)
-        return geo.angle_to_east(dlat, dlon)
-
-    previous = F.lag(F.struct("lat", "lon")).over(order)
-    df = states.withColumns({"__one": against(1), "__two": against(2), "__previous": previous})
-    both = (F.col("__one") + F.col("__two")) / F.lit(2.0)
-    bearing = F.atan2(F.col("lat") - F.col("__previous.lat"), F.col("lon") - F.col("__previous.lon"))
-    return df.withColumns(
-        {"direction_rad": F.coalesce(both, "__one", "__two"), "bearing_rad": bearing}
-    ).drop("__one", "__two", "__previous")
+    """Adds ``direction_rad`` and the signed ``bearing_rad`` against the two previous windows."""
+    rows = by_span(states)
+    placed, one, two = two_before(rows, ("lat", "lon"))
+    df = placed.withColumns({"__p1": one, "__p2": two})
+
+    def against(place: str) -> Column:
+        return geo.angle_to_east(F.col("lat") - F.col(f"{place}.lat"), F.col("lon") - F.col(f"{place}.lon"))
+
+    df = df.withColumns({"__a1": against("__p1"), "__a2": against("__p2")})
+    both = (F.col("__a1") + F.col("__a2")) / F.lit(2.0)
+    bearing = F.atan2(F.col("lat") - F.col("__p1.lat"), F.col("lon") - F.col("__p1.lon"))
+    return df.select(
+        *states.columns,
+        F.coalesce(both, "__a1", "__a2").alias("direction_rad"),
+        bearing.alias("bearing_rad"),
+    )
 
 
 def map_states(decoded: DataFrame, threshold_ms: int = THRESHOLD_MS) -> DataFrame:
     """The table behind the maps: window states with directions."""
-    return direction(window_states(decoded, threshold_ms))
+    return direction(spanned_states(decoded, threshold_ms)).drop(SPAN)

@@ -601,6 +601,7 @@ def oracle_queries() -> dict[str, str]:
         "window_states_product": _with(
             w, f"SELECT {_STATE} FROM states WHERE make_timestamp(ts_kafka * 1000) >= TIMESTAMP '2024-01-03'"
         ),
+        "window_states_roundtrip": _with(w, f"SELECT {_STATE} FROM states"),
         "flight_points": _with(
             w,
             "SELECT icao, leg::BIGINT AS flight_no, ts_kafka, round(lat, 3) + 0.0 AS lat, round(lon, 3) + 0.0 AS lon, "

@@ -68,6 +68,11 @@ def _states(raw: DataFrame) -> DataFrame:
     return windows.map_states(_decoded(raw), WINDOW_MS)
 
 
+def _plain_states(raw: DataFrame) -> DataFrame:
+    """The map table without directions, for reports that do not show them."""
+    return windows.window_states(_decoded(raw), WINDOW_MS)
+
+
 def _selected(raw: DataFrame) -> DataFrame:
     """Take-offs after a wait of more than a minute and less than half an hour."""
     return tk.plausible(_events(raw), max_wait_s=1800, min_wait_s=60)
@@ -75,7 +80,7 @@ def _selected(raw: DataFrame) -> DataFrame:
 
 def _max_hist(raw: DataFrame, ground: int, column: str) -> DataFrame:
     """Distribution over aircraft of their largest values in the air or on the ground."""
-    return profile.histogram(profile.max_speed(_states(raw)).filter(F.col("ground") == ground), column)
+    return profile.histogram(profile.max_speed(_plain_states(raw)).filter(F.col("ground") == ground), column)
 
 
 def _of_aircraft(raw: DataFrame, icao: str) -> DataFrame:
@@ -84,6 +89,11 @@ def _of_aircraft(raw: DataFrame, icao: str) -> DataFrame:
 
 
 def _points(raw: DataFrame) -> DataFrame:
+    """Points that can be drawn, by aircraft and day as the route operators want them."""
+    return routes.complete_points(windows.spanned_states(_decoded(raw), WINDOW_MS))
+
+
+def _map_points(raw: DataFrame) -> DataFrame:
     return routes.complete_points(_states(raw))
 
 
@@ -147,13 +157,20 @@ def takeoffs_product(raw: DataFrame) -> DataFrame:
 
 
 def window_states_product(raw: DataFrame) -> DataFrame:
-    """The later days of the written map table; the earlier ones are not read."""
+    """The later days of the written map table, read by partition; the earlier ones are not read."""
     base = shared_dir(raw.sparkSession)
     products.write_product(windows.window_states(_decoded(raw), WINDOW_MS), "window_states", base, sort_by="icao")
     back = products.read_product(raw.sparkSession, "window_states", base)
     return back.filter(F.col("date") >= F.lit("2024-01-03").cast("date")).drop("date")
 
 
+def window_states_roundtrip(raw: DataFrame) -> DataFrame:
+    """The whole map table written and read back."""
+    base = shared_dir(raw.sparkSession)
+    products.write_product(_plain_states(raw), "window_states", base, sort_by="icao")
+    return products.read_product(raw.sparkSession, "window_states", base).drop("date")
+
+
 def flights(raw: DataFrame) -> DataFrame:
     return routes.flights(_points(raw)).drop("flight_no")
 
@@ -172,7 +189,7 @@ def trails(raw: DataFrame) -> DataFrame:
 
 
 def geojson(raw: DataFrame) -> DataFrame:
-    return features.to_geojson(_points(raw).withColumns({c: F.round(c, 6) for c in ("lat", "lon", "velocity")}))
+    return features.to_geojson(_map_points(raw).withColumns({c: F.round(c, 6) for c in ("lat", "lon", "velocity")}))
 
 
 def hour_spine(raw: DataFrame) -> DataFrame:
@@ -191,7 +208,7 @@ def map_points_day(raw: DataFrame) -> DataFrame:
 
 def null_profile(raw: DataFrame) -> DataFrame:
     columns = ["icao", "ts_kafka", "velocity", "lat", "lon", "ground", "alt_feet", "callsign", "vortex"]
-    return profile.null_profile(stable(_states(raw)).select(*columns))
+    return profile.null_profile(stable(_plain_states(raw)).select(*columns))
 
 
 def null_corr(raw: DataFrame) -> DataFrame:
@@ -261,7 +278,7 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "multi_type_aircraft": lambda raw: profile.multi_type_aircraft(_events(raw), "aircraft_type"),
     "aircraft_type_crosstab": lambda raw: profile.aircraft_type_crosstab(_events(raw), "aircraft_type", "wait_ms"),
     "aircraft_type_totals": lambda raw: profile.type_totals(
-        profile.aircraft_type_crosstab(_states(raw), "vortex", "ts_kafka"), "vortex"
+        profile.aircraft_type_crosstab(_plain_states(raw), "vortex", "ts_kafka"), "vortex"
     ),
     # per-aircraft state
     "known_state": known_state,
@@ -283,14 +300,15 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     ),
     "takeoffs_product": takeoffs_product,
     "window_states_product": window_states_product,
+    "window_states_roundtrip": window_states_roundtrip,
     "flights": flights,
     "flight_points": lambda raw: routes.flight_points(_points(raw)),
     "current_route": lambda raw: routes.current_route(_points(raw)),
     "segments": lambda raw: routes.segments(_points(raw)),
     "segment_counts": lambda raw: routes.segment_counts(_points(raw)),
     "height_profile": height_profile,
-    "latest_state": lambda raw: routes.latest_state(_points(raw)),
-    "aircraft_series": lambda raw: routes.series(windows.map_states(_of_aircraft(raw, AIRCRAFT), WINDOW_MS), AIRCRAFT),
+    "latest_state": lambda raw: routes.latest_state(_map_points(raw)),
+    "aircraft_series": lambda raw: routes.series(windows.window_states(_of_aircraft(raw, AIRCRAFT), WINDOW_MS), AIRCRAFT),
     "ground_and_air": lambda raw: routes.seen_ground_and_air(_points(raw)),
     "ground_and_air_rows": ground_and_air_rows,
     "geojson": geojson,
@@ -298,8 +316,8 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "max_speed_hist_air": lambda raw: _max_hist(raw, 0, "max_speed"),
     "max_speed_hist_ground": lambda raw: _max_hist(raw, 1, "max_speed"),
     "max_altitude_hist": lambda raw: _max_hist(raw, 0, "max_alt_feet"),
-    "rows_per_aircraft": lambda raw: waits.value_counts(_states(raw), "icao"),
-    "max_speed": lambda raw: profile.max_speed(_states(raw)),
+    "rows_per_aircraft": lambda raw: waits.value_counts(_plain_states(raw), "icao"),
+    "max_speed": lambda raw: profile.max_speed(_plain_states(raw)),
     "altitude_hist": window_hist,
     "null_profile": null_profile,
     "null_corr": null_corr,
