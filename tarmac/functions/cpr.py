@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 from tarmac.functions.fixed_values import RECEIVER_LAT, RECEIVER_LON
+from tarmac.functions.steps import Steps
 
 SCALE = "131072D"
 AIRBORNE_ZONE = "360D"
@@ -50,26 +51,45 @@ def reference_longitude(step: str, code: str, ref_lon: float = RECEIVER_LON) ->
     return f"if({step} is null, null, {_nearest(code, step, ref_lon)})"
 
 
-def pair_position(even: str, odd: str, newest_odd: str) -> dict[str, str]:
-    """Columns, in order, up to ``pair_lat`` and ``pair_lon`` of two structs ``(lat, lon)`` of codes.
+def pair_position(even: str, odd: str, newest_odd: str, ground: str, ref_lat: float = RECEIVER_LAT, ref_lon: float = RECEIVER_LON) -> Steps:
+    """Steps up to the columns ``pair_lat`` and ``pair_lon`` of two structs ``(lat, lon)`` of codes.
 
-    The result is null where the two latitudes fall in different zones.
+    The result is null where the two latitudes fall in different zones. Airborne codes divide the
+    whole circle. Codes of frames on the ground divide a quarter of it, and the quarter nearest
+    the receiver is taken.
     """
     ye, xe = f"({even}.lat / {SCALE})", f"({even}.lon / {SCALE})"
     yo, xo = f"({odd}.lat / {SCALE})", f"({odd}.lon / {SCALE})"
-    return {
-        "__j": f"floor(59 * {ye} - 60 * {yo} + 0.5D)",
-        "__even": f"360D / 60 * (pmod(__j, 60) + {ye})",
-        "__odd": f"360D / 59 * (pmod(__j, 59) + {yo})",
-        "__even_lat": "if(__even >= 270, __even - 360, __even)",
-        "__odd_lat": "if(__odd >= 270, __odd - 360, __odd)",
-        "__zones": f"if({zone_count('__even_lat')} = {zone_count('__odd_lat')}, {zone_count('__even_lat')}, null)",
-        "__count": f"greatest(__zones - if({newest_odd}, 1, 0), 1)",
-        "__m": f"floor({xe} * (__zones - 1) - {xo} * __zones + 0.5D)",
-        "__lon": f"360D / __count * (pmod(__m, __count) + if({newest_odd}, {xo}, {xe}))",
-        "pair_lat": f"if(__zones is null, null, if({newest_odd}, __odd_lat, __even_lat))",
-        "pair_lon": "if(__zones is null, null, if(__lon >= 180, __lon - 360, __lon))",
-    }
+    lat, lon = f"({float(ref_lat)!r}D)", f"({float(ref_lon)!r}D)"
+
+    def northern(value: str) -> str:
+        """A latitude of 0 to 90 or, for airborne codes, 0 to 360 degrees as a signed one."""
+        south = f"if(abs({value} - 90 - {lat}) < abs({value} - {lat}), {value} - 90, {value})"
+        return f"if({ground}, {south}, if({value} >= 270, {value} - 360, {value}))"
+
+    # boundaries keep each value from being written out again wherever it is used
+    return (
+        Steps()
+        .once({"__j": f"floor(59 * {ye} - 60 * {yo} + 0.5D)", "__circle": f"if({ground}, {SURFACE_ZONE}, {AIRBORNE_ZONE})"})
+        .once({"__even": f"__circle / 60 * (pmod(__j, 60) + {ye})", "__odd": f"__circle / 59 * (pmod(__j, 59) + {yo})"})
+        .once({"__even_lat": northern("__even"), "__odd_lat": northern("__odd")})
+        .once({"__even_zones": zone_count("__even_lat"), "__odd_zones": zone_count("__odd_lat")})
+        .add(
+            {
+                "__zones": "if(__even_zones = __odd_zones, __even_zones, null)",
+                "__count": f"greatest(__zones - if({newest_odd}, 1, 0), 1)",
+                "__m": f"floor({xe} * (__zones - 1) - {xo} * __zones + 0.5D)",
+            }
+        )
+        .once({"__lon": f"__circle / __count * (pmod(__m, __count) + if({newest_odd}, {xo}, {xe}))"})
+        .add(
+            {
+                "__quarter": f"__lon + 90 * floor(({lon} - __lon) / 90 + 0.5D)",
+                "pair_lat": f"if(__zones is null, null, if({newest_odd}, __odd_lat, __even_lat))",
+                "pair_lon": f"if(__zones is null, null, if({ground}, __quarter, if(__lon >= 180, __lon - 360, __lon)))",
+            }
+        )
+    )
 
 
 def position_codes(zone: str, odd: str, lat: str, lon: str) -> dict[str, str]:

@@ -38,3 +38,10 @@ def significant(value: str, digits: int) -> Column:
     """Value rounded to a number of significant digits."""
     scale = f"pow(10D, {digits - 1} - floor(log10(abs({value}))))"
     return F.expr(f"if({value} = 0, 0D, rint({value} * {scale}) / {scale})")
+
+
+def nautical_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Distance over ground on a sphere of 60 nautical miles a degree."""
+    half = lambda a, b: F.pow(F.sin(F.radians((b - a) / 2)), F.lit(2.0))
+    chord = half(lat1, lat2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lon1, lon2)
+    return F.degrees(2 * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))) * 60

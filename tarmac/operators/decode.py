@@ -112,7 +112,7 @@ def decode(
         for name, build in kind.groups.items()
     }
     groups |= {
-        "cpr": "if(msg_type = 'airborne', named_struct('odd', __bit, 'lat', __lat_code, 'lon', __lon_code), null)",
+        "cpr": "if(msg_type in ('airborne', 'surface'), named_struct('odd', __bit, 'lat', __lat_code, 'lon', __lon_code), null)",
         "version": f"if(tc = 31 and reject_reason is null, {me_bits(72, 75)}, null)",
         "aircraft_type": fields.category_label("ca") if compat else "__label",
         "ts": "timestamp_millis(ts_kafka)",

@@ -82,3 +82,30 @@ def day_hour_dense(facts: DataFrame, on_ground: int) -> DataFrame:
 
 def distinct_days(facts: DataFrame) -> DataFrame:
     return facts.select("day").distinct()
+
+
+#: Registers of a sketch, as a power of two; its standard error is SKETCH_ERROR of the count.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def occupancy_sketches(facts: DataFrame) -> DataFrame:
+    """(day, hour, on_ground, sketch): a mergeable count of distinct aircraft, to be kept as a product.
+
+    Sketches of hours merge into those of any days or weeks, without the aircraft.
+    """
+    return facts.groupBy("day", "hour", "on_ground").agg(F.hll_sketch_agg("icao", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def merged_counts(sketches: DataFrame, *by: str) -> DataFrame:
+    """(by..., n): about how many distinct aircraft sketches together hold, three times SKETCH_ERROR off at most, almost always."""
+    merged = sketches.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select(*by, F.hll_sketch_estimate("sketch").alias("n"))
+
+
+def sketched_beside_exact(facts: DataFrame, sketches: DataFrame, *by: str) -> DataFrame:
+    """(by..., n_exact, n_sketched, in_bound): distinct aircraft counted, and estimated from the kept sketches."""
+    exact = facts.select(*by, "icao").distinct().groupBy(*by).agg(F.count("*").alias("n_exact"))
+    both = exact.join(merged_counts(sketches, *by).withColumnRenamed("n", "n_sketched"), list(by))
+    off = F.abs(F.col("n_sketched") - F.col("n_exact"))
+    return both.withColumn("in_bound", off <= F.greatest(F.lit(1.0), F.lit(3 * SKETCH_ERROR) * F.col("n_exact")))

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions import cpr
-from tarmac.functions.steps import Steps
+from tarmac.functions import cpr, geo
+from tarmac.functions.fixed_values import RECEIVER_LAT, RECEIVER_LON
 from tarmac.operators.decode import valid_adsb, valid_frames
 from tarmac.operators.registry import MESSAGE_TYPES
 from tarmac.operators.scan import SLICE_MS, carry_last, with_halo
+from tarmac.session import MINUTE_MS
+
+#: A fix is checked against the aircraft's fix before, if that is not older than this.
+CHECK_MS = 10 * MINUTE_MS
+MAX_SPEED_KT = 1000.0
 
 GROUPS = [name for kind in MESSAGE_TYPES.values() for name in kind.groups]
 
@@ -141,12 +146,24 @@ def adsb_version(decoded: DataFrame) -> DataFrame:
     return rows.groupBy("icao").agg(F.coalesce(latest, F.lit(0)).alias("version"))
 
 
-def pair_positions(decoded: DataFrame, max_gap_ms: int = 10_000) -> DataFrame:
-    """Airborne positions without a reference point, from even and odd frames close in time."""
-    rows = valid_adsb(decoded).filter(F.col("cpr").isNotNull()).select("ts_kafka", "seq", "icao", "cpr")
+def pair_positions(
+    decoded: DataFrame,
+    max_gap_ms: int = 10_000,
+    ref_lat: float = RECEIVER_LAT,
+    ref_lon: float = RECEIVER_LON,
+    max_speed_kt: float = MAX_SPEED_KT,
+) -> DataFrame:
+    """Positions from even and odd frames close in time, without assuming where the aircraft is.
+
+    Both frames are airborne, or both on the ground; then the receiver tells the quarter of
+    the globe. Frames whose latitudes lie in zones of different counts give nothing. ``plausible`` is
+    false if the aircraft would have had to go faster than ``max_speed_kt`` from its
+    fix before, one of the last ``CHECK_MS``; null without such a fix.
+    """
+    rows = valid_adsb(decoded).filter(F.col("cpr").isNotNull()).select("ts_kafka", "seq", "icao", "cpr", (F.col("msg_type") == "surface").alias("ground"))
     rows = with_halo(rows, max_gap_ms, max(SLICE_MS, 4 * max_gap_ms))
     past = (
-        Window.partitionBy("icao", "__slice")
+        Window.partitionBy("icao", "__slice", "ground")
         .orderBy("ts_kafka", "seq")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -158,7 +175,14 @@ def pair_positions(decoded: DataFrame, max_gap_ms: int = 10_000) -> DataFrame:
     paired = rows.withColumns({"even": latest(0), "odd": latest(1)}).filter(
         F.col("__own") & (F.abs(F.col("even.at") - F.col("odd.at")) <= max_gap_ms)
     )
-    placed = Steps().add(cpr.pair_position("even", "odd", "cpr.odd = 1")).apply(paired)
-    return placed.filter(F.col("pair_lat").isNotNull()).select(
-        "ts_kafka", "seq", "icao", F.col("pair_lat").alias("lat"), F.col("pair_lon").alias("lon")
+    placed = cpr.pair_position("even", "odd", "cpr.odd = 1", "ground", ref_lat, ref_lon).apply(paired)
+    fixes = placed.filter(F.col("pair_lat").isNotNull()).select(
+        "ts_kafka", "seq", "icao", F.col("pair_lat").alias("lat"), F.col("pair_lon").alias("lon"), F.col("ground").cast("int").alias("ground")
     )
+    near = with_halo(fixes, CHECK_MS, 4 * CHECK_MS)
+    before = F.lag(F.struct("ts_kafka", "lat", "lon")).over(Window.partitionBy("icao", "__slice").orderBy("ts_kafka", "seq"))
+    near = near.withColumn("__before", before).filter("__own")
+    gone_h = F.greatest(F.col("ts_kafka") - F.col("__before.ts_kafka"), F.lit(1)) / F.lit(3_600_000.0)
+    speed = geo.nautical_miles(F.col("__before.lat"), F.col("__before.lon"), F.col("lat"), F.col("lon")) / gone_h
+    recent = F.col("ts_kafka") - F.col("__before.ts_kafka") <= CHECK_MS
+    return near.select(*fixes.columns, F.when(recent, speed <= max_speed_kt).alias("plausible"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarmac.functions import calendar, geo
 from tarmac.functions.fixed_values import UNINFORMATIVE_LABELS
 from tarmac.operators.decode import valid_frames
+from tarmac.operators.places import with_place
 from tarmac.operators.scan import SLICE_MS, carry_last
 from tarmac.session import MINUTE_MS
 
@@ -58,8 +59,14 @@ def takeoffs(decoded: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     )
 
 
-def with_runway(events: DataFrame) -> DataFrame:
-    """Adds the runway whose outline holds the last surface position, else null."""
+def with_runway(events: DataFrame, outlines: DataFrame | None = None) -> DataFrame:
+    """Adds the runway whose outline holds the last surface position, else null.
+
+    ``outlines`` is a table ``(priority, runway, vertices)`` of another airport, or of many; by default
+    the four runways around the receiver are tested in place.
+    """
+    if outlines is not None:
+        return with_place(events, outlines, "runway")
     return events.withColumn("runway", geo.runway_at("lon", "lat"))
 
 
@@ -86,6 +93,8 @@ def drop_repeats(events: DataFrame, gap_ms: int = DUPLICATE_GAP_MS) -> DataFrame
     return marked.filter(own & ~F.col("__repeat")).drop("__slice", "__repeat")
 
 
-def clean_waits(decoded: DataFrame, gap_ms: int = DUPLICATE_GAP_MS, max_wait_s: float = MAX_WAIT_S) -> DataFrame:
+def clean_waits(
+    decoded: DataFrame, gap_ms: int = DUPLICATE_GAP_MS, max_wait_s: float = MAX_WAIT_S, outlines: DataFrame | None = None
+) -> DataFrame:
     """Take-offs as the reports use them: plausible wait, known runway, no repeats."""
-    return drop_repeats(plausible(with_runway(takeoffs(decoded)), max_wait_s), gap_ms)
+    return drop_repeats(plausible(with_runway(takeoffs(decoded), outlines), max_wait_s), gap_ms)

@@ -42,15 +42,29 @@ def _r(column: str, name: str | None = None) -> str:
     return f"round({column}, 6) + 0.0 AS {name or column}"
 
 
-FRAMES = f"""
+# numbers, places, call sign blocks, attributes, aircraft, kinds and times of the frames of each log
+_K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
+_T = "1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 4"
+PLAIN_LOG = f"""
 ev AS (
-  SELECT event_id AS e, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k, user_id % 12 AS u, event_type,
-         1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 4 AS ts_kafka
+  SELECT event_id AS e, event_id AS p, event_id // 300 AS c, {_K} AS k, user_id % 12 AS u, event_type, {_T} AS ts_kafka, 0 AS rich
+  FROM events),"""
+FLEET_LOG = f"""
+bursts AS (
+  SELECT event_id AS p, {_K} AS k, CASE WHEN user_id % 3 = 0 THEN 0 ELSE 1 + user_id % 60 END AS u, {_T} AS t0, unnest([0, 1, 2, 3]) AS i
   FROM events),
+ev AS (
+  SELECT p * 4 + i AS e, p, (t0 + 400 * i) // 345600000 AS c, k, u,
+         CASE WHEN i < 2 THEN CASE WHEN k % 4 = 0 THEN 'click' ELSE 'error' END WHEN i = 3 THEN 'view'
+              WHEN p % 3 = 0 THEN 'signup' WHEN p % 3 = 1 OR k % 10 <> 8 THEN 'purchase' ELSE 'error' END AS event_type,
+         t0 + 400 * i AS ts_kafka, 1 AS rich
+  FROM bursts),"""
+
+FRAMES = f"""{PLAIN_LOG}
 kinds AS (
   SELECT *, CASE event_type WHEN 'view' THEN 'allcall' WHEN 'click' THEN 'surface' WHEN 'signup' THEN 'ident'
                  WHEN 'purchase' THEN 'velocity' ELSE CASE WHEN k % 10 = 8 THEN 'status' ELSE 'airborne' END END AS kind,
-         40.45 + ((e * 7919) % 1000) * 0.00009::DOUBLE AS lat0, -3.59 + ((e * 104729) % 1000) * 0.00007::DOUBLE AS lon0,
+         40.45 + ((p * 7919) % 1000) * 0.00009::DOUBLE AS lat0, -3.59 + ((p * 104729) % 1000) * 0.00007::DOUBLE AS lon0,
          CASE WHEN event_type = 'click' THEN 90.0::DOUBLE ELSE 360.0::DOUBLE END AS q, e % 2 AS odd
   FROM ev),
 c1 AS (SELECT *, q / (60 - odd) AS dlat FROM kinds),
@@ -60,8 +74,8 @@ c4 AS (SELECT *, q / greatest(floor(2 * pi() / acos(1 - (1 - cos(pi() / 30)) / (
 c5 AS (SELECT *, floor(131072 * (lon0 - dlon * floor(lon0 / dlon)) / dlon + 0.5) AS xz FROM c4),
 labels_by_code(tc, cat, label) AS (VALUES {_LABELS}),
 msg AS (
-  SELECT e AS seq, ts_kafka, '3400' || printf('%02x', u) AS icao, kind, k, u, e, odd,
-         CASE WHEN kind = 'allcall' THEN 11 ELSE 17 END AS dl,
+  SELECT e AS seq, ts_kafka, '3400' || printf('%02x', u) AS icao, kind, k, u, e, p, c, rich, odd, yz, xz,
+         CASE WHEN kind = 'allcall' THEN 11 WHEN rich = 1 AND p % 5 = 0 THEN 18 ELSE 17 END AS dl,
          CASE WHEN kind = 'surface' THEN 4 WHEN kind <> 'allcall' THEN 5 WHEN k % 10 = 9 THEN 0
               WHEN k % 4 = 0 THEN 4 ELSE 5 END AS ca,
          CASE kind WHEN 'surface' THEN 5 + e % 4 WHEN 'ident' THEN 1 + e % 4 WHEN 'velocity' THEN 19 WHEN 'status' THEN 31
@@ -86,19 +100,19 @@ valid AS (
          CASE WHEN kind = 'airborne' THEN
               CASE WHEN k % 10 = 9 THEN CASE WHEN (e * 13) % 4096 <> 0 THEN ((e * 13) % 4096) * 3.28084::DOUBLE END
                    ELSE (((e * 13) % 1600) * 25 - 1000)::DOUBLE END END AS alt_feet,
-         CASE WHEN kind = 'ident' THEN 'F' || ['A', 'B', 'C'][1 + (e // 300) % 3] || 'T00' || printf('%02d', u) END AS callsign,
+         CASE WHEN kind = 'ident' THEN 'F' || ['A', 'B', 'C'][1 + c % 3] || 'T00' || printf('%02d', u) END AS callsign,
          CASE WHEN kind = 'ident' THEN (SELECT label FROM labels_by_code l WHERE l.tc = msg.tc AND l.cat = k % 8) END AS label,
-         CASE WHEN kind = 'velocity' THEN CASE WHEN k % 4 = 3 THEN 3 ELSE 1 END END AS st,
-         (e * 37) % 600 AS vx, (e * 53) % 600 AS vy
+         CASE WHEN kind = 'velocity' THEN CASE WHEN k % 4 = 3 THEN 3 ELSE 1 END + rich * ((e % 8) // 4) END AS st,
+         1 + 3 * rich * ((e % 8) // 4) AS factor, (e * 37) % 600 * (1 + 3 * rich * ((e % 8) // 4)) AS vx, (e * 53) % 600 * (1 + 3 * rich * ((e % 8) // 4)) AS vy
   FROM msg WHERE intact),
 vel AS (
-  SELECT rn, CASE WHEN st = 3 THEN (k * 5) % 500 ELSE floor(sqrt(vx * vx + vy * vy))::BIGINT END AS speed,
-         CASE WHEN st = 3 THEN ((e * 11) % 1024) * 360.0::DOUBLE / 1024
+  SELECT rn, CASE WHEN st > 2 THEN (k * 5) % 500 * factor ELSE floor(sqrt(vx * vx + vy * vy))::BIGINT END AS speed,
+         CASE WHEN st > 2 THEN ((e * 11) % 1024) * 360.0::DOUBLE / 1024
               ELSE (degrees(atan2((vx * (1 - 2 * (e % 2)))::DOUBLE, (vy * (1 - 2 * (k % 2)))::DOUBLE)) + 360) % 360 END AS heading,
          CASE WHEN 1 + e % 200 = 0 THEN NULL ELSE (e % 200) * 64 * (1 - 2 * (e % 2)) END AS vs,
-         CASE WHEN st = 3 THEN CASE WHEN e % 2 = 1 THEN 'TAS' ELSE 'IAS' END ELSE 'GS' END AS vt,
-         (k % 50) * 25 AS dalt, CASE WHEN st = 1 THEN vx END AS vew, CASE WHEN st = 3 THEN (e * 11) % 1024 END AS hdg,
-         CASE WHEN st = 3 THEN e % 2 END AS t, *  EXCLUDE (rn)
+         CASE WHEN st > 2 THEN CASE WHEN e % 2 = 1 THEN 'TAS' ELSE 'IAS' END ELSE 'GS' END AS vt,
+         (k % 50) * 25 * (1 - 2 * rich * (p % 2)) AS dalt, CASE WHEN st < 3 THEN vx END AS vew, CASE WHEN st > 2 THEN (e * 11) % 1024 END AS hdg,
+         CASE WHEN st > 2 THEN e % 2 END AS t, *  EXCLUDE (rn)
   FROM valid WHERE kind = 'velocity')"""
 
 FACTS = """,
@@ -205,8 +219,8 @@ def _known(ttl_ms: int | None) -> str:
         "airborne": "kind = 'airborne'",
         "velocity": "kind = 'velocity'",
         "ident": "kind = 'ident'",
-        "gs": "st = 1",
-        "asp": "st = 3",
+        "gs": "st < 3",
+        "asp": "st > 2",
     }
     picked = _LAST.format(**{n: f"max(CASE WHEN {c} THEN rn END) OVER o" for n, c in conditions.items()})
     fresh = "" if ttl_ms is None else " AND p.ts_kafka - {a}.ts_kafka <= " + str(ttl_ms)
@@ -320,7 +334,89 @@ _TRAIL = """'{"type":"Feature","properties":{"times":["' || rtrim(repeat(at_text
   || '"geometry":{"type":"LineString","coordinates":[' || places || ']}}'"""
 
 
+def _zones(lat: str) -> str:
+    return f"floor(2 * pi() / acos(1 - (1 - cos(pi() / 30)) / (cos(radians({lat})) ** 2)))"
+
+
+def _signed(value: str) -> str:
+    return (
+        f"CASE WHEN kind = 'surface' THEN CASE WHEN abs({value} - 90 - 40.51::DOUBLE) < abs({value} - 40.51::DOUBLE) THEN {value} - 90 ELSE {value} END "
+        f"WHEN {value} >= 270 THEN {value} - 360 ELSE {value} END"
+    )
+
+
+_PAIRS = f""",
+codes AS (
+  SELECT rn, seq, ts_kafka, icao, kind, odd, (yz::BIGINT % 131072) / 131072.0::DOUBLE AS y, (xz::BIGINT % 131072) / 131072.0::DOUBLE AS x
+  FROM valid WHERE kind IN ('airborne', 'surface')),
+latest AS (
+  SELECT *, max(CASE WHEN odd = 0 THEN rn END) OVER o AS re, max(CASE WHEN odd = 1 THEN rn END) OVER o AS ro
+  FROM codes WINDOW o AS (PARTITION BY icao, kind ORDER BY rn ROWS UNBOUNDED PRECEDING)),
+met AS (
+  SELECT l.*, a.y AS ye, a.x AS xe, b.y AS yo, b.x AS xo, CASE WHEN l.kind = 'surface' THEN 90 ELSE 360 END::DOUBLE AS circle,
+         floor(59 * a.y - 60 * b.y + 0.5::DOUBLE) AS j
+  FROM latest l JOIN codes a ON a.rn = l.re JOIN codes b ON b.rn = l.ro WHERE abs(a.ts_kafka - b.ts_kafka) <= 10000),
+ringed AS (SELECT *, circle / 60 * ((j % 60 + 60) % 60 + ye) AS le0, circle / 59 * ((j % 59 + 59) % 59 + yo) AS lo0 FROM met),
+lats AS (SELECT *, {_signed('le0')} AS le, {_signed('lo0')} AS lo FROM ringed),
+zoned AS (SELECT *, {_zones('le')} AS nl FROM lats WHERE {_zones('le')} = {_zones('lo')}),
+counted AS (SELECT *, greatest(nl - odd, 1) AS n, floor(xe * (nl - 1) - xo * nl + 0.5::DOUBLE) AS m FROM zoned),
+lons AS (SELECT *, circle / n * ((m % n + n) % n + CASE odd WHEN 1 THEN xo ELSE xe END) AS l0 FROM counted),
+fixes AS (
+  SELECT rn, seq, ts_kafka, icao, CASE odd WHEN 1 THEN lo ELSE le END AS lat, (kind = 'surface')::BIGINT AS ground,
+         CASE WHEN kind = 'surface' THEN l0 + 90 * floor((-3.53::DOUBLE - l0) / 90 + 0.5::DOUBLE) WHEN l0 >= 180 THEN l0 - 360 ELSE l0 END AS lon
+  FROM lons),
+steps AS (
+  SELECT *, lag(ts_kafka) OVER o AS t0, lag(lat) OVER o AS lat0, lag(lon) OVER o AS lon0 FROM fixes
+  WINDOW o AS (PARTITION BY icao ORDER BY rn)),
+speeds AS (
+  SELECT *, 60 * degrees(2 * asin(sqrt(least(1, sin(radians((lat - lat0) / 2)) ** 2 + cos(radians(lat0)) * cos(radians(lat)) * sin(radians((lon - lon0) / 2)) ** 2))))
+         / (greatest(ts_kafka - t0, 1) / 3600000.0::DOUBLE) AS knots FROM steps)"""
+
+
+def fleet(sql: str) -> str:
+    """A statement over the plain log as one over the fleet log."""
+    return sql.replace(PLAIN_LOG, FLEET_LOG)
+
+
 def oracle_queries() -> dict[str, str]:
+    plain = _plain_queries()
+    same = {
+        "fleet_frames": "valid_frames",
+        "fleet_airborne": "decode_airborne",
+        "fleet_velocity": "decode_velocity",
+        "fleet_takeoffs": "takeoffs",
+        "fleet_window_states": "window_states",
+        "fleet_direction": "direction",
+        "fleet_trails": "trails",
+        "fleet_flights": "flights",
+        "fleet_current_route": "current_route",
+        "fleet_segments": "segments",
+        "fleet_height_profile": "height_profile",
+        "fleet_latest_state": "latest_state",
+        "fleet_map_points": "map_points_day",
+    }
+    # the plain statement of the known state states bits that are 0 in the plain log
+    known = plain["known_state"]
+    for old, new in _STATED_BITS:
+        assert old in known
+        known = known.replace(old, new)
+    pairs = _with(_PAIRS, f"SELECT seq, ts_kafka, icao, {_r('lat')}, {_r('lon')}, ground, "
+                  "CASE WHEN ts_kafka - t0 <= 600000 THEN (knots <= 1000)::BIGINT END AS plausible FROM speeds")
+    return plain | {name: fleet(plain[of]) for name, of in same.items()} | {"fleet_known_state": fleet(known), "pair_positions": fleet(pairs)}
+
+
+#: In the known state, what the plain log leaves constant and the fleet log does not.
+_STATED_BITS = (
+    ("CASE WHEN a.rn IS NOT NULL THEN 'no_condition' END", "CASE WHEN a.rn IS NOT NULL THEN ['no_condition', 'permanent_alert', 'temporary_alert', 'SPI_condition'][1 + a.p % 4] END"),
+    ('CASE WHEN a.rn IS NOT NULL THEN 0 END::BIGINT AS "airborne_pos_single_antenna_flag"', '((a.p // 4) % 2)::BIGINT AS "airborne_pos_single_antenna_flag"'),
+    ('CASE WHEN a.rn IS NOT NULL THEN 0 END::BIGINT AS "airborne_pos_time"', '((a.p // 8) % 2)::BIGINT AS "airborne_pos_time"'),
+    ('CASE WHEN w.rn IS NOT NULL THEN 0 END::BIGINT AS "IC"', '(w.p % 2)::BIGINT AS "IC"'),
+    ('CASE WHEN w.rn IS NOT NULL THEN 0 END::BIGINT AS "NUC"', '(w.p % 8)::BIGINT AS "NUC"'),
+    ('CASE WHEN w.rn IS NOT NULL THEN 0 END::BIGINT AS "SDif"', '(w.p % 2)::BIGINT AS "SDif"'),
+)
+
+
+def _plain_queries() -> dict[str, str]:
     f, w = FACTS, WINDOWS
     t = TAKEOFFS
     hour_counts = "SELECT hour, on_ground, count(*) AS n FROM facts {where} GROUP BY hour, on_ground"
@@ -363,16 +459,17 @@ def oracle_queries() -> dict[str, str]:
             "",
             f"SELECT seq, icao, tc::BIGINT AS tc, {_r('lat')}, {_r('lon')}, {_r('alt_feet')}, "
             "CASE WHEN tc < 19 THEN 'airborne_barometric_alt' ELSE 'airborne_gnss_alt' END AS altitude_type, "
-            "'no_condition' AS surveillance_status, 0::BIGINT AS single_antenna, 0::BIGINT AS time_bit, "
+            "['no_condition', 'permanent_alert', 'temporary_alert', 'SPI_condition'][1 + rich * (p % 4)] AS surveillance_status, "
+            "(rich * ((p // 4) % 2))::BIGINT AS single_antenna, (rich * ((p // 8) % 2))::BIGINT AS time_bit, "
             "CASE odd WHEN 0 THEN 'even_frame' ELSE 'odd_frame' END AS cpr_format FROM valid WHERE kind = 'airborne'",
         ),
         "decode_velocity": _with(
             "",
             f"SELECT seq, icao, speed::BIGINT AS speed, {_r('heading')}, vs::BIGINT AS vertical_rate, vt AS speed_type, "
-            "st::BIGINT AS subtype, 0::BIGINT AS intent_change, 1::BIGINT AS ifr, 0::BIGINT AS nuc, "
-            "(k % 2)::BIGINT AS vr_source, (e % 2)::BIGINT AS vr_sign, (1 + e % 200)::BIGINT AS vr_raw, 0::BIGINT AS sdif, "
-            "dalt::BIGINT AS dalt, CASE WHEN st = 1 THEN e % 2 END::BIGINT AS dew, vew::BIGINT AS vew, "
-            "CASE WHEN st = 1 THEN k % 2 END::BIGINT AS dns, CASE WHEN st = 3 THEN 1 END::BIGINT AS heading_status, "
+            "st::BIGINT AS subtype, (rich * (p % 2))::BIGINT AS intent_change, 1::BIGINT AS ifr, (rich * (p % 8))::BIGINT AS nuc, "
+            "(k % 2)::BIGINT AS vr_source, (e % 2)::BIGINT AS vr_sign, (1 + e % 200)::BIGINT AS vr_raw, (rich * (p % 2))::BIGINT AS sdif, "
+            "dalt::BIGINT AS dalt, CASE WHEN st < 3 THEN e % 2 END::BIGINT AS dew, vew::BIGINT AS vew, "
+            "CASE WHEN st < 3 THEN k % 2 END::BIGINT AS dns, CASE WHEN st > 2 THEN 1 END::BIGINT AS heading_status, "
             "hdg::BIGINT AS heading_raw, t::BIGINT AS airspeed_type FROM vel",
         ),
         "rejects": _with("", "SELECT seq, ts_kafka, 'corrupted' AS reject_reason FROM msg WHERE NOT intact"),
@@ -715,4 +812,53 @@ def oracle_queries() -> dict[str, str]:
             "SELECT icao, min(ts_kafka) AS start_ms, max(ts_kafka) + 1800000 AS end_ms, count(*) AS n_messages FROM numbered "
             "GROUP BY icao, run HAVING end_ms <= (SELECT max(ts_kafka) - 600000 FROM valid)",
         ),
+        "takeoff_runway_table": _with(t, f"SELECT {_TKO}, runway FROM tko"),
+        "decoded_csv": _with(
+            "",
+            "SELECT ts_kafka, dl::BIGINT AS dl, icao, ca::BIGINT AS ca, on_ground::BIGINT AS on_ground, label AS aircraft_type, ts_kafka AS ts, "
+            "strftime(make_timestamp(ts_kafka * 1000), '%Y-%m-%d') AS date, extract(hour FROM make_timestamp(ts_kafka * 1000))::BIGINT AS hour, "
+            "tc::BIGINT AS tc FROM valid",
+        ),
+        "raw_range_scan": _with(
+            "",
+            "SELECT ts_kafka, CASE kind WHEN 'allcall' THEN 12 ELSE 20 END::BIGINT AS n_chars, NULL::VARCHAR AS line FROM msg "
+            "WHERE ts_kafka BETWEEN 1704240000000 AND 1704240000000 + 2 * 86400000 - 1",
+        ),
+        "first_messages": _with("", "SELECT seq, ts_kafka, icao, dl::BIGINT AS dl FROM valid WHERE rn <= 10"),
+        "time_order": _with("", "SELECT count(*) AS n, 0::BIGINT AS backwards FROM valid"),
+        "occupancy_sketch": _with(f, "SELECT day, on_ground, count(DISTINCT icao) AS n_exact, 1::BIGINT AS in_bound FROM facts GROUP BY day, on_ground"),
+        "sql_takeoffs_between": _with(
+            """, inside AS (SELECT *, dl = 11 AND coalesce(on_ground = 0, false) AS is_air FROM valid
+              WHERE ts_kafka BETWEEN 1704240000000 AND 1704240000000 + 3 * 86400000),
+            legs_t AS (SELECT *, coalesce(sum(is_air::INTEGER) OVER (PARTITION BY icao ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS leg FROM inside),
+            stops_t AS (SELECT *, max(CASE WHEN surf_speed = 0 THEN ts_kafka END) OVER (PARTITION BY icao, leg ORDER BY rn ROWS UNBOUNDED PRECEDING) AS stop FROM legs_t)""",
+            f"SELECT icao, stop AS last_stopped_ms, ts_kafka AS takeoff_ms, {_r('(ts_kafka - stop) / 1000.0::DOUBLE', 'wait_s')} FROM stops_t WHERE is_air AND stop IS NOT NULL",
+        ),
+        "sql_known_state_of": _with(
+            """, own AS (SELECT *, max(CASE WHEN kind = 'ident' THEN rn END) OVER o AS ri, max(CASE WHEN kind = 'airborne' THEN rn END) OVER o AS ra,
+                max(CASE WHEN kind = 'velocity' THEN rn END) OVER o AS rw FROM valid WHERE icao = '340005' AND msg_type IS NOT NULL
+                AND ts_kafka BETWEEN 1704240000000 AND 1704326400000 WINDOW o AS (ORDER BY rn ROWS UNBOUNDED PRECEDING))""",
+            f"SELECT o.ts_kafka, o.seq, i.callsign, {_r('a.lat', 'lat')}, {_r('a.lon', 'lon')}, {_r('a.alt_feet', 'alt_feet')}, w.speed::BIGINT AS speed "
+            "FROM own o LEFT JOIN valid i ON i.rn = o.ri LEFT JOIN valid a ON a.rn = o.ra LEFT JOIN vel w ON w.rn = o.rw",
+        ),
+        "sql_day_hours": _with(
+            "",
+            "SELECT strftime(make_timestamp(ts_kafka * 1000), '%d/%m/%Y') AS day, extract(hour FROM make_timestamp(ts_kafka * 1000))::BIGINT AS hour, "
+            "dl::BIGINT AS dl, count(*) AS n, count(DISTINCT icao) AS n_icao FROM msg GROUP BY ALL",
+        ),
+        "stream_product": _with(
+            "",
+            "SELECT seq, ts_kafka, dl::BIGINT AS dl, icao, ca::BIGINT AS ca, on_ground::BIGINT AS on_ground, tc::BIGINT AS tc, "
+            "strftime(make_timestamp(ts_kafka * 1000), '%Y-%m-%d') AS date, extract(hour FROM make_timestamp(ts_kafka * 1000))::BIGINT AS hour "
+            "FROM valid",
+        ),
+        "stream_late_rows": _with(
+            """, sent AS (SELECT *, ts_kafka + CASE WHEN e % 23 = 0 THEN 7200000 ELSE 0 END AS arrival FROM msg),
+            size AS (SELECT min(arrival) AS lo, max(arrival) AS hi, greatest(8, ceil(count(*) / 1000000.0))::BIGINT AS files FROM sent),
+            slots AS (SELECT s.*, (arrival - lo) * files // (hi - lo + 1) AS slot FROM sent s, size),
+            largest AS (SELECT slot, max(ts_kafka) FILTER (WHERE intact) AS most FROM slots GROUP BY slot),
+            marks_l AS (SELECT slot, max(most) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000 AS mark FROM largest)""",
+            "SELECT seq, ts_kafka, CASE WHEN NOT intact THEN 'reject' WHEN ts_kafka <= mark THEN 'late' ELSE 'on_time' END AS fate, "
+            "CASE WHEN NOT intact THEN 'corrupted' WHEN ts_kafka <= mark THEN 'behind_watermark' END AS reason FROM slots JOIN marks_l USING (slot)",
+        ),
     }

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.operators import features, occupancy as occ, profile, routes, state, takeoffs as tk, waits, windows
 from tarmac.operators.decode import decode, split_rejects, valid_adsb, valid_allcall, valid_frames
+from tarmac.plans import sql_surface
 from tarmac.session import HOUR_MS, MINUTE_MS, configure, shared_dir
 from tarmac.sources import dims, products
-from tarmac.sources.event_frames import event_log
-from tarmac.sources.raw import on_days
+from tarmac.sources.event_frames import event_log, fleet_log
+from tarmac.sources.raw import on_days, read_raw_range, write_raw_spans
 
 # The derived log holds one message per aircraft and quarter of an hour or so,
 # hence windows and gaps longer than the library defaults.
@@ -225,6 +227,78 @@ def window_hist(raw: DataFrame) -> DataFrame:
     return profile.histogram(_points(raw), "alt_feet")
 
 
+def takeoff_runway_table(raw: DataFrame) -> DataFrame:
+    """Take-offs whose runway comes from a table of outlines."""
+    return tk.with_runway(tk.takeoffs(_decoded(raw)), dims.runways(raw.sparkSession))
+
+
+def decoded_csv(raw: DataFrame) -> DataFrame:
+    """The decoded table written as text and read back with its times and dates."""
+    base = shared_dir(raw.sparkSession)
+    products.write_product(products.decoded_columns(valid_frames(_decoded(raw))), "decoded", base, file_format="csv")
+    return products.read_decoded(raw.sparkSession, f"{base}/decoded", "csv").drop("message", "message_hex")
+
+
+def raw_range_scan(raw: DataFrame) -> DataFrame:
+    """Messages of two days from a text log of a file a day; the other days' files are not read."""
+    folder = f"{shared_dir(raw.sparkSession)}/raw"
+    write_raw_spans(raw, folder)
+    rows = read_raw_range(raw.sparkSession, folder, RANGE_START_MS, RANGE_START_MS + 2 * 24 * HOUR_MS - 1)
+    return rows.select("ts_kafka", F.length("message").alias("n_chars"), "line")
+
+
+def first_messages(raw: DataFrame) -> DataFrame:
+    """The ten oldest intact messages."""
+    return products.preview(products.by_time(valid_frames(_decoded(raw))), 10).select("seq", "ts_kafka", "icao", "dl")
+
+
+def time_order(raw: DataFrame) -> DataFrame:
+    """How many messages the global sort by time gives, and whether any task saw time go backwards."""
+    rows = products.by_time(valid_frames(_decoded(raw))).select("ts_kafka")
+
+    def steps(batches):
+        last = None
+        for batch in batches:
+            times = batch["ts_kafka"]
+            yield pd.DataFrame({"backwards": [bool((times.diff() < 0).any()) or (last is not None and times.iloc[0] < last)], "n": [len(times)]})
+            last = times.iloc[-1]
+
+    checked = rows.mapInPandas(steps, "backwards boolean, n long")
+    return checked.agg(F.sum("n").alias("n"), F.max("backwards").alias("backwards"))
+
+
+def occupancy_sketch(raw: DataFrame) -> DataFrame:
+    """Distinct aircraft a day by state: counted, and merged from the hours' kept sketches."""
+    base, facts = shared_dir(raw.sparkSession), _facts(raw)
+    products.write_product(occ.occupancy_sketches(facts), "occupancy_sketches", base)
+    kept = products.read_product(raw.sparkSession, "occupancy_sketches", base)
+    return occ.sketched_beside_exact(facts, kept, "day", "on_ground").drop("n_sketched")
+
+
+def sql_takeoffs_between(raw: DataFrame) -> DataFrame:
+    """A table function asked from SQL."""
+    sql_surface.register(raw.sparkSession, raw)
+    return raw.sparkSession.sql(f"SELECT * FROM takeoffs_between({RANGE_START_MS}, {RANGE_START_MS + 3 * 24 * HOUR_MS})")
+
+
+def sql_known_state_of(raw: DataFrame) -> DataFrame:
+    sql_surface.register(raw.sparkSession, raw)
+    return raw.sparkSession.sql(f"SELECT * FROM known_state_of('{AIRCRAFT}', {RANGE_START_MS}, {RANGE_START_MS + 24 * HOUR_MS})")
+
+
+def sql_day_hours(raw: DataFrame) -> DataFrame:
+    """Scalar functions asked from SQL."""
+    sql_surface.register(raw.sparkSession, raw)
+    return raw.sparkSession.sql(
+        "SELECT day_text(ts_kafka) AS day, message_hour(ts_kafka) AS hour, downlink_format(message) AS dl, count(*) AS n, "
+        "count(DISTINCT message_icao(message)) AS n_icao FROM messages GROUP BY ALL"
+    )
+
+
+def pair_positions(raw: DataFrame) -> DataFrame:
+    return state.pair_positions(_decoded(raw))
+
+
 QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "decode_messages": decode_messages,
     "decode_ident": decode_ident,
@@ -321,11 +395,43 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "altitude_hist": window_hist,
     "null_profile": null_profile,
     "null_corr": null_corr,
+    # tables of outlines, sources, sketches, SQL
+    "takeoff_runway_table": takeoff_runway_table,
+    "decoded_csv": decoded_csv,
+    "raw_range_scan": raw_range_scan,
+    "first_messages": first_messages,
+    "time_order": time_order,
+    "occupancy_sketch": occupancy_sketch,
+    "sql_takeoffs_between": sql_takeoffs_between,
+    "sql_known_state_of": sql_known_state_of,
+    "sql_day_hours": sql_day_hours,
+}
+
+#: Queries over the fleet log: more aircraft, a hot one, pairs of positions, bits and subtypes that the plain log lacks.
+FLEET_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "fleet_frames": QUERIES["valid_frames"],
+    "fleet_airborne": decode_airborne,
+    "fleet_velocity": decode_velocity,
+    "fleet_known_state": known_state,
+    "fleet_takeoffs": QUERIES["takeoffs"],
+    "fleet_window_states": QUERIES["window_states"],
+    "fleet_direction": QUERIES["direction"],
+    "fleet_trails": trails,
+    "fleet_flights": flights,
+    "fleet_current_route": QUERIES["current_route"],
+    "fleet_segments": QUERIES["segments"],
+    "fleet_height_profile": height_profile,
+    "fleet_latest_state": QUERIES["latest_state"],
+    "fleet_map_points": map_points_day,
+    "pair_positions": pair_positions,
 }
 
 
 def batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: stable(query(event_log(configure(spark), sf_dir)))
+    Query = Callable[[DataFrame], DataFrame]
+
+    def bind(query: Query, log: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, sf_dir: stable(query(log(configure(spark), sf_dir)))
 
-    return {name: bind(query) for name, query in QUERIES.items()}
+    plain = {name: bind(query, event_log) for name, query in QUERIES.items()}
+    return plain | {name: bind(query, fleet_log) for name, query in FLEET_QUERIES.items()}

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.plans.queries import WINDOW_MS, stable
-from tarmac.session import configure
-from tarmac.sources.event_frames import EVENTS_SCHEMA, frames
-from tarmac.streaming import jobs
+from tarmac.session import HOUR_MS, configure, shared_dir
+from tarmac.sources.event_frames import EVENTS_SCHEMA, event_log, frames
+from tarmac.sources.feed import read_feed, write_feed
+from tarmac.streaming import jobs, ledger
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +38,27 @@ STREAMS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def _routed(spark: SparkSession, sf_dir: str, late: bool) -> str:
+    """The log through a stream of files into the routed table, below the folder returned."""
+    raw, base = event_log(configure(spark), sf_dir), shared_dir(spark)
+    delayed = F.when(F.col("seq") % 23 == 0, F.lit(2 * HOUR_MS)).otherwise(F.lit(0)) if late else F.lit(0)
+    write_feed(raw, F.col("ts_kafka") + delayed, f"{base}/feed")
+    ledger.start_product(read_feed(spark, f"{base}/feed"), base).awaitTermination()
+    return base
+
+
+def stream_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decoded product that a stream over eight files or more has appended, a trigger for each file."""
+    rows = ledger.decoded_product(spark, _routed(spark, sf_dir, late=False))
+    return stable(rows.select("seq", "ts_kafka", "dl", "icao", "ca", "on_ground", "tc", "date", "hour"))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with its fate, when one of 23 arrives two hours late."""
+    rows = ledger.read_routed(spark, _routed(spark, sf_dir, late=True))
+    return stable(rows.select("seq", "ts_kafka", "fate", "reason"))
+
+
 def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,4 +66,5 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: bind(name, query) for name, query in STREAMS.items()}
+    streams = {name: bind(name, query) for name, query in STREAMS.items()}
+    return streams | {"stream_product": stream_product, "stream_late_rows": stream_late_rows}

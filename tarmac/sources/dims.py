@@ -21,9 +21,17 @@ def categories(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "tc int, cat int, label string")
 
 
+OUTLINES_SCHEMA = "priority int, runway string, vertices array<struct<x: double, y: double>>"
+
+
+def read_outlines(spark: SparkSession, path: str, file_format: str = "json") -> DataFrame:
+    """Outlines of an airport's runways, for ``takeoffs.with_runway``."""
+    return spark.read.schema(OUTLINES_SCHEMA).format(file_format).load(path)
+
+
 def runways(spark: SparkSession) -> DataFrame:
     rows = [(i + 1, name, list(outline)) for i, (name, outline) in enumerate(RUNWAYS)]
-    return spark.createDataFrame(rows, "priority int, runway string, vertices array<struct<x: double, y: double>>")
+    return spark.createDataFrame(rows, OUTLINES_SCHEMA)
 
 
 def radars(spark: SparkSession) -> DataFrame:

@@ -14,6 +14,7 @@ PRODUCTS: dict[str, tuple[str, str | None]] = {
     "takeoffs": ("takeoff_date", None),
     "window_states": ("date", "to_date(timestamp_millis(ts_kafka))"),
     "rejects": ("reject_reason", None),
+    "occupancy_sketches": ("date", "to_date(day, 'dd/MM/yyyy')"),
 }
 
 DECODED_SCHEMA = T.StructType(

@@ -7,19 +7,27 @@ capture time of a message; results close when the watermark passes them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tarmac.functions.fixed_values import UNINFORMATIVE_LABELS
 from tarmac.operators.decode import decode, split_rejects, valid_allcall, valid_frames
 from tarmac.operators.takeoffs import with_runway
 from tarmac.operators.windows import THRESHOLD_MS, grid_states
-from tarmac.session import shared_dir
+from tarmac.session import MINUTE_MS, shared_dir
 
 DELAY = "10 minutes"
+#: Waiting rows of an aircraft are kept and played by pieces of time this long.
+BUCKET_MS = 60 * MINUTE_MS
+_ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def decoded_stream(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -81,12 +89,7 @@ _EVENT = (
     "icao string, seq bigint, last_stopped_ms bigint, takeoff_ms bigint, wait_ms bigint, wait_s double, "
     "aircraft_type string, lat double, lon double"
 )
-# what is known of an aircraft, and its rows that the watermark has not passed yet
-_STATE = (
-    "stop_ms bigint, kind string, lat double, lon double, "
-    "waiting array<struct<ts_kafka: bigint, seq: bigint, stopped: boolean, reply: boolean, "
-    "kind: string, lat: double, lon: double>>"
-)
+_KNOWN = "stop_ms bigint, kind string, lat double, lon double"
 
 
 def _advance(icao: str, known: dict, rows: pd.DataFrame) -> pd.DataFrame:
@@ -116,36 +119,76 @@ def _advance(icao: str, known: dict, rows: pd.DataFrame) -> pd.DataFrame:
     return events
 
 
-def _takeoff_step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    stop_ms, kind, lat, lon, waiting = state.get if state.exists else (None, None, None, None, [])
-    known = {"stop_ms": stop_ms, "kind": kind, "lat": lat, "lon": lon}
-    held = pd.DataFrame([tuple(w) for w in waiting], columns=_SIGNAL)
-    rows = pd.concat([part for part in [held, *[b[_SIGNAL] for b in batches]] if len(part)] or [held])
-    passed = state.getCurrentWatermarkMs()
-    due = rows["ts_kafka"].astype("int64") <= passed
-    yield _advance(key[0], known, rows[due])
-    later = rows[~due]
-    kept = [
-        tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in row)
-        for row in later.itertuples(index=False)
-    ]
-    state.update((known["stop_ms"], known["kind"], known["lat"], known["lon"], kept))
-    if kept:
-        state.setTimeoutTimestamp(max(passed + 1, min(row[0] for row in kept)))
-
-
-def takeoffs_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Take-offs with keyed state; rows are held until the watermark passes them, so order is by time.
+def _packed(rows: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
 
-    Only stops, airborne replies, positions and identifications enter the state
-    store. The state of an aircraft is four fields plus its rows of the last
-    ``delay`` and of the running trigger, so limit what one trigger reads
-    (``files_per_trigger``, or the broker's offsets per trigger).
+class TakeoffProcessor(StatefulProcessor):
+    """Holds an aircraft's rows until the watermark passes them, then plays them in time order.
+
+    The state is what is known of the aircraft, and its waiting rows in buckets of ``BUCKET_MS``, a
+    packed part for each Arrow batch that brought some. A timer stands at the first time of every part; as
+    timers come in time order, a task holds one bucket of one aircraft, however much a trigger
+    brought. Rows behind the watermark are late and never get here.
     """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", _KNOWN)
+        self.waiting = handle.getMapState("waiting", "bucket bigint, part int", "rows binary")
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: object) -> None:
+        row = initialState.iloc[0]
+        self.known.update(tuple(None if pd.isna(row[c]) else row[c].item() if hasattr(row[c], "item") else row[c] for c in ("stop_ms", "kind", "lat", "lon")))
+
+    def _add(self, bucket: int, rows: pd.DataFrame) -> None:
+        part = 0
+        while self.waiting.containsKey((bucket, part)):
+            part += 1
+        self.waiting.updateValue((bucket, part), (_packed(rows),))
+        self.handle.registerTimer(int(rows["ts_kafka"].min()))
+
+    def _take(self, bucket: int) -> pd.DataFrame | None:
+        parts = []
+        while self.waiting.containsKey((bucket, len(parts))):
+            parts.append(pa.ipc.open_stream(self.waiting.getValue((bucket, len(parts)))[0]).read_pandas())
+        for part in range(len(parts)):
+            self.waiting.removeKey((bucket, part))
+        return pd.concat(parts) if parts else None
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            for bucket, part in batch[_SIGNAL].groupby(batch["ts_kafka"] // BUCKET_MS):
+                self._add(int(bucket), part)
+        return iter([])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        bucket = expiredTimerInfo.getExpiryTimeInMs() // BUCKET_MS
+        rows = self._take(bucket)
+        if rows is None:  # an earlier timer of the bucket has played them
+            return
+        due = rows["ts_kafka"] <= timerValues.getCurrentWatermarkInMs()
+        if not due.all():
+            self._add(bucket, rows[~due])
+        if due.any():
+            names = ("stop_ms", "kind", "lat", "lon")
+            known = dict(zip(names, self.known.get() if self.known.exists() else (None,) * 4))
+            events = _advance(key[0], known, rows[due])
+            self.known.update(tuple(known[n] for n in names))
+            if len(events):
+                yield events
+
+
+def _signals(raw: DataFrame) -> DataFrame:
+    """The rows that matter for take-offs: stops, airborne replies, positions and identifications."""
     reply = (F.col("dl") == 11) & (F.col("on_ground") == 0)
     named = F.col("tc").between(2, 4) | ((F.col("tc") == 1) & ~F.col("aircraft_type").isin(*UNINFORMATIVE_LABELS))
     rows = valid_frames(decode(raw)).filter(reply | F.col("msg_type").isin("surface", "ident"))
-    signals = rows.select(
+    return rows.select(
         "icao",
         "ts_kafka",
         "seq",
@@ -154,27 +197,72 @@ def takeoffs_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
         F.when(named, F.col("aircraft_type")).alias("kind"),
         F.col("surf.lat").alias("lat"),
         F.col("surf.lon").alias("lon"),
-        F.timestamp_millis("ts_kafka").alias("at"),
-    ).withWatermark("at", delay)
-    events = signals.groupBy("icao").applyInPandasWithState(
-        _takeoff_step, _EVENT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def takeoff_state(raw: DataFrame) -> DataFrame:
+    """``(icao, stop_ms, kind, lat, lon)``: what a batch log leaves known, for a stream that goes on from its end."""
+    moment = F.struct("ts_kafka", "seq")
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    last = _signals(raw).groupBy("icao").agg(
+        F.max(F.when(F.col("stopped"), moment)).alias("stop"),
+        F.max(F.when(F.col("reply"), moment)).alias("reply"),
+        F.max(F.when(F.col("kind").isNotNull(), F.struct("ts_kafka", "seq", "kind"))).alias("named"),
+        F.max(F.when(placed, F.struct("ts_kafka", "seq", "lat", "lon"))).alias("place"),
+    )
+    waits = F.col("reply").isNull() | (F.col("stop") > F.col("reply"))
+    return last.select(
+        "icao",
+        F.when(F.col("stop").isNotNull() & waits, F.col("stop.ts_kafka")).alias("stop_ms"),
+        F.col("named.kind").alias("kind"),
+        "place.lat",
+        "place.lon",
+    )
+
+
+def takeoffs_stream(raw: DataFrame, delay: str = DELAY, initial: DataFrame | None = None) -> DataFrame:
+    """Take-offs with keyed state; rows are held until the watermark passes them, so order is by time.
+
+    The state of an aircraft is four fields plus its rows of the last ``delay`` and of the
+    running trigger, kept in the state store and not in memory. ``initial`` is a
+    ``takeoff_state`` to go on from.
+    """
+    rows = _signals(raw).withColumn("at", F.timestamp_millis("ts_kafka")).withWatermark("at", delay)
+    events = rows.groupBy("icao").transformWithStateInPandas(
+        statefulProcessor=TakeoffProcessor(),
+        outputStructType=_EVENT,
+        outputMode="Append",
+        timeMode="EventTime",
+        initialState=initial.groupBy("icao") if initial is not None else None,
     )
     return with_runway(events)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB: on disk, and as changes in the checkpoint."""
+    before = {c: spark.conf.get(c, None) for c in _ROCKSDB}
+    for c, value in _ROCKSDB.items():
+        spark.conf.set(c, value)
+    try:
+        yield
+    finally:
+        for c, value in before.items():
+            spark.conf.unset(c) if value is None else spark.conf.set(c, value)
+
+
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Runs a stream over what is available into a Parquet table and reads it back."""
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/{name}"
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", f"{base}/data")
         .option("checkpointLocation", f"{base}/checkpoint")
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    with rocksdb_state(spark):
+        query = writer.start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/data")
-
-
