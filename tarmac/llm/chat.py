@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm import words as w
+
 ROLES = ("system", "user", "assistant")
 #: Reserved ids follow the vocabulary, in this order.
 HEADERS = {"system": "### System: ", "user": "### User: ", "assistant": "### Assistant: "}
@@ -150,4 +152,4 @@ def format_chats(rows: DataFrame, tokenizer_path: str) -> DataFrame:
                     names=["conv_id", "n_turns", "ids", "loss", "formatted"],
                 )
 
-    return chats.mapInArrow(run, SCHEMA)
+    return chats.mapInArrow(w.tidy(run), SCHEMA)

@@ -108,7 +108,7 @@ def item_fingerprints(items: DataFrame) -> DataFrame:
                     names=["item", "fp", "span", "context"],
                 )
 
-    return items.select("item_id", "text").mapInArrow(run, _ITEM_SCHEMA)
+    return items.select("item_id", "text").mapInArrow(w.tidy(run), _ITEM_SCHEMA)
 
 
 def marked_documents(docs: DataFrame, bitmap: np.ndarray, short_spans: list[int]) -> DataFrame:
@@ -147,7 +147,7 @@ def marked_documents(docs: DataFrame, bitmap: np.ndarray, short_spans: list[int]
                     names=["doc_id", "row_key", "n_words", "fps", "spots", "spans", "contexts"],
                 )
 
-    return docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), "text").mapInArrow(run, _DOC_SCHEMA)
+    return docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), "text").mapInArrow(w.tidy(run), _DOC_SCHEMA)
 
 
 def extended_hits(joined: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def extended_hits(joined: DataFrame) -> DataFrame:
                 names=["row_key", "item", "first", "stop"],
             )
 
-    return joined.mapInArrow(run, "row_key long, item long, first long, stop long")
+    return joined.mapInArrow(w.tidy(run), "row_key long, item long, first long, stop long")
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -158,7 +158,7 @@ def fill_middle(
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *digests(seed))
-    return rows.mapInArrow(run, "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string")
+    return rows.mapInArrow(w.tidy(run), "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string")
 
 
 def restored(output: Column, form: Column, marks: tuple[str, str, str] = MARKS) -> Column:

@@ -96,7 +96,7 @@ def signed_sets(docs: DataFrame, k: int, n_slots: int) -> DataFrame:
             names=["doc_id", "row_key", "n", "s1", "s2", "block", "counts"],
         )
 
-    return docs.select("doc_id", document_key().alias("row_key"), "text").mapInArrow(run, _SIGN_SCHEMA)
+    return docs.select("doc_id", document_key().alias("row_key"), "text").mapInArrow(w.tidy(run), _SIGN_SCHEMA)
 
 
 def slot_ranks(signed: DataFrame, n_slots: int) -> np.ndarray:
@@ -114,7 +114,7 @@ def slot_ranks(signed: DataFrame, n_slots: int) -> np.ndarray:
 
     blocks = signed.where("block IS NOT NULL").select("block", "counts").repartition(min(n_slots // _BLOCK, MOST_SUMMING), "block")
     ranks = np.zeros(n_slots, np.uint16)
-    found = blocks.mapInArrow(add, "block int, ranks binary").toArrow()
+    found = blocks.mapInArrow(w.tidy(add), "block int, ranks binary").toArrow()
     for block, own in zip(found["block"].to_pylist(), found["ranks"]):
         ranks[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(own.as_buffer(), "<u2")
     return ranks
@@ -167,7 +167,7 @@ def prefixes(docs: DataFrame, ranks: np.ndarray, k: int, percent: int) -> DataFr
                     names=["doc_id", "n", "s1", "s2", "prefix", "parts"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n int, s1 long, s2 long, prefix array<long>, parts array<long>")
+    return docs.mapInArrow(w.tidy(run), "doc_id long, n int, s1 long, s2 long, prefix array<long>, parts array<long>")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -182,15 +182,20 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 sets = [w.pack_sorted(s) for s in w.shingle_sets(hashes, offsets, k)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"].slice(first, len(sets)), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
 
-    return docs.withColumn("key", F.xxhash64("doc_id")).mapInArrow(run, "doc_id long, hashes binary")
+    return docs.withColumn("key", F.xxhash64("doc_id")).mapInArrow(w.tidy(run), "doc_id long, hashes binary")
 
 
-def _in_reach(a: str, b: str, percent: int) -> Column:
-    """Length and positional filter for rows a and b that share a prefix shingle."""
+def _in_reach(a: str, b: str, percent: int, first: bool = False) -> Column:
+    """Length and positional filter for rows a and b that share a prefix shingle.
+
+    With first, for pairs whose first common shingle this is: no rarer one is shared. A similar
+    pair passes at that shingle, which both prefixes hold, whatever it does at others.
+    """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     p, q = F.col(f"{a}.pos"), F.col(f"{b}.pos")
     length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return length & ((F.least(p, q) + 1 + F.least(n - p - 1, m - q - 1)) * (100 + percent) >= percent * (n + m))
+    before = F.lit(0) if first else F.least(p, q)
+    return length & ((before + 1 + F.least(n - p - 1, m - q - 1)) * (100 + percent) >= percent * (n + m))
 
 
 def _parts_agree(a: str, b: str, percent: int) -> Column:
@@ -220,7 +225,7 @@ def shared_rows(classes: DataFrame, shared: DataFrame) -> DataFrame:
                 names=["doc_id", "n", "pos", "shingle"],
             )
 
-    return classes.select("doc_id", "n", "prefix").mapInArrow(run, "doc_id long, n int, pos int, shingle long")
+    return classes.select("doc_id", "n", "prefix").mapInArrow(w.tidy(run), "doc_id long, n int, pos int, shingle long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -242,7 +247,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: S
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    return scratch.save(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    return scratch.save(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(w.tidy(run), "a long, b long"), "links")
 
 
 def document_key() -> Column:
@@ -265,8 +270,9 @@ def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Da
     first = F.min(F.struct("doc_id", "prefix", "parts")).alias("first")
     classes = ordered.where("n > 0").groupBy("n", "s1", "s2").agg(first)
     classes = scratch.save(classes.select("n", "s1", "s2", "first.*"), "classes")
-    shared = classes.select("doc_id", F.explode("prefix").alias("shingle")).groupBy("shingle")
-    shared = shared.agg(F.count("*").alias("many"), F.min("doc_id").alias("pivot")).where("many > 1")
+    # of a shingle's documents the one stands for the others in which it comes first: the least edited of near copies
+    shared = classes.select("doc_id", F.posexplode("prefix").alias("pos", "shingle")).groupBy("shingle")
+    shared = shared.agg(F.count("*").alias("many"), F.min(F.struct("pos", "doc_id"))["doc_id"].alias("pivot")).where("many > 1")
     shared = scratch.save(shared, "shared")
     spread = scratch.save(shared_rows(classes, shared).join(shared, "shingle"), "spread")
     parts = classes.select("doc_id", "n", "parts")
@@ -295,7 +301,7 @@ def similar_documents(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Da
         & (F.col("x.band") == F.col("y.band"))
         & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("x.head")) | (F.col("x.doc_id") < F.col("y.doc_id")))
-        & _in_reach("x", "y", percent)
+        & _in_reach("x", "y", percent, first=True)
         & _parts_agree("x", "y", percent),
     )
     more = verified(across.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")), rows, k, percent, scratch)

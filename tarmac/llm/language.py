@@ -82,7 +82,7 @@ def trigram_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
             [pa.array(some // BUCKETS, pa.int32()), pa.array(some % BUCKETS, pa.int32()), pa.array(sums[some])], names=["place", "bucket", "n"]
         )
 
-    counted = labelled.select("lang", "text").mapInArrow(run, "place int, bucket int, n long")
+    counted = labelled.select("lang", "text").mapInArrow(w.tidy(run), "place int, bucket int, n long")
     return counted.groupBy("place", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -123,7 +123,7 @@ def text_likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
                 values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(likely[size > 0].ravel()))
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in names], values], names=[*names, "likely"])
 
-    return rows.select("text", *names).mapInArrow(run, "id long, declared string, host string, suffix string, likely array<double>")
+    return rows.select("text", *names).mapInArrow(w.tidy(run), "id long, declared string, host string, suffix string, likely array<double>")
 
 
 def _counts(languages: list[str]) -> list[Column]:

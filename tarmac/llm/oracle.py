@@ -95,8 +95,9 @@ l{i} AS (SELECT c.host, lexical, n, labelled, blocked,
 s{i} AS (SELECT *, blocked / labelled - (sum(blocked) OVER w - blocked) / nullif(sum(labelled) OVER w - labelled, 0) AS apart,
   sum(blocked) OVER w / sum(labelled) OVER w AS pooled, 1 / labelled + 1 / nullif(sum(labelled) OVER w - labelled, 0) AS spread
   FROM g{i - 1} WINDOW w AS (PARTITION BY host, parent, grp)),
-g{i} AS (SELECT host, parent, template, labelled, blocked, grp || CASE WHEN coalesce(abs(apart) > {urls.SIMILAR_Z} * sqrt(pooled * (1 - pooled) * spread), false)
-  THEN CASE WHEN apart < 0 THEN '{i}<' ELSE '{i}>' END ELSE '' END AS grp FROM s{i}),""")
+x{i} AS (SELECT *, bool_or(coalesce(abs(apart) > {urls.SIMILAR_Z} * sqrt(pooled * (1 - pooled) * spread), false)) OVER (PARTITION BY host, parent, grp) AS splits FROM s{i}),
+g{i} AS (SELECT host, parent, template, labelled, blocked,
+  grp || CASE WHEN NOT splits THEN '' WHEN blocked / labelled < pooled THEN '{i}<' ELSE '{i}>' END AS grp FROM x{i}),""")
     m = urls.PRIOR_PAGES
     return f"""
 WITH rules(verdict, rule_host, rule_path) AS (VALUES {rules}),

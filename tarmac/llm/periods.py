@@ -162,4 +162,4 @@ def periodic_runs(docs: DataFrame, min_length: int = MIN_LENGTH, exponent: int =
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, f"doc_id long, n_words long, runs {RUNS}, collapsed string")
+    return rows.mapInArrow(w.tidy(run), f"doc_id long, n_words long, runs {RUNS}, collapsed string")

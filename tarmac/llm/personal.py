@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm import words as w
 from tarmac.llm.store import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
@@ -273,7 +274,7 @@ def candidate_table(docs: DataFrame) -> DataFrame:
             spans = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)], names=["doc_id", "found"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, found array<{CANDIDATE}>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(w.tidy(run), f"doc_id long, found array<{CANDIDATE}>")
 
 
 #: What the labelers' reliabilities start from, as so many candidates: an honest labeler votes for the truth.
@@ -418,7 +419,7 @@ def find_personal(docs: DataFrame) -> DataFrame:
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(spans, kind)], names=["doc_id", "spans"])
 
-    return found.mapInArrow(run, f"doc_id long, spans {SPANS}")
+    return found.mapInArrow(w.tidy(run), f"doc_id long, spans {SPANS}")
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:

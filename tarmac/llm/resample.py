@@ -67,7 +67,7 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
             [pa.array(some, pa.int32()), pa.array(sums[0][some]), pa.array(sums[1][some])], names=["bucket", "target", "raw"]
         )
 
-    counted = docs.select("text", "good").mapInArrow(run, "bucket int, target long, raw long")
+    counted = docs.select("text", "good").mapInArrow(w.tidy(run), "bucket int, target long, raw long")
     return counted.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
 
 
@@ -97,7 +97,7 @@ def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 )
 
     rows = docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), "text")
-    return rows.mapInArrow(run, "doc_id long, row_key long, n_features long, log_weight double")
+    return rows.mapInArrow(w.tidy(run), "doc_id long, row_key long, n_features long, log_weight double")
 
 
 def gumbel(key: Column, seed: int) -> Column:

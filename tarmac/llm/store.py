@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +75,16 @@ def maybe_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[spots >> 5] >> (spots & 31).astype(np.uint32)) & np.uint32(1) == 1
 
 
+def _maybe(bitmap: Broadcast) -> Callable[[str], Column]:
+    """A column's values against a bitmap, as an Arrow function: workers that run it need no pandas."""
+
+    @F.arrow_udf(T.BooleanType())
+    def maybe(keys: pa.Array) -> pa.Array:
+        return pa.array(maybe_in(bitmap.value, keys.to_numpy(zero_copy_only=False)))
+
+    return maybe
+
+
 def one_of_each(docs: DataFrame, key: Column, repeated: DataFrame) -> DataFrame:
     """The rows of docs, of those with a key among the values of repeated's only column one for each key.
 
@@ -79,9 +92,7 @@ def one_of_each(docs: DataFrame, key: Column, repeated: DataFrame) -> DataFrame:
     """
     bitmap = docs.sparkSession.sparkContext.broadcast(filter_words(repeated, repeated.columns[0]))
 
-    @F.pandas_udf(T.BooleanType())
-    def maybe(keys: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(bitmap.value, keys.to_numpy()))
+    maybe = _maybe(bitmap)
 
     keyed = docs.withColumn("_key", key)
     sure = keyed.where(~maybe("_key")).drop("_key")
@@ -98,9 +109,7 @@ def without(docs: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
     name = dropped.columns[0]
     bitmap = docs.sparkSession.sparkContext.broadcast(filter_words(dropped, name))
 
-    @F.pandas_udf(T.BooleanType())
-    def maybe(keys: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(bitmap.value, keys.to_numpy()))
+    maybe = _maybe(bitmap)
 
     keyed = docs.withColumn("_key", key)
     sure = keyed.where(~maybe("_key")).drop("_key")

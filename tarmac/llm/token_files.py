@@ -35,7 +35,7 @@ END_ID = 0
 ORC_STRIDE = 10_000
 ORC_STRIPE = 64 << 20
 #: Pieces whose ids a worker keeps between batches; beyond it the store starts anew.
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 500_000
 SCHEMA = "doc_id long, n_tokens int, shard int, shard_start long, ids array<int>"
 
 
@@ -170,7 +170,7 @@ def encoder(path: str) -> PieceEncoder:
 
 def encode_texts(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, ids, offsets) for bounded runs of texts, end ids not included."""
-    for at, stop in w.pieces(texts, 2 * w.CHUNK):
+    for at, stop in w.pieces(texts):
         yield at, stop, *encoder(path).encode(*w.raw(texts.slice(at, stop - at)))
 
 
@@ -202,7 +202,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str) -> None:
                 start += int(ends[-1])
 
     (
-        ordered.mapInArrow(run, SCHEMA)
+        ordered.mapInArrow(w.tidy(run), SCHEMA)
         .write.option("orc.compress", "ZSTD")
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.row.index.stride", ORC_STRIDE)
@@ -235,7 +235,7 @@ def token_index(files: DataFrame) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, shard int, shard_start long, ids_crc32 long"
     return (
-        files.mapInArrow(run, schema)
+        files.mapInArrow(w.tidy(run), schema)
         .join(F.broadcast(shards), "shard")  # one row for each written file
         .select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32")
     )

@@ -3,8 +3,8 @@
 Method: a url's path becomes a template: segments holding a digit turn into ``*`` at
 once, and so do segments at a place of the host's tree that has many different
 children for its rows. Templates with the same host and parent are branches. Labelled
-branches begin as one group; whoever's block rate differs significantly from that of the
-others in its group leaves it, to a group of lower or of higher ones, until nobody differs.
+branches begin as one group; as long as the block rate of some branch differs significantly
+from that of the others in its group, the group is split at its rate.
 A template is rejected when its purity, the block share of its group's labelled pages, is
 above one half. Purity is smoothed towards the rate of all branches of the parent, that
 towards the host's and that towards the corpus', so a template without labelled pages is
@@ -132,12 +132,14 @@ def branch_groups(branches: DataFrame, scratch: Scratch) -> DataFrame:
         pooled = F.col("all_blocked") / F.col("all_labelled")
         error = F.sqrt(pooled * (1 - pooled) * (1 / n + F.try_divide(F.lit(1), others)))
         apart = F.col("blocked") / n - F.try_divide(F.col("all_blocked") - F.col("blocked"), others)
-        side = F.when(F.abs(apart) > SIMILAR_Z * error, F.when(apart < 0, f"{turn}<").otherwise(f"{turn}>"))
-        rows = rows.join(totals, group).withColumn("side", side).drop("all_labelled", "all_blocked")
-        rows = rows.withColumn("group", F.concat("group", F.coalesce("side", F.lit(""))))
-        rows = scratch.save(rows, f"groups{turn}")
-        if rows.where("side IS NOT NULL").isEmpty():
-            return rows.drop("side")
+        tested = rows.join(totals, group).withColumn("differs", F.coalesce(F.abs(apart) > SIMILAR_Z * error, F.lit(False)))
+        tested = scratch.save(tested, f"tested{turn}")
+        split = tested.where("differs").select(*group).distinct().withColumn("splits", F.lit(True))
+        if split.isEmpty():
+            return rows
+        side = F.when(F.col("splits"), F.when(F.col("blocked") / n < pooled, f"{turn}<").otherwise(f"{turn}>")).otherwise("")
+        rows = tested.join(split, group, "left").withColumn("group", F.concat("group", side))
+        rows = scratch.save(rows.drop("all_labelled", "all_blocked", "differs", "splits"), f"groups{turn}")
 
 
 def _smoothed(above: Column) -> Column:

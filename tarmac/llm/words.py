@@ -8,7 +8,9 @@ text's words are held together, about 24 bytes a word, and its set of shingles 8
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +129,25 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, kind=SPACED) -> tuple[np.nd
     return np.concatenate(hashes), starts_all, np.concatenate(ends), np.searchsorted(starts_all, bounds)
 
 
+def release() -> None:
+    """Gives memory that is free in this process back to the system; a Python worker lives on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what it has
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function of Arrow batches that releases its memory at the end of each task."""
+
+    def inner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return inner
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Sorted keys as the bytes that their differences need, a plane for each byte's place."""
     if not len(keys):
