@@ -161,3 +161,41 @@ def test_filters(spark):
     rows = log(spark, [(1, 0, short_frame(11, 4, 1)), (2, 0, short_frame(0, 4, 1)), (3, 0, long_frame(20, 1, 1, 0))])
     assert [r["seq"] for r in valid_frames(decode(rows)).select("seq").collect()] == [1]
     assert decode(rows).filter(F.col("tc").isNotNull()).count() == 0
+
+
+def test_ground_pair_position(spark):
+    """An even and an odd frame on the ground, encoded from one place far from the receiver's quarter."""
+    place = {"lat": 52.3236, "lon": 4.7349}
+
+    def codes(odd):
+        dlat = 90 / (60 - odd)
+        yz = int(131072 * (place["lat"] % dlat) / dlat + 0.5)
+        rlat = dlat * (yz / 131072 + place["lat"] // dlat)
+        dlon = 90 / max(zones(rlat) - odd, 1)
+        xz = int(131072 * (place["lon"] % dlon) / dlon + 0.5)
+        return yz % 131072, xz % 131072
+
+    def frame(odd):
+        y, x = codes(odd)
+        return long_frame(17, 4, 0x484175, field(7, 37) | field(20, 44) | field(odd, 54) | field(y, 71) | field(x, 88))
+
+    rows = log(spark, [(1, 1000, frame(0)), (2, 2000, frame(1)), (3, 3000, frame(0))])
+    found = pair_positions(decode(rows), ref_lat=51.99, ref_lon=4.375).orderBy("seq").collect()
+    assert [(r["seq"], round(r["lat"], 3), round(r["lon"], 3), r["ground"]) for r in found] == [(2, 52.324, 4.735, 1), (3, 52.324, 4.735, 1)]
+    assert [r["plausible"] for r in found] == [None, True]
+    south = pair_positions(decode(rows), ref_lat=-37.0, ref_lon=-85.0).orderBy("seq").first()
+    assert round(south["lat"], 3) == -37.676 and -130 < south["lon"] < -40  # the quarter nearest the receiver
+
+
+def zones(lat):
+    return int(2 * math.pi / math.acos(1 - (1 - math.cos(math.pi / 30)) / math.cos(math.radians(lat)) ** 2))
+
+
+def test_pairs_of_different_zone_counts_and_kinds_give_nothing(spark):
+    even, odd = FRAMES[5], FRAMES[6]
+    ground = long_frame(17, 4, 0x40621D, field(7, 37) | field(20, 44) | field(1, 54) | field(93000, 71) | field(50000, 88))
+    rows = log(spark, [(1, 1000, to_message(even)), (2, 2000, ground)])
+    assert pair_positions(decode(rows)).count() == 0
+    jump = log(spark, [(1, 1000, to_message(odd)), (2, 1400, to_message(even)), (3, 1900, airborne(0x40621D, 74158, 50194, odd=1))])
+    found = pair_positions(decode(jump)).orderBy("seq").collect()
+    assert found[0]["plausible"] is None and all(r["plausible"] is not None for r in found[1:])

@@ -188,3 +188,60 @@ def test_days_reach_the_scan(spark, tmp_path):
     for name in ("aircraft_series", "aircraft_lookup"):
         plan = QUERIES[name](spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("= 340005") >= plan.count("Relation [") > 0, name  # a filter over each scan
+
+
+def test_range_scan_reads_only_files_in_range(spark, tmp_path):
+    folder = tmp_path / "log"
+    folder.mkdir()
+    hour = 3_600_000
+    start = 1733011200000  # 2024-12-01 00:00
+    frames = [(start + i * hour, short_frame(11, 5, i)) for i in range(72)]
+    for day in range(3):
+        lines = [f"{t};{m};" for t, m in frames[24 * day : 24 * day + 24]]
+        extra = ["what is this;;;;", "not a line"] if day == 1 else []
+        (folder / f"2024120{day + 1}0000_2024120{day + 1}2359.csv").write_text("\n".join(["ts_kafka;message;", *lines, *extra]) + "\n")
+    (folder / "extra.csv").write_text(f"ts_kafka;message;\n{start + 30 * hour + 1};{short_frame(11, 4, 99)};\n")
+    low, high = start + 26 * hour, start + 40 * hour
+    files = raw.files_in_range(spark, str(folder), low, high)
+    assert [f.rsplit("/", 1)[1] for f in files] == ["202412020000_202412022359.csv", "extra.csv"]
+    assert len(raw.files_in_range(spark, str(folder), start + 48 * hour - 1, start + 48 * hour)) == 3
+    rows = raw.read_raw_range(spark, str(folder), low, high)
+    good = rows.filter("line IS NULL").collect()
+    assert sorted(r.ts_kafka for r in good) == sorted([t for t, _ in frames if low <= t <= high] + [start + 30 * hour + 1])
+    assert sorted(r.line for r in rows.filter("line IS NOT NULL").collect()) == ["not a line", "what is this;;;;"]
+    assert split_rejects(decode(rows))[1].count() == 2
+    (tmp_path / "nothing").mkdir()
+    assert raw.read_raw_range(spark, str(tmp_path / "nothing"), low, high).count() == 0
+
+
+def test_spans_written_are_read_by_range(spark, tmp_path):
+    rows = [(i, 1733011200000 + i * 3_600_000, short_frame(11, 4, i)) for i in range(60)]
+    path = str(tmp_path / "spans")
+    raw.write_raw_spans(log(spark, rows), path)
+    low, high = rows[25][1], rows[30][1]
+    assert len(raw.files_in_range(spark, path, low, high)) == 1
+    assert sorted(tuple(r) for r in raw.read_raw_range(spark, path, low, high).select("ts_kafka", "message").collect()) == sorted(r[1:] for r in rows[25:31])
+
+
+def test_sketches_merge_within_their_bound(spark):
+    facts = spark.range(200_000).selectExpr("concat('0', 1 + id % 2, '/12/2024') AS day", "cast(id % 24 AS int) AS hour", "hex(id % 37717) AS icao", "cast(id % 3 = 0 AS int) AS on_ground")
+    sketches = occupancy.occupancy_sketches(facts)
+    assert sketches.count() == 24  # the number of an hour settles day and state here
+    for by in (("day",), ("on_ground",), ("day", "hour")):
+        rows = occupancy.sketched_beside_exact(facts, sketches, *by).collect()
+        assert rows and all(r.in_bound for r in rows)
+        assert any(r.n_exact > 1000 for r in rows)
+
+
+def test_table_functions_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "log")
+    hour = 3_600_000
+    rows = [(i, 1733011200000 + i * hour, m) for i, m in enumerate([surface(1, 1), short_frame(11, 5, 1), ident(1, 4, 7), surface(1, 1), short_frame(11, 5, 1), surface(2, 1)])]
+    log(spark, rows).write.parquet(path)
+    sql_surface.register(spark, spark.read.parquet(path))
+    asked = spark.sql(f"SELECT * FROM takeoffs_between({rows[2][1]}, {rows[5][1]})")
+    assert [tuple(r) for r in asked.collect()] == [("000001", rows[3][1], rows[4][1], 3600.0)]
+    assert f"GreaterThanOrEqual(ts_kafka,{rows[2][1]})" in asked._jdf.queryExecution().executedPlan().toString()
+    state_of = spark.sql(f"SELECT seq, callsign FROM known_state_of('000001', {rows[0][1]}, {rows[4][1]}) ORDER BY seq").collect()
+    assert [r.seq for r in state_of] == [0, 2, 3] and state_of[0].callsign is None
+    assert spark.sql(f"SELECT count(*) FROM messages_between({rows[1][1]}, {rows[2][1]})").first()[0] == 2
