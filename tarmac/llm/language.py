@@ -57,7 +57,7 @@ def trigrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _each(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    for at, stop in w.pieces(texts, w.CHUNK):
+    for at, stop in w.pieces(texts, 4 * w.CHUNK):
         yield at, stop - at, *trigrams(*w.raw(texts.slice(at, stop - at)))
 
 

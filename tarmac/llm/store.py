@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tarmac.session import shared_dir
 
 #: Texts reach Python in batches of so many bytes, however long or many the rows are.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -170,7 +170,7 @@ def encoder(path: str) -> PieceEncoder:
 
 def encode_texts(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, ids, offsets) for bounded runs of texts, end ids not included."""
-    for at, stop in w.pieces(texts):
+    for at, stop in w.pieces(texts, 4 * w.CHUNK):
         yield at, stop, *encoder(path).encode(*w.raw(texts.slice(at, stop - at)))
 
 

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)

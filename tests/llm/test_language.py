@@ -1,5 +1,7 @@
 import math
 import random
+import re
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -95,3 +97,94 @@ def test_labels_count_by_their_language(spark):
     found = identify(spark, labelled, [(1, texts(rnd, "fr", 20), None, None, None), (2, texts(rnd, "en", 20), None, None, None)])
     assert (found[1].lang, found[2].lang) == ("pt", "en")
     assert {(r.lang, r.n) for r in language.unlabelled(labelled).collect()} == {("english", 2), ("x-1", 1), (None, 1)}
+
+
+def trigram_buckets(text):
+    """Hashed trigrams of a text's bytes, A-Z lowered, that hold a letter."""
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    letter = lambda b: b >= 128 or 97 <= b <= 122
+    triples = [data[i : i + 3] for i in range(len(data) - 2) if any(map(letter, data[i : i + 3]))]
+    return [((t[0] << 16 | t[1] << 8 | t[2]) * 2654435761 % 2**32) >> 16 for t in triples]
+
+
+def brute(rows, labelled):
+    """(lang, confidence) of rows (id, text, declared, host, suffix), all tables made with dictionaries."""
+    counts = defaultdict(Counter)
+    for lang, text in labelled:
+        code = re.match(r"([a-z]{2,3})(?:[-_].*)?$", (lang or "").strip().lower())
+        if code and code[1] != language.UNKNOWN:
+            counts[code[1]].update(trigram_buckets(text))
+    languages = sorted(counts)
+    totals = {c: sum(counts[c].values()) + language.SMOOTHING * language.BUCKETS for c in languages}
+    likely, best = {}, {}
+    for i, text, *_ in rows:
+        grams = trigram_buckets(text)
+        temper = min(len(grams), language.EVIDENCE) / max(len(grams), 1)
+        of = [temper * sum(math.log((counts[c][b] + language.SMOOTHING) / totals[c]) for b in grams) for c in languages]
+        likely[i] = [*of, -temper * len(grams) * math.log(language.BUCKETS)] if grams else None
+        best[i] = max(range(len(languages)), key=lambda k: (of[k], -k)) if grams else None
+    known = [r for r in rows if best[r[0]] is not None]
+    n = len(languages)
+    corpus = [(sum(best[r[0]] == k for r in known) + 1) / (len(known) + n) for k in range(n)]
+
+    def shares(place, value, above, weight):
+        own = [best[r[0]] for r in known if r[place] == value]
+        return [(own.count(k) + weight * above[k]) / (len(own) + weight) for k in range(n)]
+
+    suffix = {s: shares(4, s, corpus, language.SUFFIX_ROWS) for s in {r[4] for r in known} - {None}}
+    host_suffix = {h: min((r[4] for r in known if r[3] == h and r[4] is not None), default=None) for h in {r[3] for r in known} - {None}}
+    host = {h: shares(3, h, suffix.get(s, corpus), language.HOST_ROWS) for h, s in host_suffix.items()}
+    said = [r for r in known if r[2] is not None]
+    odds = {}
+    for d in {r[2] for r in said}:
+        share = sum(r[2] == d for r in said) / len(said)
+        of = [sum(best[r[0]] == k for r in said) for k in range(n)]
+        both = [sum(best[r[0]] == k and r[2] == d for r in said) for k in range(n)]
+        odds[d] = [math.log((both[k] + language.DECLARED_ROWS * share) / (of[k] + language.DECLARED_ROWS)) for k in range(n)] + [math.log(share)]
+    out = {}
+    for i, _, declared, h, s in rows:
+        if likely[i] is None:
+            out[i] = (language.UNKNOWN, 1.0)
+            continue
+        prior = host.get(h) or suffix.get(s) or corpus
+        prior = [math.log(p * (1 - language.UNKNOWN_PRIOR)) for p in prior] + [math.log(language.UNKNOWN_PRIOR)]
+        total = [a + b + c for a, b, c in zip(likely[i], prior, odds.get(declared, [0.0] * (n + 1)))]
+        top = max(total)
+        out[i] = ([*languages, language.UNKNOWN][total.index(top)], 1 / sum(math.exp(t - top) for t in total))
+    return out
+
+
+@pytest.mark.parametrize("table", ["documents", "pages"])
+def test_given_tables_against_dictionaries(spark, table):
+    """Likelihoods, odds of declarations, priors and posteriors of whole tables."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    if table == "documents":
+        evidence = language.document_evidence(docs)
+    else:
+        evidence = language.page_evidence(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    rows = [tuple(r) for r in evidence.select("id", "text", "declared", "host", "suffix").collect()]
+    expected = brute(rows, [(r.lang, r.text) for r in docs.collect()])
+    found = language.identify(evidence, docs.select("lang", "text")).collect()
+    assert len(found) == len(rows) > 20
+    for r in found:
+        lang, confidence = expected[r.id]
+        assert r.lang == lang and r.confidence == pytest.approx(confidence, abs=1e-4), r.id
+        assert r.accepted == (lang != language.UNKNOWN and r.confidence >= language.MIN_CONFIDENCE)
+
+
+def test_fusion_decides_where_the_text_alone_does_not(spark, labelled):
+    """Short texts held out of training: the declaration and the address raise the share that is right."""
+    rnd = random.Random(12)
+    rows, truth = [], {}
+    for i in range(300):
+        lang = rnd.choice(list(WORDS))
+        long = i % 4 != 0
+        text = texts(rnd, lang, 25) if long else rnd.choice(["abc", "bcd", "xyz"])
+        declared = lang if rnd.random() < 0.8 else rnd.choice(list(WORDS))
+        rows.append((i, text, declared, f"h{i % 3}.{lang}", lang))
+        truth[i] = lang, long
+    bare = {i: r.lang for i, r in identify(spark, labelled, [(i, t, None, None, None) for i, t, *_ in rows]).items()}
+    full = {i: r.lang for i, r in identify(spark, labelled, rows).items()}
+    short = [i for i, (_, long) in truth.items() if not long]
+    right = lambda found: sum(found[i] == truth[i][0] for i in short) / len(short)
+    assert right(full) > right(bare) + 0.2, (right(bare), right(full))

@@ -1,9 +1,14 @@
 import math
 import random
+import re
+from collections import Counter
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tarmac.llm import resample
+from tarmac.llm import words as w
 
 
 def labelled(spark):
@@ -59,3 +64,55 @@ def test_odd_rows(spark, odd_docs):
     assert all(r.log_weight == 0 for r in rows if r.n_features == 0)
     assert resample.resample(odd_docs.limit(0), labels).collect() == []
     assert len(resample.resample(odd_docs, labels.limit(0)).collect()) == odd_docs.count()
+
+
+def word_hash(word):
+    hashes, *_ = w.word_spans(*w.raw(pa.array([word])))
+    return hashes[:1]
+
+
+def brute_weights(docs, good):
+    """Mean log ratio of smoothed unigram and bigram counts times LENGTH, with dictionaries."""
+    known = {}
+
+    def grams(text):
+        said = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        hashes = [known.setdefault(x, word_hash(x)) for x in said]
+        both = [w.combine(a, b) for a, b in zip(hashes, hashes[1:])]
+        return [int(h[0]) % resample.BUCKETS for h in (*hashes, *both)]
+
+    target, raw = Counter(), Counter()
+    for doc_id, text in docs:
+        raw.update(grams(text))
+        if doc_id in good:
+            target.update(grams(text))
+    n_target, n_raw, s = sum(target.values()), sum(raw.values()), resample.SMOOTHING
+
+    def ratio(b):
+        return math.log((target[b] + s) / (n_target + s * resample.BUCKETS)) - math.log((raw[b] + s) / (n_raw + s * resample.BUCKETS))
+
+    out = {}
+    for doc_id, text in docs:
+        own = grams(text)
+        out[doc_id] = (len(own), sum(map(ratio, own)) / max(len(own), 1) * resample.LENGTH)
+    return out
+
+
+def test_weights_against_dictionaries(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    marks = {}
+    for r in labels.collect():
+        if r.quality is not None:
+            marks[r.doc_id] = marks.get(r.doc_id, True) and r.quality == 1 and not r.toxic
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    expected = brute_weights(rows, {d for d, good in marks.items() if good})
+    found = resample.resample(docs.select("doc_id", "text"), labels).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        n, weight = expected[r.doc_id]
+        assert r.n_features == n and r.log_weight == pytest.approx(weight, abs=1e-6)
+    kept = sum(marks.values()) / len(marks)
+    assert sum(r.kept for r in found) == round(len(rows) * kept)
+    least = min(r.sample_key for r in found if r.kept)
+    assert all(r.sample_key <= least for r in found if not r.kept)

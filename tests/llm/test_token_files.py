@@ -1,10 +1,12 @@
 import random
 import struct
 import zlib
+from pathlib import Path
 
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyarrow import orc
 
 from tarmac.llm import token_files as tf
 from tarmac.llm.chat import load_tokenizer
@@ -82,3 +84,32 @@ def test_added_tokens_have_their_id(tokenizer_path):
         for i in range(first, stop):
             expected = tokenizer.encode(texts[i] or "", add_special_tokens=False).ids
             assert ids[offsets[i - first] : offsets[i - first + 1]].tolist() == expected, texts[i]
+
+
+def rows_read(df):
+    """Rows that the scan gave, after whatever the files' indexes let it skip."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_indexes_and_bloom_filters_skip_rows(spark, tokenizer_path, monkeypatch):
+    """Even ids in one file of many row groups and more than one stripe."""
+    monkeypatch.setattr(tf, "ORC_STRIDE", 1000)
+    monkeypatch.setattr(tf, "ORC_STRIPE", 1 << 16)
+    docs = spark.range(40_000).selectExpr("2 * id AS doc_id", "concat('some text number ', id, ' of many') AS text").coalesce(1)
+    path = Scratch(spark).path("tokens")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        tf.write_token_files(docs, path, tokenizer_path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    files = sorted(Path(path).glob("*.orc"))
+    assert len(files) == 1 and orc.ORCFile(files[0]).nstripes > 1
+    read = tf.read_token_files(spark, path)
+    assert rows_read(read.select("doc_id")) == 40_000
+    assert 0 < rows_read(read.where("doc_id = 23456")) <= 1000  # one row group
+    assert rows_read(read.where("doc_id > 79000 AND doc_id < 79100")) <= 2000
+    assert rows_read(read.where("doc_id = 100001")) == 0  # beyond all ids
+    missing = [rows_read(read.where(f"doc_id = {i}")) for i in (10_001, 23_457, 40_003, 60_123)]
+    assert missing.count(0) >= 3  # inside the row groups' ranges: the Bloom filters know
