@@ -1,16 +1,21 @@
 """Exact top-k inner products by no-random-access aggregation.
 
 Method: vectors are dealt into blocks of about BLOCK components. In a block every component is
-a list sorted by value; a query reads it from the end that its own component favours. At
+a list sorted by value; a query reads it in steps from the end that its own component favours. At
 a depth, a component already read is known and one not yet read lies between the list's
 last read value and its far end, which gives each vector a lower and an upper score bound.
-All vectors whose upper bound is below the k-th best lower bound are outsiders; the lists
-are read to twice the depth until few others are left, whose final scores are then resolved
-as integers. Bounds are the clipped vectors' products with the positive and the negative
+All vectors whose upper bound is below the query's bar are outsiders and are not looked at again; the lists
+are read on until few others are left, whose final scores are then resolved
+as integers. The bar is the k-th best lower bound of the block, or the k-th best score of the
+block that the query met first, if that is higher; a block whose lists' ends alone cannot reach the
+bar is not read at all. Bounds are the clipped vectors' products with the positive and the negative
 parts of the queries, so a block of queries is bounded by matrix products.
 
-Every block of queries meets every block of vectors by an equi-join on a group of blocks; a
-block pair yields at most k rows a query, and their best k are the result.
+Every block of queries meets one block of vectors to set its bars, and then every block by an
+equi-join on a group of blocks; a block pair yields at most k rows a query, and their best k are the
+result. Bounds prune where few components tell vectors apart or vectors lie in clusters. On vectors
+without any structure they prove nothing before the lists' ends, and the work is that of all products;
+entries_read() tells which is the case.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part;
 shorter vectors count as filled up with zeros; ties go to the smaller id; rows with a null
@@ -21,7 +26,7 @@ read. Scaled components of 2**53 or more in size raise an error, as do component
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +37,13 @@ from tarmac.llm.store import Scratch
 
 #: Components in a block of vectors and in a block of queries.
 BLOCK, QUERY_BLOCK = 1 << 18, 1 << 15
+#: Of a list of n entries the first reading takes one in FIRST, each further one STEP times as many, or LEAP times where bounds proved next to nothing.
+FIRST, STEP, LEAP = 64, 2, 4
+#: So many times k vectors are resolved and not bounded any further.
+FEW = 8
 #: The bound on sums of products below which float64 holds integers exactly.
 EXACT = float(1 << 53)
-_RESULT = "asked long, q long, query_id long, vec_id long, score long"
+_RESULT = "asked long, q long, query_id long, vec_id long, score long, read long, entries long"
 
 
 def scaled(vectors: DataFrame, id_column: str, column: str, scale: float) -> DataFrame:
@@ -80,26 +89,36 @@ class SortedLists:
     """The components of a block as lists by value."""
 
     def __init__(self, vectors: np.ndarray) -> None:
-        self.vectors = vectors
         self.floats = vectors.astype(np.float64)
         self.rising = np.sort(self.floats, axis=0)
 
-    def bounds(self, depth: int, positive: np.ndarray, negative: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper scores (vectors x queries) after reading depth entries of each list."""
-        n = len(self.floats)
-        low, high = self.rising[0], self.rising[-1]
+    def ends(self, positive: np.ndarray, negative: np.ndarray) -> np.ndarray:
+        """The highest score that any vector with components between the lists' ends could have, by query."""
+        return self.rising[-1] @ positive + self.rising[0] @ negative
+
+    def bounds(self, depth: int, positive: np.ndarray, negative: np.ndarray, rows: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper scores (rows x queries) after reading depth entries of each list."""
+        return self.lower(depth, positive, negative, rows), self.upper(depth, positive, negative, rows)
+
+    def upper(self, depth: int, positive: np.ndarray, negative: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        n, floats = len(self.floats), self.floats[rows]
+        if depth >= n:
+            return floats @ (positive + negative)
+        # an entry that is read is known; the others are no better than the last values read
+        return np.maximum(floats, self.rising[n - depth]) @ positive + np.minimum(floats, self.rising[depth - 1]) @ negative
+
+    def lower(self, depth: int, positive: np.ndarray, negative: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        n, floats = len(self.floats), self.floats[rows]
         if depth >= n:
-            upper = self.floats @ positive + self.floats @ negative
-            return upper, upper
-        top, bottom = self.rising[n - depth], self.rising[depth - 1]  # the last values read from either end
-        from_top, from_bottom = self.floats >= top, self.floats <= bottom
-        upper = np.where(from_top, self.floats, top) @ positive + np.where(from_bottom, self.floats, bottom) @ negative
-        lower = np.where(from_top, self.floats, low) @ positive + np.where(from_bottom, self.floats, high) @ negative
-        return lower, upper
+            return floats @ (positive + negative)
+        top, bottom = self.rising[n - depth], self.rising[depth - 1]
+        return np.where(floats >= top, floats, self.rising[0]) @ positive + np.where(floats <= bottom, floats, self.rising[-1]) @ negative
 
 
-def block_top(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, vector row, score) of each query's best k in a block, ties to smaller ids."""
+def block_top(
+    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, bars: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, vector row, score) of each query's best k in a block that may reach its bar, ties to smaller ids; and how deep each query read."""
     n = len(ids)
     lists = SortedLists(vectors)
     positive, negative = np.maximum(queries, 0).astype(np.float64).T, np.minimum(queries, 0).astype(np.float64).T
@@ -107,53 +126,101 @@ def block_top(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queri
     if most >= 2.0**63:
         raise OverflowError("scores need not fit 63 bits; take a smaller scale")
     slack = 0.0 if most < EXACT else most * vectors.shape[1] * 2.0**-50  # rounding of larger products
-    own = ids[:, None] == query_ids
-    open_queries, rows, picks, scores = np.arange(len(queries)), [], [], []
-    depth = max(n // 4, 1)
+    bars = np.full(len(queries), -np.inf) if bars is None else bars.astype(np.float64)
+    read = np.zeros(len(queries), np.int64)
+    open_queries = np.flatnonzero(lists.ends(positive, negative) >= bars - slack) if n else np.zeros(0, np.int64)
+    alive, rows, picks, scores = np.arange(n), [], [], []
+    depth = max(n // FIRST, 1)
     while len(open_queries):
-        lower, upper = lists.bounds(depth, positive[:, open_queries], negative[:, open_queries])
-        mine = own[:, open_queries]
-        lower[mine], upper[mine] = -np.inf, -np.inf
-        bar = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(open_queries), -np.inf)
-        inside = (upper >= bar - slack) & ~mine
-        done = (inside.sum(0) <= 8 * k) | (depth >= n)
+        read[open_queries] = min(depth, n)
+        parts = positive[:, open_queries], negative[:, open_queries]
+        mine = ids[alive][:, None] == query_ids[open_queries]
+        upper = lists.upper(depth, *parts, alive)
+        upper[mine] = -np.inf
+        m = len(alive)
+        if m > k and (depth >= n or np.isinf(bars[open_queries]).any()):  # a bar from elsewhere is seldom beaten by bounds
+            lower = upper if depth >= n else np.where(mine, -np.inf, lists.lower(depth, *parts, alive))
+            bars[open_queries] = np.maximum(bars[open_queries], np.partition(lower, m - k, axis=0)[m - k])
+        inside = (upper >= bars[open_queries] - slack) & ~mine
+        left_over = inside.sum(0)
+        done = (left_over <= FEW * k) | (depth >= n)
         for q, column in zip(open_queries[done], np.flatnonzero(done)):
-            left = np.flatnonzero(inside[:, column])
+            left = alive[inside[:, column]]
             score = (vectors[left] * queries[q]).sum(1)  # the rest of the survivors' entries
-            best = np.lexsort((ids[left], -score))[:k]
-            rows.append(np.full(len(best), q))
-            picks.append(left[best])
-            scores.append(score[best])
+            first = np.lexsort((ids[left], -score))[:k]
+            rows.append(np.full(len(first), q))
+            picks.append(left[first])
+            scores.append(score[first])
+        depth *= LEAP if np.median(left_over) > 0.9 * m else STEP
+        # outsiders of all queries still open are not looked at again
+        alive = alive[inside[:, ~done].any(1)]
         open_queries = open_queries[~done]
-        depth *= 2
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(rows), np.concatenate(picks), np.concatenate(scores)
+    nothing = np.zeros(0, np.int64)
+    return (np.concatenate(rows), np.concatenate(picks), np.concatenate(scores), read) if rows else (nothing, nothing, nothing, read)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", column: str = "embedding", scale: float = 256.0) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k best rows of vectors with another id."""
+def _met(vectors: DataFrame, queries: DataFrame, k: int, id_column: str, column: str, scale: float) -> DataFrame:
+    """Rows _RESULT of every block of queries against every block of vectors."""
     scratch = Scratch(vectors.sparkSession)
     blocks = scratch.save(packed(scaled(vectors, id_column, column, scale), BLOCK, "block"), "blocks")
     asked = scratch.save(packed(scaled(queries, id_column, column, scale), QUERY_BLOCK, "asked"), "asked")
     groups = max(blocks.count(), 1)
-    blocks = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
+    numbered = Window.orderBy("block")  # one row for each block
+    blocks = blocks.join(blocks.select("block", (F.row_number().over(numbered) - 1).cast("long").alias("group")), "block")
     asked = asked.select("asked", F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("matrix").alias("q_matrix"))
+
+    def answered(meetings: DataFrame) -> DataFrame:
+        return meetings.select("ids", "dim", "matrix", "asked", "q_ids", "q_dim", "q_matrix", "bars").mapInArrow(_answer(k), _RESULT)
+
+    # each block of queries meets one block first, whose k-th best scores no later block need stay below
+    first = asked.withColumn("group", F.pmod(F.xxhash64("asked"), F.lit(groups))).withColumn("bars", F.lit(None).cast("array<struct<q: long, score: long>>"))
+    first = answered(first.join(blocks, "group")).where("vec_id IS NOT NULL")
+    place = Window.partitionBy("asked", "q").orderBy(F.desc("score"))
+    kth = first.withColumn("place", F.row_number().over(place)).where(F.col("place") == k)
+    bars = kth.groupBy("asked").agg(F.collect_list(F.struct("q", "score")).alias("bars"))  # a number for each query of a block
+    asked = scratch.save(asked.join(bars, "asked", "left"), "barred")
     everywhere = asked.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    met = everywhere.join(blocks, "group").select("ids", "dim", "matrix", "asked", "q_ids", "q_dim", "q_matrix")
+    return answered(everywhere.join(blocks, "group"))
 
+
+def _answer(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 width = max(row["dim"], row["q_dim"])
                 ids, block = _unpack(row["ids"], row["dim"], row["matrix"], width)
                 query_ids, asked_for = _unpack(row["q_ids"], row["q_dim"], row["q_matrix"], width)
-                q, v, score = block_top(ids, block, query_ids, asked_for, k)
+                bars = np.full(len(query_ids), -np.inf)
+                for bar in row["bars"] or ():
+                    bars[bar["q"]] = bar["score"]
+                q, v, score, read = block_top(ids, block, query_ids, asked_for, k, bars)
+                every = np.arange(len(query_ids))
+                none = pa.nulls(len(every), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(q), row["asked"])), pa.array(q), pa.array(query_ids[q]), pa.array(ids[v]), pa.array(score, pa.int64())],
-                    names=["asked", "q", "query_id", "vec_id", "score"],
+                    [
+                        pa.array(np.full(len(q) + len(every), row["asked"])),
+                        pa.array(np.concatenate((q, every))),
+                        pa.array(np.concatenate((query_ids[q], query_ids))),
+                        pa.concat_arrays([pa.array(ids[v], pa.int64()), none]),
+                        pa.concat_arrays([pa.array(score, pa.int64()), none]),
+                        pa.concat_arrays([pa.nulls(len(q), pa.int64()), pa.array(read * width)]),
+                        pa.concat_arrays([pa.nulls(len(q), pa.int64()), pa.array(np.full(len(every), len(ids) * width))]),
+                    ],
+                    names=["asked", "q", "query_id", "vec_id", "score", "read", "entries"],
                 )
 
+    return run
+
+
+def entries_read(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", column: str = "embedding", scale: float = 256.0) -> DataFrame:
+    """query_id, read, entries: how many list entries each query read before outsiders were ruled out, and how many there are."""
+    met = _met(vectors, queries, k, id_column, column, scale).where("vec_id IS NULL")
+    return met.groupBy("asked", "q", "query_id").agg(F.sum("read").alias("read"), F.sum("entries").alias("entries")).select("query_id", "read", "entries")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", column: str = "embedding", scale: float = 256.0) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's k best rows of vectors with another id."""
     best = Window.partitionBy("asked", "q").orderBy(F.desc("score"), "vec_id")
-    found = met.mapInArrow(run, _RESULT).withColumn("rank", F.row_number().over(best))
-    return found.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    met = _met(vectors, queries, k, id_column, column, scale).where("vec_id IS NOT NULL")
+    found = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

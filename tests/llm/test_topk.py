@@ -56,3 +56,34 @@ def test_components_beyond_exact_scores_raise(spark, large):
     frame = spark.createDataFrame([(1, [1.0, 2.0]), (2, large), (3, [2.0**44, 2.0**44])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="smaller scale"):
         topk.top_k(frame, frame, 1).collect()
+
+
+def clustered(rng, n, dim, many):
+    """Vectors around a few far corners."""
+    corners = rng.choice([-40, 0, 40], (many, dim))
+    return corners[rng.integers(0, many, n)] + rng.integers(-2, 3, (n, dim))
+
+
+def test_clustered_vectors_are_read_in_part(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 400 * 12)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(clustered(rng, 1200, 12, 40))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    asked = frame.where("vec_id % 60 = 0")
+    found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(frame, asked, 3, scale=1.0).collect())
+    assert found == brute(rows, [r for r in rows if r[0] % 60 == 0], 3, 1.0)
+    read = topk.entries_read(frame, asked, 3, scale=1.0).collect()
+    assert len(read) == 20 and all(r.entries == 1200 * 12 for r in read)
+    assert sum(r.read for r in read) < 0.85 * sum(r.entries for r in read)
+
+
+def test_bars_leave_blocks_unread():
+    rng = np.random.default_rng(4)
+    low, queries = rng.integers(-5, 5, (200, 6)), rng.integers(1, 9, (5, 6))
+    ids = np.arange(200)
+    exact = low @ queries.T
+    bars = exact.max(0) + 1.0
+    q, v, score, read = topk.block_top(ids, low, ids[:5] + 900, queries, 3, np.full(5, 1e6))
+    assert len(q) == 0 and not read.any()
+    q, v, score, read = topk.block_top(ids, low, ids[:5] + 900, queries, 3, bars - 1.0)
+    assert {(a, s) for a, s in zip(q.tolist(), score.tolist())} >= {(i, int(m)) for i, m in enumerate(exact.max(0))}
