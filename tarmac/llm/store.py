@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,8 @@ class Scratch:
     """A folder that every executor reaches, with one Parquet table per step of a job.
 
     A written table cuts the lineage: a lost executor costs the tasks of one step.
-    Shuffle files of a step are released as soon as its table is written.
+    Shuffle files of a step are released as soon as its table is written. The folder stays, since results
+    are read from it lazily, and so does the session's batch size; what is made inside ``disposed()`` goes at its end.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -34,6 +36,13 @@ class Scratch:
         spark.conf.set(_BATCH, str(BATCH_BYTES))
         self.base = shared_dir(spark)
         self.count = 0
+        for made in _scopes:
+            made.append(self)
+
+    def close(self) -> None:
+        """Deletes the folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def path(self, name: str) -> str:
         self.count += 1
@@ -51,6 +60,23 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[Scratch]] = []
+
+
+@contextmanager
+def disposed(spark: SparkSession) -> Iterator[None]:
+    """Deletes the folders that jobs make inside, and restores the session's batch size, once their results are written."""
+    before, made = spark.conf.get(_BATCH, None), []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for scratch in made:
+            scratch.close()
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+
+
 def row_key(*columns: str) -> Column:
     """A key for rows whose own id may be null or repeated; equal rows share it."""
     return F.xxhash64(*[F.col(c) for c in columns])

@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -7,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tarmac.llm import words as w
+from tarmac.llm.store import Scratch, disposed
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 KINDS = {"spaced": (w.SPACED, r"[^\x20\x09-\x0D]+"), "alnum": (w.ALNUM, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")}
@@ -55,3 +57,17 @@ def test_shingles():
 def test_packed_keys(keys):
     keys = np.unique(np.array(keys, w.U64))
     assert np.array_equal(w.unpack_sorted(w.pack_sorted(keys)), keys)
+
+
+def test_what_is_made_inside_a_scope_goes(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    outside = Scratch(spark)
+    kept = outside.save(spark.range(5), "kept")
+    spark.conf.set(setting, "12345")
+    with disposed(spark):
+        inside = Scratch(spark)
+        assert inside.save(spark.range(3), "gone").count() == 3
+    assert not Path(inside.base).exists() and kept.count() == 5
+    assert spark.conf.get(setting) == "12345"
+    spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
