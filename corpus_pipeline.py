@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import decontaminate, jaccard, language, mixing, token_files
 from tarmac.llm.queries import mixing_weights, table, tokenizer_path
-from tarmac.llm.store import Scratch, one_of_each, row_key, without
+from tarmac.llm.store import Scratch, disposed, one_of_each, row_key, without
 
 #: Share of the tokens that the mixture takes.
 MIXED_SHARE = 0.8
@@ -80,5 +80,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        with disposed(spark):  # a stage's own tables go when its result is written
+            docs = scratch.save(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -198,14 +198,19 @@ def hour_spine(raw: DataFrame) -> DataFrame:
     return routes.hour_spine(raw)
 
 
-def map_points(raw: DataFrame) -> DataFrame:
-    points = routes.in_time_range(_points(raw), RANGE_START_MS, RANGE_START_MS + 2 * HOUR_MS)
+def _points_between(raw: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
+    """Map points of a range. Windows follow from all earlier messages, but from none that come more than a window later."""
+    known = raw.filter(F.col("ts_kafka") <= end_ms + WINDOW_MS)
+    points = routes.in_time_range(_points(known), start_ms, end_ms)
     return points.select("icao", "ts_kafka", "lat", "lon", "ground")
 
 
+def map_points(raw: DataFrame) -> DataFrame:
+    return _points_between(raw, RANGE_START_MS, RANGE_START_MS + 2 * HOUR_MS)
+
+
 def map_points_day(raw: DataFrame) -> DataFrame:
-    points = routes.in_time_range(_points(raw), RANGE_START_MS, RANGE_START_MS + 24 * HOUR_MS)
-    return points.select("icao", "ts_kafka", "lat", "lon", "ground")
+    return _points_between(raw, RANGE_START_MS, RANGE_START_MS + 24 * HOUR_MS)
 
 
 def null_profile(raw: DataFrame) -> DataFrame:

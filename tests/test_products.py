@@ -185,6 +185,9 @@ def test_days_reach_the_scan(spark, tmp_path):
     for name in ("hour_ground_counts", "hourly_dense", "axis_max"):
         plan = QUERIES[name](spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
         assert "GreaterThanOrEqual(ts_kafka" in plan, name
+    for name in ("map_points", "map_points_day"):
+        plan = QUERIES[name](spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+        assert "LessThanOrEqual(ts_kafka" in plan, name
     for name in ("aircraft_series", "aircraft_lookup"):
         plan = QUERIES[name](spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("= 340005") >= plan.count("Relation [") > 0, name  # a filter over each scan
