@@ -16,8 +16,9 @@ conversation is one row of the result, so its turns meet in one task.
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -60,11 +61,37 @@ def load_tokenizer(path: str, special_as_text: bool = True):
     return tokenizer
 
 
-def assemble(turns: list[tuple[str, str]], tokenizer) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and loss mask of one conversation."""
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def decoder_of(tokenizer) -> Callable[[np.ndarray], str]:
+    """What ids of ordinary text spell. A byte-level vocabulary is read off a table of its tokens' bytes."""
+    decoder = tokenizer.decoder
+    if decoder is None or json.loads(decoder.__getstate__()).get("type") != "ByteLevel":
+        return lambda ids: tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+    byte_of = {letter: b for b, letter in byte_letters().items()}
+    table = [b""] * tokenizer.get_vocab_size()
+    for token, i in tokenizer.get_vocab().items():
+        table[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+    return lambda ids: b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "replace")
+
+
+def segment_ids(chats: list[list[tuple[str, str]]], tokenizer) -> dict[str, list[int]]:
+    """Ids of the escaped texts of conversations, each different one encoded once and by itself."""
+    segments = list({s for turns in chats for role, text in turns for s in ((text,) if role in HEADERS else (role, text))})
+    found = tokenizer.encode_batch_fast([escape(s) for s in segments], add_special_tokens=False)
+    return {s: e.ids for s, e in zip(segments, found)}
+
+
+def assemble(turns: list[tuple[str, str]], tokenizer, known: dict[str, list[int]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and loss mask of one conversation; known has the segment_ids() of its texts."""
     base = tokenizer.get_vocab_size()
     reserved = {s: base + i for i, s in enumerate(CONTROL)}
-    encode = lambda s: tokenizer.encode(escape(s), add_special_tokens=False).ids
+    encode = (segment_ids([turns], tokenizer) if known is None else known).__getitem__
     ids: list[int] = []
     begins, ends = [], []
     for role, text in turns:
@@ -96,16 +123,16 @@ def _runs(ids: np.ndarray, base: int) -> Iterator[tuple[str | None, int, int]]:
         yield None, at, len(ids)
 
 
-def render(ids: np.ndarray, tokenizer) -> str:
-    base = tokenizer.get_vocab_size()
-    return "".join(c if c is not None else tokenizer.decode(ids[a:b].tolist(), skip_special_tokens=False) for c, a, b in _runs(ids, base))
+def render(ids: np.ndarray, tokenizer, decode: Callable[[np.ndarray], str] | None = None) -> str:
+    base, decode = tokenizer.get_vocab_size(), decode or decoder_of(tokenizer)
+    return "".join(c if c is not None else decode(ids[a:b]) for c, a, b in _runs(ids, base))
 
 
-def read_back(ids: np.ndarray, loss: np.ndarray, tokenizer) -> tuple[list[tuple[str, str]], str]:
+def read_back(ids: np.ndarray, loss: np.ndarray, tokenizer, decode: Callable[[np.ndarray], str] | None = None) -> tuple[list[tuple[str, str]], str]:
     """The turns that ids say, and all text under the mask, unescaped."""
-    base = tokenizer.get_vocab_size()
+    base, decode = tokenizer.get_vocab_size(), decode or decoder_of(tokenizer)
     by_header = {v: k for k, v in HEADERS.items()}
-    text = lambda a, b: unescape(tokenizer.decode(ids[a:b].tolist(), skip_special_tokens=False))
+    text = lambda a, b: unescape(decode(ids[a:b]))
     turns, learned = [], []
     role, said, in_role = "", "", False
     for control, a, b in _runs(ids, base):
@@ -134,13 +161,15 @@ def format_chats(rows: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(tokenizer_path)
+        decode = decoder_of(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                out = []
-                for turns in part["turns"].to_pylist():
-                    ids, loss = assemble([(t["role"], t["text"]) for t in turns], tokenizer)
-                    out.append((len(turns), ids, loss, render(ids, tokenizer)))
+                said = [[(t["role"], t["text"]) for t in turns] for turns in part["turns"].to_pylist()]
+                known, out = segment_ids(said, tokenizer), []
+                for turns in said:
+                    ids, loss = assemble(turns, tokenizer, known)
+                    out.append((len(turns), ids, loss, render(ids, tokenizer, decode)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["conv_id"],

@@ -52,10 +52,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = chat.load_tokenizer(path)
+        decode = chat.decoder_of(tokenizer)
         for batch in batches:
             out = []
             for ids, loss in zip(batch["ids"], batch["loss"]):
-                turns, learned = chat.read_back(ids.values.to_numpy(), loss.values.to_numpy(), tokenizer)
+                turns, learned = chat.read_back(ids.values.to_numpy(), loss.values.to_numpy(), tokenizer, decode)
                 said = "".join(f"{role}\n{text}\n" for role, text in turns)
                 out.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest()))
             columns = list(zip(*out)) or [()] * 4

@@ -19,6 +19,7 @@ table; extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm import words as w
-from tarmac.llm.chat import load_tokenizer
+from tarmac.llm.chat import byte_letters, load_tokenizer
 
 END_ID = 0
 ORC_STRIDE = 10_000
@@ -39,18 +40,26 @@ KEPT_PIECES = 500_000
 SCHEMA = "doc_id long, n_tokens int, shard int, shard_start long, ids array<int>"
 
 
-def byte_letters() -> dict[int, str]:
-    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+def cuts_apply(tokenizer) -> bool:
+    """Whether a vocabulary splits texts where PieceEncoder does: byte-level BPE by the usual pattern, without normalising."""
+    if tokenizer.normalizer is not None or tokenizer.pre_tokenizer is None:
+        return False
+    split = json.loads(tokenizer.pre_tokenizer.__getstate__())
+    model = tokenizer.model
+    plain = type(model).__name__ == "BPE" and not model.continuing_subword_prefix and not model.end_of_word_suffix and not model.dropout
+    return plain and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
 
 
 class PieceEncoder:
-    """Encodes texts as the tokenizer does, each different piece of a batch once."""
+    """Encodes texts as the tokenizer does, each different piece of a batch once.
+
+    Pieces are told apart by 64-bit hashes. A vocabulary that splits texts in another way is refused.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = load_tokenizer(path, special_as_text=False)
+        if not cuts_apply(self.tokenizer):
+            raise ValueError(f"{path}: not a plain byte-level BPE vocabulary")
         added = self.tokenizer.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
             raise ValueError(f"{path}: added tokens that strip white space or want whole words")

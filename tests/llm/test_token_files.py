@@ -4,6 +4,7 @@ import zlib
 from pathlib import Path
 
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyarrow import orc
@@ -113,3 +114,10 @@ def test_indexes_and_bloom_filters_skip_rows(spark, tokenizer_path, monkeypatch)
     assert rows_read(read.where("doc_id = 100001")) == 0  # beyond all ids
     missing = [rows_read(read.where(f"doc_id = {i}")) for i in (10_001, 23_457, 40_003, 60_123)]
     assert missing.count(0) >= 3  # inside the row groups' ranges: the Bloom filters know
+
+
+def test_other_vocabularies_are_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="byte-level"):
+        tf.PieceEncoder(public_tokenizers.path("word_bpe_49k.json"))
