@@ -36,7 +36,7 @@ END_ID = 0
 ORC_STRIDE = 10_000
 ORC_STRIPE = 64 << 20
 #: Pieces whose ids a worker keeps between batches; beyond it the store starts anew.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_000_000
 SCHEMA = "doc_id long, n_tokens int, shard int, shard_start long, ids array<int>"
 
 
