@@ -6,17 +6,18 @@ message of the aircraft. The time line is cut into slices, and rows are shuffled
 once by (aircraft, slice). A first pass over a slice gives a transfer table that tells, for
 every message that could open its first window, when the window after its last one may
 open. From these tables follows when each slice's first window may open, and a second
-pass over the same shuffled rows gives the state of every window's part in the slice. Parts
-of a window that lies in two slices are put together at the end.
+pass over the same shuffled rows gives the state of every window's part in the slice. Both passes
+see a slice in order of time and batch by batch, so a task's memory does not follow how many messages
+an aircraft sends. Parts of a window that lies in two slices or batches are put together at the end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tarmac.functions import geo
@@ -34,18 +35,32 @@ _TRANSFER = "icao string, slice bigint, entry bigint, ready bigint"
 _READY = "icao string, slice bigint, ready bigint"
 
 
-def _slice_transfer(times: np.ndarray, start: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate first openings of a slice, and when the next window may open after each."""
-    following = np.searchsorted(times, times + threshold)
-    last = np.arange(len(times))
-    for _ in range(len(times)):
-        ahead = following[last]
-        moving = ahead < len(times)
-        if not moving.any():
-            break
-        last = np.where(moving, np.minimum(ahead, len(times) - 1), last)
-    candidates = np.searchsorted(times, start + threshold) + 1
-    return _thinned(times[:candidates], times[last[:candidates]] + threshold)
+def _in_order(times: np.ndarray, after: int | None) -> np.ndarray:
+    """A batch's times, which have to go on from the batch before."""
+    if len(times) and (np.any(times[1:] < times[:-1]) or (after is not None and times[0] < after)):
+        raise ValueError("messages of a slice are not in order of time")
+    return times
+
+
+def _slice_transfer(batches: Iterable[np.ndarray], start: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate first openings of a slice, and when the next window may open after each.
+
+    Times come in order. Only the candidates are kept, each with when its next window may open.
+    """
+    entries, exits = np.array([], np.int64), np.array([], np.int64)
+    for times in batches:
+        if not len(entries) or entries[-1] < start + threshold:
+            # openings in the first threshold length, plus the first time after it
+            new = times[: np.searchsorted(times, start + threshold) + 1]
+            entries, exits = np.concatenate([entries, new]), np.concatenate([exits, new + threshold])
+        while True:
+            spot = np.searchsorted(times, exits)
+            moving = spot < len(times)
+            if not moving.any():
+                break
+            exits = np.where(moving, times[np.minimum(spot, len(times) - 1)] + threshold, exits)
+        entries, exits = _thinned(entries, exits)
+    return entries, exits
 
 
 def _thinned(entries: np.ndarray, exits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +92,27 @@ def _rows(icao: str, **columns) -> pa.Table:
 def sliced(rows: DataFrame, threshold_ms: int, fanout: int = FANOUT) -> DataFrame:
     """Rows with their slice, brought together by (aircraft, slice)."""
     with_slice = rows.withColumn("slice", F.floor(F.col("ts_kafka") / F.lit(fanout * threshold_ms)))
-    return with_slice.filter("icao IS NOT NULL AND ts_kafka IS NOT NULL").repartition("icao", "slice")
+    return with_slice.filter("icao IS NOT NULL AND slice IS NOT NULL").repartition("icao", "slice")
+
+
+def _ordered(rows: DataFrame) -> GroupedData:
+    """Rows of ``sliced`` by (aircraft, slice), each slice in order of time."""
+    return rows.sortWithinPartitions("icao", "slice", "ts_kafka").groupBy("icao", "slice")
+
+
+def _times(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of one slice with their times."""
+    last = None
+    for batch in batches:
+        if batch.num_rows:
+            times = _in_order(batch["ts_kafka"].to_numpy(), last)
+            last = int(times[-1])
+            yield batch, times
+
+
+def _with_ready(grouped: DataFrame, ready: DataFrame) -> GroupedData:
+    """Rows of ``sliced`` with when a window may first open in their slice; a task keeps one row a slice of the other side."""
+    return _ordered(grouped.join(ready.hint("shuffle_hash"), ["icao", "slice"]))
 
 
 def arrivals(
@@ -85,7 +120,7 @@ def arrivals(
 ) -> DataFrame:
     """``(icao, slice, ready)``: when a window may first open in each slice of ``sliced`` rows.
 
-    A task sees the rows of one slice, ``fanout`` windows long, or transfer tables. Such a
+    A task sees the times of one slice, ``fanout`` windows long, batch by batch, or transfer tables. Such a
     table has at most one entry per distinct time of one threshold length, and fewer as
     windows that open a little apart soon open together. With one level an
     aircraft's tables meet in one task, 3 300 a year with 5-minute windows; each further level
@@ -93,13 +128,17 @@ def arrivals(
     """
     base_ms = fanout * threshold_ms
 
-    def first_transfer(key: tuple, table: pa.Table) -> pa.Table:
+    def first_transfer(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         icao, number = (k.as_py() for k in key)
-        points = np.unique(table["ts_kafka"].to_numpy())
-        entries, exits = _slice_transfer(points, number * base_ms, threshold_ms)
-        return _rows(icao, slice=np.full(len(entries), number), entry=entries, ready=exits)
-
-    transfers = [grouped.groupBy("icao", "slice").applyInArrow(first_transfer, _TRANSFER)]
+        points = _times(batches)
+        entries, exits = _slice_transfer((np.unique(t) for _, t in points), number * base_ms, threshold_ms)
+        yield from _rows(icao, slice=np.full(len(entries), number), entry=entries, ready=exits).to_batches()
+
+    # all columns are used, so that the shuffle of rows is the one of the second pass
+    others = [F.max(c) if c == "seq" else F.count(c) for c in grouped.columns if c not in ("icao", "slice", "ts_kafka")]
+    points = grouped.groupBy("icao", "slice", "ts_kafka").agg(F.array(F.count("*"), *others).alias("used"))
+    points = points.filter(F.size("used") > 0).select("icao", "slice", "ts_kafka")
+    transfers = [_ordered(points).applyInArrow(first_transfer, _TRANSFER)]
     level_ms = base_ms
     for _ in range(1, levels):
         level_ms *= fanout_up
@@ -177,13 +216,15 @@ def window_anchors(
     grouped = sliced(rows.select("icao", "ts_kafka"), threshold_ms, fanout)
     ready = arrivals(grouped, threshold_ms, fanout, fanout_up, levels)
 
-    def opened(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
-        opens = known["ready"][0].as_py()
-        anchors = _openings(np.unique(table["ts_kafka"].to_numpy()), opens, threshold_ms)
-        return _rows(key[0].as_py(), anchor=anchors[anchors >= opens])
+    def opened(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opens = None
+        for batch, times in _times(batches):
+            opens = batch["ready"][0].as_py() if opens is None else opens
+            anchors = _openings(np.unique(times), opens, threshold_ms)
+            yield from _rows(key[0].as_py(), anchor=anchors[anchors >= opens]).to_batches()
+            opens = int(anchors[-1]) + threshold_ms
 
-    both = grouped.groupBy("icao", "slice").cogroup(ready.groupBy("icao", "slice"))
-    return both.applyInArrow(opened, "icao string, anchor bigint")
+    return _with_ready(grouped, ready).applyInArrow(opened, "icao string, anchor bigint")
 
 
 def _last(value: str) -> Column:
@@ -218,8 +259,8 @@ def _part_schema() -> str:
     return f"icao string, anchor bigint, ts_kafka bigint, n_messages bigint, ground_seen int, {', '.join(parts)}"
 
 
-def _window_parts(table: pa.Table, ready: int, threshold: int) -> pa.Table:
-    """The state of each window's part in one slice of an aircraft: the latest message of every group."""
+def _window_parts(table: pa.Table, ready: int, threshold: int) -> tuple[pa.Table, int]:
+    """The state of each window's part in some rows of a slice: the latest message of every group. Then, when the next window may open."""
     table = table.combine_chunks()
     seq = table["seq"].to_numpy()
     order = np.lexsort((seq, table["ts_kafka"].to_numpy()))
@@ -252,7 +293,8 @@ def _window_parts(table: pa.Table, ready: int, threshold: int) -> pa.Table:
             stated = np.where(there & ~np.isnan(stated.astype(float)), stated, -1).astype(np.int64)
             most = np.maximum.reduceat(stated, starts)
             columns["ground_seen"] = pa.array(most, pa.int32(), mask=most < 0)
-    return pa.table({k: columns[k] for k in ("icao", "anchor", "ts_kafka", "n_messages", "ground_seen", *_GROUPS)})
+    parts = pa.table({k: columns[k] for k in ("icao", "anchor", "ts_kafka", "n_messages", "ground_seen", *_GROUPS)})
+    return parts, int(anchors[-1]) + threshold
 
 
 def _resolved(last: DataFrame, *keys: str) -> DataFrame:
@@ -282,10 +324,14 @@ def spanned_states(decoded: DataFrame, threshold_ms: int = THRESHOLD_MS) -> Data
     grouped = sliced(_window_rows(decoded), threshold_ms)
     ready = arrivals(grouped, threshold_ms)
 
-    def parts(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
-        return _window_parts(table, known["ready"][0].as_py(), threshold_ms)
+    def parts(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opens = None
+        for batch, _ in _times(batches):
+            opens = batch["ready"][0].as_py() if opens is None else opens
+            found, opens = _window_parts(pa.Table.from_batches([batch]), opens, threshold_ms)
+            yield from found.to_batches()
 
-    found = grouped.groupBy("icao", "slice").cogroup(ready.groupBy("icao", "slice")).applyInArrow(parts, _part_schema())
+    found = _with_ready(grouped, ready).applyInArrow(parts, _part_schema())
     found = found.withColumn(SPAN, F.floor(F.col("anchor") / F.lit(SPAN_MS))).repartition("icao", SPAN)
     whole = found.groupBy("icao", SPAN, "anchor").agg(
         F.max("ts_kafka").alias("ts_kafka"),
