@@ -61,7 +61,6 @@ def fleet_frames(events: DataFrame) -> DataFrame:
     burst = {
         "e": "event_id * 4 + part",
         "place": "event_id",
-        "k": _K,
         "u": "cast(if(user_id % 3 = 0, 0, 1 + user_id % 60) as int)",
         "ts_kafka": f"{_TIME} + 400 * part",
         "rich": "1L",
@@ -71,7 +70,8 @@ def fleet_frames(events: DataFrame) -> DataFrame:
         "what": "case when part < 2 then if(k % 4 = 0, 'click', 'error') when part = 3 then 'view' "
         "when place % 3 = 0 then 'signup' when place % 3 = 1 or k % 10 != 8 then 'purchase' else 'error' end",
     }
-    parts = events.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
+    known = Steps().once({"k": _K}).apply(events)
+    parts = known.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
     return _encoded(parts, Steps().add(burst).add(kinds))
 
 
@@ -129,26 +129,35 @@ def _encoded(rows: DataFrame, inputs: Steps) -> DataFrame:
         "case when kind = 'surface' then 4 when kind != 'allcall' then 5 "
         "when k % 10 = 9 then 0 when k % 4 = 0 then 4 else 5 end"
     )
-    steps = {
+    payload = {
         "me": f"case kind {cases} else 0L end",
         "head": "shiftleft(cast(if(kind = 'allcall', 11, if(rich = 1 and place % 5 = 0, 18, 17)) as bigint), 27) "
         f"| shiftleft(cast({capability} as bigint), 24) | cast({0x340000} + u as bigint)",
-        "high": "if(kind = 'allcall', 0L, head)",
-        "low": "if(kind = 'allcall', head, me)",
-        "parity": parity24("high", "low"),
+    }
+    words = {"high": "if(kind = 'allcall', 0L, head)", "low": "if(kind = 'allcall', head, me)"}
+    text = {
         "sent": "if(e % 37 = 0, parity ^ 1, parity)",
         "text": f"concat({long_to_hex('head', 8)}, if(kind = 'allcall', '', {long_to_hex('me', 14)}), "
         f"{long_to_hex('sent', 6)})",
     }
-    stages = inputs.add(where).add(cpr.position_codes("zone", "odd", "lat", "lon")).add(steps)
+    # boundaries, as in decode: each generated method stays below the size the JVM compiles
+    stages = inputs.once(where)
+    for name, value in cpr.position_codes("zone", "odd", "lat", "lon").items():
+        stages = stages.once({name: value})
+    stages = stages.once(payload).once(words).once({"parity": parity24("high", "low")}).add(text)
     return stages.apply(rows).selectExpr("e as seq", "ts_kafka", "base64(unhex(text)) as message")
 
 
-def fleet_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events dealt out evenly: a file is small for the work its rows are, and has few row groups to deal out."""
     events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
-    return fleet_frames(events)
+    # by number, as else small partitions are put together again
+    return events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+
+
+def fleet_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fleet_frames(_events(spark, sf_dir))
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
-    return frames(events)
+    return frames(_events(spark, sf_dir))
