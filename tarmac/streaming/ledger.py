@@ -53,7 +53,9 @@ def route_batch(base: str, delay_ms: int = DELAY_MS) -> Callable[[DataFrame, int
         mark = watermark(spark, base, batch_id, delay_ms)
         routed, ledger = _paths(base)
         behind = F.lit(False) if mark is None else F.coalesce(F.col("ts_kafka") <= mark, F.lit(False))
-        rows = decode(raw).withColumn("behind", behind)
+        # a trigger is often one file and so one task: its messages are dealt out before they are decoded
+        dealt = raw.repartition(spark.sparkContext.defaultParallelism, "ts_kafka", "message")
+        rows = decode(dealt).withColumn("behind", behind)
         fate = F.when(F.col("reject_reason").isNotNull(), REJECT).when(F.col("behind"), LATE).otherwise(ON_TIME)
         reason = F.coalesce("reject_reason", F.when(F.col("behind"), F.lit("behind_watermark")))
         own = f"{routed}/batch={batch_id}"

@@ -146,3 +146,12 @@ def test_a_stream_goes_on_from_a_batch(spark, tmp_path):
     rest = rows[cut:]
     folder = write_files(tmp_path / "rest", [rest[i : i + 80] for i in range(0, len(rest), 80)])
     assert found_takeoffs(spark, folder, "rest", limit, initial=known) == expected and expected
+
+
+def test_a_trigger_of_one_file_is_dealt_to_many_tasks(spark, feed):
+    rows, path, base = feed
+    ledger.start_product(read_feed(spark, path), base).awaitTermination()
+    for trigger in range(4):  # the last ones have few messages
+        assert sum(name.startswith("part-") for name in os.listdir(f"{path}/slot={trigger}")) == 1
+        tasks = {name.split("-")[1] for _, _, names in os.walk(f"{base}/routed/batch={trigger}") for name in names if name.startswith("part-")}
+        assert len(tasks) > 1
