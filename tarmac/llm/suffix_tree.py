@@ -15,7 +15,7 @@ which adds up to one over the known and the unknown words. A token is scored in
 of the longest retained suffix of the words before it.
 
 Execution: texts are cut once into blocks of encoded documents (bounded; a longer text is a
-block of its own) and written. A block sends each different key it holds (a word, a word
+block of its own) and written, bucketed by block, so that only answers travel to them. A block sends each different key it holds (a word, a word
 pair, a context) once, in packed runs by key range; each range sums what all blocks sent and
 answers every sender. So a very common word or pair is one key of a block, counts grow with
 the corpus in the number of ranges, and nothing of the model passes through the driver
@@ -48,11 +48,13 @@ DISCOUNT = 0.5
 FOLDS, HELD_OUT = 5, 1
 #: Tokens whose keys one range holds, about.
 RANGE_TOKENS = 4 << 20
+#: Tokens of a block, about: the more, the fewer keys are sent, and the more memory a task takes.
+BLOCK_TOKENS = 1 << 20
 END_HASH = w.U64(0x2545F4914F6CDD1D)
 
 _BLOCK = "block long, doc_ids array<long>, held array<boolean>, lengths array<int>, width int, tokens binary, vocab binary"
 _SENT = "part int, block long, kind int, width int, keys binary, counts binary, x binary, y binary"
-_ANSWER = "block long, kind int, part int, there binary, own binary, counts binary, x binary, y binary"
+_ANSWER = "block long, kind int, part int, there binary, own binary, counts binary, factor binary"
 #: Kinds of keys: GRAM + d asks for counts of d + 1 words, STATE + d for states of d words.
 GRAM, STATE = 0, 100
 
@@ -79,32 +81,48 @@ def _unpack(data: bytes) -> np.ndarray:
     return _from_planes(data[0], zstandard.decompress(data[1:]))
 
 
-def encoded_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of documents as places in the block's own sorted vocabulary of word hashes."""
+def encoded_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Blocks of documents as places in the block's own sorted vocabulary of word hashes.
+
+    A block goes on over the texts of a task until it has ``block_tokens`` tokens.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        pieces: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]] = []
+        size = 0
         for batch in batches:
             for first, hashes, offsets in w.each_text(batch["text"]):
                 n = len(offsets) - 1
                 full = np.insert(hashes, offsets[1:], END_HASH)
-                vocab, tokens = np.unique(full, return_inverse=True)
-                width, planes = _planes(tokens)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([number], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), batch["doc_id"].slice(first, n)),
-                        pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), batch["held"].slice(first, n)),
-                        pa.array([(np.diff(offsets) + 1).astype(np.int32)], pa.list_(pa.int32())),
-                        pa.array([width], pa.int32()),
-                        pa.array([zstandard.compress(planes, 1)], pa.binary()),
-                        pa.array([_pack(np.diff(vocab, prepend=w.U64(0)))], pa.binary()),
-                    ],
-                    names=["block", "doc_ids", "held", "lengths", "width", "tokens", "vocab"],
-                )
-                number += 1
-
-    return docs.mapInArrow(run, _BLOCK)
+                pieces.append((batch["doc_id"].slice(first, n), batch["held"].slice(first, n), full, (np.diff(offsets) + 1).astype(np.int32)))
+                size += len(full)
+                if size >= block_tokens:
+                    yield _block_row(number, pieces)
+                    number, pieces, size = number + 1, [], 0
+        if pieces:
+            yield _block_row(number, pieces)
+
+    return docs.mapInArrow(w.tidy(run), _BLOCK)
+
+
+def _block_row(number: int, pieces: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    ids, held, hashes, lengths = zip(*pieces)
+    vocab, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+    width, planes = _planes(tokens)
+    n = sum(map(len, lengths))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([number], pa.int64()),
+            pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays(ids)),
+            pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays(held)),
+            pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
+            pa.array([width], pa.int32()),
+            pa.array([zstandard.compress(planes, 1)], pa.binary()),
+            pa.array([_pack(np.diff(vocab, prepend=w.U64(0)))], pa.binary()),
+        ],
+        names=["block", "doc_ids", "held", "lengths", "width", "tokens", "vocab"],
+    )
 
 
 class Block:
@@ -113,19 +131,18 @@ class Block:
     def __init__(self, row: dict, answers: dict[int, list[dict]], ranges: int, total: int, distinct: int) -> None:
         self.row, self.answers, self.ranges = row, answers, ranges
         vocab = np.cumsum(_unpack(row["vocab"]), dtype=w.U64)
-        tokens = _from_planes(row["width"], zstandard.decompress(row["tokens"])).astype(np.int64)
+        self.hash = vocab[_from_planes(row["width"], zstandard.decompress(row["tokens"]))]
         lengths = np.array(row["lengths"], np.int64)
         self.ends = np.cumsum(lengths)
-        self.at = np.arange(len(tokens)) - np.repeat(self.ends - lengths, lengths)  # place in the document
+        self.at = (np.arange(len(self.hash)) - np.repeat(self.ends - lengths, lengths)).astype(np.int32)  # place in the document
         self.train = np.repeat(~np.array(row["held"], bool), lengths)
-        self.hash = vocab[tokens]
         self.keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self.total, self.distinct = total, distinct
 
     def asked(self, kind: int, where: np.ndarray, keys: np.ndarray) -> None:
         """Registers the keys at the places where; the same in every round."""
         different, which = np.unique(keys[where], return_inverse=True)
-        self.keys[kind] = (np.flatnonzero(where), different, which)
+        self.keys[kind] = (np.flatnonzero(where).astype(np.int32), different, which.astype(np.int32))
 
     def runs(self, keys: np.ndarray) -> np.ndarray:
         """Where each range's run of sorted keys begins; ranges split the key space evenly."""
@@ -155,11 +172,11 @@ class Block:
         return np.bincount(which[self.train[where]], minlength=len(different))
 
     def answered(self, kind: int) -> tuple[np.ndarray, ...]:
-        """For each different key: is it there, does this block own it, its count, x and y."""
+        """For each different key: is it there, does this block own it, its count, and its factor as a state."""
         _, different, _ = self.keys[kind]
         n = len(different)
         there, own = np.zeros(n, bool), np.zeros(n, bool)
-        count, x, y = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        count, factor = np.zeros(n, np.int64), np.ones(n)
         cut = self.runs(different)
         for a in self.answers.get(kind, []):
             lo, hi = cut[a["part"]], cut[a["part"] + 1]
@@ -169,9 +186,9 @@ class Block:
             if a["own"] is not None:
                 own[lo:hi] = np.unpackbits(np.frombuffer(a["own"], np.uint8), count=hi - lo)
                 count[here] = _unpack(a["counts"])
-            if a["x"] is not None:
-                x[here], y[here] = np.frombuffer(a["x"]), np.frombuffer(a["y"])
-        return there, own, count, x, y
+            if a["factor"] is not None:
+                factor[here] = _unpack(a["factor"]).view(np.float64)
+        return there, own, count, factor
 
     def spread(self, kind: int, values: np.ndarray) -> np.ndarray:
         """A value per key as a value per token; 0 or false where nothing was asked."""
@@ -206,7 +223,7 @@ class Block:
         probability = self.base.copy()
         out: list[tuple] = []
         for d in range(1, DEPTH + 1):
-            there, own, counts, _, _ = self.answered(GRAM + d)
+            _, own, counts, _ = self.answered(GRAM + d)
             n = self.spread(GRAM + d, counts)
             owned = self.spread(GRAM + d, own)
             above = np.where(self.at >= 1, shifted(count), 0).astype(np.float64)
@@ -231,9 +248,9 @@ class Block:
                     self.next_grams(d, entry, longer)
                     out += self.sent(GRAM + d + 1, self.train_counts(GRAM + d + 1))
                 return iter(out)
-            there, _, _, x, y = self.answered(STATE + d)
-            state, x, y = self.spread(STATE + d, there), self.spread(STATE + d, x), self.spread(STATE + d, y)
-            probability = np.where(state, np.where(entry, share, probability * (1 - x) / np.maximum(1 - y, 1e-12)), probability)
+            there, _, _, factor = self.answered(STATE + d)
+            state, factor = self.spread(STATE + d, there), self.spread(STATE + d, factor)
+            probability = np.where(state, np.where(entry, share, probability * factor), probability)
             if d < DEPTH:
                 gram, count = longer, n
                 longer = self.next_grams(d, entry, longer)
@@ -272,9 +289,9 @@ def _answer_range(table: pa.Table) -> pa.Table:
                 own = which[ends[i] : ends[i + 1]]
                 there = total[own] >= least
                 if there.any():
-                    out.append((r["block"], kind, r["part"], np.packbits(there).tobytes(), np.packbits(owner[own] == i).tobytes(), _pack(total[own][there]), None, None))
+                    out.append((r["block"], kind, r["part"], np.packbits(there).tobytes(), np.packbits(owner[own] == i).tobytes(), _pack(total[own][there]), None))
             if kind == GRAM:
-                out.append((-1, kind, int((total > 0).sum()), None, None, _pack(total.sum(keepdims=True)), None, None))
+                out.append((-1, kind, int((total > 0).sum()), None, None, _pack(total.sum(keepdims=True)), None))
         else:
             x, y = np.zeros(len(different)), np.zeros(len(different))
             known = np.zeros(len(different), bool)
@@ -284,15 +301,16 @@ def _answer_range(table: pa.Table) -> pa.Table:
                     x[own] += np.frombuffer(r["x"])
                     y[own] += np.frombuffer(r["y"])
                     known[own] = True
+            factor = (1 - x) / np.maximum(1 - y, 1e-12)
             for i, r in enumerate(mine):
                 if r["x"] is None:
                     own = which[ends[i] : ends[i + 1]]
                     there = known[own]
                     if there.any():
-                        out.append((r["block"], kind, r["part"], np.packbits(there).tobytes(), None, None, x[own][there].tobytes(), y[own][there].tobytes()))
-    columns = list(zip(*out)) or [()] * 8
-    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 5]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "kind", "part", "there", "own", "counts", "x", "y"])
+                        out.append((r["block"], kind, r["part"], np.packbits(there).tobytes(), None, None, _pack(factor[own][there].view(w.U64))))
+    columns = list(zip(*out)) or [()] * 7
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "kind", "part", "there", "own", "counts", "factor"])
 
 
 def _sent_table(rows: Iterator[tuple]) -> pa.Table:
@@ -308,12 +326,12 @@ def _open(table: pa.Table, answers: pa.Table, ranges: int, total: int, distinct:
     return Block(table.to_pylist()[0], by_kind, ranges, total, distinct)
 
 
-def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row; base-10 logarithms."""
     scratch = Scratch(docs.sparkSession)
     held = F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % FOLDS == HELD_OUT
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), held.alias("held"), F.col(text_column).alias("text"))
-    blocks = scratch.save(encoded_blocks(rows), "blocks")
+    blocks = scratch.save_by_key(encoded_blocks(rows, block_tokens), "blocks", "block")
     size = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
     ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // RANGE_TOKENS)
 
@@ -326,7 +344,7 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def answers_to(sent: DataFrame, name: str) -> DataFrame:
         return scratch.save(sent.groupBy("part").applyInArrow(_answer_range, _ANSWER), name)
 
-    answers = answers_to(blocks.mapInArrow(first_keys, _SENT), "counts")
+    answers = answers_to(blocks.mapInArrow(w.tidy(first_keys), _SENT), "counts")
     summary = answers.where("block = -1").select("part", "counts").toLocalIterator()  # a number of each range
     total = distinct = 0
     for row in summary:

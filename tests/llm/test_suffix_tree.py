@@ -99,3 +99,34 @@ def test_empty_and_untrained(spark):
     (row,) = pst.score_documents(frame(spark, [(held, "a b")])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
     assert row.score == row.base_score == pytest.approx(0.0)
+
+
+def test_blocks_fill_over_batches(spark):
+    docs = corpus()
+    tokens = sum(len(WORDS.findall(t or "")) + 1 for _, t in docs)
+    rows = frame(spark, docs).selectExpr("doc_id", "doc_id % 5 = 1 AS held", "text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        whole = pst.encoded_blocks(rows).collect()
+        small = pst.encoded_blocks(rows, 100).collect()
+        scored = [pst.score_documents(frame(spark, docs), block_tokens=n).collect() for n in (1, pst.BLOCK_TOKENS)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(whole) == 3  # one of each task, however many batches come
+    longest = max(len(WORDS.findall(t or "")) + 1 for _, t in docs)
+    assert len(small) > 3 and all(sum(b.lengths) < 100 + 7 * longest for b in small)
+    for blocks in (whole, small):
+        assert len({b.block for b in blocks}) == len(blocks) and sum(sum(b.lengths) for b in blocks) == tokens
+        key = lambda i: (i is None, i)
+        assert sorted((i for b in blocks for i in b.doc_ids), key=key) == sorted((i for i, _ in docs), key=key)
+    order = lambda r: (r[0] is None, r[0] or 0, r[2], r[6])
+    for a, b in zip(*(sorted(map(tuple, rows), key=order) for rows in scored), strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-9)
+
+
+def test_blocks_are_not_shuffled_again(spark):
+    scored = pst.score_documents(frame(spark, corpus()))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(block") == 1, plan  # the answers alone
+    assert not spark.sql("SHOW TABLES").where("tableName LIKE 'tarmac%'").collect()
