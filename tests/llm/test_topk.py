@@ -87,3 +87,55 @@ def test_bars_leave_blocks_unread():
     assert len(q) == 0 and not read.any()
     q, v, score, read = topk.block_top(ids, low, ids[:5] + 900, queries, 3, bars - 1.0)
     assert {(a, s) for a, s in zip(q.tolist(), score.tolist())} >= {(i, int(m)) for i, m in enumerate(exact.max(0))}
+
+
+def test_block_pairs_do_not_pass_through_the_driver(spark, monkeypatch):
+    """Queries' blocks look small as compressed files; nothing as large as their pairs with blocks may be broadcast."""
+    monkeypatch.setattr(topk, "BLOCK", 400)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 200)
+    monkeypatch.setattr(topk, "PAIRS", 20)
+    monkeypatch.setattr(topk, "HELD", 4000)
+    rnd = random.Random(5)
+    rows = [(i, [rnd.choice([-1.0, 0.0, 0.5]) for _ in range(20)]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    limit = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "100k")
+    try:
+        top = topk.top_k(frame, frame.where("vec_id % 3 = 0"), 4)
+        found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in top.collect())
+    finally:
+        spark.conf.set(limit, before)
+    assert found == brute(rows, [r for r in rows if r[0] % 3 == 0], 4)
+    assert "Broadcast" not in top._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("size", [3, 1 << 9, 1 << 11, 1 << 25, 1 << 28])
+def test_scores_of_every_size_are_exact(size):
+    """Products that float32 holds, that float64 holds, and larger ones, with bars from elsewhere and without."""
+    rng = np.random.default_rng(size)
+    vectors, queries = rng.integers(-size, size + 1, (300, 7)), rng.integers(-size, size + 1, (40, 7))
+    vectors[100:160] = vectors[99]  # ties
+    ids, query_ids = rng.permutation(300), np.arange(0, 80, 2)
+    exact = vectors @ queries.T
+    for bars in (None, np.sort(exact[:50], axis=0)[-3].astype(np.float64), np.full(40, -np.inf)):
+        q, v, score, _ = topk.block_top(ids, vectors, query_ids, queries, 3, bars)
+        found = list(zip(q.tolist(), ids[v].tolist(), score.tolist()))
+        assert len(set(found)) == len(found) and (np.diff(q) >= 0).all()
+        for j in range(40):
+            rows = [i for i in range(300) if ids[i] != query_ids[j]]
+            best = sorted(rows, key=lambda i: (-int(exact[i, j]), ids[i]))[:3]
+            over = [(j, int(ids[i]), int(exact[i, j])) for i in best if bars is None or exact[i, j] >= bars[j]]
+            assert [x for x in found if x[0] == j][: len(over)] == over
+
+
+@pytest.mark.parametrize("times", [1, 12, 24, 200, 5000])
+def test_answers_do_not_outgrow_blocks(times):
+    """Parts of the blocks times queries are what is shuffled at the end."""
+    vectors, queries = 50_000 * times, 1_000 * times
+    of_blocks = {"n": 25 * times, "vectors": vectors, "entries": vectors * 64, "bytes": vectors * 64}
+    of_asked = {"n": 2 * times, "vectors": queries, "entries": queries * 64, "bytes": queries * 64}
+    through, parts = topk._parts(of_blocks, of_asked, 5, 6)
+    assert through * queries * 5 * topk.FOUND <= of_blocks["bytes"]
+    assert min(6, 25 * times) <= through * parts <= topk.TASKS + through
+    assert (of_asked["bytes"] + queries * 8 * 6) / parts <= topk.HELD or parts == 2 * times
